@@ -1,0 +1 @@
+"""Nothing to stream: every input is a finished table and no operator has event time."""
