@@ -41,14 +41,6 @@ def exact_quantiles(
     if not brackets:
         return {c: [None] * len(probabilities) for c in cols}
 
-    # Ends of the whole range stand in for a bracket at the edge of the ranks.
-    inside = [
-        F.when(
-            F.col(c).between(low, high),
-            F.struct(F.lit(c).alias("column"), F.lit(i).alias("i"), F.col(c).alias("value")),
-        )
-        for (c, i), (low, high) in brackets.items()
-    ]
     tally = [F.count(c).alias(f"n_{k}") for k, c in enumerate(cols)]
     tally += [
         F.count_if(F.col(c) < low).alias(f"below_{k}")
@@ -57,6 +49,10 @@ def exact_quantiles(
     counts = numbers.agg(*tally).first()
     size = {c: counts[f"n_{k}"] for k, c in enumerate(cols)}
     below = {target: counts[f"below_{k}"] for k, target in enumerate(brackets)}
+    for (c, i) in brackets:
+        # Below this size the sketch error spans less than a few rows: look at all of them.
+        if size[c] * error < 10:
+            brackets[c, i], below[c, i] = (float("-inf"), float("inf")), 0
 
     wanted = []
     for (c, i), offset in below.items():
@@ -68,6 +64,13 @@ def exact_quantiles(
         wanted, "column string, i int, lower long, upper long, part double"
     )
 
+    inside = [
+        F.when(
+            F.col(c).between(low, high),
+            F.struct(F.lit(c).alias("column"), F.lit(i).alias("i"), F.col(c).alias("value")),
+        )
+        for (c, i), (low, high) in brackets.items()
+    ]
     values = (
         numbers.select(F.explode(F.array_compact(F.array(*inside))).alias("v"))
         .groupBy("v.column", "v.i", "v.value")
