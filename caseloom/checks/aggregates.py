@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from caseloom.checks import sql
 from caseloom.checks.fixtures import base, view, with_views
 from caseloom.checks.registry import query, rounded
-from caseloom.checks.rows import CATEGORIES, NORMALISED
+from caseloom.checks.rows import NORMALISED
 from caseloom.functions import rules, scalars
 from caseloom.operators import aggregates as ag
 from caseloom.operators import columns, quantiles, rows
@@ -550,5 +550,3 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     demo = view(spark, folder, "demo").select(KEY, "race", "birth_yr")
     return columns.one_hot(demo, {"race": SEGMENTS, "birth_yr": [None, "Unknown"]})
 
-
-__all__ = ["CATEGORIES"]

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from caseloom.checks import sql
 from caseloom.checks.fixtures import base, view, with_views
-from caseloom.checks.registry import query, rounded
+from caseloom.checks.registry import query
 from caseloom.functions import rules, scalars
 from caseloom.operators import aggregates as ag
 from caseloom.operators import columns, merge, rows
@@ -719,5 +719,3 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
         orders.where(F.col("o_totalprice") > 1000).select(*pair),
     )
 
-
-__all__ = ["rounded", "scratch", "CATEGORIES"]

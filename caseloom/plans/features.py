@@ -32,6 +32,7 @@ from caseloom.functions.scalars import (
 )
 from caseloom.operators.aggregates import (
     Measure,
+    all_value_counts,
     consistent_label,
     count_pivot,
     entity_span,
@@ -425,3 +426,30 @@ def clean_matrix(
 
 def fit_master_categories(master_table: DataFrame) -> dict[str, list[str]]:
     return fit_categories(master_table, CATEGORICAL)
+
+
+# --- Profiles ---------------------------------------------------------------
+
+
+def profile_value_counts(tables: Tables, columns: Mapping[str, Sequence[str]]) -> DataFrame:
+    """``(table, column, value, n)`` of the named columns, one scan per table."""
+    parts = [
+        all_value_counts(tables[name], cols).select(
+            F.lit(name).alias("table"), "column", "value", "n"
+        )
+        for name, cols in columns.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def profile_sizes(tables: Tables, key: str = KEY) -> DataFrame:
+    """Rows and distinct entities per table; rows per entity are counted first."""
+    parts = []
+    for name, frame in tables.items():
+        rows = frame.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+        parts.append(
+            rows.agg(F.sum("n").alias("rows"), F.count(key).alias("entities")).select(
+                F.lit(name).alias("table"), "rows", "entities"
+            )
+        )
+    return reduce(DataFrame.unionByName, parts)
