@@ -557,7 +557,8 @@ def _matrix(spark: SparkSession, folder: str) -> tuple[DataFrame, list[str]]:
     )
     columns = tr.matrix_columns(cleaned)
     fills = {c: m for c, m in prep.medians(cleaned, columns).items() if m is not None}
-    return prep.impute(cleaned.select(ft.KEY, ft.LABEL, *fills), fills), list(fills)
+    filled = prep.impute(cleaned.select(ft.KEY, ft.LABEL, *fills), fills)
+    return io.stage(spark, scratch(spark, "filled"), lambda: filled), list(fills)
 
 
 def _judged(model, matrix: DataFrame) -> DataFrame:

@@ -31,7 +31,8 @@ def _merged(frames: Sequence[DataFrame], key: str, keep: Column | None) -> DataF
     merged = union.groupBy(key).agg(*[F.max(c).alias(c) for c in names], *seen)
     doubled = F.greatest(*[f"_n{i}" for i in range(len(frames))], F.lit(0)) > 1
     message = F.concat(F.lit(f"more than one row in a source for {key} "), F.col(key))
-    checked = merged.withColumn(key, F.when(doubled, F.raise_error(message)).otherwise(F.col(key)))
+    # A filter, so that the key column keeps the layout later merges can build on.
+    checked = merged.where(F.when(doubled, F.raise_error(message)).otherwise(F.lit(True)))
     if keep is not None:
         checked = checked.where(keep)
     return checked.select(key, *names)

@@ -1,7 +1,9 @@
 """Exact quantiles with linear interpolation, and column summaries.
 
-A sketch brackets each wanted rank in one pass; a second pass counts what lies below
-the bracket and looks only at the values inside it. No task ever holds a whole column.
+In a long table a sketch brackets each wanted rank in one pass; a second pass counts
+what lies below the bracket and looks only at the values inside it, so no task ever
+holds a whole column. A table short enough for the sketch to be no help is aggregated
+directly.
 """
 
 from __future__ import annotations
@@ -12,6 +14,8 @@ from math import floor
 from pyspark.sql import DataFrame, Window, functions as F
 
 SKETCH_ERROR = 1e-4
+# Rows the sketch error has to span before a bracket is worth its passes.
+SHORT = 10
 
 
 def _doubles(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -28,6 +32,10 @@ def exact_quantiles(
 ) -> dict[str, list[float | None]]:
     """Quantiles of each column, equal to a full sort with linear interpolation."""
     numbers = _doubles(df, cols)
+    if df.count() * error < SHORT:
+        levels = F.array(*[F.lit(float(p)) for p in probabilities])
+        row = numbers.agg(*[F.percentile(c, levels).alias(c) for c in cols]).first()
+        return {c: row[c] or [None] * len(probabilities) for c in cols}
     grid = []
     for p in probabilities:
         grid += [max(0.0, p - 2 * error), min(1.0, p + 2 * error)]
@@ -50,8 +58,8 @@ def exact_quantiles(
     size = {c: counts[f"n_{k}"] for k, c in enumerate(cols)}
     below = {target: counts[f"below_{k}"] for k, target in enumerate(brackets)}
     for (c, i) in brackets:
-        # Below this size the sketch error spans less than a few rows: look at all of them.
-        if size[c] * error < 10:
+        # So few values that the sketch error spans less than a row or two: look at all.
+        if size[c] * error < SHORT:
             brackets[c, i], below[c, i] = (float("-inf"), float("inf")), 0
 
     wanted = []

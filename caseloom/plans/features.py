@@ -187,16 +187,14 @@ def medication_features(
     categories: Sequence[str],
     binary: bool = False,
 ) -> DataFrame:
-    """Drug rows per category of the dictionary.
+    """Distinct drug rows per category of the dictionary.
 
     Rows of drugs outside the dictionary, or in it without a category, are gone before
     the dedup shuffle.
     """
     valued = dictionary.where(F.col("Category").isNotNull()).withColumnRenamed("Drug", "drug_name")
-    known = dedup(keep_in_vocab(medication, "drug_name", valued))
-    return count_pivot(
-        known.join(valued, "drug_name"), KEY, "Category", categories, "Drug_count_", binary
-    )
+    known = dedup(medication.join(valued, "drug_name"))
+    return count_pivot(known, KEY, "Category", categories, "Drug_count_", binary)
 
 
 def lab_rates(labs: DataFrame, tests: Sequence[str]) -> DataFrame:
