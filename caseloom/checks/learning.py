@@ -139,7 +139,7 @@ def _auc_sql(score: str, by: str = "") -> str:
       r as (select {group} y, rank() over ({same} order by {score})
               + (count(*) over (partition by {group} {score}) - 1) / 2.0 as place from s)
       select {group} round((sum(place) filter (y = 1) - sum(y) * (sum(y) + 1) / 2.0)
-              / (sum(y) * (count(*) - sum(y))), 9)::double as auc
+              / nullif(sum(y) * (count(*) - sum(y)), 0), 9)::double as auc
       from r {'group by ' + by if by else ''}"""
 
 

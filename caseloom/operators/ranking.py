@@ -108,11 +108,38 @@ def random_sample(df: DataFrame, key: str, n: int | Column, seed: int) -> DataFr
     return smallest(bucketed, n, order)
 
 
+def nth_value(df: DataFrame, col: str, n: int) -> tuple[float, int] | None:
+    """The ``n``-th smallest value and how many rows are smaller; None if there are fewer.
+
+    Works on distinct values, so a value shared by a third of the rows is one row here.
+    """
+    values = (
+        value_bucket(df, col).groupBy("_bucket", col).agg(F.count(F.lit(1)).alias("n"))
+    )
+    totals = values.groupBy("_bucket").agg(F.sum("n").alias("n"))
+    window = Window.partitionBy("_bucket").orderBy(col)
+    through = F.sum("n").over(window.rowsBetween(Window.unboundedPreceding, 0))
+    placed = values.withColumn("_through", through).join(earlier(totals, ["n"]), "_bucket")
+    last = F.col("_before_n") + F.col("_through")
+    hit = placed.where((last - F.col("n") < n) & (last >= n))
+    row = hit.select(F.col(col).alias("value"), (last - F.col("n")).alias("smaller")).first()
+    return (row.value, row.smaller) if row else None
+
+
 def top_rows(
-    df: DataFrame, col: str, key: str, n: int, descending: bool = False
+    df: DataFrame, col: str, key: str, n: int, descending: bool = False, seed: int = 0
 ) -> DataFrame:
-    """The ``n`` rows with the smallest (or largest) ``col``; ties go to the smaller key."""
+    """The ``n`` rows with the smallest (or largest) ``col``.
+
+    Rows that tie for the last places are drawn at random, but always the same ones.
+    """
     signed = -F.col(col) if descending else F.col(col)
-    ordered = df.where(F.col(col).isNotNull()).withColumn("_by", signed.cast("double"))
-    bucketed = value_bucket(ordered, "_by")
-    return smallest(bucketed, n, [F.col("_by"), F.col(key)]).drop("_by")
+    rows = df.where(F.col(col).isNotNull()).withColumn("_by", signed.cast("double"))
+    if n < 1:
+        return df.limit(0)
+    limit = nth_value(rows, "_by", n)
+    if limit is None:
+        return rows.drop("_by")
+    value, smaller = limit
+    tied = random_sample(rows.where(F.col("_by") == value), key, n - smaller, seed)
+    return rows.where(F.col("_by") < value).unionByName(tied).drop("_by")

@@ -10,6 +10,13 @@ from caseloom.functions.scalars import has_digit, to_number, within
 
 # A literal IN list this long still plans quickly and reaches the parquet reader.
 MAX_LITERALS = 1000
+# A lookup table this short fits into every executor many times over.
+SHORT_TABLE = 100_000
+
+
+def is_short(df: DataFrame, most: int = SHORT_TABLE) -> bool:
+    """Whether the table has at most ``most`` rows; looks at no more than one beyond."""
+    return df.limit(most + 1).count() <= most
 
 
 def dedup(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -69,9 +76,13 @@ def inner_on(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 def dictionary_join(
     df: DataFrame, col: str, dictionary: DataFrame, word: str, how: str = "left"
 ) -> DataFrame:
-    """Look ``col`` up in a dictionary table; Spark sizes the table and picks the strategy."""
+    """Look ``col`` up in a dictionary table.
+
+    A dictionary counted to be short is broadcast, so a word in a third of the rows
+    moves nothing. A longer one is joined by shuffle, where skewed words are split.
+    """
     renamed = dictionary.withColumnRenamed(word, col) if word != col else dictionary
-    return df.join(renamed, col, how)
+    return df.join(F.broadcast(renamed) if is_short(renamed) else renamed, col, how)
 
 
 def without_keys(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:

@@ -55,7 +55,14 @@ from caseloom.operators.columns import (
     one_hot,
 )
 from caseloom.operators.merge import merge_inner, merge_outer
-from caseloom.operators.rows import dedup, drop_value, inner_on, keep_in_vocab
+from caseloom.operators.rows import (
+    dedup,
+    dictionary_join,
+    drop_value,
+    inner_on,
+    is_short,
+    keep_in_vocab,
+)
 from caseloom.sources.tables import read_vocab, write_vocab
 
 KEY = "patientid"
@@ -189,11 +196,15 @@ def medication_features(
 ) -> DataFrame:
     """Distinct drug rows per category of the dictionary.
 
-    Rows of drugs outside the dictionary, or in it without a category, are gone before
-    the dedup shuffle.
+    A short dictionary is looked up before the dedup, so that rows of other drugs, or of
+    drugs without a category, are never shuffled. A long one is looked up after it: its
+    join shuffles by drug, and the dedup must not inherit that uneven layout.
     """
-    valued = dictionary.where(F.col("Category").isNotNull()).withColumnRenamed("Drug", "drug_name")
-    known = dedup(medication.join(valued, "drug_name"))
+    valued = dictionary.where(F.col("Category").isNotNull())
+    if is_short(valued):
+        known = dedup(dictionary_join(medication, "drug_name", valued, "Drug", "inner"))
+    else:
+        known = dictionary_join(dedup(medication), "drug_name", valued, "Drug", "inner")
     return count_pivot(known, KEY, "Category", categories, "Drug_count_", binary)
 
 
