@@ -6,6 +6,8 @@ expression of the SQL a query is checked with.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, SparkSession
 
 BASE_TABLES = (
@@ -51,6 +53,7 @@ case o_orderkey%10 when 0 then 'COVID-19 vaccine, mRNA, BNT162b2, LNP-S (Pfizer)
 }
 
 
+@lru_cache(maxsize=256)
 def base(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

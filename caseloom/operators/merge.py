@@ -8,34 +8,42 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 
-def _padded(frames: Sequence[DataFrame], key: str) -> tuple[DataFrame, list[str]]:
-    """Union of the tables, each tagged by its position and padded with nulls."""
-    names: list[str] = []
+def _stacked(frames: Sequence[DataFrame], key: str) -> DataFrame:
+    """Union of the tables; table ``i`` fills the struct column ``_t<i>``."""
+    tagged = []
+    for i, frame in enumerate(frames):
+        fields = F.struct(F.lit(1).alias("_row"), *[F.col(c) for c in frame.columns if c != key])
+        tagged.append(frame.where(F.col(key).isNotNull()).select(key, fields.alias(f"_t{i}")))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
+
+
+def _check_names(frames: Sequence[DataFrame], key: str) -> None:
+    seen: set[str] = set()
     for frame in frames:
-        for c in frame.columns:
-            if c != key:
-                if c in names:
-                    raise ValueError(f"column {c} comes from two tables")
-                names.append(c)
-    tagged = [
-        frame.where(F.col(key).isNotNull()).withColumn("_source", F.lit(i))
-        for i, frame in enumerate(frames)
-    ]
-    union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
-    return union, names
+        names = {c for c in frame.columns if c != key}
+        if names & seen:
+            raise ValueError(f"columns {sorted(names & seen)} come from two tables")
+        seen |= names
 
 
 def _merged(frames: Sequence[DataFrame], key: str, keep: Column | None) -> DataFrame:
-    union, names = _padded(frames, key)
-    seen = [F.count_if(F.col("_source") == i).alias(f"_n{i}") for i in range(len(frames))]
-    merged = union.groupBy(key).agg(*[F.max(c).alias(c) for c in names], *seen)
-    doubled = F.greatest(*[f"_n{i}" for i in range(len(frames))], F.lit(0)) > 1
+    _check_names(frames, key)
+    tables = [f"_t{i}" for i in range(len(frames))]
+    # One aggregate per table, however wide the table is.
+    merged = _stacked(frames, key).groupBy(key).agg(
+        *[F.any_value(t, ignoreNulls=F.lit(True)).alias(t) for t in tables],
+        *[F.count(t).alias(f"_n{t}") for t in tables],
+    )
+    doubled = F.greatest(*[f"_n{t}" for t in tables], F.lit(0)) > 1
     message = F.concat(F.lit(f"more than one row in a source for {key} "), F.col(key))
     # A filter, so that the key column keeps the layout later merges can build on.
     checked = merged.where(F.when(doubled, F.raise_error(message)).otherwise(F.lit(True)))
     if keep is not None:
         checked = checked.where(keep)
-    return checked.select(key, *names)
+    return checked.select(
+        key,
+        *[F.col(f"{t}.{c}") for t, frame in zip(tables, frames) for c in frame.columns if c != key],
+    )
 
 
 def merge_outer(frames: Sequence[DataFrame], key: str) -> DataFrame:
@@ -50,7 +58,7 @@ def merge_outer(frames: Sequence[DataFrame], key: str) -> DataFrame:
 
 def merge_inner(frames: Sequence[DataFrame], key: str) -> DataFrame:
     """Inner merge of the same kind: entities every table has."""
-    everywhere = reduce(lambda a, b: a & b, [F.col(f"_n{i}") == 1 for i in range(len(frames))])
+    everywhere = reduce(lambda a, b: a & b, [F.col(f"_t{i}").isNotNull() for i in range(len(frames))])
     return _merged(frames, key, everywhere)
 
 

@@ -74,7 +74,12 @@ def inner_on(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 
 
 def dictionary_join(
-    df: DataFrame, col: str, dictionary: DataFrame, word: str, how: str = "left"
+    df: DataFrame,
+    col: str,
+    dictionary: DataFrame,
+    word: str,
+    how: str = "left",
+    short: bool | None = None,
 ) -> DataFrame:
     """Look ``col`` up in a dictionary table.
 
@@ -82,7 +87,9 @@ def dictionary_join(
     moves nothing. A longer one is joined by shuffle, where skewed words are split.
     """
     renamed = dictionary.withColumnRenamed(word, col) if word != col else dictionary
-    return df.join(F.broadcast(renamed) if is_short(renamed) else renamed, col, how)
+    if short is None:
+        short = is_short(renamed)
+    return df.join(F.broadcast(renamed) if short else renamed, col, how)
 
 
 def without_keys(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:

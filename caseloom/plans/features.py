@@ -202,9 +202,9 @@ def medication_features(
     """
     valued = dictionary.where(F.col("Category").isNotNull())
     if is_short(valued):
-        known = dedup(dictionary_join(medication, "drug_name", valued, "Drug", "inner"))
+        known = dedup(dictionary_join(medication, "drug_name", valued, "Drug", "inner", True))
     else:
-        known = dictionary_join(dedup(medication), "drug_name", valued, "Drug", "inner")
+        known = dictionary_join(dedup(medication), "drug_name", valued, "Drug", "inner", False)
     return count_pivot(known, KEY, "Category", categories, "Drug_count_", binary)
 
 

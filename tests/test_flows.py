@@ -142,12 +142,9 @@ def test_master_moves_each_source_once(spark, raw, no_broadcast):
 
 
 def test_long_dictionary_gives_the_same_counts(spark, small, monkeypatch):
-    from caseloom.operators import rows
-
     tables = view(spark, small, "medication"), view(spark, small, "drug_dictionary")
     short = ft.medication_features(*tables, ("anvil", "bolt"))
     monkeypatch.setattr(ft, "is_short", lambda df: False)
-    monkeypatch.setattr(rows, "is_short", lambda df: False)
     assert sorted(ft.medication_features(*tables, ("anvil", "bolt")).collect()) == sorted(
         short.collect()
     )
