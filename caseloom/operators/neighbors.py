@@ -21,9 +21,13 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window, functions as F
 
+from caseloom.session import cut_lineage
+
 # Tasks get these functions by value, so executors need no installed package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+# Fixed bounds: coordinates a broadcast base may hold, query and base rows per searched
+# block, and cells per search.
 BROADCAST_VALUES = 4_000_000
 BLOCK_ROWS = 20_000
 CELL_ROWS = 5_000
@@ -279,6 +283,8 @@ def knn(
         best = _broadcast_search(points, folded, k + 1, farthest)
         ranked = best.withColumn("rank", F.lit(0))
     else:
+        # Both sides are read several times below; their folding shuffles run once.
+        points, folded = cut_lineage(points), cut_lineage(folded)
         found = _cell_search(points, folded, k + 1, farthest, points.count())
         ranked = _merge(found, k + 1, farthest)
     # Back from distinct points to rows, one row per point on the right-hand side.

@@ -102,8 +102,10 @@ def adasyn(
     if ones < 2 or zeros <= ones:
         return rows
     rare = _rare(rows, label)
-    hard = knn(rare, rows, k, key, point, label).groupBy(key).agg(
-        F.avg(1 - F.col("neighbor_label")).alias("_hard")
+    hard = cut_lineage(
+        knn(rare, rows, k, key, point, label)
+        .groupBy(key)
+        .agg(F.avg(1 - F.col("neighbor_label")).alias("_hard"))
     )
     total = hard.agg(F.sum("_hard")).first()[0]
     if not total:
@@ -118,6 +120,7 @@ def _from_seeds(
     seed: int,
 ) -> DataFrame:
     """``extra`` new rows shared out over the seed rows."""
+    seeds = cut_lineage(seeds)
     count = seeds.count()
     if not count:
         return rows
@@ -233,7 +236,8 @@ def near_miss(
     3: among the rare rows' nearest common rows, those farthest from the rare class.
     """
     rows, _, ones = _parts(df, key, label, point)
-    scored = near_miss_distances(rows, key, label, point, version, n)
+    # Two numbers per row, read again for each step of the choice.
+    scored = cut_lineage(near_miss_distances(rows, key, label, point, version, n))
     kept = top_rows(scored, "mean_distance", key, ones, descending=version == 3)
     return _rare(rows, label).unionByName(
         _common(rows, label).join(kept.select(key), key, "left_semi")
@@ -272,17 +276,16 @@ def repeated_edited_nn(
 
 def tomek_links(df: DataFrame, key: str, label: str, point: str) -> DataFrame:
     """``(common, rare)`` key pairs that are each other's nearest row."""
-    nearest = knn(df, df, 1, key, point, label).select(
-        key, "neighbor", F.col("neighbor_label").alias("_theirs")
+    nearest = knn(df, df, 1, key, point, label)
+    own = nearest.join(df.select(key, F.col(label).alias("_own")), key)
+    ours = F.col("_own") == 0
+    opposite = own.where(F.col("neighbor_label") != F.col("_own")).select(
+        F.when(ours, F.col(key)).otherwise(F.col("neighbor")).alias("common"),
+        F.when(ours, F.col("neighbor")).otherwise(F.col(key)).alias("rare"),
     )
-    own = nearest.join(df.select(key, F.col(label).alias("_ours")), key)
-    a = own.where((F.col("_ours") == 0) & (F.col("_theirs") == 1)).select(
-        F.col(key).alias("common"), F.col("neighbor").alias("rare")
-    )
-    b = own.where((F.col("_ours") == 1) & (F.col("_theirs") == 0)).select(
-        F.col("neighbor").alias("common"), F.col(key).alias("rare")
-    )
-    return a.join(b, ["common", "rare"], "left_semi")
+    # A pair that both members name appears twice.
+    seen = opposite.groupBy("common", "rare").agg(F.count(F.lit(1)).alias("n"))
+    return seen.where(F.col("n") == 2).drop("n")
 
 
 def drop_tomek_links(
@@ -291,9 +294,8 @@ def drop_tomek_links(
     """Without the common member of every Tomek link, or without both members."""
     rows, _, _ = _parts(df, key, label, point)
     links = tomek_links(rows, key, label, point)
-    gone = links.select(F.col("common").alias(key))
-    if both:
-        gone = gone.unionByName(links.select(F.col("rare").alias(key)))
+    members = F.array("common", "rare") if both else F.array("common")
+    gone = links.select(F.explode(members).alias(key))
     return rows.join(gone, key, "left_anti")
 
 
