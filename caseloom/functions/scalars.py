@@ -6,7 +6,7 @@ import datetime as dt
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # Text accepted as a finite or infinite number, and the number
 # pattern looked for inside a normal-range text.
@@ -124,20 +124,20 @@ def day_band(day: Column | str, edges: Sequence[int] = (7, 14)) -> Column:
     )
 
 
-def range_flag(result: Column | str, normal: Column | str) -> Column:
-    """0 inside the normal range, 1 outside, null where no verdict is possible.
+def _range_parts(result: Column, normal: Column) -> dict[str, Column]:
+    """What a verdict needs of the two texts. Dashes separate bounds, so signs are lost."""
+    bounds = F.translate(normal, "-", ",")
+    return {
+        "numbers": F.regexp_extract_all(bounds, F.lit(RANGE_NUMBER_PATTERN), F.lit(0)),
+        "sign": F.regexp_replace(bounds, "[^<=>]", ""),
+        "value": to_number(result),
+    }
 
-    Dashes separate bounds, so signs are not read. Two numbers are a closed
-    interval; one number needs a comparison sign; any other count is abnormal.
-    """
-    result, normal = _col(result), _col(normal)
-    bounds_text = F.translate(normal, "-", ",")
-    numbers = F.regexp_extract_all(bounds_text, F.lit(RANGE_NUMBER_PATTERN), F.lit(0))
-    count = F.size(numbers)
-    sign = F.regexp_replace(bounds_text, "[^<=>]", "")
-    value = to_number(result)
-    first = F.get(numbers, F.lit(0)).try_cast("double")
-    second = F.get(numbers, F.lit(1)).try_cast("double")
+
+def _range_verdict(result: Column, normal: Column, parts: dict[str, Column]) -> Column:
+    value, sign, count = parts["value"], parts["sign"], F.size(parts["numbers"])
+    first = F.get(parts["numbers"], F.lit(0)).try_cast("double")
+    second = F.get(parts["numbers"], F.lit(1)).try_cast("double")
 
     def verdict(ok: Column) -> Column:
         return F.when(ok, F.lit(0)).otherwise(F.lit(1))
@@ -169,6 +169,24 @@ def range_flag(result: Column | str, normal: Column | str) -> Column:
     )
 
 
+def range_flag(result: Column | str, normal: Column | str) -> Column:
+    """0 inside the normal range, 1 outside, null where no verdict is possible.
+
+    Two numbers are a closed interval; one number needs a comparison sign; any other
+    count is abnormal.
+    """
+    result, normal = _col(result), _col(normal)
+    return _range_verdict(result, normal, _range_parts(result, normal))
+
+
+def with_range_flag(df: DataFrame, result: str, normal: str, into: str) -> DataFrame:
+    """The same flag as a new column, with each text taken apart once per row."""
+    parts = _range_parts(F.col(result), F.col(normal))
+    named = {f"_{name}": part for name, part in parts.items()}
+    flag = _range_verdict(F.col(result), F.col(normal), {n: F.col(f"_{n}") for n in parts})
+    return df.withColumns(named).withColumn(into, flag).drop(*named)
+
+
 def slug(text: str) -> str:
     """A column-name-safe spelling of a category value."""
     return re.sub(r"[^0-9A-Za-z]+", "_", text).strip("_") or "blank"

@@ -113,12 +113,17 @@ def count_pivot(
 def rate_pivot(
     df: DataFrame, key: str, category: str, flag: str, values: Sequence[str], prefix: str
 ) -> DataFrame:
-    """Mean 0/1 flag per entity and category; null where there was no verdict."""
+    """Mean 0/1 flag per entity and category; null where there was no verdict.
+
+    Entities without any verdict are left out after the aggregate: a filter in front of
+    it would work every flag out twice.
+    """
     rates = [
         F.avg(F.when(F.col(category) == value, F.col(flag))).alias(name)
         for name, value in _named(prefix, values)
     ]
-    return df.where(present(key) & F.col(flag).isNotNull()).groupBy(key).agg(*rates)
+    wide = df.where(present(key)).groupBy(key).agg(F.count(flag).alias("_flags"), *rates)
+    return wide.where(F.col("_flags") > 0).drop("_flags")
 
 
 @dataclass(frozen=True)

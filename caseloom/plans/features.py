@@ -26,9 +26,9 @@ from caseloom.functions.scalars import (
     days_since,
     label_with_unit,
     norm_text,
-    range_flag,
     slugs,
     to_number,
+    with_range_flag,
 )
 from caseloom.operators.aggregates import (
     Measure,
@@ -211,9 +211,7 @@ def medication_features(
 def lab_rates(labs: DataFrame, tests: Sequence[str]) -> DataFrame:
     """Share of results outside the normal range, per test."""
     rows = dedup(keep_in_vocab(labs, "test_name", tests))
-    flagged = rows.select(
-        KEY, "test_name", range_flag("test_result", "normal_range").alias("value_normal")
-    )
+    flagged = with_range_flag(rows, "test_result", "normal_range", "value_normal")
     return rate_pivot(flagged, KEY, "test_name", "value_normal", tests, "value_normal_")
 
 
@@ -243,10 +241,9 @@ def lab_features(
     rows = dedup(keep_in_vocab(labs, "test_name", both))
     known = ~F.col("test_result").eqNullSafe("unknown") & F.col("test_name").isin(*panel_tests)
     whole = reduce(and_, [F.col(c).isNotNull() for c in labs.columns])
-    rated = F.when(
-        F.col("test_name").isin(*rate_tests), range_flag("test_result", "normal_range")
-    )
-    valued = rows.where(present(KEY)).select(
+    rated = F.when(F.col("test_name").isin(*rate_tests), F.col("_flag"))
+    flagged = with_range_flag(rows, "test_result", "normal_range", "_flag")
+    valued = flagged.where(present(KEY)).select(
         KEY,
         "test_name",
         known.alias("known"),

@@ -73,6 +73,15 @@ def test_range_flag(spark):
     assert [(r, n, x) for (r, n, _), x in zip(RANGES, got)] == RANGES
 
 
+def test_range_flag_in_stages(spark):
+    df = spark.createDataFrame(
+        [(i, *c[:2]) for i, c in enumerate(RANGES)], "i int, r string, n string"
+    )
+    staged = scalars.with_range_flag(df, "r", "n", "x")
+    assert staged.columns == ["i", "r", "n", "x"]
+    assert [r.x for r in staged.orderBy("i").collect()] == [c[2] for c in RANGES]
+
+
 def test_clean_year(spark):
     years = [("1950",), ("Unknown",), ("1932 and Earlier",), (None,), ("Undisclosed",)]
     got = evaluate(spark, "s string", years, scalars.clean_year("s"))
