@@ -422,6 +422,25 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     return _labelled(resample.condensed_nn(_vectors(spark, folder), *COLUMNS))
 
 
+def _condensed(i: int) -> str:
+    return f"""rest{i} as (select * from common where vec_id not in (select vec_id from store{i})),
+      {_near(f'one{i}', f'rest{i}', f'store{i}', 1)},
+      store{i + 1} as (select * from store{i} union all select * from rest{i}
+        where vec_id in (select vec_id from one{i} where nby = 1))"""
+
+
+@query(
+    "condensed_nearest_neighbours_two_rounds",
+    f"""with {PAIR},
+        store0 as (select * from rare union all (
+          select * from common order by {sql.digest('vec_id', 37)}, vec_id limit 1)),
+        {_condensed(0)}, {_condensed(1)}
+        select vec_id, y from store2""",
+)
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    return _labelled(resample.condensed_nn(_vectors(spark, folder), *COLUMNS, rounds=2))
+
+
 def _drawn(key: str, copy: str, what: str) -> str:
     return sql.fraction(f"concat(cast({key} as string), '|', cast({copy} as string), '|{what}')", 37)
 
@@ -611,14 +630,25 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(models.grid_results(search, matrix))
 
 
-@query("model_write_and_read")
+@query(
+    "model_write_and_read",
+    with_views(["target"], "select count(*) as rows, cast(0 as bigint) as changed from target"),
+)
 def _(spark: SparkSession, folder: str) -> DataFrame:
     from pyspark.ml import PipelineModel
 
     matrix, columns = _matrix(spark, folder)
     path = scratch(spark, "model")
-    models.random_forest(matrix, columns, ft.LABEL, numTrees=10).write().save(path)
-    return rounded(_judged(PipelineModel.load(path), matrix))
+    model = models.random_forest(matrix, columns, ft.LABEL, numTrees=10)
+    model.write().save(path)
+    before = _judged(model, matrix)
+    after = _judged(PipelineModel.load(path), matrix).select(
+        ft.KEY, F.col("p_positive").alias("after")
+    )
+    return before.join(after, ft.KEY).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col("p_positive") != F.col("after")).alias("changed"),
+    )
 
 
 @query("forest_importance_spearman")

@@ -1,12 +1,13 @@
 """Exact nearest (or farthest) neighbours as Spark jobs.
 
-Equal points are folded into one first, so a point that a third of the rows share
-costs one search. Then, by the size of the base side:
+By the size of the base side:
 
-* small: the base is broadcast and every query batch is searched against it;
-* otherwise: points are divided into cells around pivots. The triangle inequality
-  says which base points can matter to a cell, those are sent there, and oversized
-  cells are split into blocks of bounded size whose best candidates are merged.
+* small: the base is broadcast and the query rows are mapped, without a shuffle;
+* otherwise: equal points are folded into one, so that a point a third of the rows
+  share costs one search, and the points are divided into cells around pivots. The
+  triangle inequality says which base points can matter to a cell, those are sent
+  there, and oversized cells are split into blocks of bounded size whose best
+  candidates are merged.
 
 Both give the same rows. Ties in distance go to the smaller id.
 """
@@ -141,15 +142,22 @@ def _merge(hits: DataFrame, k: int, farthest: bool) -> DataFrame:
 
 
 def _broadcast_search(queries: DataFrame, base: DataFrame, k: int, farthest: bool) -> DataFrame:
-    """Every query batch against the whole base; the caller has checked the base size."""
+    """Every query batch against the whole base; the caller has checked the base size.
+
+    A map over the query rows: nothing is shuffled, copies among them included.
+    """
     shared = queries.sparkSession.sparkContext.broadcast(base.toPandas())
 
     def search(batches):
         known = shared.value
         for batch in batches:
-            yield hits_frame(batch, known, k, farthest)
+            # One more than asked for, since a row may find itself.
+            hits = hits_frame(batch, known, k + 1, farthest)
+            others = hits[hits["point_id"] != hits["neighbor"]]
+            rank = others.groupby("point_id", sort=False).cumcount() + 1
+            yield others.assign(rank=rank.astype("int32"))[rank <= k]
 
-    return queries.mapInPandas(search, hit_schema(id_type(queries)))
+    return queries.mapInPandas(search, hit_schema(id_type(queries)) + ", rank int")
 
 
 def _pivots(queries: DataFrame, count: int, seed: int = 17) -> np.ndarray:
@@ -273,31 +281,36 @@ def knn(
     broadcast base may hold; a larger base is searched by cells.
     """
     asked = _rows(queries, key, point, label)
-    # One neighbour more than asked for, since a row finds itself.
-    folded = _first_copies(_rows(base, key, point, label), k + 1)
-    stats = folded.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("point")).alias("d")).first()
-    points = asked.groupBy("point").agg(F.min("id").alias("id")).select(
-        "id", F.lit(0).alias("label"), "point"
-    )
-    if not stats.n or stats.n * stats.d <= broadcast_values:
-        best = _broadcast_search(points, folded, k + 1, farthest)
-        ranked = best.withColumn("rank", F.lit(0))
-    else:
-        # Both sides are read several times below; their folding shuffles run once.
-        points, folded = cut_lineage(points), cut_lineage(folded)
-        found = _cell_search(points, folded, k + 1, farthest, points.count())
-        ranked = _merge(found, k + 1, farthest)
+    known = _rows(base, key, point, label)
+    stats = known.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("point")).alias("d")).first()
+    size, width = stats.n, stats.d or 0
+    if size * width > broadcast_values:
+        # One copy more than neighbours asked for, since a row finds itself. Both sides
+        # are read several times below; their folding shuffles run once.
+        known = cut_lineage(_first_copies(known, k + 1))
+        size = known.count()
+    if size * width <= broadcast_values:
+        hits = _broadcast_search(asked, known, k, farthest)
+        return hits.withColumnRenamed("point_id", key)
+
+    points = asked.groupBy("point").agg(F.min("id").alias("id"))
+    points = cut_lineage(points.select("id", F.lit(0).alias("label"), "point"))
+    found = _cell_search(points, known, k + 1, farthest, points.count())
     # Back from distinct points to rows, one row per point on the right-hand side.
-    lists = ranked.groupBy("point_id").agg(
-        F.array_sort(
-            F.collect_list(
-                F.struct(
-                    (F.col("distance") * (-1 if farthest else 1)).alias("order"),
-                    "neighbor",
-                    "neighbor_label",
+    lists = (
+        _merge(found, k + 1, farthest)
+        .groupBy("point_id")
+        .agg(
+            F.array_sort(
+                F.collect_list(
+                    F.struct(
+                        (F.col("distance") * (-1 if farthest else 1)).alias("order"),
+                        "neighbor",
+                        "neighbor_label",
+                    )
                 )
-            )
-        ).alias("hits")
+            ).alias("hits")
+        )
     )
     of_point = points.select(F.col("id").alias("point_id"), "point").join(lists, "point_id")
     own = asked.select("id", "point").join(of_point, "point")
