@@ -141,6 +141,16 @@ def test_master_moves_each_source_once(spark, raw, no_broadcast):
     assert "NestedLoop" not in text and "Cartesian" not in text
 
 
+def test_label_join_leaves_the_master_in_place(spark, raw, no_broadcast):
+    from caseloom.operators.rows import inner_on
+
+    tables = read(spark, raw)
+    words = io.read_tsv(spark, f"{raw}/dictionary.tsv", io.DICTIONARY_SCHEMA)
+    wide = ft.master(tables, words, fl.VOCAB, measures=fl.LAB_MEASURES)
+    text = plan(inner_on(wide, tables["target"], "patientid"))
+    assert text.count("Exchange hashpartitioning") == 13
+
+
 def test_long_dictionary_gives_the_same_counts(spark, small, monkeypatch):
     tables = view(spark, small, "medication"), view(spark, small, "drug_dictionary")
     short = ft.medication_features(*tables, ("anvil", "bolt"))
