@@ -9,9 +9,11 @@ directly.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from math import floor
+from operator import or_
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 SKETCH_ERROR = 1e-4
 # Rows the sketch error has to span before a bracket is worth its passes.
@@ -39,48 +41,56 @@ def exact_quantiles(
     grid = []
     for p in probabilities:
         grid += [max(0.0, p - 2 * error), min(1.0, p + 2 * error)]
-    sketched = numbers.approxQuantile(list(cols), grid, error)
+    sketched = numbers.agg(
+        *[F.percentile_approx(c, grid, round(1 / error)).alias(c) for c in cols]
+    ).first()
     brackets = {
-        (c, i): (found[2 * i], found[2 * i + 1])
-        for c, found in zip(cols, sketched)
-        if found
+        (c, i): (sketched[c][2 * i], sketched[c][2 * i + 1])
+        for c in cols
+        if sketched[c]
         for i in range(len(probabilities))
     }
     if not brackets:
         return {c: [None] * len(probabilities) for c in cols}
 
     tally = [F.count(c).alias(f"n_{k}") for k, c in enumerate(cols)]
-    tally += [
-        F.count_if(F.col(c) < low).alias(f"below_{k}")
-        for k, ((c, _), (low, _)) in enumerate(brackets.items())
-    ]
+    for k, ((c, _), (low, high)) in enumerate(brackets.items()):
+        tally.append(F.count_if(F.col(c) < low).alias(f"below_{k}"))
+        tally.append(F.count_if(F.col(c).between(low, high)).alias(f"within_{k}"))
     counts = numbers.agg(*tally).first()
     size = {c: counts[f"n_{k}"] for k, c in enumerate(cols)}
-    below = {target: counts[f"below_{k}"] for k, target in enumerate(brackets)}
-    for (c, i) in brackets:
-        # So few values that the sketch error spans less than a row or two: look at all.
-        if size[c] * error < SHORT:
-            brackets[c, i], below[c, i] = (float("-inf"), float("inf")), 0
 
-    wanted = []
-    for (c, i), offset in below.items():
+    result: dict[str, list[float | None]] = {c: [None] * len(probabilities) for c in cols}
+    wanted, tests = [], {}
+    for k, ((c, i), (low, high)) in enumerate(brackets.items()):
         place = probabilities[i] * (size[c] - 1)
         first = floor(place)
         last = min(first + 1, size[c] - 1)
-        wanted.append((c, i, first - offset, last - offset, place - first))
+        below, within = counts[f"below_{k}"], counts[f"within_{k}"]
+        if low == high and below <= first and last < below + within:
+            # A value shared by so many rows that it fills the bracket.
+            result[c][i] = low
+            continue
+        if size[c] * error < SHORT:
+            # So few values that the sketch error spans less than a row or two: look at all.
+            low, high, below = float("-inf"), float("inf"), 0
+        wanted.append((c, i, first - below, last - below, place - first))
+        tests[c, i] = F.col(c).between(low, high)
+    if not wanted:
+        return result
     ranks = df.sparkSession.createDataFrame(
         wanted, "column string, i int, lower long, upper long, part double"
     )
-
     inside = [
         F.when(
-            F.col(c).between(low, high),
+            test,
             F.struct(F.lit(c).alias("column"), F.lit(i).alias("i"), F.col(c).alias("value")),
         )
-        for (c, i), (low, high) in brackets.items()
+        for (c, i), test in tests.items()
     ]
     values = (
-        numbers.select(F.explode(F.array_compact(F.array(*inside))).alias("v"))
+        numbers.where(reduce(or_, tests.values()))
+        .select(F.explode(F.array_compact(F.array(*inside))).alias("v"))
         .groupBy("v.column", "v.i", "v.value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -90,17 +100,17 @@ def exact_quantiles(
         "before", F.col("through") - F.col("n")
     )
 
-    def at(rank: str):
+    def at(rank: str) -> Column:
         hit = (F.col("before") <= F.col(rank)) & (F.col(rank) < F.col("through"))
         return F.max(F.when(hit, F.col("value")))
 
+    # One row per wanted rank.
     found = (
         placed.join(F.broadcast(ranks), ["column", "i"])
         .groupBy("column", "i", "part")
         .agg(at("lower").alias("low"), at("upper").alias("high"))
         .collect()
     )
-    result: dict[str, list[float | None]] = {c: [None] * len(probabilities) for c in cols}
     for row in found:
         if row.low is None or row.high is None:
             raise RuntimeError(f"rank bracket missed for {row.column}; use a larger error")

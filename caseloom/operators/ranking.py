@@ -46,7 +46,8 @@ def value_bucket(
     points: list[float] = []
     if buckets > 1:
         grid = [i / buckets for i in range(1, buckets)]
-        points = sorted(set(df.approxQuantile(col, grid, 1 / (4 * buckets))))
+        row = df.agg(F.percentile_approx(col, grid, 4 * buckets).alias("points")).first()
+        points = sorted({float(p) for p in row.points or []})
     if not points:
         return df.withColumn(into, F.lit(0))
     splits = [float("-inf"), *points, float("inf")]
