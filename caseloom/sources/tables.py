@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import NumericType, StructType
+from pyspark.sql.types import StructType
 
 # The input tables and their columns.
 SCHEMAS: dict[str, str] = {
@@ -83,7 +83,3 @@ def stage(spark: SparkSession, path: str, build: Callable[[], DataFrame]) -> Dat
     if not exists(spark, f"{path}/_SUCCESS"):
         build().write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
-
-
-def numeric_columns(df: DataFrame) -> list[str]:
-    return [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
