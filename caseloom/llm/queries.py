@@ -5,10 +5,35 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from caseloom.llm import bpe, simhash
+from caseloom.llm import bpe, contamination, pii, sharding, simhash, token_files, urls
 from caseloom.llm.registry import QUERIES as LLM_QUERIES, SQL as LLM_SQL, query, table  # noqa: F401
 
 
+@query("op1_decontaminate")
+def op1_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    marked = contamination.mark(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return marked.select(
+        F.col("id").alias("doc_id"),
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+        F.size("near").cast("long").alias("n_near"),
+    )
+
+
+@query("op2_personal_data")
+def op2_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.find(table(spark, folder, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        *[pii.counted("base", kind).alias(f"n_{kind}") for kind in pii.KINDS],
+        F.sha2(pii.listing("base"), 256).alias("base_sha256"),
+        pii.listing("spans").alias("spans"),
+    )
+
+
 @query("op3_bpe_round_trip")
 def op3_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
@@ -28,3 +53,64 @@ def op4_simhash_components(spark: SparkSession, folder: str) -> DataFrame:
         simhash.fingerprint_hex().alias("fingerprint"),
         F.col("component").alias("component_id"),
     )
+
+
+#: The entries and their verdicts (fixed values).
+URL_RULES = (
+    ("com/", "allow"),
+    ("example.com/en/", "block"),
+    ("www.example.com/en/", "allow"),
+    ("net/es/", "block"),
+    ("net/fr/", "block"),
+)
+
+OP5_SQL = """
+with split as (select page_id, regexp_extract(url, '://((?s:.*))$', 1) as rest, url from pages),
+parts as (
+  select page_id, coalesce(translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') as host,
+    coalesce(regexp_extract(substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1), '^[^?#]*'), '') as path
+  from split
+),
+ruled as (
+  select page_id, host, path, case
+    when (host = 'www.example.com' or ends_with(host, '.www.example.com')) and starts_with(path, '/en/') then 'www.example.com/en/'
+    when (host = 'example.com' or ends_with(host, '.example.com')) and starts_with(path, '/en/') then 'example.com/en/'
+    when (host = 'net' or ends_with(host, '.net')) and starts_with(path, '/es/') then 'net/es/'
+    when (host = 'net' or ends_with(host, '.net')) and starts_with(path, '/fr/') then 'net/fr/'
+    when (host = 'com' or ends_with(host, '.com')) and starts_with(path, '/') then 'com/'
+    end as rule
+  from parts
+)
+select page_id, host, path, rule,
+  case when rule in ('example.com/en/', 'net/es/', 'net/fr/') then 'block' else 'allow' end as verdict
+from ruled
+"""
+
+
+@query("op5_url_verdicts", OP5_SQL)
+def op5_url_verdicts(spark: SparkSession, folder: str) -> DataFrame:
+    rules = spark.createDataFrame(list(URL_RULES), "entry string, verdict string")
+    return urls.judge(table(spark, folder, "pages"), rules).withColumnRenamed("id", "page_id")
+
+
+@query("op6_uniform_shards")
+def op6_uniform_shards(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.shuffle(table(spark, folder, "documents"), 40).select(
+        F.col("id").alias("doc_id"),
+        "size",
+        F.col("crc").alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+@query("op7_token_files")
+def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    path = token_files.write(
+        table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2
+    )
+    return token_files.read_checksums(spark, path).select(
+        F.col("id").alias("doc_id"), "start", "n_tokens", F.col("crc").alias("ids_crc32")
+    )
