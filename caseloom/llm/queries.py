@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from caseloom.llm import bpe, contamination, pii, sharding, simhash, token_files, urls
+from caseloom.llm import bpe, classifier, contamination, pii, quality, sharding, simhash, token_files, urls
 from caseloom.llm.registry import QUERIES as LLM_QUERIES, SQL as LLM_SQL, query, table  # noqa: F401
 
 
@@ -114,3 +114,25 @@ def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.read_checksums(spark, path).select(
         F.col("id").alias("doc_id"), "start", "n_tokens", F.col("crc").alias("ids_crc32")
     )
+
+
+@query("op8_quality_classifier")
+def op8_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    scored = classifier.classify(docs, labels, "quality", ~held_out).withColumnRenamed("id", "doc_id")
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
+@query("op9_quality_rules")
+def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    model = quality.train(quality.labelled(docs, labels))
+    return quality.judge(docs, model).select(
+        F.col("id").alias("doc_id"),
+        "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+        (F.col("verdict") == "keep").alias("kept"),
+        "probability",
+    )
