@@ -348,3 +348,16 @@ def mark(
         F.coalesce("items", none).alias("items"),
         F.coalesce("near", none).alias("near"),
     )
+
+
+def remove_contaminated(
+    docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text", **parameters
+) -> DataFrame:
+    """The rows of ``docs`` in which no window of the test set occurs, with all their columns."""
+    key = next(f"key{i}" for i in range(len(docs.columns) + 1) if f"key{i}" not in docs.columns)
+    keyed = docs.withColumn(key, F.xxhash64(text_col))
+    named = keyed.select(F.struct(F.col(id_col).alias("id"), F.col(key).alias("text_key")).alias("row"), text_col)
+    marked = mark(named, bench, "row", text_col, **parameters)
+    bad = marked.where("n_hit > 0").select(F.col("id.id").alias("bad_id"), F.col("id.text_key")).distinct()
+    same = keyed[id_col].eqNullSafe(bad["bad_id"]) & (keyed[key] == bad["text_key"])
+    return keyed.join(bad, same, "left_anti").drop(key)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from caseloom.llm import bpe, classifier, contamination, pii, quality, sharding, simhash, token_files, urls
+from caseloom.llm import bpe, classifier, contamination, lm, pii, quality, sharding, simhash, token_files, urls
 from caseloom.llm.registry import QUERIES as LLM_QUERIES, SQL as LLM_SQL, query, table  # noqa: F401
 
 
@@ -136,3 +136,14 @@ def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("verdict") == "keep").alias("kept"),
         "probability",
     )
+
+
+@query("op10_context_tree_scores")
+def op10_context_tree_scores(spark: SparkSession, folder: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1
+    scored = lm.score(table(spark, folder, "documents"), ~held_out)
+    return scored.select(
+        F.col("id").alias("doc_id"),
+        (~F.col("train")).alias("held_out"),
+        "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte",
+    )

@@ -204,5 +204,29 @@ def near_duplicates(
     return marked.join(of_fp, "fp").select("id", "fp", "component")
 
 
+def row_name(docs: DataFrame, id_col: str, text_col: str) -> Column:
+    """Names a row by id and text; null ids come last in its order."""
+    return F.struct(
+        F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_key")
+    )
+
+
+def deduplicate(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, radius: int = 2
+) -> DataFrame:
+    """One row of each component: that of the smallest id. All columns of ``docs`` stay.
+
+    Rows are told apart by id and text, so an id with several texts may stay several times,
+    once for each group it leads; of rows equal in both one stays.
+    """
+    named = docs.select(row_name(docs, id_col, text_col).alias("row"), text_col)
+    leaders = near_duplicates(named, "row", text_col, words, radius).select("component.*").distinct()
+    leaders = leaders.select(F.col("id").alias("lead_id"), "text_key")
+    key = next(f"key{i}" for i in range(len(docs.columns) + 1) if f"key{i}" not in docs.columns)
+    keyed = docs.withColumn(key, F.xxhash64(text_col))
+    same = keyed[id_col].eqNullSafe(leaders["lead_id"]) & (keyed[key] == leaders["text_key"])
+    return keyed.join(leaders, same, "left_semi").dropDuplicates([id_col, key]).drop(key)
+
+
 def fingerprint_hex() -> Column:
     return F.lower(F.lpad(F.hex("fp"), 16, "0"))
