@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import heapq
 import json
+import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import chain
@@ -28,6 +29,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
@@ -36,6 +38,8 @@ from caseloom.llm.arrow import map_batches
 #: The splitting rule of byte-level BPE (fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 SHORT = 64
+#: Words are worked on in arrays of these widths.
+WIDTHS = [next(w for w in (4, 6, 8, 10, 12, 16, 24, 32, SHORT) if n <= w) for n in range(SHORT + 1)]
 KEPT = 400_000
 LARGEST_FILE = 64 << 20
 NO_RANK = np.int32(2**31 - 1)
@@ -48,6 +52,23 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
+def latin_pattern() -> str:
+    """``PATTERN`` for characters up to 255, their classes written out.
+
+    The standard library's ``re`` has no classes of letters and numbers, but is several
+    times as fast. Letters come first here, which changes nothing: no alternative for
+    them can begin where another one does, but for a space.
+    """
+    latin = [chr(c) for c in range(256)]
+    letter, number, space = (
+        re.escape("".join(c for c in latin if regex.fullmatch(kind, c))) for kind in (r"\p{L}", r"\p{N}", r"\s")
+    )
+    return (
+        rf" ?[{letter}]+| ?[{number}]+|'(?:[stmd]|re|ve|ll)| ?[^{space}{letter}{number}]+"
+        rf"|[{space}]+(?![^{space}])|[{space}]+"
+    )
+
+
 class Bpe:
     """Encoder and decoder for one vocabulary file's text."""
 
@@ -61,13 +82,17 @@ class Bpe:
             raise ValueError("this splitting rule is not supported")
         vocab = model["vocab"]
         byte_of = {letter: byte for byte, letter in letters.items()}
-        self.special = {t["content"]: (t["id"],) for t in file["added_tokens"]}
-        size = max(max(vocab.values()), *(i for i, in self.special.values()), 0) + 1
-        self.bytes_of = [b""] * size
+        self.special = {t["content"]: np.int32(t["id"]).tobytes() for t in file["added_tokens"]}
+        special = {t["content"]: t["id"] for t in file["added_tokens"]}
+        size = max([*vocab.values(), *special.values()]) + 1
+        bytes_of = [b""] * size
         for token, i in vocab.items():
-            self.bytes_of[i] = bytes(byte_of[c] for c in token)
-        for token, (i,) in self.special.items():
-            self.bytes_of[i] = token.encode()
+            bytes_of[i] = bytes(byte_of[c] for c in token)
+        for token, i in special.items():
+            bytes_of[i] = token.encode()
+        self.all_bytes = np.frombuffer(b"".join(bytes_of), dtype=np.uint8)
+        self.sizes = np.fromiter(map(len, bytes_of), dtype=np.int64, count=size)
+        self.starts = np.cumsum(self.sizes) - self.sizes
         self.first = np.array([vocab[letters[b]] for b in range(256)], dtype=np.int32)
         pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
         self.merges = {
@@ -78,13 +103,14 @@ class Bpe:
         self.keys = np.append(keys[order], np.int64(2**63 - 1))
         self.ranks = np.append(order.astype(np.int32), NO_RANK)
         self.merged = np.array([new for _, new in self.merges.values()], dtype=np.int32)
-        self.split = regex.compile(PATTERN).findall
+        self._split_any = regex.compile(PATTERN).findall
+        self._split_latin = re.compile(latin_pattern()).findall
         self.find_special = (
             regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))))
             if self.special
             else None
         )
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.known: dict[str, bytes] = {}
 
     def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Ranks of adjacent parts; -1 stands for no part."""
@@ -92,7 +118,7 @@ class Bpe:
         at = np.searchsorted(self.keys, key)
         return np.where((self.keys[at] == key) & (right >= 0), self.ranks[at], NO_RANK)
 
-    def _merge_rows(self, words: list[bytes], width: int) -> list[tuple[int, ...]]:
+    def _merge_rows(self, words: list[bytes], width: int) -> list[bytes]:
         """Ids of words of at most ``width`` bytes, all worked on together."""
         lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
         raw = np.frombuffer(b"".join([w.ljust(width, b"\0") for w in words]), dtype=np.uint8)
@@ -100,20 +126,22 @@ class Bpe:
         parts[np.arange(width) >= lengths[:, None]] = -1
         parts = np.hstack([parts, np.full((len(words), 1), -1, dtype=np.int32)])
         rank = self._rank(parts[:, :-1], parts[:, 1:])
-        done: list[tuple[int, ...] | None] = [None] * len(words)
         alive = np.arange(len(words))
-        while True:
+        done, sizes, ids = [], [], []
+        while len(alive):
             best = rank.argmin(axis=1)
             rows = np.arange(len(alive))
             lowest = rank[rows, best]
-            going = lowest != NO_RANK
-            if not going.all():
-                for i, ids in zip(alive[~going].tolist(), parts[~going].tolist()):
-                    done[i] = tuple(ids[: ids.index(-1)])
+            over = lowest == NO_RANK
+            if over.any():
+                ended = parts[over]
+                done.append(alive[over])
+                sizes.append((ended >= 0).sum(axis=1))
+                ids.append(ended[ended >= 0])
+                going = ~over
                 alive, best, lowest = alive[going], best[going], lowest[going]
                 parts, rank, rows = parts[going], rank[going], rows[: len(alive)]
-            if not len(alive):
-                return done
+                continue
             # the boundary behind ``best`` goes, and with it one column of every row
             parts[rows, best] = self.merged[lowest]
             keep = np.ones(parts.shape, dtype=bool)
@@ -128,8 +156,14 @@ class Bpe:
             rank[r, b] = self._rank(parts[r, b], parts[r, b + 1])
             r, b = rows[best > 0], best[best > 0] - 1
             rank[r, b] = self._rank(parts[r, b], parts[r, b + 1])
-
-    def _merge_long(self, word: bytes) -> tuple[int, ...]:
+        made = np.concatenate(ids).tobytes()
+        ends = np.cumsum(np.concatenate(sizes)) * 4
+        found: list[bytes] = [b""] * len(words)
+        for i, start, end in zip(np.concatenate(done).tolist(), [0, *ends[:-1].tolist()], ends.tolist()):
+            found[i] = made[start:end]
+        return found
+
+    def _merge_long(self, word: bytes) -> bytes:
         """The same for one long word, with a heap and linked neighbours."""
         parts = self.first[np.frombuffer(word, dtype=np.uint8)].tolist()
         after = [*range(1, len(parts)), -1]
@@ -152,31 +186,42 @@ class Bpe:
                 y = after[x] if x >= 0 else -1
                 if y >= 0 and (pair := (parts[x], parts[y])) in merges:
                     heapq.heappush(heap, (merges[pair][0], x, *pair))
-        return tuple(p for p in parts if p >= 0)
+        return np.array([p for p in parts if p >= 0], dtype=np.int32).tobytes()
 
     def learn(self, words: Iterable[str]) -> None:
         """Work out the ids of new words."""
         by_width: dict[int, list[str]] = {}
         for word in words:
-            size = len(word.encode())
-            by_width.setdefault(next((w for w in (4, 8, 12, 16, 24, 32, SHORT) if size <= w), 0), []).append(word)
+            size = len(word) if word.isascii() else len(word.encode())
+            by_width.setdefault(WIDTHS[size] if size <= SHORT else 0, []).append(word)
         for width, group in by_width.items():
             if width:
-                for start in range(0, len(group), 1 << 14):
-                    some = group[start : start + (1 << 14)]
+                for start in range(0, len(group), 1 << 13):
+                    some = group[start : start + (1 << 13)]
                     self.known.update(zip(some, self._merge_rows([w.encode() for w in some], width)))
             else:
                 self.known.update((w, self._merge_long(w.encode())) for w in group)
 
-    def encode_batch(self, texts: list[str]) -> list[list[int]]:
-        if len(self.known) > KEPT:
-            self.known.clear()
+    def encode_batch(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text, four bytes each."""
         split = [self._pieces(text) for text in texts]
         known = self.known
-        self.learn(set(chain.from_iterable(split)).difference(known, self.special))
+        new = set().union(*split).difference(known, self.special)
+        if len(known) + len(new) > KEPT:
+            known.clear()
+            new = set().union(*split).difference(self.special)
+        self.learn(new)
         known.update(self.special)
         get = known.__getitem__
-        return [list(chain.from_iterable(map(get, pieces))) for pieces in split]
+        return [b"".join(map(get, pieces)) for pieces in split]
+
+    def split(self, text: str) -> list[str]:
+        """The words of a text without special tokens."""
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return self._split_any(text)
+        return self._split_latin(text)
 
     def _pieces(self, text: str) -> list[str]:
         """Words, and the special tokens between them.
@@ -193,8 +238,26 @@ class Bpe:
             end = match.end()
         return pieces + self.split(text[end:])
 
-    def decode(self, ids: Iterable[int]) -> str:
-        return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", errors="replace")
+    def decode_batch(self, ids: np.ndarray, ends: np.ndarray) -> pa.Array:
+        """The texts of consecutive runs of ids; ``ends`` are the places where each ends."""
+        sizes = self.sizes[ids]
+        done = np.concatenate(([0], np.cumsum(sizes)))
+        place = np.arange(done[-1]) + np.repeat(self.starts[ids] - done[:-1], sizes)
+        raw = self.all_bytes[place]
+        cuts = done[np.concatenate(([0], ends))]
+        data = raw.tobytes()
+        begins = raw[cuts[:-1][cuts[:-1] < len(raw)]]
+        try:
+            data.decode()
+            whole = not ((begins >= 128) & (begins < 192)).any()
+        except UnicodeDecodeError:
+            whole = False
+        if whole:
+            return pa.Array.from_buffers(
+                pa.string(), len(ends), [None, pa.py_buffer(cuts.astype(np.int32).tobytes()), pa.py_buffer(data)]
+            )
+        texts = [data[a:b].decode("utf-8", errors="replace") for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
+        return pa.array(texts, pa.string())
 
 
 @lru_cache(maxsize=2)
@@ -234,9 +297,9 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
             at = 0
             for texts in _runs([t or "" for t in batch.column(1).to_pylist()]):
                 ids = coder.encode_batch(texts)
-                ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
-                flat = np.fromiter(chain.from_iterable(ids), dtype=np.int32, count=int(ends[-1]))
-                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+                ends = np.cumsum([0, *map(len, ids)]) // 4
+                flat = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(ids))])
+                lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), flat)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(texts)), lists], ["id", "ids"])
                 at += len(texts)
 
@@ -253,8 +316,12 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 some = batch.slice(at, 500)
-                texts = [None if x is None else coder.decode(x) for x in some.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*some.columns, pa.array(texts, pa.string())], ["id", "ids", "text"])
+                lists = some.column(1)
+                sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
+                texts = coder.decode_batch(lists.flatten().to_numpy(), np.cumsum(sizes))
+                if lists.null_count:
+                    texts = pc.if_else(lists.is_valid(), texts, pa.scalar(None, pa.string()))
+                yield pa.RecordBatch.from_arrays([*some.columns, texts], ["id", "ids", "text"])
 
     kind = dict(encoded.dtypes)["id"]
     return map_batches(encoded.select("id", "ids"), run, f"id {kind}, ids array<int>, text string")
