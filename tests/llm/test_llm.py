@@ -500,14 +500,14 @@ def reference_scores(rows, training):
                 known[node] = math.log(0.5) + high + math.log1p(math.exp(low - high))
         return known[node]
 
-    def p(prefix, context, bit, d=0):
+    def p(context, prefix, bit, d=0):
         node = (prefix, context[depth - d :])
         a, b = counts.get(node, (0, 0))
         own = ((a, b)[bit] + 0.5) / (a + b + 1)
         if d == depth:
             return own
         share = math.exp(math.log(0.5) + kt(node) - log_w(node))
-        return share * own + (1 - share) * p(prefix, context, bit, d + 1)
+        return share * own + (1 - share) * p(context, prefix, bit, d + 1)
 
     cache = {}
 
@@ -527,7 +527,7 @@ def test_context_trees(docs, block_bytes):
     rows = [(d, t) for d, t in ROWS if t is None or len(t) < 2000]
     training = [d is not None and d % 3 != 1 for d, _ in rows]
     some = docs.where("text is null or length(text) < 2000")
-    got = lm.score(some, F.col("doc_id") % 3 != 1, block_bytes=block_bytes).collect()
+    got = lm.score(some, F.pmod("doc_id", F.lit(3)) != 1, block_bytes=block_bytes).collect()
     tokens = [[*brute.SPACED.findall(brute.small(t or "")), ""] for _, t in rows]
     counts = {}
     for own, trains in zip(tokens, training):
