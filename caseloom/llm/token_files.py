@@ -11,8 +11,8 @@ it, taken when files are read.
 
 A file set is a Parquet folder with one row per block, written by Spark's committer, so a
 lost executor leaves no half file. Ids come from the tokenizers library. White space
-between words never takes part in a token of this vocabulary, so texts are cut there
-and a worker encodes each word once while it stays in its bounded store.
+between words never takes part in a token of this vocabulary, so a worker encodes each
+piece of text once while it stays in its store, which is emptied beyond ``KEPT`` pieces.
 
 Scale: one range shuffle of the texts by id; a task holds one block. Only the sums of the
 blocks are put in order in one place.
@@ -24,15 +24,19 @@ makes an empty file set, which reads as no rows.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.taskcontext import TaskContext
 
@@ -40,8 +44,10 @@ from caseloom.llm.arrow import as_bytes, map_batches
 from caseloom.session import checkpoint_dir
 
 BLOCK_IDS = 2_000_000
-KEPT = 600_000
+KEPT = 500_000
 LARGEST_FILE = 64 << 20
+#: Up to so many blocks (of 16 bytes each) their starts are broadcast; beyond, joined.
+MOST_STARTS = 500_000
 #: Bytes of the bit vector per sampled count.
 SAMPLE = 64
 
@@ -99,55 +105,124 @@ class EliasFano:
         return high | (bits.astype(np.int64) << np.arange(self.width)).sum(axis=1)
 
 
+def byte_letters() -> list[str]:
+    """The printable letter that stands for each byte in a byte-level vocabulary."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return [chr(b if b in plain else next(others)) for b in range(256)]
+
+
+#: The vocabulary's own splitting rule (fixed value), as the file has it.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
 class Words:
-    """The ids of white-space separated words, by the tokenizers library."""
+    """Encodes texts piece by piece, by the tokenizers library, each piece once.
+
+    A text of characters up to 255 needs no composing: it is put in small letters and cut
+    here by the file's own rule, so only the model has to be asked. Other texts are cut at
+    white space, and their words, like all texts that may hold a special token, go through
+    the whole library.
+    """
 
     def __init__(self, content: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
 
         self.tokenizer = Tokenizer.from_str(content)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        rules = json.loads(content)
+        steps = [n["type"] for n in (rules["normalizer"] or {}).get("normalizers", [])]
+        cuts = (rules["pre_tokenizer"] or {}).get("pretokenizers", [{}])
+        if steps != ["NFC", "Replace", "Lowercase"] or cuts[0].get("pattern") != {"Regex": SPLIT}:
+            raise ValueError("white space may take part in tokens of this vocabulary")
+        latin = [chr(c) for c in range(256)]
+        letter, number, space = (
+            re.escape("".join(c for c in latin if regex.fullmatch(kind, c))) for kind in (r"\p{L}", r"\p{N}", r"\s")
+        )
+        # letters come first, which changes nothing: no alternative for them begins with one
+        rule = f"[{letter}]+|[{number}]|'(?:[stmd]|re|ve|ll)|[^{space}{letter}{number}]+"
+        self.split = re.compile(rule).findall
         top = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.dtype = np.dtype("<u2" if top <= 1 << 16 else "<u4")
-        self.known: dict[bytes, bytes] = {}
+        self.letters = byte_letters()
+        self.known = Pieces()
+        # the bare model, to be asked for many pieces in one text
+        self.model = Tokenizer(self.tokenizer.model)
+        self.model.pre_tokenizer = WhitespaceSplit()
+        vocab, suffix = self.tokenizer.get_vocab(with_added_tokens=False), rules["model"]["end_of_word_suffix"]
+        if not suffix or any(c not in vocab or c + suffix not in vocab for c in self.letters):
+            raise ValueError("this vocabulary does not mark the ends of its words")
+        self.ends = np.zeros(top, dtype=bool)
+        self.ends[[i for token, i in vocab.items() if token.endswith(suffix)]] = True
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
-        split = [text.split() for text in texts]
-        known = self.known
-        new = set().union(*split).difference(known)
-        if len(known) + len(new) > KEPT:
-            known.clear()
-            new = set().union(*split)
-        self._learn(new)
-        get = known.__getitem__
-        return [b"".join(map(get, words)) for words in split]
-
-    def _learn(self, words: set[bytes]) -> None:
-        """Words in small letters and without a full stop or comma behind a letter.
-
-        Both are steps of the library's own (lower case; signs are tokens apart), taken
-        first to encode fewer words. Words that may hold a special token are left whole.
-        """
-        known, parts, asked = self.known, {}, {}
-        for word in words:
-            stem, tail = (word, b"") if b"<|" in word else (word.lower(), b"")
-            if stem[-1] in b".," and len(stem) > 1 and 97 <= stem[-2] <= 122:
-                stem, tail = stem[:-1], stem[-1:]
-            parts[word] = stem, tail
-            for part in (stem, tail):
-                if part and part not in known:
-                    asked[part] = None
-        encodings = self.tokenizer.encode_batch_fast(
-            [a.decode("utf-8", errors="replace") for a in asked], add_special_tokens=False
-        )
-        found = {a: np.array(e.ids, dtype=self.dtype).tobytes() for a, e in zip(asked, encodings)}
-        for word, (stem, tail) in parts.items():
-            ids = found.get(stem) if stem in found else known[stem]
-            if tail:
-                ids += found.get(tail) if tail in found else known[tail]
-            known[word] = ids
+        if len(self.known) > KEPT:
+            self.known.clear()
+        get = self.known.__getitem__
+        coded = []
+        for data in texts:
+            text = data.decode("utf-8", errors="replace")
+            if "<|" in text or not _is_latin(text):
+                coded.append(list(map(get, data.split())))
+            else:
+                coded.append(list(map(get, self.split(text.lower()))))
+        self._fill()
+        return [b"".join(pieces) for pieces in coded]
+
+    def _fill(self) -> None:
+        """Ids for the pieces met for the first time, into the places kept for them."""
+        known, new = self.known, self.known.take_new()
+        pieces = [p for p in new if type(p) is str]
+        made = dict.fromkeys(new, b"")
+        for start in range(0, len(pieces), 256):
+            some = pieces[start : start + 256]
+            found = self.model.encode_batch_fast([" ".join(map(self._written, some))], add_special_tokens=False)
+            ids = np.array(found[0].ids, dtype=self.dtype)
+            cuts = ((np.flatnonzero(self.ends[ids]) + 1) * self.dtype.itemsize).tolist()
+            raw = ids.tobytes()
+            made.update(zip(some, [raw[b:e] for b, e in zip([0, *cuts], cuts)], strict=True))
+        words = [w for w in new if type(w) is bytes]
+        if words:
+            texts = [w.decode("utf-8", errors="replace") for w in words]
+            for word, e in zip(words, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+                made[word] = np.array(e.ids, dtype=self.dtype).tobytes()
+        for piece, ids in made.items():
+            known[piece].extend(ids)
+            known[piece] = ids
+
+    def _written(self, piece: str) -> str:
+        """A piece as the vocabulary spells it."""
+        if piece.isascii() and piece.isprintable():
+            return piece
+        return "".join(map(self.letters.__getitem__, piece.encode()))
+
+
+class Pieces(dict):
+    """The ids of pieces; a new one gets an empty place, to be filled with others."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.new: list = []
+
+    def __missing__(self, key) -> bytearray:
+        self[key] = place = bytearray()
+        self.new.append(key)
+        return place
+
+    def take_new(self) -> list:
+        new, self.new = self.new, []
+        return new
+
+
+def _is_latin(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
 
 
 @lru_cache(maxsize=2)
@@ -227,6 +302,8 @@ def _read(spark: SparkSession, path: str, column: str, kind: str, of_ids) -> Dat
     blocks = spark.read.parquet(path)
     order = Window.orderBy("part", "seq")
     starts = blocks.select("part", "seq", (F.sum("n_ids").over(order) - F.col("n_ids")).alias("start"))
+    if starts.count() <= MOST_STARTS:
+        starts = F.broadcast(starts)
     blocks = blocks.join(starts, ["part", "seq"])
     names = ["doc_ids", "start", "id_bytes", "low_bits", "low", "high", "ids"]
 
