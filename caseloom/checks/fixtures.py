@@ -33,6 +33,9 @@ select concat('P', cast(o_custkey as string)) patientid, cast(l_partkey%61-30 as
 """,
     "drug_dictionary": """
 select distinct p_name Drug, case when p_name='red plate' then null when p_name like 'old%' then 'Diabetes' when p_name like 'large%' then 'diabetes' else split_part(p_name,' ',2) end Category from part where p_name not like 'hot%'
+""",
+    "doubled_dictionary": """
+select p_name Drug, case when p_name='red plate' then null when p_name like 'old%' then 'Diabetes' when p_name like 'large%' then 'diabetes' else split_part(p_name,' ',2) end Category from part where p_name not like 'hot%'
 """,
     "labs": """
 select concat('P', cast(user_id as string)) patientid, 'chem' test_type, event_type test_name, cast(event_id%61-30 as int) days_to_covid_diag,

@@ -40,11 +40,11 @@ DIAGNOSES = "select patientid, " + ", ".join(
 ) + " from diagnoses where diagnosis_cd_type = 'ICD10' group by patientid"
 
 
-def medication_sql(close: str = "as bigint)") -> str:
+def medication_sql(close: str = "as bigint)", words: str = "drug_dictionary") -> str:
     return "select patientid, " + ", ".join(
         f"cast(sum(case when Category = '{c}' then 1 else 0 end) {close} as Drug_count_{s}"
         for c, s in zip(CATEGORIES, slugs(CATEGORIES))
-    ) + """ from (select distinct * from medication) join drug_dictionary on drug_name = Drug
+    ) + f""" from (select distinct * from medication) join {words} on drug_name = Drug
       where Category is not null group by patientid"""
 
 
@@ -130,6 +130,16 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(
+    "medication_features_doubled_lines",
+    with_views(["medication", "doubled_dictionary"], medication_sql(words="doubled_dictionary")),
+)
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    return ft.medication_features(
+        view(spark, folder, "medication"), view(spark, folder, "doubled_dictionary"), CATEGORIES
+    )
+
+
 @query(
     "medication_features_binary",
     with_views(["medication", "drug_dictionary"], medication_sql("<> 0 as int)")),

@@ -455,14 +455,14 @@ def _interpolated(seeds: str, k: int = 5) -> str:
       aimed as (select c.vec_id, c.copy, c.p, ranked.nb from c join ranked
                 on c.vec_id = ranked.vec_id
                 and ranked.r = floor({_drawn('c.vec_id', 'c.copy', 'neighbor')} * ranked.k) + 1),
-      made as (select -(a.vec_id * 1048576 + a.copy) - 1 as vec_id, 1 as y,
+      made as (select concat(cast(a.vec_id as varchar), '~', cast(a.copy as varchar)) as vec_id, 1 as y,
         list_transform(list_zip(a.p, n.p),
           lambda z: z[1] + {_drawn('a.vec_id', 'a.copy', 'step')} * (z[2] - z[1])) as p
         from aimed a join rare n on n.vec_id = a.nb)"""
 
 
 GROWN = """select vec_id, y, round(list_sum(p), 6) as total, round(p[1], 6) as first from (
-  select vec_id, y, p from e union all select vec_id, y, p from made)"""
+  select cast(vec_id as varchar) as vec_id, y, p from e union all select vec_id, y, p from made)"""
 NEEDED = "(select cast(sum(1 - y) - sum(y) as bigint) from e)"
 
 
@@ -521,7 +521,7 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     "smote_edited",
     f"""with {PAIR}, {_shared_out('rare')}, {_interpolated('seeds')},
-        g as (select vec_id, y, p from e union all select vec_id, y, p from made),
+        g as (select cast(vec_id as varchar) as vec_id, y, p from e union all select vec_id, y, p from made),
         {_near('h', 'g', 'g', 3)}
         select vec_id, y from g where vec_id not in (
           select h.vec_id from h join g on g.vec_id = h.vec_id where g.y <> h.nby)""",
@@ -533,7 +533,7 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     "smote_tomek",
     f"""with {PAIR}, {_shared_out('rare')}, {_interpolated('seeds')},
-        g as (select vec_id, y, p from e union all select vec_id, y, p from made), {_links('g')}
+        g as (select cast(vec_id as varchar) as vec_id, y, p from e union all select vec_id, y, p from made), {_links('g')}
         select vec_id, y from g where vec_id not in (select vec_id from l)
           and vec_id not in (select nb from l)""",
 )

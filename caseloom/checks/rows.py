@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -34,12 +35,55 @@ def scratch(spark: SparkSession, name: str) -> str:
 # --- Sources and sinks ------------------------------------------------------
 
 
+@query("scan_parquet_declared_schema", "select * from orders")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    return io.read_table(spark, folder, "orders", ORDERS_SCHEMA)
+
+
+DAYED = ("diagnoses", "medication", "labs", "observations", "immunization")
+
+
 @query(
-    "scan_parquet_declared_schema",
-    "select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority from orders",
+    "scan_tables_as_pandas_writes_them",
+    with_views(
+        [*DAYED, "demo", "target"],
+        " union all ".join(
+            f"""select '{t}' as name, count(*) as rows, count(days_to_covid_diag) as days,
+                cast(sum(days_to_covid_diag) as bigint) as total, 'int' as kind,
+                cast(count(distinct patientid) as bigint) as entities from {t}"""
+            for t in DAYED
+        )
+        + """ union all select 'demo', count(*), count(index_month_year),
+              cast(sum(epoch(index_month_year)) as bigint), 'timestamp', count(distinct patientid) from demo
+             union all select 'target', count(*), count(has_long_covid_diag),
+              cast(sum(has_long_covid_diag) as bigint), 'int', count(distinct patientid) from target""",
+    ),
 )
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    return io.read_table(spark, folder, "orders", ORDERS_SCHEMA).drop("o_orderdate")
+    """Days stored as bigint or, where nullable, double; labels as bigint."""
+    path, parts = scratch(spark, "raw"), []
+    for i, name in enumerate([*DAYED, "demo", "target"]):
+        table = view(spark, folder, name)
+        wide = "bigint" if i % 2 or name == "target" else "double"
+        stored = {
+            c: F.col(c).cast(wide if kind == "int" else "timestamp_ntz")
+            for c, kind in table.dtypes
+            if kind in ("int", "timestamp")
+        }
+        table.withColumns(stored).write.parquet(f"{path}/{name}.parquet")
+        read = io.read_table(spark, path, name)
+        column = {"demo": "index_month_year", "target": "has_long_covid_diag"}.get(name, DAY)
+        number = F.unix_seconds(column) if name == "demo" else F.col(column)
+        parts.append(
+            read.select(KEY, column, number.alias("_n")).agg(
+                F.count(F.lit(1)).alias("rows"),
+                F.count(column).alias("days"),
+                F.sum("_n").cast("bigint").alias("total"),
+                F.lit(dict(read.dtypes)[column]).alias("kind"),
+                F.countDistinct(KEY).alias("entities"),
+            ).select(F.lit(name).alias("name"), "*")
+        )
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query("tsv_write_and_read", with_views(["drug_dictionary"], "select * from drug_dictionary"))

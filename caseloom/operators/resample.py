@@ -62,16 +62,30 @@ def interpolate(
     placed = aimed.join(ends, "_neighbor").withColumn("_step", step)
     fresh = F.zip_with(point, "_end", lambda a, b: a + F.col("_step") * (b - a))
     return placed.select(
-        new_key(pool, key, "_copy").alias(key), F.lit(1).alias(label), fresh.alias(point)
+        new_key(key, "_copy").alias(key), F.lit(1).alias(label), fresh.alias(point)
     )
 
 
-def new_key(df: DataFrame, key: str, copy: str) -> Column:
-    """An id no original row has: a suffix for text, a negative number otherwise."""
-    if df.schema[key].dataType.simpleString() == "string":
-        return F.concat(F.col(key), F.lit("~"), F.col(copy))
-    # Room for 2**20 copies of a row; a key too large for that overflows with an error.
-    return -(F.col(key).cast("bigint") * F.lit(2**20) + F.col(copy)) - 1
+def new_key(key: str, copy: str) -> Column:
+    """The id of a made row: its seed's id as text, a tilde and the number of the copy."""
+    return F.concat(F.col(key).cast("string"), F.lit("~"), F.col(copy).cast("string"))
+
+
+def with_text_keys(rows: DataFrame, key: str) -> DataFrame:
+    """Ids as text, so that they can stand next to those of made rows.
+
+    An original id that looks like that of a made row is an error.
+    """
+    if rows.schema[key].dataType.simpleString() != "string":
+        return rows.withColumn(key, F.col(key).cast("string"))
+    if not rows.where(F.col(key).rlike("~[0-9]+$")).isEmpty():
+        raise ValueError(f"{key} holds ids that end in a tilde and a number")
+    return rows
+
+
+def _grown(rows: DataFrame, made: DataFrame, key: str) -> DataFrame:
+    """The original rows and the made ones."""
+    return with_text_keys(rows, key).unionByName(made)
 
 
 def _parts(df: DataFrame, key: str, label: str, point: str) -> tuple[DataFrame, int, int]:
@@ -88,10 +102,10 @@ def smote(
     """New rare rows between rare neighbours until both classes are the same size."""
     rows, zeros, ones = _parts(df, key, label, point)
     if ones < 2 or zeros <= ones:
-        return rows
+        return with_text_keys(rows, key)
     rare = _rare(rows, label)
     seeds = copy_numbers(rare, key, zeros - ones, ones, seed)
-    return rows.unionByName(interpolate(seeds, rare, key, label, point, k, seed))
+    return _grown(rows, interpolate(seeds, rare, key, label, point, k, seed), key)
 
 
 def adasyn(
@@ -100,7 +114,7 @@ def adasyn(
     """As SMOTE, with more copies where more of the neighbours are common."""
     rows, zeros, ones = _parts(df, key, label, point)
     if ones < 2 or zeros <= ones:
-        return rows
+        return with_text_keys(rows, key)
     rare = _rare(rows, label)
     hard = cut_lineage(
         knn(rare, rows, k, key, point, label)
@@ -109,10 +123,10 @@ def adasyn(
     )
     total = hard.agg(F.sum("_hard")).first()[0]
     if not total:
-        return rows
+        return with_text_keys(rows, key)
     share = F.col("_hard") / F.lit(total) * F.lit(zeros - ones)
     seeds = rare.join(hard, key).withColumn("_copies", F.rint(share).cast("int"))
-    return rows.unionByName(interpolate(seeds, rare, key, label, point, k, seed))
+    return _grown(rows, interpolate(seeds, rare, key, label, point, k, seed), key)
 
 
 def _from_seeds(
@@ -123,10 +137,10 @@ def _from_seeds(
     seeds = cut_lineage(seeds)
     count = seeds.count()
     if not count:
-        return rows
+        return with_text_keys(rows, key)
     numbered = copy_numbers(seeds, key, extra, count, seed)
     made = interpolate(numbered, _rare(rows, label), key, label, point, k, seed)
-    return rows.unionByName(made)
+    return _grown(rows, made, key)
 
 
 def borderline_smote(
@@ -135,7 +149,7 @@ def borderline_smote(
     """SMOTE from rare rows with at least half, but not all, of ``m`` neighbours common."""
     rows, zeros, ones = _parts(df, key, label, point)
     if ones < 2 or zeros <= ones:
-        return rows
+        return with_text_keys(rows, key)
     around = knn(_rare(rows, label), rows, m, key, point, label).groupBy(key).agg(
         F.count_if(F.col("neighbor_label") == 0).alias("_common")
     )
@@ -153,7 +167,7 @@ def svm_smote(
     """
     rows, zeros, ones = _parts(df, key, label, point)
     if ones < 2 or zeros <= ones:
-        return rows
+        return with_text_keys(rows, key)
     vectors = rows.withColumn("_v", array_to_vector(point))
     model = LinearSVC(featuresCol="_v", labelCol=label, maxIter=50).fit(vectors)
     scored = model.transform(_rare(vectors, label))
@@ -172,7 +186,7 @@ def kmeans_smote(
     """
     rows, zeros, ones = _parts(df, key, label, point)
     if ones < 2 or zeros <= ones:
-        return rows
+        return with_text_keys(rows, key)
     vectors = rows.withColumn("_v", array_to_vector(point))
     model = KMeans(k=clusters, featuresCol="_v", predictionCol="_cluster", seed=seed).fit(vectors)
     placed = model.transform(vectors).select(key, label, point, "_cluster")
@@ -188,7 +202,7 @@ def kmeans_smote(
         mean = knn(pool, pool, k, key, point, label).agg(F.avg("distance")).first()[0]
         pools[r["_cluster"]], spread[r["_cluster"]] = (pool, r.rare), mean or 0.0
     total = sum(spread.values())
-    made = [rows]
+    made = [with_text_keys(rows, key)]
     left = zeros - ones
     for i, (cluster, (pool, size)) in enumerate(pools.items()):
         last = i == len(pools) - 1
@@ -203,7 +217,8 @@ def kmeans_smote(
 def random_over(df: DataFrame, key: str, label: str, point: str, seed: int = SEED) -> DataFrame:
     rows, _, _ = _parts(df, key, label, point)
     repeated = oversample_random(rows, key, label, seed)
-    own = F.when(F.col("copy") == 0, F.col(key)).otherwise(new_key(rows, key, "copy"))
+    with_text_keys(rows, key)
+    own = F.when(F.col("copy") == 0, F.col(key).cast("string")).otherwise(new_key(key, "copy"))
     return repeated.select(own.alias(key), label, point)
 
 

@@ -8,7 +8,7 @@ from functools import reduce
 from operator import and_
 from string import ascii_uppercase
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from caseloom.functions.rules import (
     annotate_brand,
@@ -26,6 +26,8 @@ from caseloom.functions.scalars import (
     days_since,
     label_with_unit,
     norm_text,
+    row_max,
+    row_min,
     slugs,
     to_number,
     with_range_flag,
@@ -60,7 +62,6 @@ from caseloom.operators.rows import (
     dictionary_join,
     drop_value,
     inner_on,
-    is_short,
     keep_in_vocab,
 )
 from caseloom.sources.tables import read_vocab, write_vocab
@@ -142,8 +143,14 @@ def fit_vocabularies(
     observation_types: int = OBSERVATION_TYPES,
     panel_tests: int = PANEL_TESTS,
     rate_tests: int = RATE_TESTS,
+    most_categories: int = 1000,
 ) -> Vocabularies:
-    """Most frequent observation types and tests after dedup, and the drug categories."""
+    """Most frequent observation types and tests after dedup, drug categories and chapters.
+
+    More than ``most_categories`` drug categories or chapters are an error.
+    """
+    codes = tables["diagnoses"].where(F.col("diagnosis_cd_type") == "ICD10")
+    chapters = codes.select(code_chapter("diagnosis_cd").alias("chapter"))
     top = {
         "obs": top_k_vocab(dedup(tables["observations"]), "obs_type", observation_types, KEY),
         "rate": top_k_vocab(dedup(tables["labs"]), "test_name", max(panel_tests, rate_tests), KEY),
@@ -153,7 +160,8 @@ def fit_vocabularies(
         observation_types=tuple(vocab_values(top["obs"])),
         panel_tests=tuple(tests[:panel_tests]),
         rate_tests=tuple(tests[:rate_tests]),
-        drug_categories=tuple(fit_categories(dictionary, ["Category"])["Category"]),
+        drug_categories=tuple(fit_categories(dictionary, ["Category"], most_categories)["Category"]),
+        chapters=tuple(fit_categories(chapters, ["chapter"], most_categories)["chapter"]),
     )
 
 
@@ -168,10 +176,10 @@ def save_vocabularies(spark: SparkSession, vocab: Vocabularies, folder: str) ->
         write_vocab(rows, f"{folder}/{name}")
 
 
-def load_vocabularies(spark: SparkSession, folder: str) -> Vocabularies:
+def load_vocabularies(spark: SparkSession, folder: str, most: int = 1000) -> Vocabularies:
     names = Vocabularies.__dataclass_fields__
     return Vocabularies(
-        **{n: tuple(vocab_values(read_vocab(spark, f"{folder}/{n}"))) for n in names}
+        **{n: tuple(vocab_values(read_vocab(spark, f"{folder}/{n}"), most)) for n in names}
     )
 
 
@@ -194,18 +202,20 @@ def medication_features(
     categories: Sequence[str],
     binary: bool = False,
 ) -> DataFrame:
-    """Distinct drug rows per category of the dictionary.
+    """Distinct drug rows per category of the dictionary; a doubled line counts twice.
 
-    A short dictionary is looked up before the dedup, so that rows of other drugs, or of
-    drugs without a category, are never shuffled. A long one is looked up after it: its
-    join shuffles by drug, and the dedup must not inherit that uneven layout.
+    Rows of drugs without a category are dropped before the dedup, so they are never
+    shuffled. A row carries all categories of its drug through it, as one list.
     """
-    valued = dictionary.where(F.col("Category").isNotNull())
-    if is_short(valued):
-        known = dedup(dictionary_join(medication, "drug_name", valued, "Drug", "inner", True))
-    else:
-        known = dictionary_join(dedup(medication), "drug_name", valued, "Drug", "inner", False)
-    return count_pivot(known, KEY, "Category", categories, "Drug_count_", binary)
+    listed = dictionary_join(medication, "drug_name", drug_lines(dictionary), "Drug", "inner")
+    rows = dedup(listed).select(KEY, F.explode("_categories").alias("Category"))
+    return count_pivot(rows, KEY, "Category", categories, "Drug_count_", binary)
+
+
+def drug_lines(dictionary: DataFrame) -> DataFrame:
+    """One row per drug that has a category, with all its categories, repeats included."""
+    valued = dictionary.where(F.col("Category").isNotNull() & F.col("Drug").isNotNull())
+    return valued.groupBy("Drug").agg(F.array_sort(F.collect_list("Category")).alias("_categories"))
 
 
 def lab_rates(labs: DataFrame, tests: Sequence[str]) -> DataFrame:
@@ -335,9 +345,12 @@ def known_immunizations(immunization: DataFrame, fill_names: bool = False) -> Da
 
 
 def immunization_features(
-    immunization: DataFrame, fill_names: bool = False, strict: bool = False
+    immunization: DataFrame, fill_names: bool = False, strict: bool = False, spans: bool = False
 ) -> DataFrame:
-    """Brands, latest flu kind and antigen flags per entity, in one shuffle."""
+    """Brands, latest flu kind and antigen flags per entity, in one shuffle.
+
+    ``spans`` adds the first and last day.
+    """
     rows = known_immunizations(immunization, fill_names).where(present(KEY))
     flags = substring_flags("mapped_name")
     marked = rows.select(
@@ -352,6 +365,7 @@ def immunization_features(
         label_set(F.col("_brand")).alias("COVID_19"),
         F.coalesce(latest_value(F.col("_flu"), DAY, "mapped_name"), F.lit("")).alias("Influenza"),
         *[F.max(name).alias(name) for name in flags],
+        *(_span(F.col(DAY), "imm") if spans else []),
     )
 
 
@@ -379,22 +393,135 @@ def total_span(tables: Tables) -> DataFrame:
     return overall_span(list(dated_events(tables).values()), KEY, DAY)
 
 
+# Each of the next four reads its event log once, for its features and its span together.
+# Rows that count for the span alone keep nothing but entity and day, so the dedup
+# collapses them within each task.
+
+
+def _span(day: Column, name: str) -> list[Column]:
+    return [F.min(day).alias(f"_from_{name}"), F.max(day).alias(f"_to_{name}")]
+
+
+def _seen(condition: Column, name: str) -> Column:
+    """1 where a row of the entity meets the condition."""
+    return F.max(F.coalesce(condition, F.lit(False)).cast("int")).alias(f"_in_{name}")
+
+
+def _only(df: DataFrame, condition: Column, also: Sequence[str] = (KEY, DAY)) -> DataFrame:
+    """Rows that fail the condition keep only the columns ``also``."""
+    return df.select(
+        *[F.col(c) if c in also else F.when(condition, F.col(c)).alias(c) for c in df.columns]
+    )
+
+
+def diagnosis_part(diagnoses: DataFrame, chapters: Sequence[str]) -> DataFrame:
+    coded = F.when(F.col("diagnosis_cd_type") == "ICD10", code_chapter("diagnosis_cd"))
+    rows = diagnoses.where(present(KEY)).select(KEY, DAY, coded.alias("_chapter"))
+    known = F.col("_chapter").isNotNull()
+    flags = [
+        F.max(F.when(known, (F.col("_chapter") == value).cast("int"))).alias(f"ICD10_status_{name}")
+        for value, name in zip(chapters, slugs(chapters))
+    ]
+    return rows.groupBy(KEY).agg(*_span(F.col(DAY), "dia"), _seen(known, "dia"), *flags)
+
+
+def medication_part(
+    medication: DataFrame, dictionary: DataFrame, categories: Sequence[str]
+) -> DataFrame:
+    listed = dictionary_join(medication, "drug_name", drug_lines(dictionary), "Drug", "left")
+    known = F.col("_categories").isNotNull()
+    rows = dedup(_only(listed.where(present(KEY)), known))
+    each = rows.select(KEY, DAY, F.explode_outer("_categories").alias("Category"))
+    known = F.col("Category").isNotNull()
+    counts = [
+        F.sum(F.when(known, (F.col("Category") == value).cast("bigint"))).alias(f"Drug_count_{name}")
+        for value, name in zip(categories, slugs(categories))
+    ]
+    return each.groupBy(KEY).agg(*_span(F.col(DAY), "med"), _seen(known, "med"), *counts)
+
+
+def lab_part(
+    labs: DataFrame,
+    panel_tests: Sequence[str],
+    rate_tests: Sequence[str],
+    measures: Sequence[Measure] = LAB_MEASURES,
+) -> DataFrame:
+    wanted = F.coalesce(F.col("test_name").isin(*{*panel_tests, *rate_tests}), F.lit(False))
+    dated = ~F.col("test_result").eqNullSafe("unknown")
+    rows = dedup(_only(labs.where(present(KEY) & (wanted | dated)), wanted))
+    wanted, panelled = F.col("test_name").isNotNull(), F.col("test_name").isin(*panel_tests)
+    flagged = with_range_flag(rows, "test_result", "normal_range", "_flag")
+    known = wanted & dated & panelled
+    whole = reduce(and_, [F.col(c).isNotNull() for c in labs.columns])
+    valued = flagged.select(
+        KEY,
+        "test_name",
+        F.when(dated, F.col(DAY)).alias(DAY),
+        dated.alias("dated"),
+        known.alias("known"),
+        F.when(known & whole, to_number("test_result")).alias("value"),
+        F.when(F.col("test_name").isin(*rate_tests), F.col("_flag")).alias("flag"),
+    )
+    rates = [
+        F.avg(F.when(F.col("test_name") == test, F.col("flag"))).alias(f"value_normal_{name}")
+        for test, name in zip(rate_tests, slugs(rate_tests))
+    ]
+    found = valued.groupBy(KEY).agg(
+        *_span(F.col(DAY), "lab"),
+        _seen(F.col("dated"), "lab_span"),
+        _seen(F.col("known"), "panel"),
+        _seen(F.col("flag").isNotNull(), "rates"),
+        *measure_columns(F.col("test_name"), F.col("value"), measures),
+        *rates,
+    )
+    anything = F.greatest("_in_lab_span", "_in_panel", "_in_rates") == 1
+    return found.where(anything).drop("_in_lab_span")
+
+
+def observation_part(
+    observations: DataFrame,
+    types: Sequence[str],
+    measures: Sequence[Measure] = OBSERVATION_MEASURES,
+) -> DataFrame:
+    """The numeric panel, and the smoking and drinking status where all known values agree."""
+    wanted = F.coalesce(F.col("obs_type").isin(*types), F.lit(False))
+    rows = dedup(_only(observations.where(present(KEY)), wanted))
+    dated = F.col(DAY).isNotNull()
+    valued = rows.select(
+        KEY,
+        DAY,
+        F.col("obs_type").isNotNull().alias("known"),
+        label_with_unit("obs_type", "obs_unit").alias("label"),
+        F.when(dated, to_number("obs_result")).alias("value"),
+        "obs_result",
+    )
+    smoke = F.when(F.col("label") == SMOKE_LABEL, F.col("obs_result"))
+    alcohol = F.when((F.col("label") == ALCOHOL_LABEL) & dated, F.col("obs_result"))
+    found = valued.groupBy(KEY).agg(
+        *_span(F.col(DAY), "obs"),
+        _seen(F.col("known"), "obs"),
+        *measure_columns(F.col("label"), F.col("value"), measures),
+        *[f(c).alias(n) for c, n in ((smoke, "SMOKE"), (alcohol, "ALCOHOL")) for f, n in ((F.min, f"_{n}"), (F.max, n))],
+    )
+    agreed = {c: F.when(F.col(f"_{c}") == F.col(c), F.col(c)) for c in ("SMOKE", "ALCOHOL")}
+    return found.withColumns(agreed).drop("_SMOKE", "_ALCOHOL")
+
+
 def feature_tables(
     tables: Tables,
     dictionary: DataFrame,
     vocab: Vocabularies,
     measures: Sequence[Measure] = LAB_MEASURES,
 ) -> list[DataFrame]:
-    """The tables a master is merged from, each one row per entity."""
+    """The tables a master is merged from, each one row per entity, each from one scan."""
     return [
-        total_span(tables),
-        diagnosis_features(tables["diagnoses"], vocab.chapters),
-        medication_features(tables["medication"], dictionary, vocab.drug_categories),
-        lab_features(tables["labs"], vocab.panel_tests, vocab.rate_tests, measures),
-        observation_features(tables["observations"], vocab.observation_types),
+        diagnosis_part(tables["diagnoses"], vocab.chapters),
+        medication_part(tables["medication"], dictionary, vocab.drug_categories),
+        lab_part(tables["labs"], vocab.panel_tests, vocab.rate_tests, measures),
+        observation_part(tables["observations"], vocab.observation_types),
         # Laid out by entity like the aggregates, so the merge has nothing left to move.
         demographics(tables["demo"]).repartition(KEY),
-        immunization_features(tables["immunization"]),
+        immunization_features(tables["immunization"], spans=True),
     ]
 
 
@@ -410,9 +537,15 @@ def master(
     if how == "outer":
         merged = merge_outer(frames, KEY)
     else:
-        both = (F.col("_in_panel") == 1) & (F.col("_in_rates") == 1)
-        merged = merge_inner(frames, KEY).where(both)
-    return merged.drop("_in_panel", "_in_rates")
+        known = [F.col(f"_in_{n}") == 1 for n in ("dia", "med", "panel", "rates", "obs")]
+        merged = merge_inner(frames, KEY).where(reduce(and_, known))
+    sources = ("dia", "med", "lab", "obs", "imm")
+    return merged.select(
+        KEY,
+        row_min([f"_from_{s}" for s in sources]).alias("earliest_to_covid_diag"),
+        row_max([f"_to_{s}" for s in sources]).alias("latest_to_covid_diag"),
+        *[c for c in merged.columns if c != KEY and not c.startswith(("_in_", "_from_", "_to_"))],
+    )
 
 
 def clean_matrix(
@@ -430,8 +563,8 @@ def clean_matrix(
     return drop_columns_matching(encoded, pattern, keep=(KEY, LABEL))
 
 
-def fit_master_categories(master_table: DataFrame) -> dict[str, list[str]]:
-    return fit_categories(master_table, CATEGORICAL)
+def fit_master_categories(master_table: DataFrame, most: int = 1000) -> dict[str, list[str]]:
+    return fit_categories(master_table, CATEGORICAL, most)
 
 
 # --- Profiles ---------------------------------------------------------------

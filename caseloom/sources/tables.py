@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import hashlib
+import uuid
+from collections.abc import Callable, Mapping
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import DataType, FractionalType, IntegralType, StructType
 
 # The input tables and their columns.
 SCHEMAS: dict[str, str] = {
@@ -25,13 +28,44 @@ SCHEMAS: dict[str, str] = {
 DICTIONARY_SCHEMA = "Drug string, Category string"
 
 
+def whole_number(c: Column, into: DataType) -> Column:
+    """A floating number as an integer type: NaN is null, a fraction is an error."""
+    bad = F.concat(F.lit("not a whole number: "), c.cast("string"))
+    return F.when(F.isnan(c), F.lit(None)).when(c == F.floor(c), c).when(
+        c.isNotNull(), F.raise_error(bad)
+    ).cast(into)
+
+
+def as_declared(df: DataFrame, schema: StructType) -> DataFrame:
+    """The declared columns with the declared types, whatever integer or floating types the
+    file has; a declared column that the file lacks is null. Other columns are left out."""
+    kinds = {f.name: f.dataType for f in df.schema}
+    made = []
+    for field in schema:
+        have = kinds.get(field.name)
+        if have is None:
+            made.append(F.lit(None).cast(field.dataType).alias(field.name))
+        elif have == field.dataType:
+            made.append(F.col(field.name))
+        elif isinstance(have, FractionalType) and isinstance(field.dataType, IntegralType):
+            made.append(whole_number(F.col(field.name), field.dataType).alias(field.name))
+        else:
+            made.append(F.col(field.name).cast(field.dataType).alias(field.name))
+    return df.select(*made)
+
+
 def read_table(
     spark: SparkSession, folder: str, name: str, schema: str | StructType | None = None
 ) -> DataFrame:
-    """``<folder>/<name>.parquet`` with a declared schema, so no footer is read to plan."""
+    """``<folder>/<name>.parquet`` in its declared schema, cast from the types of the file.
+
+    pandas stores integers in 64 bits and nullable ones as doubles; both are read.
+    """
+    found = spark.read.parquet(f"{folder}/{name}.parquet")
     schema = schema or SCHEMAS.get(name)
-    reader = spark.read.schema(schema) if schema else spark.read
-    return reader.parquet(f"{folder}/{name}.parquet")
+    if schema is None:
+        return found
+    return as_declared(found, StructType.fromDDL(schema) if isinstance(schema, str) else schema)
 
 
 def read_tsv(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
@@ -78,8 +112,31 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
+def fingerprint(spark: SparkSession, frames: Mapping[str, DataFrame], *parameters: object) -> str:
+    """Names what a stage is built from: plans, input files (path, size, time), parameters.
+
+    The files' facts are listed and summed by Spark. A frame that holds rows of its own,
+    outside files, has a new name each time, so nothing built from it is used again.
+    """
+    parts = [repr(p) for p in parameters]
+    for name, df in sorted(frames.items()):
+        text = df._jdf.queryExecution().analyzed().canonicalized().toString()
+        files = [unquote(f) for f in sorted(df.inputFiles())]
+        if not files or "LocalRelation" in text or "LogicalRDD" in text:
+            parts.append(uuid.uuid4().hex)
+            continue
+        found = spark.read.format("binaryFile").load(files)
+        fact = F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)")
+        count, total = found.agg(F.count(F.lit(1)), F.sum(fact)).first()
+        parts += [name, text, str(count), str(total)]
+    return hashlib.sha256("\n".join(parts).encode()).hexdigest()[:20]
+
+
 def stage(spark: SparkSession, path: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """The finished table at ``path``; built and written first when it is not there."""
+    """The finished table at ``path``; built and written first when it is not there.
+
+    ``path`` has to name what the table is built from; see ``fingerprint``.
+    """
     if not exists(spark, f"{path}/_SUCCESS"):
         build().write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

@@ -57,6 +57,35 @@ def test_train_then_score(spark, raw, tmp_path):
         tr.run(spark, "tune", raw, words, store)
 
 
+def test_stages_follow_their_inputs(spark, raw, tmp_path):
+    words = io.read_tsv(spark, f"{raw}/dictionary.tsv", io.DICTIONARY_SCHEMA)
+    store = str(tmp_path / "store")
+    whole = read(spark, raw)
+    first = tr.prepare(spark, whole, words, fl.VOCAB, store, fl.LAB_MEASURES)
+    two = {n: df.where(F.col("patientid").isin("P1", "P2")) for n, df in whole.items()}
+    second = tr.prepare(spark, two, words, fl.VOCAB, store, fl.LAB_MEASURES)
+    assert {r.patientid for r in second.select("patientid").collect()} <= {"P1", "P2"}
+    again = tr.prepare(spark, read(spark, raw), words, fl.VOCAB, store, fl.LAB_MEASURES)
+    assert again.inputFiles() == first.inputFiles() != second.inputFiles()
+    other = ft.Vocabularies(("BMI",), *list(vars(fl.VOCAB).values())[1:])
+    third = tr.prepare(spark, whole, words, other, store, fl.LAB_MEASURES)
+    assert third.inputFiles() != first.inputFiles()
+    local = spark.createDataFrame(words.collect(), io.DICTIONARY_SCHEMA)
+    marks = {io.fingerprint(spark, {"w": local}) for _ in range(2)}
+    assert len(marks) == 2
+
+
+def test_changed_files_change_the_fingerprint(spark, tmp_path):
+    path = str(tmp_path / "t.parquet")
+    spark.range(3).write.parquet(path)
+    before = io.fingerprint(spark, {"t": spark.read.parquet(path)}, 1)
+    assert before == io.fingerprint(spark, {"t": spark.read.parquet(path)}, 1)
+    assert before != io.fingerprint(spark, {"t": spark.read.parquet(path)}, 2)
+    assert before != io.fingerprint(spark, {"t": spark.read.parquet(path).where("id > 1")}, 1)
+    spark.range(4).write.mode("overwrite").parquet(path)
+    assert before != io.fingerprint(spark, {"t": spark.read.parquet(path)}, 1)
+
+
 def test_vocabularies_survive_a_round_trip(spark, tmp_path):
     vocab = ft.Vocabularies(("BMI", "SBP "), ("a b",), ("x", "y"), ("Diabetes", "diabetes"))
     ft.save_vocabularies(spark, vocab, str(tmp_path))
@@ -134,10 +163,11 @@ def test_master_moves_each_source_once(spark, raw, no_broadcast):
     tables = read(spark, raw)
     words = io.read_tsv(spark, f"{raw}/dictionary.tsv", io.DICTIONARY_SCHEMA)
     text = plan(ft.master(tables, words, fl.VOCAB, measures=fl.LAB_MEASURES))
-    # Span 1, diagnoses 1, medication dedup and pivot 2, labs dedup and features 2,
-    # observations dedup and panel 2 and a status column each 2, demo 1, immunization 1.
-    # The merge itself adds none.
-    assert text.count("Exchange hashpartitioning") == 12
+    # Diagnoses 1, dictionary 1, medication dedup and pivot 2, labs dedup and features 2,
+    # observations dedup and features 2, demo 1, immunization 1. The merge adds none.
+    assert text.count("Exchange hashpartitioning") == 10
+    # One scan for each of the six tables, and one for the dictionary.
+    assert text.count("FileScan parquet") == 6 and text.count("FileScan csv") == 1
     assert "NestedLoop" not in text and "Cartesian" not in text
 
 
@@ -148,16 +178,54 @@ def test_label_join_leaves_the_master_in_place(spark, raw, no_broadcast):
     words = io.read_tsv(spark, f"{raw}/dictionary.tsv", io.DICTIONARY_SCHEMA)
     wide = ft.master(tables, words, fl.VOCAB, measures=fl.LAB_MEASURES)
     text = plan(inner_on(wide, tables["target"], "patientid"))
-    assert text.count("Exchange hashpartitioning") == 13
+    assert text.count("Exchange hashpartitioning") == 11
+
 
+@pytest.mark.parametrize("short", [True, False])
+def test_a_doubled_dictionary_line_counts_twice(spark, monkeypatch, short):
+    from caseloom.operators import rows as rw
 
-def test_long_dictionary_gives_the_same_counts(spark, small, monkeypatch):
-    tables = view(spark, small, "medication"), view(spark, small, "drug_dictionary")
-    short = ft.medication_features(*tables, ("anvil", "bolt"))
-    monkeypatch.setattr(ft, "is_short", lambda df: False)
-    assert sorted(ft.medication_features(*tables, ("anvil", "bolt")).collect()) == sorted(
-        short.collect()
+    monkeypatch.setattr(rw, "is_short", lambda df, most=0: short)
+    events = spark.createDataFrame(
+        [("p", 1, "d", "n"), ("p", 1, "d", "n"), ("p", 2, "d", "n"), ("q", 1, "e", "n")],
+        io.SCHEMAS["medication"],
+    )
+    words = spark.createDataFrame([("d", "x"), ("d", "x"), ("e", None)], io.DICTIONARY_SCHEMA)
+    assert [tuple(r) for r in ft.medication_features(events, words, ("x",)).collect()] == [("p", 4)]
+    wide = {r["patientid"]: r for r in ft.medication_part(events, words, ("x",)).collect()}
+    assert wide["p"].Drug_count_x == 4 and (wide["p"]._from_med, wide["p"]._to_med) == (1, 2)
+    assert wide["q"].Drug_count_x is None and wide["q"]._in_med == 0
+
+
+def test_chapters_are_fitted(spark, small):
+    tables = fl.tables(spark, small)
+    odd = spark.createDataFrame(
+        [("p", 1, "7A", "ICD10"), ("p", 1, "a1", "ICD10"), ("p", 1, "A1", "ICD10"), ("p", 1, "Z9", "ICD9")],
+        io.SCHEMAS["diagnoses"],
     )
+    vocab = ft.fit_vocabularies({**tables, "diagnoses": odd}, view(spark, small, "drug_dictionary"))
+    assert vocab.chapters == ("7", "A", "a")
+    row = ft.diagnosis_features(odd, vocab.chapters).first()
+    assert len(row) == 4 and set(row[1:]) == {1}
+    with pytest.raises(ValueError, match="more than 2 values"):
+        ft.fit_vocabularies(
+            {**tables, "diagnoses": odd}, view(spark, small, "drug_dictionary"), most_categories=2
+        )
+
+
+def test_fractions_in_day_columns_are_refused(spark, tmp_path):
+    for day, good in ((2.0, True), (float("nan"), True), (None, True), (2.5, False)):
+        path = tmp_path / str(day)
+        rows = [("p", day, "A1", "ICD10", 7)]
+        kinds = "patientid string, days_to_covid_diag double, diagnosis_cd string, diagnosis_cd_type string, extra int"
+        spark.createDataFrame(rows, kinds).write.parquet(f"{path}/diagnoses.parquet")
+        read = io.read_table(spark, str(path), "diagnoses")
+        assert read.schema.simpleString() == spark.createDataFrame([], io.SCHEMAS["diagnoses"]).schema.simpleString()
+        if good:
+            assert read.first()["days_to_covid_diag"] == (2 if day == 2.0 else None)
+        else:
+            with pytest.raises(Exception, match="not a whole number"):
+                read.collect()
 
 
 def test_copies_are_limited_before_the_shuffle(spark, small):

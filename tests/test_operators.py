@@ -313,7 +313,7 @@ def test_smote_points_lie_between_rare_rows(spark, text):
     zeros, ones = prep.class_counts(grown, "y")
     assert zeros == ones
     assert grown.select("k").distinct().count() == zeros + ones
-    old = {r[0] for r in rows}
+    old = {str(r[0]) for r in rows}
     base = [p for _, y, p in rows if y]
     fresh = [r for r in grown.collect() if r.k not in old]
     assert fresh and all(r.y == 1 and on_a_segment(r.p, base) for r in fresh)
@@ -325,13 +325,28 @@ def test_oversamplers_only_add_rare_rows(spark, rare, name):
     grown = resample.SAMPLERS[name](df, "k", "y", "p").collect()
     assert len({r.k for r in grown}) == len(grown)
     kept = {(r.k, r.y) for r in grown}
-    assert {(k, y) for k, y, _ in rows} <= kept
+    assert {(str(k), y) for k, y, _ in rows} <= kept
     base = [p for _, y, p in rows if y]
-    old = {k for k, _, _ in rows}
+    old = {str(k) for k, _, _ in rows}
     fresh = [r for r in grown if r.k not in old]
     assert all(r.y == 1 and on_a_segment(r.p, base) for r in fresh)
 
 
+@pytest.mark.parametrize("name", ["smote", "random_over"])
+def test_made_ids_are_unique_for_any_key(spark, name):
+    ids = [-1, -2, 2**62, -(2**62), 0, 1, 2**20, -(2**20) - 2]
+    rows = [(i, int(n < 2), [float(n), 1.0]) for n, i in enumerate(ids)]
+    rows += [(10_000 + n, 0, [float(n), 2.0]) for n in range(30)]
+    kinds = "k long, y int, p array<double>"
+    grown = resample.SAMPLERS[name](spark.createDataFrame(rows, kinds), "k", "y", "p")
+    keys = [r.k for r in grown.collect()]
+    assert len(keys) == len(set(keys)) == 72 and {str(i) for i in ids} <= set(keys)
+    rows = [("a~1", 1, [0.0]), ("a", 1, [1.0]), *[(f"c{i}", 0, [2.0]) for i in range(5)]]
+    clash = spark.createDataFrame(rows, kinds.replace("long", "string"))
+    with pytest.raises(ValueError, match="tilde"):
+        resample.SAMPLERS[name](clash, "k", "y", "p")
+
+
 @pytest.mark.parametrize(
     "name",
     ["random_under", "near_miss_1", "near_miss_2", "near_miss_3", "edited_nn",
