@@ -1,15 +1,21 @@
 """Exact nearest (or farthest) neighbours as Spark jobs.
 
-By the size of the base side:
+By the counted sizes of the two sides:
 
-* small: the base is broadcast and the query rows are mapped, without a shuffle;
+* small base: the base is broadcast and the query rows are mapped, without a shuffle;
+* few queries: the queries are broadcast and the base is scanned once; each task keeps the
+  best for every query, so the base is not moved, whatever its size;
 * otherwise: equal points are folded into one, so that a point a third of the rows
   share costs one search, and the points are divided into cells around pivots. The
   triangle inequality says which base points can matter to a cell, those are sent
   there, and oversized cells are split into blocks of bounded size whose best
   candidates are merged.
 
-Both give the same rows. Ties in distance go to the smaller id.
+All give the same rows. Ties in distance go to the smaller id.
+
+In wide spaces the triangle inequality rules out little, and the third way comes close to
+comparing all pairs. ``knn_approximate`` is the way out for whole tables against
+themselves; a caller asks for it, it is never taken by itself.
 """
 
 from __future__ import annotations
@@ -47,8 +53,19 @@ def id_type(df: DataFrame) -> str:
     return df.schema["id"].dataType.simpleString()
 
 
+class Prepared:
+    """Base rows as a matrix, built once for any number of query batches."""
+
+    def __init__(self, base: pd.DataFrame) -> None:
+        self.ids = base["id"].to_numpy()
+        self.labels = base["label"].to_numpy()
+        self.points = matrix(base["point"])
+        self.norms = np.einsum("ij,ij->i", self.points, self.points)
+        self.ties = self.ids.astype(str) if self.ids.dtype == object else self.ids
+
+
 def best_of(
-    queries: np.ndarray, base: np.ndarray, base_ids: np.ndarray, k: int, farthest: bool
+    queries: np.ndarray, known: Prepared, k: int, farthest: bool
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Row, base position and distance of the ``k`` best base points of each query.
 
@@ -56,8 +73,7 @@ def best_of(
     by coordinate, because the product form loses digits for close points.
     """
     rows, places, distances = [], [], []
-    ties = base_ids.astype(str) if base_ids.dtype == object else base_ids
-    norms = np.einsum("ij,ij->i", base, base)
+    base, norms, ties = known.points, known.norms, known.ties
     step = max(1, 4_000_000 // max(1, len(base)))
     for start in range(0, len(queries), step):
         part = queries[start : start + step]
@@ -90,9 +106,12 @@ def matrix(points: pd.Series) -> np.ndarray:
     return np.stack(points.to_numpy()).astype(np.float64) if len(points) else np.empty((0, 1))
 
 
-def hits_frame(queries: pd.DataFrame, base: pd.DataFrame, k: int, farthest: bool) -> pd.DataFrame:
+def hits_frame(
+    queries: pd.DataFrame, base: pd.DataFrame | Prepared, k: int, farthest: bool
+) -> pd.DataFrame:
     """Best base rows per query row, from two frames of bounded size."""
-    if not len(queries) or not len(base):
+    known = base if isinstance(base, Prepared) else Prepared(base)
+    if not len(queries) or not len(known.ids):
         return pd.DataFrame(
             {
                 "point_id": queries["id"].iloc[:0],
@@ -101,15 +120,12 @@ def hits_frame(queries: pd.DataFrame, base: pd.DataFrame, k: int, farthest: bool
                 "distance": pd.Series(dtype="float64"),
             }
         )
-    ids = base["id"].to_numpy()
-    row, place, distance = best_of(
-        matrix(queries["point"]), matrix(base["point"]), ids, k, farthest
-    )
+    row, place, distance = best_of(matrix(queries["point"]), known, k, farthest)
     return pd.DataFrame(
         {
             "point_id": queries["id"].to_numpy()[row],
-            "neighbor": ids[place],
-            "neighbor_label": base["label"].to_numpy()[place].astype("int32"),
+            "neighbor": known.ids[place],
+            "neighbor_label": known.labels[place].astype("int32"),
             "distance": distance,
         }
     )
@@ -149,7 +165,7 @@ def _broadcast_search(queries: DataFrame, base: DataFrame, k: int, farthest: boo
     shared = queries.sparkSession.sparkContext.broadcast(base.toPandas())
 
     def search(batches):
-        known = shared.value
+        known = Prepared(shared.value)
         for batch in batches:
             # One more than asked for, since a row may find itself.
             hits = hits_frame(batch, known, k + 1, farthest)
@@ -160,6 +176,27 @@ def _broadcast_search(queries: DataFrame, base: DataFrame, k: int, farthest: boo
     return queries.mapInPandas(search, hit_schema(id_type(queries)) + ", rank int")
 
 
+def _scan_search(queries: DataFrame, base: DataFrame, k: int, farthest: bool) -> DataFrame:
+    """Few queries against any base: each task keeps its best and only those are moved."""
+    asked = queries.toPandas()
+    shared = queries.sparkSession.sparkContext.broadcast(asked)
+
+    def search(batches):
+        best = None
+        for batch in batches:
+            hits = hits_frame(shared.value, batch, k + 1, farthest)
+            hits = hits[hits["point_id"] != hits["neighbor"]]
+            if best is not None:
+                hits = pd.concat([best, hits], ignore_index=True)
+            order = ["point_id", "distance", "neighbor"]
+            hits = hits.sort_values(order, ascending=[True, not farthest, True], kind="stable")
+            best = hits[hits.groupby("point_id", sort=False).cumcount() < k]
+        if best is not None:
+            yield best
+
+    return _merge(base.mapInPandas(search, hit_schema(id_type(queries))), k, farthest)
+
+
 def _pivots(queries: DataFrame, count: int, seed: int = 17) -> np.ndarray:
     """Cell centres: query points drawn by the hash of their id."""
     picked = queries.orderBy(F.xxhash64("id", F.lit(seed)), "id").limit(count)
@@ -175,8 +212,10 @@ def distances_to(points: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(square, 0.0))
 
 
-def _cell_search(queries: DataFrame, base: DataFrame, k: int, farthest: bool, n: int) -> DataFrame:
-    """Search by cells: exact, with no side held whole anywhere."""
+def _cells(
+    queries: DataFrame, base: DataFrame, k: int, farthest: bool, n: int
+) -> tuple[DataFrame, DataFrame, dict, dict]:
+    """Queries by cell, base rows sent to cells, and facts and base rows of each cell."""
     spark = queries.sparkSession
     kind = id_type(queries)
     pivots = _pivots(queries, min(MOST_CELLS, max(1, ceil(n / CELL_ROWS))))
@@ -189,7 +228,10 @@ def _cell_search(queries: DataFrame, base: DataFrame, k: int, farthest: bool, n:
                 cell = gap.argmin(axis=1)
                 yield batch.assign(cell=cell, radius=gap[np.arange(len(batch)), cell])
 
-    placed = queries.mapInPandas(assign, row_schema(kind) + ", cell int, radius double")
+    # Both sides are counted and then joined, so each is worked out once.
+    placed = cut_lineage(
+        queries.mapInPandas(assign, row_schema(kind) + ", cell int, radius double")
+    )
     cells = placed.groupBy("cell").agg(
         F.max("radius").alias("radius"), F.count(F.lit(1)).alias("n")
     )
@@ -231,8 +273,21 @@ def _cell_search(queries: DataFrame, base: DataFrame, k: int, farthest: bool, n:
                 row, cell = np.nonzero((-far if farthest else far) <= limit[None, :])
                 yield batch.iloc[row].assign(cell=live[cell])
 
-    sent = base.mapInPandas(send, row_schema(kind) + ", cell int")
+    sent = cut_lineage(base.mapInPandas(send, row_schema(kind) + ", cell int"))
     sizes = {r.cell: r.n for r in sent.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return placed, sent, facts, sizes
+
+
+def cell_traffic(queries: DataFrame, base: DataFrame, k: int, farthest: bool, n: int) -> dict[str, int]:
+    """How many base rows a search by cells sends, and how many cells there are."""
+    _, _, facts, sizes = _cells(queries, base, k, farthest, n)
+    return {"cells": len(facts), "base_rows": sum(sizes.values())}
+
+
+def _cell_search(queries: DataFrame, base: DataFrame, k: int, farthest: bool, n: int) -> DataFrame:
+    """Search by cells: exact, with no side held whole anywhere."""
+    spark, kind = queries.sparkSession, id_type(queries)
+    placed, sent, facts, sizes = _cells(queries, base, k, farthest, n)
     blocks = spark.createDataFrame(
         [
             (int(c), ceil(facts[c].n / CELL_ROWS), ceil(sizes.get(c, 0) / BLOCK_ROWS))
@@ -277,14 +332,18 @@ def knn(
 ) -> DataFrame:
     """``(key, neighbor, neighbor_label, distance, rank)``, ``k`` rows per query row.
 
-    A row is never its own neighbour. ``broadcast_values`` bounds the coordinates a
-    broadcast base may hold; a larger base is searched by cells.
+    A row is never its own neighbour. ``broadcast_values`` bounds the coordinates that a
+    broadcast side may hold; where both sides are larger, the search goes by cells.
     """
     asked = _rows(queries, key, point, label)
     known = _rows(base, key, point, label)
     stats = known.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("point")).alias("d")).first()
     size, width = stats.n, stats.d or 0
     if size * width > broadcast_values:
+        few = broadcast_values // max(1, width)
+        if few and asked.limit(few + 1).count() <= few:
+            hits = _scan_search(cut_lineage(asked), known, k, farthest)
+            return hits.withColumnRenamed("point_id", key)
         # One copy more than neighbours asked for, since a row finds itself. Both sides
         # are read several times below; their folding shuffles run once.
         known = cut_lineage(_first_copies(known, k + 1))
@@ -324,3 +383,64 @@ def knn(
         F.abs("hit.order").alias("distance"),
         (F.col("place") + 1).alias("rank"),
     )
+
+
+def knn_approximate(
+    queries: DataFrame,
+    base: DataFrame,
+    k: int,
+    key: str,
+    point: str,
+    label: str | None = None,
+    tables: int = 8,
+    bits: int = 8,
+    block: int = CELL_ROWS,
+    seed: int = 29,
+) -> DataFrame:
+    """As ``knn``, but a row meets only rows on its side of ``bits`` random planes, in any
+    of ``tables`` draws; neighbours may be missed, and a row may have fewer than ``k``.
+
+    The planes go through the mean point. A bucket of more than ``block`` base rows is
+    dealt out by a hash of the id, so no task holds more: a row then meets the rows of its
+    own share. Work is rows x tables x block at most, whatever the points.
+    """
+    asked, known = _rows(queries, key, point, label), _rows(base, key, point, label)
+    width = known.agg(F.max(F.size("point"))).first()[0] or 0
+    means = [F.avg(F.get("point", F.lit(i))) for i in range(width)]
+    centre = np.array([m or 0.0 for m in known.agg(*means).first()]) if width else np.zeros(0)
+    planes = np.random.default_rng(seed).normal(size=(width, tables * bits))
+    weights = 1 << np.arange(bits)
+
+    def place(batches):
+        for batch in batches:
+            if len(batch):
+                side = ((matrix(batch["point"]) - centre) @ planes > 0).reshape(len(batch), tables, bits)
+                code = (side @ weights).astype("int64")
+                for t in range(tables):
+                    yield batch.assign(bucket=code[:, t] * tables + t)
+
+    def placed(df: DataFrame) -> DataFrame:
+        return df.mapInPandas(place, row_schema(id_type(df)) + ", bucket long")
+
+    # At most tables * 2**bits rows of bucket sizes.
+    sizes = placed(known).groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("shares"))
+    sizes = F.broadcast(cut_lineage(sizes))
+
+    def dealt(df: DataFrame) -> DataFrame:
+        share = F.pmod(F.xxhash64("id", "bucket"), F.col("shares")).cast("int")
+        return placed(df).join(sizes, "bucket").withColumn("share", share).drop("shares")
+
+    def search(ours, theirs):
+        found = [
+            hits_frame(ours.iloc[i : i + block], theirs, k + 1, False) for i in range(0, len(ours), block)
+        ]
+        return pd.concat(found) if found else hits_frame(ours, theirs, k + 1, False)
+
+    by = ["bucket", "share"]
+    hits = (
+        dealt(asked).groupBy(*by).cogroup(dealt(known).groupBy(*by))
+        .applyInPandas(search, hit_schema(id_type(asked)))
+        .where(~F.col("point_id").eqNullSafe(F.col("neighbor")))
+        .distinct()
+    )
+    return _merge(hits, k, False).withColumnRenamed("point_id", key)

@@ -23,6 +23,7 @@ from caseloom.operators.ranking import key_fraction, random_sample, top_rows
 from caseloom.session import cut_lineage
 
 SEED = 37
+Search = Callable[..., DataFrame]
 
 
 def _rare(df: DataFrame, label: str) -> DataFrame:
@@ -260,47 +261,61 @@ def near_miss(
 
 
 def disagreeing(
-    df: DataFrame, key: str, label: str, point: str, k: int = 3
+    df: DataFrame, key: str, label: str, point: str, k: int = 3, search: Search = knn
 ) -> DataFrame:
-    """Keys of common rows with a rare row among their ``k`` nearest."""
-    hits = knn(_common(df, label), df, k, key, point, label)
+    """Keys of common rows with a rare row among their ``k`` nearest.
+
+    ``search`` may be ``knn_approximate`` where the table is large and its points wide.
+    """
+    hits = search(_common(df, label), df, k, key, point, label)
     return hits.where(F.col("neighbor_label") != 0).select(key).distinct()
 
 
-def edited_nn(df: DataFrame, key: str, label: str, point: str, k: int = 3) -> DataFrame:
+def edited_nn(
+    df: DataFrame, key: str, label: str, point: str, k: int = 3, search: Search = knn
+) -> DataFrame:
     rows, _, _ = _parts(df, key, label, point)
-    return rows.join(disagreeing(rows, key, label, point, k), key, "left_anti")
+    return rows.join(disagreeing(rows, key, label, point, k, search), key, "left_anti")
 
 
 def repeated_edited_nn(
-    df: DataFrame, key: str, label: str, point: str, k: int = 3, rounds: int = 100
+    df: DataFrame, key: str, label: str, point: str, k: int = 3, rounds: int | None = None,
+    search: Search = knn,
 ) -> DataFrame:
-    """Edited neighbours until a round removes nothing, or ``rounds`` are over."""
+    """Edited neighbours until a round removes nothing; each round before removes a row.
+
+    ``rounds`` ends it earlier.
+    """
     rows, zeros, ones = _parts(df, key, label, point)
-    for _ in range(rounds):
-        edited = cut_lineage(edited_nn(rows, key, label, point, k))
+    done = 0
+    while rounds is None or done < rounds:
+        edited = cut_lineage(edited_nn(rows, key, label, point, k, search))
         left, _ = class_counts(edited, label)
         if left == zeros:
             break
         if left < ones:
             # Another round would make the common class the smaller one.
             return rows
-        rows, zeros = edited, left
+        rows, zeros, done = edited, left, done + 1
     return rows
 
 
 def tomek_links(df: DataFrame, key: str, label: str, point: str) -> DataFrame:
-    """``(common, rare)`` key pairs that are each other's nearest row."""
-    nearest = knn(df, df, 1, key, point, label)
-    own = nearest.join(df.select(key, F.col(label).alias("_own")), key)
-    ours = F.col("_own") == 0
-    opposite = own.where(F.col("neighbor_label") != F.col("_own")).select(
-        F.when(ours, F.col(key)).otherwise(F.col("neighbor")).alias("common"),
-        F.when(ours, F.col("neighbor")).otherwise(F.col(key)).alias("rare"),
+    """``(common, rare)`` key pairs that are each other's nearest row.
+
+    Only rare rows, and the common rows nearest to them, are looked up.
+    """
+    near_rare = knn(_rare(df, label), df, 1, key, point, label)
+    named = cut_lineage(
+        near_rare.where(F.col("neighbor_label") == 0).select(
+            F.col("neighbor").alias("common"), F.col(key).alias("rare")
+        )
     )
-    # A pair that both members name appears twice.
-    seen = opposite.groupBy("common", "rare").agg(F.count(F.lit(1)).alias("n"))
-    return seen.where(F.col("n") == 2).drop("n")
+    candidates = df.join(named.select(F.col("common").alias(key)).distinct(), key, "left_semi")
+    back = knn(candidates, df, 1, key, point, label).select(
+        F.col(key).alias("common"), F.col("neighbor").alias("rare")
+    )
+    return named.join(back, ["common", "rare"], "left_semi")
 
 
 def drop_tomek_links(
@@ -328,17 +343,21 @@ def one_sided_selection(
 
 
 def condensed_nn(
-    df: DataFrame, key: str, label: str, point: str, seed: int = SEED, rounds: int = 100
+    df: DataFrame, key: str, label: str, point: str, seed: int = SEED, rounds: int | None = None
 ) -> DataFrame:
     """Rare rows plus common rows until the store judges every common row rightly.
 
+    Every round but the last adds a row, so it ends; ``rounds`` ends it earlier.
+
     All rows misjudged in a round join together, where the row-by-row method would add
     them one at a time; the store may come out larger.
     """
     rows, _, _ = _parts(df, key, label, point)
     first = random_sample(_common(rows, label), key, 1, seed)
     store = cut_lineage(_rare(rows, label).unionByName(first.select(*rows.columns)))
-    for _ in range(rounds):
+    done = 0
+    while rounds is None or done < rounds:
+        done += 1
         rest = _common(rows, label).join(store.select(key), key, "left_anti")
         missed = knn(rest, store, 1, key, point, label).where(F.col("neighbor_label") == 1)
         added = cut_lineage(rest.join(missed.select(key), key, "left_semi"))

@@ -279,6 +279,55 @@ def test_knn_against_brute_force(spark, monkeypatch, text, farthest, limit):
         assert r.neighbor_label == label[r.neighbor]
 
 
+@pytest.mark.parametrize("text", [False, True])
+@pytest.mark.parametrize("farthest", [False, True])
+def test_few_queries_scan_the_base_where_it_lies(spark, text, farthest):
+    rows, df = cloud(spark, text=text)
+    few = df.orderBy("k").limit(12)
+    hits = neighbors.knn(few, df.repartition(5), 4, "k", "p", "y", farthest, 100)
+    wanted = {r.k for r in few.collect()}
+    assert pairs(hits, "k", "neighbor", "rank") == [r for r in brute_knn(rows, 4, farthest) if r[0] in wanted]
+    base = df.where("k is not null")
+    plan = neighbors.knn(few, base, 4, "k", "p", "y", farthest, 100)._jdf.queryExecution().executedPlan().toString()
+    # What is shuffled comes out of the scan: the best of each task.
+    assert plan.count("MapInPandas") == 1 and plan.rindex("Exchange") < plan.index("MapInPandas")
+
+
+def test_cell_search_sends_few_rows_in_low_widths(spark, monkeypatch):
+    monkeypatch.setattr(neighbors, "CELL_ROWS", 10)
+    points = [(i, [float(i % 40), float(i // 40)]) for i in range(1600)]
+    df = spark.createDataFrame(points, "k bigint, p array<double>")
+    assert neighbors.knn(df, df, 4, "k", "p", broadcast_values=0).count() == 6400
+    rows = neighbors._rows(df, "k", "p", None)
+    sent = neighbors.cell_traffic(rows, rows, 5, False, 1600)
+    # Sending every row to every cell would be 256,000 rows.
+    assert sent["cells"] == 160 and 1600 <= sent["base_rows"] < 30_000
+
+
+def test_approximate_neighbours(spark):
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(30, 16)) * 6
+    points = [(i, int(i % 7 == 0), (centres[i % 30] + rng.normal(size=16)).tolist()) for i in range(900)]
+    points += [(900 + i, 0, [0.25] * 16) for i in range(450)]  # a third is one point
+    df = spark.createDataFrame(points, "k bigint, y int, p array<double>")
+    exact = {(r.k, r.neighbor) for r in neighbors.knn(df.where("k < 900"), df, 5, "k", "p", "y").collect()}
+    found = neighbors.knn_approximate(df, df, 5, "k", "p", "y", tables=10, bits=5, block=200).collect()
+    ours = {(r.k, r.neighbor) for r in found if r.k < 900}
+    assert len(ours & exact) >= 0.9 * len(exact)
+    assert all(r.k != r.neighbor for r in found) and max(r["rank"] for r in found) == 5
+    edited = {r.k for r in resample.edited_nn(df, "k", "y", "p", search=neighbors.knn_approximate).collect()}
+    whole = {r.k for r in resample.edited_nn(df, "k", "y", "p").collect()}
+    assert len(whole) < df.count() and len(edited ^ whole) <= 0.1 * len(whole)
+
+
+def test_tomek_links_by_all_pairs(spark):
+    rows, df = cloud(spark, n=90, copies=20)
+    nearest = {a: b for a, b, _ in brute_knn(rows, 1)}
+    label = {k: y for k, y, _ in rows}
+    links = sorted((c, r) for r, c in nearest.items() if label[r] == 1 and label[c] == 0 and nearest[c] == r)
+    assert pairs(resample.tomek_links(df, "k", "y", "p"), "common", "rare") == links
+
+
 def test_knn_with_fewer_rows_than_asked(spark):
     df = spark.createDataFrame([(1, [0.0]), (2, [1.0])], "k bigint, p array<double>")
     assert pairs(neighbors.knn(df, df, 5, "k", "p"), "k", "neighbor") == [(1, 2), (2, 1)]
