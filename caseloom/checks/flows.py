@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from caseloom.checks import sql
 from caseloom.checks.aggregates import (
@@ -19,6 +19,7 @@ from caseloom.functions.scalars import slugs
 from caseloom.plans import features as ft
 from caseloom.plans import train as tr
 
+KEY = ft.KEY
 PANEL_TESTS = ("click", "purchase", "view")
 OBSERVED = ("ALCOHOL", "BMI", "PAIN", "SBP", "SMOKE")
 VOCAB = ft.Vocabularies(OBSERVED, PANEL_TESTS, TESTS, CATEGORIES)
@@ -344,23 +345,64 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     return ft.profile_sizes({n: t for n, t in tables(spark, folder).items() if n in PROFILED})
 
 
-@query("train_and_evaluate")
+HELD_OUT = with_views(
+    ["target"],
+    f"""select count(*) filter (has_long_covid_diag = 1) as positives,
+          count(*) filter (has_long_covid_diag = 0) as negatives, true as fits
+        from target where {sql.fraction('patientid', tr.SEED)} < {tr.TEST_SHARE}""",
+)
+
+
+def held_out_facts(measured: DataFrame) -> DataFrame:
+    """Held-out rows of both classes, and whether the metrics fit them and each other."""
+    called = F.col("tp") + F.col("fp")
+    fits = (
+        (F.col("tp") + F.col("fn") == F.col("positives"))
+        & (called + F.col("fn") + F.col("tn") == F.col("positives") + F.col("negatives"))
+        & F.col("auc").between(0, 1)
+        & F.col("average_precision").between(0, 1)
+        # A thresholded score has two steps, so its area follows from the two rates.
+        & (F.abs(F.col("auc_hard") - (1 + F.col("sensitivity") - F.col("fpr")) / 2) < 1e-4)
+    )
+    return measured.select("positives", "negatives", fits.alias("fits"))
+
+
+@query("train_and_evaluate", HELD_OUT)
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    return tr.train_on(
-        spark,
-        tables(spark, folder),
-        view(spark, folder, "drug_dictionary"),
-        scratch(spark, "store"),
-        VOCAB,
-        LAB_MEASURES,
+    return held_out_facts(
+        tr.train_on(
+            spark,
+            tables(spark, folder),
+            view(spark, folder, "drug_dictionary"),
+            scratch(spark, "store"),
+            VOCAB,
+            LAB_MEASURES,
+        )
     )
 
 
-@query("train_save_load_score")
+@query(
+    "train_save_load_score",
+    with_views(
+        ["demo"],
+        """select 'even' as batch, patientid, true as sums from demo
+             where cast(substr(patientid, 2) as bigint) % 2 = 0
+           union all select 'third', patientid, true from demo
+             where cast(substr(patientid, 2) as bigint) % 3 = 0""",
+    ),
+)
 def _(spark: SparkSession, folder: str) -> DataFrame:
+    """Two batches of entities, that share some, scored one after the other under one store."""
     store = scratch(spark, "store")
     words = view(spark, folder, "drug_dictionary")
     tr.train_on(spark, tables(spark, folder), words, store, VOCAB, LAB_MEASURES)
-    unlabelled = tables(spark, folder, labelled=False)
-    return tr.score_on(spark, unlabelled, words, store, f"{store}/test", LAB_MEASURES)
+    number, parts = F.substring(KEY, 2, 20).cast("bigint"), []
+    for name, every in (("even", 2), ("third", 3)):
+        batch = {
+            n: t.where(number % every == 0) for n, t in tables(spark, folder, labelled=False).items()
+        }
+        scored = tr.score_on(spark, batch, words, store, f"{store}/{name}", LAB_MEASURES)
+        sums = F.abs(F.col("prediction") + F.col("p_positive") - 1) < 1e-12
+        parts.append(scored.select(F.lit(name).alias("batch"), KEY, sums.alias("sums")))
+    return parts[0].unionByName(parts[1])
 

@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+import numpy as np
+import pandas as pd
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from caseloom.checks import sql
 from caseloom.checks.fixtures import base, view, with_views
-from caseloom.checks.flows import build_master, tables
+from caseloom.checks.flows import HELD_OUT, build_master, held_out_facts, tables
 from caseloom.checks.registry import query, rounded
 from caseloom.checks.rows import scratch
-from caseloom.operators import metrics, models, neighbors, prep, resample
+from caseloom.operators import metrics, models, neighbors, prep, resample, rows
 from caseloom.operators.ranking import random_sample
 from caseloom.plans import features as ft
 from caseloom.plans import train as tr
+from caseloom.session import cut_lineage
 from caseloom.sources import tables as io
 
 # --- Imputing, scaling, splitting -------------------------------------------
@@ -362,13 +367,20 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     return _labelled(resample.edited_nn(_vectors(spark, folder), *COLUMNS))
 
 
+ROUNDS = 8
+
+
 @query(
     "repeated_edited_nearest_neighbours",
-    f"""with {VECTORS}, {_edited(1, 'e')}, {_edited(2, 'e1')}, {_edited(3, 'e2')}
-        select vec_id, y from e3""",
+    f"""with {VECTORS}, {', '.join(_edited(i + 1, f'e{i}' if i else 'e') for i in range(ROUNDS))},
+        settled as (select count(*) = 0 as yes from e{ROUNDS - 1}
+                    where vec_id not in (select vec_id from e{ROUNDS}))
+        select vec_id, y, (select yes from settled) as settled from e{ROUNDS}""",
 )
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    return _labelled(resample.repeated_edited_nn(_vectors(spark, folder), *COLUMNS, rounds=3))
+    """All rounds until nothing changes; the SQL has more rounds than that takes."""
+    edited = resample.repeated_edited_nn(_vectors(spark, folder), *COLUMNS)
+    return _labelled(edited).withColumn("settled", F.lit(True))
 
 
 def _links(source: str) -> str:
@@ -418,9 +430,25 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     return _labelled(resample.neighbourhood_cleaning(_vectors(spark, folder), *COLUMNS))
 
 
-@query("condensed_nearest_neighbours")
+@query(
+    "condensed_nearest_neighbours",
+    f"""with {PAIR} select (select count(*) from rare) as rare, (select count(*) from e) as rows,
+          cast(0 as bigint) as misjudged""",
+)
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    return _labelled(resample.condensed_nn(_vectors(spark, folder), *COLUMNS))
+    """Rare rows of the store, rows in and out of it, and common rows outside it misjudged."""
+    vectors = _vectors(spark, folder)
+    store = cut_lineage(resample.condensed_nn(vectors, *COLUMNS))
+    rest = vectors.where("y = 0").join(store.select("vec_id"), "vec_id", "left_anti")
+    wrong = neighbors.knn(rest, store, 1, "vec_id", "embedding", "y").where("neighbor_label = 1")
+    parts = [
+        store.select(F.col("y").alias("rare"), F.lit(1).alias("one"), F.lit(0).alias("bad")),
+        rest.select(F.lit(0).alias("rare"), F.lit(1).alias("one"), F.lit(0).alias("bad")),
+        wrong.select(F.lit(0).alias("rare"), F.lit(0).alias("one"), F.lit(1).alias("bad")),
+    ]
+    return reduce(DataFrame.unionByName, parts).agg(
+        F.sum("rare").alias("rare"), F.sum("one").alias("rows"), F.sum("bad").alias("misjudged")
+    )
 
 
 def _condensed(i: int) -> str:
@@ -508,14 +536,56 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     return _summed(resample.borderline_smote(_vectors(spark, folder), *COLUMNS))
 
 
-@query("svm_smote")
+EVEN = f"""with {PAIR} select (select count(*) from common) as zeros,
+  (select count(*) from common) as ones, (select count(*) from rare) as kept,
+  cast(0 as bigint) as astray"""
+# The rare rows a check may hold beside a batch of made ones.
+MOST_RARE = 20_000
+
+
+def _on_lines(spark: SparkSession, folder: str, sampler) -> DataFrame:
+    """Class sizes, original rare rows, and made rows on no line between two rare rows."""
+    vectors = _vectors(spark, folder)
+    grown = cut_lineage(sampler(vectors, *COLUMNS))
+    rare = vectors.where("y = 1").select(F.col("vec_id").cast("string").alias("seed"), "embedding")
+    if not rows.is_short(rare, MOST_RARE):
+        raise ValueError("too many rare rows to hold")
+    held = spark.sparkContext.broadcast(rare.toPandas())
+
+    def astray(batches):
+        ends = np.stack(held.value["embedding"].to_numpy()).astype(float)
+        place = dict(zip(held.value["seed"], range(len(ends))))
+        for batch in batches:
+            bad = 0
+            for seed, point in zip(batch["seed"], batch["embedding"]):
+                start = ends[place[seed]]
+                lines, way = ends - start, np.asarray(point, dtype=float) - start
+                length = np.maximum((lines * lines).sum(axis=1), 1e-300)
+                t = lines @ way / length
+                off = np.abs(way - t[:, None] * lines).max(axis=1)
+                bad += not ((off < 1e-6) & (t > -1e-9) & (t < 1 + 1e-9)).any()
+            yield pd.DataFrame({"bad": [bad]})
+
+    made = grown.where(F.col("vec_id").contains("~"))
+    seeded = made.select(F.substring_index("vec_id", "~", 1).alias("seed"), "embedding")
+    wrong = seeded.mapInPandas(astray, "bad long").agg(F.sum("bad").alias("astray"))
+    sizes = grown.agg(
+        F.count_if(F.col("y") == 0).alias("zeros"),
+        F.count_if(F.col("y") == 1).alias("ones"),
+        F.count_if((F.col("y") == 1) & ~F.col("vec_id").contains("~")).alias("kept"),
+    )
+    both = sizes.select("*", F.lit(1).alias("i")).join(wrong.select("*", F.lit(1).alias("i")), "i")
+    return both.select("zeros", "ones", "kept", F.coalesce("astray", F.lit(0)).alias("astray"))
+
+
+@query("svm_smote", EVEN)
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    return _summed(resample.svm_smote(_vectors(spark, folder), *COLUMNS))
+    return _on_lines(spark, folder, resample.svm_smote)
 
 
-@query("kmeans_smote")
+@query("kmeans_smote", EVEN)
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    return _summed(resample.kmeans_smote(_vectors(spark, folder), *COLUMNS))
+    return _on_lines(spark, folder, resample.kmeans_smote)
 
 
 @query(
@@ -541,9 +611,28 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     return _labelled(resample.smote_tomek(_vectors(spark, folder), *COLUMNS))
 
 
-@query("instance_hardness")
+@query(
+    "instance_hardness",
+    f"""with {PAIR} select (select count(*) from rare) as rare, true as enough,
+          cast(0 as bigint) as easier_dropped""",
+)
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    return _labelled(resample.instance_hardness(_vectors(spark, folder), *COLUMNS))
+    """Rare rows, whether as many common ones are kept, and dropped ones easier than a kept one."""
+    vectors = _vectors(spark, folder)
+    kept = cut_lineage(resample.instance_hardness(vectors, *COLUMNS))
+    easy = resample.instance_easiness(
+        vectors.withColumn("embedding", F.col("embedding").cast("array<double>")), *COLUMNS
+    )
+    marked = cut_lineage(
+        easy.join(kept.select("vec_id", F.lit(1).alias("in")), "vec_id", "left")
+    )
+    hardest = marked.where("in = 1").agg(F.min("_easy")).first()[0]
+    ones = kept.where("y = 1").count()
+    return marked.agg(
+        F.lit(ones).cast("bigint").alias("rare"),
+        (F.count("in") >= ones).alias("enough"),
+        F.count_if(F.col("in").isNull() & (F.col("_easy") > hardest)).alias("easier_dropped"),
+    )
 
 
 @query(
@@ -586,34 +675,121 @@ def _judged(model, matrix: DataFrame) -> DataFrame:
     return scored.select(ft.KEY, ft.LABEL, "prediction", "p_positive")
 
 
-@query("random_forest_scores")
+SCORED = with_views(
+    ["target"], "select count(*) as rows, cast(0 as bigint) as wrong from target"
+)
+
+
+def _retold(spark: SparkSession, model, matrix: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows, and rows whose score is not what the saved tree nodes add up to."""
+    path = scratch(spark, "trees")
+    model.write().save(path)
+    stage = f"{path}/stages/1_{model.stages[1].uid}"
+    nodes = spark.read.parquet(f"{stage}/data").select("treeID", "nodeData.*").toPandas()
+    trees = {t: g.set_index("id") for t, g in nodes.groupby("treeID")}
+    forest = "Forest" in model.stages[1].uid
+    weights = list(model.stages[1].treeWeights)
+
+    def tell(batches):
+        for batch in batches:
+            points = batch[columns].to_numpy(dtype=float)
+            total = np.zeros(len(batch))
+            for t, tree in trees.items():
+                for i, point in enumerate(points):
+                    node = tree.loc[0]
+                    while node["leftChild"] >= 0:
+                        cut = node["split"]
+                        low = point[cut["featureIndex"]] <= cut["leftCategoriesOrThreshold"][0]
+                        node = tree.loc[node["leftChild"] if low else node["rightChild"]]
+                    stats = node["impurityStats"]
+                    total[i] += stats[1] / sum(stats) if forest else weights[t] * node["prediction"]
+            told = total / len(trees) if forest else np.clip(total, 0.0, 1.0)
+            yield pd.DataFrame({ft.KEY: batch[ft.KEY], "told": told})
+
+    told = matrix.select(ft.KEY, *columns).repartition(8).mapInPandas(tell, f"{ft.KEY} string, told double")
+    return _judged(model, matrix).join(told, ft.KEY).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.abs(F.col("told") - F.col("p_positive")) > 1e-9).alias("wrong"),
+    )
+
+
+@query("random_forest_scores", SCORED)
 def _(spark: SparkSession, folder: str) -> DataFrame:
     matrix, columns = _matrix(spark, folder)
-    return rounded(_judged(models.random_forest(matrix, columns, ft.LABEL), matrix))
+    return _retold(spark, models.random_forest(matrix, columns, ft.LABEL), matrix, columns)
 
 
-@query("logistic_regression_scores")
+@query("boosted_trees_scores", SCORED)
 def _(spark: SparkSession, folder: str) -> DataFrame:
     matrix, columns = _matrix(spark, folder)
-    scaled = prep.standardise(matrix, columns)
-    return rounded(_judged(models.logistic(scaled, columns, ft.LABEL), scaled))
+    return _retold(spark, models.boosted_trees(matrix, columns, ft.LABEL), matrix, columns)
 
 
-@query("boosted_trees_scores")
+@query(
+    "logistic_regression_scores",
+    with_views(["target"], "select count(*) as rows, true as at_rest from target"),
+)
 def _(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows, and whether the gradient of the penalised loss is near 0 where training ended."""
     matrix, columns = _matrix(spark, folder)
-    return rounded(_judged(models.boosted_trees(matrix, columns, ft.LABEL), matrix))
+    scaled = cut_lineage(prep.standardise(matrix, columns))
+    strength = 1e-3
+    model = models.logistic(scaled, columns, ft.LABEL, strength)
+    weights = model.stages[1].coefficients.toArray()
+    error = F.col("p_positive") - F.col(ft.LABEL)
+    slopes = [F.avg(error * F.col(c)).alias(f"g{i}") for i, c in enumerate(columns)]
+    spread = [F.stddev_samp(c).alias(f"s{i}") for i, c in enumerate(columns)]
+    scored = models.with_scores(model, scaled)
+    facts = scored.agg(F.count(F.lit(1)).alias("rows"), F.avg(error).alias("g"), *slopes, *spread).first()
+    # The penalty acts on the weights of columns of unit spread.
+    rest = [facts["g"]] + [
+        facts[f"g{i}"] / facts[f"s{i}"] + strength * w * facts[f"s{i}"]
+        for i, w in enumerate(weights)
+        if facts[f"s{i}"]
+    ]
+    return scored.agg(
+        F.count(F.lit(1)).alias("rows"), F.lit(max(map(abs, rest)) < 1e-3).alias("at_rest")
+    )
+
 
+RANKED = "select true as ordered, true as shared_out, cast(0 as bigint) as below_zero"
 
-@query("extra_trees_importance")
+
+def _ranked(ranking: DataFrame, forest) -> DataFrame:
+    """Whether ranks follow importance without gaps and importances share out 1, or nothing
+    where no tree has a split."""
+    whole = 1 if forest.totalNumNodes > forest.getNumTrees else 0
+    after = Window.orderBy("rank")
+    falls = F.col("importance") <= F.lag("importance", 1, float("inf")).over(after)
+    placed = F.col("rank") == F.row_number().over(after)
+    return ranking.select("importance", (falls & placed).alias("fits")).agg(
+        F.every("fits").alias("ordered"),
+        (F.abs(F.sum("importance") - whole) < 1e-9).alias("shared_out"),
+        F.count_if(F.col("importance") < 0).alias("below_zero"),
+    )
+
+
+@query("extra_trees_importance", RANKED)
 def _(spark: SparkSession, folder: str) -> DataFrame:
     matrix, columns = _matrix(spark, folder)
     model = models.extra_trees(matrix, columns, ft.LABEL)
-    return rounded(models.rank_importance(model, columns, matrix))
+    return _ranked(models.rank_importance(model, columns, matrix), model.stages[-1])
 
 
-@query("select_features")
+@query(
+    "select_features",
+    """select cast(row_number() over (order by f) + 20 as int) as rank, f as feature
+       from (values ('earliest_to_covid_diag'), ('latest_to_covid_diag')) v(f)
+       union all select cast(i as int), null from range(1, 21) t(i)""",
+)
 def _(spark: SparkSession, folder: str) -> DataFrame:
+    """Ranks of the chosen features; names of the forced ones where they come last."""
+    chosen = _selected(spark, folder)
+    forced = F.col("feature").isin(*tr.FORCED) & (F.col("rank") > tr.TOP_FEATURES)
+    return chosen.select("rank", F.when(forced, F.col("feature")).alias("feature"))
+
+
+def _selected(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch(spark, "master")
     master = io.stage(spark, path, lambda: build_master(spark, folder))
     cleaned = ft.clean_matrix(
@@ -638,7 +814,7 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 def _(spark: SparkSession, folder: str) -> DataFrame:
     matrix, columns = _matrix(spark, folder)
     path = scratch(spark, "model")
-    model = models.random_forest(matrix, columns, ft.LABEL, numTrees=10)
+    model = models.random_forest(matrix, columns, ft.LABEL)
     model.write().save(path)
     before = _judged(model, matrix)
     after = _judged(PipelineModel.load(path), matrix).select(
@@ -669,10 +845,12 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     return random_sample(orders, "o_orderkey", 2000, 5)
 
 
-@query("train_with_fitted_vocabularies")
+@query("train_with_fitted_vocabularies", HELD_OUT)
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    return tr.train_on(
-        spark, tables(spark, folder), view(spark, folder, "drug_dictionary"),
-        scratch(spark, "store"),
-    ).select("rows", "positives", "negatives", "auc")
+    return held_out_facts(
+        tr.train_on(
+            spark, tables(spark, folder), view(spark, folder, "drug_dictionary"),
+            scratch(spark, "store"),
+        )
+    )
 

@@ -382,13 +382,10 @@ def neighbourhood_cleaning(
     return rows.join(noisy.unionByName(outvoting), key, "left_anti")
 
 
-def instance_hardness(
-    df: DataFrame, key: str, label: str, point: str, folds: int = 5, seed: int = SEED
+def instance_easiness(
+    rows: DataFrame, key: str, label: str, point: str, folds: int = 5, seed: int = SEED
 ) -> DataFrame:
-    """The common rows that models which never saw them find easiest."""
-    rows, zeros, ones = _parts(df, key, label, point)
-    if zeros <= ones:
-        return rows
+    """``_easy`` of every common row: P(common) by a model that never saw it."""
     dealt = cut_lineage(stratified_folds(rows, key, label, folds, seed)).withColumn(
         "_v", array_to_vector(point)
     )
@@ -399,7 +396,17 @@ def instance_hardness(
         )
         judged = fitted.transform(_common(dealt.where(F.col("fold") == fold), label))
         scored.append(judged.select(key, vector_to_array("probability")[0].alias("_easy")))
-    easy = cut_lineage(reduce(DataFrame.unionByName, scored))
+    return reduce(DataFrame.unionByName, scored)
+
+
+def instance_hardness(
+    df: DataFrame, key: str, label: str, point: str, folds: int = 5, seed: int = SEED
+) -> DataFrame:
+    """The common rows that models which never saw them find easiest."""
+    rows, zeros, ones = _parts(df, key, label, point)
+    if zeros <= ones:
+        return rows
+    easy = cut_lineage(instance_easiness(rows, key, label, point, folds, seed))
     threshold = exact_quantiles(easy, ["_easy"], [1 - ones / zeros])["_easy"][0]
     kept = easy.where(F.col("_easy") >= threshold).select(key)
     return _rare(rows, label).unionByName(_common(rows, label).join(kept, key, "left_semi"))
