@@ -43,9 +43,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, with digests of the ids and of the text they decode to."""
-    path = public_tokenizers.path("byte_bpe_50k.json")
-    decoded = bpe.decode(bpe.encode(docs, path), path)
-    return decoded.select(
+    return bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.json")).select(
         F.col("id").alias("doc_id"),
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
