@@ -40,7 +40,9 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 SHORT = 64
 #: Words are worked on in arrays of these widths.
 WIDTHS = [next(w for w in (4, 6, 8, 10, 12, 16, 24, 32, SHORT) if n <= w) for n in range(SHORT + 1)]
-KEPT = 400_000
+KEPT = 350_000
+#: Rows of a batch that are Python objects at a time.
+ROWS = 500
 LARGEST_FILE = 64 << 20
 NO_RANK = np.int32(2**31 - 1)
 
@@ -287,6 +289,29 @@ def _runs(texts: list, size: int = 1 << 21) -> Iterator[list]:
         yield run
 
 
+def _lists(coded: list[bytes]) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, coded)]) // 4
+    flat = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(coded))])
+    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), flat)
+
+
+def _encoded(batch: pa.RecordBatch, coder: Bpe) -> Iterator[tuple[pa.Array, pa.ListArray]]:
+    """Ids of rows and of their texts, a few texts at a time."""
+    for start in range(0, batch.num_rows, ROWS):
+        some, at = batch.slice(start, ROWS), 0
+        for texts in _runs([t or "" for t in some.column(1).to_pylist()]):
+            yield some.column(0).slice(at, len(texts)), _lists(coder.encode_batch(texts))
+            at += len(texts)
+
+
+def _decoded(lists: pa.ListArray, coder: Bpe) -> pa.Array:
+    sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
+    texts = coder.decode_batch(lists.flatten().to_numpy(), np.cumsum(sizes))
+    if lists.null_count:
+        return pc.if_else(lists.is_valid(), texts, pa.scalar(None, pa.string()))
+    return texts
+
+
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id`` and ``ids`` (array of int) of every text."""
     vocabulary = docs.sparkSession.sparkContext.broadcast(_content(path))
@@ -294,14 +319,8 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = bpe(vocabulary.value)
         for batch in batches:
-            at = 0
-            for texts in _runs([t or "" for t in batch.column(1).to_pylist()]):
-                ids = coder.encode_batch(texts)
-                ends = np.cumsum([0, *map(len, ids)]) // 4
-                flat = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(ids))])
-                lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), flat)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(texts)), lists], ["id", "ids"])
-                at += len(texts)
+            for rows, lists in _encoded(batch, coder):
+                yield pa.RecordBatch.from_arrays([rows, lists], ["id", "ids"])
 
     kind = dict(docs.dtypes)[id_col]
     return map_batches(docs.select(id_col, text_col), run, f"id {kind}, ids array<int>")
@@ -314,14 +333,24 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = bpe(vocabulary.value)
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                some = batch.slice(at, 500)
-                lists = some.column(1)
-                sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
-                texts = coder.decode_batch(lists.flatten().to_numpy(), np.cumsum(sizes))
-                if lists.null_count:
-                    texts = pc.if_else(lists.is_valid(), texts, pa.scalar(None, pa.string()))
+            for at in range(0, batch.num_rows, ROWS):
+                some = batch.slice(at, ROWS)
+                texts = _decoded(some.column(1), coder)
                 yield pa.RecordBatch.from_arrays([*some.columns, texts], ["id", "ids", "text"])
 
     kind = dict(encoded.dtypes)["id"]
     return map_batches(encoded.select("id", "ids"), run, f"id {kind}, ids array<int>, text string")
+
+
+def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """As ``decode`` of ``encode``, in one pass and one Python worker per task."""
+    vocabulary = docs.sparkSession.sparkContext.broadcast(_content(path))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = bpe(vocabulary.value)
+        for batch in batches:
+            for rows, lists in _encoded(batch, coder):
+                yield pa.RecordBatch.from_arrays([rows, lists, _decoded(lists, coder)], ["id", "ids", "text"])
+
+    kind = dict(docs.dtypes)[id_col]
+    return map_batches(docs.select(id_col, text_col), run, f"id {kind}, ids array<int>, text string")

@@ -37,8 +37,7 @@ def op2_personal_data(spark: SparkSession, folder: str) -> DataFrame:
 @query("op3_bpe_round_trip")
 def op3_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
-    decoded = bpe.decode(bpe.encode(table(spark, folder, "documents"), path), path)
-    return decoded.select(
+    return bpe.round_trip(table(spark, folder, "documents"), path).select(
         F.col("id").alias("doc_id"),
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
