@@ -43,7 +43,7 @@ def as_bytes(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.large_binary() if large else pa.binary()).to_pylist()
 
 
-def chunks(texts: list[bytes | None], size: int = 1 << 20) -> Iterator[tuple[int, list[bytes]]]:
+def chunks(texts: list[bytes | None], size: int = 1 << 19) -> Iterator[tuple[int, list[bytes]]]:
     """Consecutive runs of texts of about ``size`` bytes each, with the place of the first.
 
     A text is never cut, so one longer than ``size`` makes a run of its own.

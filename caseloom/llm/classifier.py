@@ -48,6 +48,16 @@ def features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate((words.hash, both)) >> shift).astype(np.int64), where
 
 
+def shares(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct features of each text, their shares of its features, and where each text begins."""
+    found, where = features(texts)
+    key, counts = np.unique(where << BITS | found, return_counts=True)
+    text = key >> BITS
+    total = np.bincount(where, minlength=len(texts))
+    cut = np.searchsorted(text, np.arange(len(texts) + 1))
+    return (key & ((1 << BITS) - 1)).astype(np.int32), (counts / total[text]).astype(np.float32), cut
+
+
 class Ftrl:
     """Follow-the-regularised-leader, proximal, with a rate for each weight."""
 
@@ -76,22 +86,20 @@ def train(labelled: DataFrame, text_col: str = "text", label_col: str = "label")
     one = labelled.select("turn", F.col(text_col).alias("text"), F.col(label_col).cast("int").alias("label"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows: list[tuple[np.ndarray, np.ndarray, int]] = []
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray, list[int]]] = []
         bias = 1 << BITS
         for batch in batches:
             labels = batch.column(2).to_pylist()
             for start, texts in chunks(as_bytes(batch.column(1))):
-                found, where = features(texts)
-                order = np.argsort(where, kind="stable")
-                cut = np.searchsorted(where[order], np.arange(len(texts) + 1))
-                for i in range(len(texts)):
-                    at, counts = np.unique(found[order[cut[i] : cut[i + 1]]], return_counts=True)
-                    values = (SCALE * counts / max(1, counts.sum())).astype(np.float32)
-                    rows.append((np.append(at, bias).astype(np.int32), np.append(values, np.float32(1)), labels[start + i]))
+                held.append((*shares(texts), labels[start : start + len(texts)]))
         model = Ftrl(bias + 1)
         for _ in range(EPOCHS):
-            for at, values, label in rows:
-                model.update(at, values.astype(np.float64), label)
+            for at, values, cut, own in held:
+                for i, label in enumerate(own):
+                    one = slice(cut[i], cut[i + 1])
+                    model.update(
+                        np.append(at[one], bias), np.append(SCALE * values[one].astype(np.float64), 1.0), label
+                    )
         yield pa.RecordBatch.from_arrays([pa.array([model.weights().tobytes()], pa.binary())], ["weights"])
 
     trained = map_batches(one.repartition(1).sortWithinPartitions("turn", "label", "text"), run, "weights binary")

@@ -30,7 +30,7 @@ def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
 
 def powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse; the length is rounded up and kept."""
-    return _powers(max(1 << 21, 1 << (size - 1).bit_length()))
+    return _powers(max(1 << 20, 1 << (size - 1).bit_length()))
 
 
 def mixed(values: np.ndarray) -> np.ndarray:

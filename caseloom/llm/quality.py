@@ -142,41 +142,42 @@ def raw_scores(texts: list[bytes], model: Model) -> np.ndarray:
     return of_words + of_chars + model.bias
 
 
-def _sparse(texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Feature numbers (characters behind words, the bias last) and shares of each text."""
+def _sparse(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct features of each text (characters behind words), their shares among its word
+    or its character features, and where each text begins."""
     run = Run.of(texts)
     found, where = word_features(run)
-    order = np.argsort(where, kind="stable")
-    cut = np.searchsorted(where[order], np.arange(len(texts) + 1))
-    chars = char_features(run)
-    rows = []
-    for i in range(len(texts)):
-        at, n = np.unique(found[order[cut[i] : cut[i + 1]]], return_counts=True)
-        at4, n4 = np.unique(chars[run.begins[i] : run.ends[i]], return_counts=True)
-        rows.append(
-            (
-                np.concatenate((at, at4.astype(np.int64) + (1 << BITS), [2 << BITS])).astype(np.int32),
-                np.concatenate((n / max(1, n.sum()), n4 / max(1, n4.sum()), [1.0])).astype(np.float32),
-            )
-        )
-    return rows
+    chars = char_features(run).astype(np.int64) + (1 << BITS)
+    inside = np.repeat(np.arange(len(texts)), run.ends - run.begins)
+    place = np.arange(len(inside)) + inside  # one byte stands behind each text
+    key = np.concatenate((where * (2 << BITS) + found, inside * (2 << BITS) + chars[place]))
+    key, counts = np.unique(key, return_counts=True)
+    text, at = key // (2 << BITS), key % (2 << BITS)
+    totals = np.stack((np.bincount(where, minlength=len(texts)), run.ends - run.begins))
+    share = (counts / totals[(at >> BITS), text]).astype(np.float32)
+    return at.astype(np.int32), share, np.searchsorted(text, np.arange(len(texts) + 1))
 
 
 def _logistic(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -35, 35)))
 
 
-def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, rate: float = 4.0, batch: int = 8) -> np.ndarray:
-    """Weights by AdaGrad over mini-batches, both labels weighing the same."""
+Rows = list[tuple[np.ndarray, np.ndarray]]
+
+
+def fit(rows: Rows, labels: np.ndarray, rate: float = 4.0, batch: int = 8) -> np.ndarray:
+    """Weights, the bias last, by AdaGrad over mini-batches, both labels weighing the same."""
     size = (2 << BITS) + 1
     weights, squares = np.zeros(size), np.full(size, 1e-6)
     share = np.array([0.5 / max(1, (labels == v).sum()) for v in (0, 1)]) * len(labels)
     for _ in range(EPOCHS):
         for start in range(0, len(rows), batch):
             some = rows[start : start + batch]
-            at = np.concatenate([a for a, _ in some])
-            values = np.concatenate([v for _, v in some]).astype(np.float64)
+            bias = np.full(len(some), size - 1, dtype=np.int32)
+            at = np.concatenate([*(a for a, _ in some), bias])
+            values = np.concatenate([*(v for _, v in some), np.ones(len(some))]).astype(np.float64)
             own = np.repeat(np.arange(len(some)), [len(a) for a, _ in some])
+            own = np.concatenate((own, np.arange(len(some))))
             p = _logistic(np.bincount(own, weights=weights[at] * values, minlength=len(some)))
             y = labels[start : start + batch]
             error = (p - y) * share[y] / len(some)
@@ -208,11 +209,13 @@ def train(labelled: DataFrame) -> Model:
     """The classifier from ``turn``, ``text``, ``label``; every fourth turn calibrates."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, labels, held, held_labels, kept = [], [], [], [], []
+        rows, labels, held_labels, kept = [], [], [], []
         for batch in batches:
             turns, marks = batch.column(0).to_pylist(), batch.column(2).to_pylist()
             for start, texts in chunks(as_bytes(batch.column(1))):
-                for i, row in enumerate(_sparse(texts)):
+                at, share, cut = _sparse(texts)
+                for i in range(len(texts)):
+                    row = at[cut[i] : cut[i + 1]], share[cut[i] : cut[i + 1]]
                     if turns[start + i] % 4 == 3:
                         kept.append(row)
                         held_labels.append(marks[start + i])
@@ -225,7 +228,7 @@ def train(labelled: DataFrame) -> Model:
         weights = fit(rows, labels)
         slope, offset = 1.0, 0.0
         if len(set(held_labels.tolist())) == 2:
-            held = np.array([weights[at] @ v.astype(np.float64) for at, v in kept])
+            held = np.array([weights[at] @ v.astype(np.float64) + weights[-1] for at, v in kept])
             slope, offset = calibrate(held, held_labels)
         yield pa.RecordBatch.from_arrays(
             [pa.array([weights.tobytes()], pa.binary()), pa.array([slope]), pa.array([offset])],
