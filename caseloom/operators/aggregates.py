@@ -172,22 +172,6 @@ def panel(
     )
 
 
-def panel_by_joins(
-    df: DataFrame, key: str, label: str, value: str, measures: Sequence[Measure]
-) -> DataFrame:
-    """The same table as a left join per measure from the entity spine.
-
-    Costs a scan and a shuffle per measure; kept to show both forms agree.
-    """
-    wide = df.where(present(key)).select(key).distinct()
-    for m in measures:
-        one = df.where(F.col(label) == m.label).groupBy(key)
-        wide = wide.join(
-            one.agg(*measure_columns(F.col(label), F.col(value), [m])), key, "left"
-        )
-    return wide
-
-
 def consistent_label(
     df: DataFrame, key: str, value: str, keep_null_rows: bool = False
 ) -> DataFrame:

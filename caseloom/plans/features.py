@@ -35,7 +35,6 @@ from caseloom.functions.scalars import (
 from caseloom.operators.aggregates import (
     Measure,
     all_value_counts,
-    consistent_label,
     count_pivot,
     entity_span,
     label_set,
@@ -281,29 +280,9 @@ def observation_features(
     types: Sequence[str],
     measures: Sequence[Measure] = OBSERVATION_MEASURES,
 ) -> DataFrame:
-    """Numeric panel plus the smoking and drinking status of consistent entities.
-
-    The status columns are text and aggregate by sorting, so they are kept out of the
-    hashed numeric aggregate and merged afterwards without another shuffle.
-    """
-    rows = keep_in_vocab(observations, "obs_type", types)
-    label = label_with_unit("obs_type", "obs_unit")
-    dated = F.col(DAY).isNotNull()
-    valued = dedup(rows).select(
-        KEY, label.alias("label"), F.when(dated, to_number("obs_result")).alias("value")
-    )
-    smoke = rows.where(label == SMOKE_LABEL).select(KEY, F.col("obs_result").alias("SMOKE"))
-    alcohol = rows.where((label == ALCOHOL_LABEL) & dated).select(
-        KEY, F.col("obs_result").alias("ALCOHOL")
-    )
-    return merge_outer(
-        [
-            panel(valued, KEY, "label", "value", measures),
-            consistent_label(smoke, KEY, "SMOKE"),
-            consistent_label(alcohol, KEY, "ALCOHOL"),
-        ],
-        KEY,
-    )
+    """Numeric panel plus the smoking and drinking status of consistent entities."""
+    found = observation_part(keep_in_vocab(observations, "obs_type", types), types, measures)
+    return found.drop("_from_obs", "_to_obs", "_in_obs")
 
 
 def demographics(demo: DataFrame) -> DataFrame:

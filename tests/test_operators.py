@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from caseloom.operators import aggregates as ag
 from caseloom.operators import merge, metrics, models, neighbors, prep, quantiles, ranking, resample
+from caseloom.checks.aggregates import panel_by_joins
 from caseloom.operators.aggregates import Measure
 
 
@@ -47,7 +48,7 @@ def test_panel_equals_joins(spark):
     df = spark.createDataFrame(rows, "id string, m string, v double")
     specs = [Measure("x", "X"), Measure("y", "Y", ("min", "mean"), high=100), Measure("q", "Q")]
     wide = ag.panel(df, "id", "m", "v", specs)
-    chain = ag.panel_by_joins(df, "id", "m", "v", specs).select(*wide.columns)
+    chain = panel_by_joins(df, "id", "m", "v", specs).select(*wide.columns)
     assert sorted(map(repr, wide.collect())) == sorted(map(repr, chain.collect()))
 
 
