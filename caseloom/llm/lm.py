@@ -36,7 +36,7 @@ from caseloom.llm.arrow import as_bytes, chunks, map_batches
 from caseloom.session import cut_lineage
 
 DEPTH = 3
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 16 << 20
 #: The largest table by pairs of byte pairs; above it byte strings are sorted instead.
 LARGEST_TABLE = 1 << 24
 #: The token that ends a text; no word is empty.
