@@ -37,6 +37,12 @@ def map_batches(df: DataFrame, function, schema: str) -> DataFrame:
     return df.mapInArrow(function, schema)
 
 
+def free_name(df: DataFrame, stem: str) -> str:
+    """A column name that ``df`` does not have, in capital or small letters."""
+    taken = {c.lower() for c in df.columns}
+    return next(name for i in range(len(taken) + 1) if (name := f"{stem}{i}") not in taken)
+
+
 def as_bytes(column: pa.Array) -> list[bytes | None]:
     """The UTF-8 of each text; nulls stay ``None``."""
     large = pa.types.is_large_string(column.type)

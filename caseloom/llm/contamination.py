@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.taskcontext import TaskContext
 
-from caseloom.llm.arrow import as_bytes, map_batches
+from caseloom.llm.arrow import as_bytes, free_name, map_batches
 from caseloom.session import cut_lineage
 
 SEGMENT_TOKENS = 2_000_000
@@ -354,7 +354,7 @@ def remove_contaminated(
     docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text", **parameters
 ) -> DataFrame:
     """The rows of ``docs`` in which no window of the test set occurs, with all their columns."""
-    key = next(f"key{i}" for i in range(len(docs.columns) + 1) if f"key{i}" not in docs.columns)
+    key = free_name(docs, "key")
     keyed = docs.withColumn(key, F.xxhash64(text_col))
     named = keyed.select(F.struct(F.col(id_col).alias("id"), F.col(key).alias("text_key")).alias("row"), text_col)
     marked = mark(named, bench, "row", text_col, **parameters)

@@ -29,7 +29,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from caseloom.llm.arrow import as_bytes, map_batches
+from caseloom.llm.arrow import as_bytes, free_name, map_batches
 from caseloom.session import cut_lineage
 
 PARTS = 4
@@ -222,7 +222,7 @@ def deduplicate(
     named = docs.select(row_name(docs, id_col, text_col).alias("row"), text_col)
     leaders = near_duplicates(named, "row", text_col, words, radius).select("component.*").distinct()
     leaders = leaders.select(F.col("id").alias("lead_id"), "text_key")
-    key = next(f"key{i}" for i in range(len(docs.columns) + 1) if f"key{i}" not in docs.columns)
+    key = free_name(docs, "key")
     keyed = docs.withColumn(key, F.xxhash64(text_col))
     same = keyed[id_col].eqNullSafe(leaders["lead_id"]) & (keyed[key] == leaders["text_key"])
     return keyed.join(leaders, same, "left_semi").dropDuplicates([id_col, key]).drop(key)

@@ -61,7 +61,7 @@ def docs(spark):
     return plain.select(
         F.lit("x").alias("id"), F.lit(1.5).alias("score"), F.lit(None).cast("string").alias("lang"), "doc_id", "text",
         F.length("text").cast("long").alias("n_chars"), F.lit(0).alias("fp"), F.lit(True).alias("kept"),
-        F.lit("k").alias("key0"), F.lit(3).alias("segment"), F.lit(1).alias("block"),
+        F.lit("k").alias("Key0"), F.lit(3).alias("segment"), F.lit(1).alias("block"),
     ).repartition(3, "text")
 
 
