@@ -16,6 +16,8 @@ def local_session(cores: int | str = 8, app: str = "caseloom", **conf: str) -> S
         "spark.driver.memory": "12g",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
+        # Checkpoint files go when nothing refers to them any more.
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         **conf,
     }
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
