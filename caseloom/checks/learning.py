@@ -646,12 +646,60 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     return resample.resample_counts(vectors, resample.edited_nn(vectors, *COLUMNS), "y")
 
 
-@query("resampling_study")
+STUDIED = ("none", "smote", "near_miss_1")
+STUDY_FOLDS = 3
+
+
+@query(
+    "resampling_study",
+    f"""with {VECTORS},
+        dealt as (select y, cast((row_number() over (partition by y order by {sql.digest('vec_id', 37)}, vec_id) - 1)
+                    % {STUDY_FOLDS} as int) as fold from e),
+        f as (select cast(i as int) as fold from range({STUDY_FOLDS}) t(i)),
+        sized as (select f.fold,
+            count(*) filter (d.fold = f.fold and y = 1) as positives,
+            count(*) filter (d.fold = f.fold and y = 0) as negatives,
+            count(*) filter (d.fold <> f.fold and y = 0) as zeros,
+            count(*) filter (d.fold <> f.fold and y = 1) as ones
+          from f join dealt d on true group by f.fold)
+        select sampler, model, fold, positives, negatives, zeros as zeros_before, ones as ones_before,
+          case sampler when 'near_miss_1' then ones else zeros end as zeros_after,
+          case sampler when 'smote' then zeros else ones end as ones_after, true as fits
+        from sized join (values ('none'), ('smote'), ('near_miss_1')) s(sampler) on true
+          join (values ('logistic'), ('forest')) m(model) on true""",
+)
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """Class sizes of every part, and whether its metrics are those of its held-out rows."""
+    study = resample.resampling_study(_vectors(spark, folder), *COLUMNS, STUDIED, folds=STUDY_FOLDS)
+    fits = (
+        (F.col("tp") + F.col("fn") == F.col("positives"))
+        & (F.col("fp") + F.col("tn") == F.col("negatives"))
+        & F.col("auc").between(0, 1)
+        & F.col("average_precision").between(0, 1)
+    )
+    return study.select(
+        "sampler", "model", "fold", "positives", "negatives", "zeros_before", "ones_before", "zeros_after",
+        "ones_after", fits.alias("fits"),
+    )
+
+
+@query(
+    "resampling_study_summary",
+    f"""select sampler, model, cast({STUDY_FOLDS} as bigint) as folds, true as spread
+        from (values ('none'), ('smote')) s(sampler) join (values ('logistic')) m(model) on true""",
+)
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    study = resample.resampling_study(
-        _vectors(spark, folder), *COLUMNS, ["none", "smote", "near_miss_1"], folds=3
+    study = cut_lineage(
+        resample.resampling_study(
+            _vectors(spark, folder), *COLUMNS, ("none", "smote"), folds=STUDY_FOLDS, models=("logistic",)
+        )
+    )
+    means = resample.study_summary(study)
+    edges = study.groupBy("sampler", "model").agg(F.min("auc").alias("low"), F.max("auc").alias("high"))
+    spread = F.col("auc_mean").between(F.col("low"), F.col("high")) & (
+        F.col("auc_std") <= F.col("high") - F.col("low")
     )
-    return rounded(study)
+    return means.join(edges, ["sampler", "model"]).select("sampler", "model", "folds", spread.alias("spread"))
 
 
 # --- Models -----------------------------------------------------------------

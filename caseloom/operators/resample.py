@@ -6,10 +6,11 @@ returns rows of the same three columns.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.ml.classification import LinearSVC, LogisticRegression
+from pyspark.ml.classification import LinearSVC, LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
@@ -49,7 +50,13 @@ def interpolate(
 
     ``seeds`` carries ``_copies``, the number of new rows per seed row.
     """
-    hits = knn(seeds, pool, k, key, point, label)
+    return between(seeds, pool, knn(seeds, pool, k, key, point, label), key, label, point, seed)
+
+
+def between(
+    seeds: DataFrame, pool: DataFrame, hits: DataFrame, key: str, label: str, point: str, seed: int
+) -> DataFrame:
+    """New rare rows between each seed row and those of the neighbours listed in ``hits``."""
     choice = hits.groupBy(key).agg(
         F.array_sort(F.collect_list(F.struct("rank", "neighbor"))).alias("hits")
     )
@@ -160,9 +167,10 @@ def borderline_smote(
 
 
 def svm_smote(
-    df: DataFrame, key: str, label: str, point: str, k: int = 5, seed: int = SEED
+    df: DataFrame, key: str, label: str, point: str, k: int = 5, m: int = 10, seed: int = SEED
 ) -> DataFrame:
-    """SMOTE from the rare rows a linear separator leaves inside its margin.
+    """SMOTE from the rare rows a linear separator leaves inside its margin, without those
+    whose ``m`` nearest rows are all common.
 
     An approximation: the separator is linear and new rows are only interpolated.
     """
@@ -173,7 +181,9 @@ def svm_smote(
     model = LinearSVC(featuresCol="_v", labelCol=label, maxIter=50).fit(vectors)
     scored = model.transform(_rare(vectors, label))
     inside = vector_to_array("rawPrediction")[1] <= 1
-    seeds = scored.where(inside).select(key, label, point)
+    seeds = cut_lineage(scored.where(inside).select(key, label, point))
+    noise = knn(seeds, rows, m, key, point, label).groupBy(key).agg(F.max("neighbor_label").alias("_near"))
+    seeds = seeds.join(noise.where(F.col("_near") == 0), key, "left_anti")
     return _from_seeds(rows, seeds, key, label, point, zeros - ones, k, seed)
 
 
@@ -183,36 +193,48 @@ def kmeans_smote(
 ) -> DataFrame:
     """SMOTE inside the clusters whose rare share is at least the overall one.
 
-    Sparser clusters, by mean neighbour distance, receive more of the new rows.
+    Sparser clusters receive more of the new rows: a cluster weighs its typical distance
+    between two rare rows (the root of the mean square, from sums alone), raised to a power
+    that grows with its size, over its number of rare rows. One search finds the neighbours
+    of all clusters: a coordinate more than any distance sets clusters apart.
     """
     rows, zeros, ones = _parts(df, key, label, point)
     if ones < 2 or zeros <= ones:
         return with_text_keys(rows, key)
     vectors = rows.withColumn("_v", array_to_vector(point))
     model = KMeans(k=clusters, featuresCol="_v", predictionCol="_cluster", seed=seed).fit(vectors)
-    placed = model.transform(vectors).select(key, label, point, "_cluster")
-    sizes = placed.groupBy("_cluster").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(label).alias("rare")
+    placed = cut_lineage(model.transform(vectors).select(key, label, point, "_cluster"))
+    square = F.aggregate(point, F.lit(0.0), lambda acc, x: acc + x * x)
+    width = rows.agg(F.max(F.size(point))).first()[0]
+    only = F.when(F.col(label) == 1, F.lit(1))
+    sums = [F.sum(only * F.get(point, F.lit(i))).alias(f"s{i}") for i in range(width)]
+    facts = placed.groupBy("_cluster").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(label).alias("rare"), F.sum(only * square).alias("square"), *sums
     )
-    chosen = [
-        r for r in sizes.collect() if r.rare > 1 and r.rare / r.n >= ones / (zeros + ones)
-    ]
-    pools, spread = {}, {}
-    for r in chosen:
-        pool = _rare(placed.where(F.col("_cluster") == r["_cluster"]), label).drop("_cluster")
-        mean = knn(pool, pool, k, key, point, label).agg(F.avg("distance")).first()[0]
-        pools[r["_cluster"]], spread[r["_cluster"]] = (pool, r.rare), mean or 0.0
-    total = sum(spread.values())
-    made = [with_text_keys(rows, key)]
-    left = zeros - ones
-    for i, (cluster, (pool, size)) in enumerate(pools.items()):
-        last = i == len(pools) - 1
-        extra = left if last else round((zeros - ones) * spread[cluster] / (total or 1.0))
-        extra = min(extra, left)
+    weights = {}
+    for r in facts.collect():
+        if r.rare > 1 and r.rare / r.n >= ones / (zeros + ones):
+            mean = sum(r[f"s{i}"] ** 2 for i in range(width)) / r.rare
+            apart = math.sqrt(max(0.0, 2 * (r.square - mean) / (r.rare - 1)))
+            power = math.log(r.rare, 1.6) ** 1.8 * 0.16
+            weights[r["_cluster"]] = r.rare, apart**power / r.rare
+    if not weights:
+        return with_text_keys(rows, key)
+    pool = _rare(placed, label).where(F.col("_cluster").isin(list(weights)))
+    total, left, numbered = sum(w for _, w in weights.values()), zeros - ones, []
+    for i, (cluster, (size, weight)) in enumerate(weights.items()):
+        share = weight / total if total else 1 / len(weights)
+        extra = left if i == len(weights) - 1 else min(left, round((zeros - ones) * share))
         left -= extra
-        seeds = copy_numbers(pool, key, extra, size, seed)
-        made.append(interpolate(seeds, pool, key, label, point, k, seed))
-    return reduce(DataFrame.unionByName, made)
+        numbered.append(copy_numbers(pool.where(F.col("_cluster") == cluster), key, extra, size, seed))
+    seeds = cut_lineage(reduce(DataFrame.unionByName, numbered))
+    far = 4 * math.sqrt(rows.agg(F.max(square)).first()[0] or 0.0) + 1
+    set_apart = F.concat(F.col(point), F.array(F.col("_cluster") * F.lit(far)))
+    apart = pool.withColumn(point, set_apart)
+    hits = knn(apart, apart, k, key, point, "_cluster")
+    own = hits.join(pool.select(key, "_cluster"), key).where(F.col("neighbor_label") == F.col("_cluster"))
+    made = between(seeds, pool, own.drop("_cluster"), key, label, point, seed)
+    return _grown(rows, made, key)
 
 
 def random_over(df: DataFrame, key: str, label: str, point: str, seed: int = SEED) -> DataFrame:
@@ -465,39 +487,73 @@ def resample_counts(before: DataFrame, after: DataFrame, label: str) -> DataFram
     return counts(before, "before").unionByName(counts(after, "after"))
 
 
+def _forest(label: str) -> RandomForestClassifier:
+    return RandomForestClassifier(
+        featuresCol="_v", labelCol=label, seed=42, maxDepth=5, numTrees=50, featureSubsetStrategy="log2"
+    )
+
+
+#: Model kinds of the study: an estimator for a label column.
+STUDY_MODELS: dict[str, Callable] = {
+    "logistic": lambda label: LogisticRegression(featuresCol="_v", labelCol=label, regParam=1e-3),
+    "forest": _forest,
+}
+
+
 def resampling_study(
     df: DataFrame,
     key: str,
     label: str,
     point: str,
-    samplers: Sequence[str] | Mapping[str, Sampler],
+    samplers: Sequence[str] | Mapping[str, Sampler] = tuple(SAMPLERS),
     folds: int = 10,
     seed: int = SEED,
     threshold: float = 0.5,
+    models: Sequence[str] = tuple(STUDY_MODELS),
 ) -> DataFrame:
-    """Held-out metrics per sampler and fold; only training folds are resampled."""
+    """Held-out metrics per sampler, model and fold, with the class sizes that training saw
+    before and after; only training folds are resampled, once for all models."""
     chosen = samplers if isinstance(samplers, Mapping) else {s: SAMPLERS[s] for s in samplers}
     rows, _, _ = _parts(df, key, label, point)
     dealt = cut_lineage(stratified_folds(rows, key, label, folds, seed))
-    parts = []
+    parts, sizes = [], []
     for fold in range(folds):
         train = dealt.where(F.col("fold") != fold).drop("fold")
         test = dealt.where(F.col("fold") == fold).withColumn("_v", array_to_vector(point))
+        before = class_counts(train, label)
         for name, sampler in chosen.items():
-            grown = sampler(train, key, label, point).withColumn("_v", array_to_vector(point))
-            model = LogisticRegression(featuresCol="_v", labelCol=label, regParam=1e-3).fit(grown)
-            parts.append(
-                model.transform(test).select(
-                    F.lit(name).alias("sampler"),
-                    "fold",
-                    label,
-                    vector_to_array("probability")[1].alias("score"),
+            grown = cut_lineage(sampler(train, key, label, point).withColumn("_v", array_to_vector(point)))
+            sizes.append((name, fold, *before, *class_counts(grown, label)))
+            for kind in models:
+                model = STUDY_MODELS[kind](label).fit(grown)
+                parts.append(
+                    model.transform(test).select(
+                        F.lit(name).alias("sampler"),
+                        F.lit(kind).alias("model"),
+                        "fold",
+                        label,
+                        vector_to_array("probability")[1].alias("score"),
+                    )
                 )
-            )
     scored = cut_lineage(reduce(DataFrame.unionByName, parts))
-    by = ["sampler", "fold"]
+    by = ["sampler", "model", "fold"]
+    # One row per sampler and fold.
+    seen = df.sparkSession.createDataFrame(
+        sizes,
+        "sampler string, fold int, zeros_before long, ones_before long, zeros_after long, ones_after long",
+    )
     counted = rates(confusion(scored, label, "score", threshold, by))
     return (
         counted.join(roc_auc(scored, label, "score", by), by)
         .join(average_precision(scored, label, "score", by), by)
+        .join(seen, ["sampler", "fold"])
+    )
+
+
+def study_summary(study: DataFrame) -> DataFrame:
+    """Mean and standard deviation over the folds, per sampler and model."""
+    measured = ("auc", "average_precision", "sensitivity", "fpr", "accuracy")
+    return study.groupBy("sampler", "model").agg(
+        F.count(F.lit(1)).alias("folds"),
+        *[f(c).alias(f"{c}_{n}") for c in measured for f, n in ((F.avg, "mean"), (F.stddev_samp, "std"))],
     )
