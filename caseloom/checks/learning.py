@@ -238,7 +238,7 @@ def _spearman(spark: SparkSession, folder: str) -> DataFrame:
         F.month("o_orderdate").alias("month"),
         F.ascii("o_orderpriority").alias("priority"),
     )
-    return metrics.spearman(orders, "o_orderkey", RANKED)
+    return metrics.spearman(orders, RANKED)
 
 
 @query("spearman", SPEARMAN + " select * from m")
@@ -723,7 +723,7 @@ def _judged(model, matrix: DataFrame) -> DataFrame:
     return scored.select(ft.KEY, ft.LABEL, "prediction", "p_positive")
 
 
-SCORED = with_views(
+RETOLD = with_views(
     ["target"], "select count(*) as rows, cast(0 as bigint) as wrong from target"
 )
 
@@ -761,13 +761,13 @@ def _retold(spark: SparkSession, model, matrix: DataFrame, columns: list[str]) -
     )
 
 
-@query("random_forest_scores", SCORED)
+@query("random_forest_scores", RETOLD)
 def _(spark: SparkSession, folder: str) -> DataFrame:
     matrix, columns = _matrix(spark, folder)
     return _retold(spark, models.random_forest(matrix, columns, ft.LABEL), matrix, columns)
 
 
-@query("boosted_trees_scores", SCORED)
+@query("boosted_trees_scores", RETOLD)
 def _(spark: SparkSession, folder: str) -> DataFrame:
     matrix, columns = _matrix(spark, folder)
     return _retold(spark, models.boosted_trees(matrix, columns, ft.LABEL), matrix, columns)
@@ -800,7 +800,7 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-RANKED = "select true as ordered, true as shared_out, cast(0 as bigint) as below_zero"
+SHARED_OUT = "select true as ordered, true as shared_out, cast(0 as bigint) as below_zero"
 
 
 def _ranked(ranking: DataFrame, forest) -> DataFrame:
@@ -817,7 +817,7 @@ def _ranked(ranking: DataFrame, forest) -> DataFrame:
     )
 
 
-@query("extra_trees_importance", RANKED)
+@query("extra_trees_importance", SHARED_OUT)
 def _(spark: SparkSession, folder: str) -> DataFrame:
     matrix, columns = _matrix(spark, folder)
     model = models.extra_trees(matrix, columns, ft.LABEL)
@@ -880,7 +880,7 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     model = models.random_forest(matrix, columns, ft.LABEL)
     ranking = models.rank_importance(model, columns, matrix).where(F.col("importance") > 0)
     top = [r.feature for r in ranking.orderBy("rank").limit(30).collect()]
-    return rounded(metrics.spearman(matrix, ft.KEY, [*top, ft.LABEL]))
+    return rounded(metrics.spearman(matrix, [*top, ft.LABEL]))
 
 
 @query(

@@ -9,6 +9,7 @@ from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame, Window, functions as F
 
 from caseloom.operators.ranking import earlier, value_bucket
+from caseloom.session import cut_lineage
 
 
 def _score_steps(
@@ -140,29 +141,25 @@ def average_ranks(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     )
 
 
-def spearman(df: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
+#: A column with at most so many distinct values has its ranks broadcast.
+FEW_VALUES = 20_000
+
+
+def spearman(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Rank correlation of every column pair, long form ``(a, b, rho)``.
 
     Columns may hold no nulls. A constant column correlates to NaN.
+
+    Rows stay as they are: each column's ranks are looked up by its value. A column with
+    few distinct values, however uneven, has its ranks broadcast and moves nothing; one with
+    many is joined by shuffle, where a crowded value is split.
     """
-    long = df.select(
-        key,
-        F.explode(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(c).alias("column"), F.col(c).cast("double").alias("value")
-                    )
-                    for c in cols
-                ]
-            )
-        ).alias("p"),
-    ).select(key, "p.*")
-    places = long.join(average_ranks(df, cols), ["column", "value"])
-    wide = places.groupBy(key).agg(
-        *[F.max(F.when(F.col("column") == c, F.col("rank"))).alias(f"r{k}")
-          for k, c in enumerate(cols)]
-    )
+    ranks = cut_lineage(average_ranks(df, cols))
+    sizes = {r["column"]: r["n"] for r in ranks.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
+    wide = df.select(*[F.col(c).cast("double").alias(f"v{k}") for k, c in enumerate(cols)])
+    for k, c in enumerate(cols):
+        own = ranks.where(F.col("column") == c).select(F.col("value").alias(f"v{k}"), F.col("rank").alias(f"r{k}"))
+        wide = wide.join(F.broadcast(own) if sizes.get(c, 0) <= FEW_VALUES else own, f"v{k}")
     names = [f"r{k}" for k in range(len(cols))]
     vectors = VectorAssembler(inputCols=names, outputCol="ranks").transform(wide)
     matrix = Correlation.corr(vectors.select("ranks"), "ranks", "pearson").first()[0].toArray()

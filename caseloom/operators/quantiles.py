@@ -34,16 +34,17 @@ def exact_quantiles(
 ) -> dict[str, list[float | None]]:
     """Quantiles of each column, equal to a full sort with linear interpolation."""
     numbers = _doubles(df, cols)
-    if df.count() * error < SHORT:
-        levels = F.array(*[F.lit(float(p)) for p in probabilities])
-        row = numbers.agg(*[F.percentile(c, levels).alias(c) for c in cols]).first()
-        return {c: row[c] or [None] * len(probabilities) for c in cols}
     grid = []
     for p in probabilities:
         grid += [max(0.0, p - 2 * error), min(1.0, p + 2 * error)]
-    sketched = numbers.agg(
-        *[F.percentile_approx(c, grid, round(1 / error)).alias(c) for c in cols]
-    ).first()
+    names = [f"s_{k}" for k in range(len(cols))]
+    sketches = [F.percentile_approx(c, grid, round(1 / error)).alias(s) for c, s in zip(cols, names)]
+    row = numbers.agg(F.count(F.lit(1)).alias("rows"), *sketches).first()
+    if row["rows"] * error < SHORT:
+        levels = F.array(*[F.lit(float(p)) for p in probabilities])
+        row = numbers.agg(*[F.percentile(c, levels).alias(c) for c in cols]).first()
+        return {c: row[c] or [None] * len(probabilities) for c in cols}
+    sketched = {c: row[s] for c, s in zip(cols, names)}
     brackets = {
         (c, i): (sketched[c][2 * i], sketched[c][2 * i + 1])
         for c in cols

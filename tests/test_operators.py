@@ -231,7 +231,7 @@ def test_metric_identities(spark):
 
 def test_spearman_of_constant_is_nan(spark):
     df = spark.range(50).select("id", (F.col("id") * 2.0).alias("a"), F.lit(1.0).alias("b"))
-    rho = {(r.a, r.b): r.rho for r in metrics.spearman(df, "id", ["a", "b"]).collect()}
+    rho = {(r.a, r.b): r.rho for r in metrics.spearman(df, ["a", "b"]).collect()}
     assert rho["a", "a"] == pytest.approx(1.0)
     assert math.isnan(rho["a", "b"])
 
