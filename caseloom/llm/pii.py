@@ -1,8 +1,8 @@
 """Personal data in texts, also where it is written in disguise.
 
 Method: a text is searched as it stands, and once more after transducers have rewritten it
-to plain characters: look-alike letters and digits of other alphabets, characters without
-width, digits spelled as words, and ``at`` / ``dot`` disguises. Each transducer keeps, for
+to plain characters: look-alike letters and digits of other alphabets, letters that pass
+for digits within a number, characters without width, digits spelled as words, and ``at`` / ``dot`` disguises. Each transducer keeps, for
 every character it writes, the source characters it stands for, so a span found in the
 rewritten text is mapped back to the source. Spans of the plain search always stay; one of
 the second search is added unless it meets a plain one of its kind.
@@ -117,6 +117,10 @@ def _look_alike_table() -> dict[int, str]:
 
 
 _table = _look_alike_table()
+#: Letters that pass for digits within a number (fixed values).
+DIGIT_LIKE = str.maketrans("OoIl", "0011")
+_mixed = re.compile(r"[0-9][OoIl]|[OoIl][0-9]")
+_numbers = re.compile(r"(?<![A-Za-z0-9])[0-9OoIl]++(?:[ .-][0-9OoIl]++)*(?![A-Za-z0-9])")
 _any_no_width = re.compile(f"[{NO_WIDTH}]+")
 _word = "(?:" + "|".join(sorted(DIGIT_WORDS, key=len, reverse=True)) + ")"
 #: At least three digit words or numbers, joined by single spaces, hyphens or a dot word.
@@ -218,6 +222,8 @@ def normalise(text: str) -> Rewriting:
     if _beyond_latin(text):
         held.text = text.translate(_table)  # one character for one
         held.replace([(*m.span(), "") for m in _any_no_width.finditer(held.text)])
+    if _mixed.search(held.text):  # one character for one
+        held.text = _numbers.sub(lambda m: m[0].translate(DIGIT_LIKE) if _digit.search(m[0]) else m[0], held.text)
     if not _telling.isdisjoint(held.text.lower().replace("-", " ").split()):
         held.replace(_spelled_edits(held.text))
         held.replace([(*m.span(), "+") for m in _plus.finditer(held.text)])
