@@ -9,7 +9,39 @@ from caseloom.llm import bpe, classifier, contamination, lm, pii, quality, shard
 from caseloom.llm.registry import QUERIES as LLM_QUERIES, SQL as LLM_SQL, query, table  # noqa: F401
 
 
-@query("op1_decontaminate")
+OP1_SQL = r"""with d as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
+b as (
+  select cast(item_id as varchar) as item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark),
+sized as (select item, w, least(10, len(w)) as size from b where len(w) > 0),
+starts as (select item, w, size, unnest(range(1, len(w) - size + 2)) as s from sized),
+windows as (select distinct item, size, w[s:s + size - 1] as win from starts),
+sizes as (select distinct size from windows),
+doc_starts as (select doc_id, w, size, unnest(range(1, greatest(1, len(w) - size + 2))) as s
+  from d join sizes on len(w) >= size),
+found as (select x.doc_id, x.s, x.size, y.item from doc_starts x join windows y
+  on y.size = x.size and y.win = x.w[x.s:x.s + x.size - 1]),
+covered as (select doc_id, count(distinct pos) as n_hit
+  from (select doc_id, unnest(range(s, s + size)) as pos from found) group by doc_id),
+named as (select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as items
+  from (select distinct doc_id, item from found) group by doc_id),
+numbered as (select win, size, row_number() over () as id from (select distinct win, size from windows)),
+parts as (select id, size, unnest(win) as word, generate_subscripts(win, 1) as i from numbered),
+places as (select doc_id, unnest(w) as word, generate_subscripts(w, 1) as pos from d),
+fits as (select doc_id, id, size, i, unnest(range(pos - i - 2, pos - i + 3)) as s from places join parts using (word)),
+near as (select distinct doc_id, id from (
+  select doc_id, id, s from fits group by doc_id, id, size, s having count(distinct i) = size)),
+near_items as (select doc_id, count(distinct item) as n_near
+  from near join numbered using (id) join windows using (win, size) group by doc_id)
+select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+  sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated, coalesce(n_near, 0) as n_near
+from d left join covered using (doc_id) left join named using (doc_id) left join near_items using (doc_id)
+"""
+
+
+@query("op1_decontaminate", OP1_SQL)
 def op1_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     marked = contamination.mark(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return marked.select(
