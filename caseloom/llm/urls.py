@@ -19,6 +19,7 @@ all (list).
 
 from __future__ import annotations
 
+import json
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -49,33 +50,35 @@ def host_and_path(url: str | None) -> tuple[str, str]:
     return rest[:end].translate(_lower), rest[end:stop]
 
 
-def write_shard(folder: Path, entries: list[tuple[str, str]]) -> None:
-    """The sorted key array and, in its order, the strings: 8 bytes a key, then text."""
+def write_shard(prefix: str, entries: list[tuple[str, str]]) -> list[str]:
+    """The sorted key array (8 bytes a key) and, in its order, the strings: the files' paths."""
     texts = [(entry.encode(), verdict) for entry, verdict in entries]
     keys = np.array([xxhash.xxh64_intdigest(t, SEED) for t, _ in texts], dtype=np.uint64)
     order = np.argsort(keys, kind="stable")
-    folder.mkdir(parents=True)
-    keys[order].tofile(folder / "keys")
     lengths = np.array([len(texts[i][0]) for i in order], dtype=np.int64)
-    np.concatenate(([0], np.cumsum(lengths))).astype(np.int64).tofile(folder / "ends")
-    (folder / "blocked").write_bytes(bytes(texts[i][1] == "block" for i in order))
-    (folder / "text").write_bytes(b"".join(texts[i][0] for i in order))
     hosts = {e.partition("/")[0].count(".") + 1 for e, _ in entries}
     paths = {len(e) - e.index("/") if "/" in e else 0 for e, _ in entries}
-    (folder / "shape").write_text(f"{sorted(hosts)}\n{sorted(paths)}".replace("[", "").replace("]", ""))
+    parts = {
+        "keys": keys[order].tobytes(),
+        "ends": np.concatenate(([0], np.cumsum(lengths))).astype(np.int64).tobytes(),
+        "blocked": bytes(texts[i][1] == "block" for i in order),
+        "text": b"".join(texts[i][0] for i in order),
+        "shape": json.dumps([sorted(hosts), sorted(paths)]).encode(),
+    }
+    for part, data in parts.items():
+        Path(f"{prefix}-{part}").write_bytes(data)
+    return [f"{prefix}-{part}" for part in parts]
 
 
 class Shard:
     """One memory-mapped shard."""
 
-    def __init__(self, folder: Path) -> None:
-        self.keys = np.memmap(folder / "keys", dtype=np.uint64, mode="r")
-        self.ends = np.memmap(folder / "ends", dtype=np.int64, mode="r")
-        self.text = np.memmap(folder / "text", dtype=np.uint8, mode="r")
-        self.blocked = np.memmap(folder / "blocked", dtype=np.uint8, mode="r")
-        hosts, paths = (folder / "shape").read_text().split("\n")
-        self.labels = [int(x) for x in hosts.split(",") if x.strip()]
-        self.prefixes = [int(x) for x in paths.split(",") if x.strip()]
+    def __init__(self, prefix: str) -> None:
+        self.keys = np.memmap(f"{prefix}-keys", dtype=np.uint64, mode="r")
+        self.ends = np.memmap(f"{prefix}-ends", dtype=np.int64, mode="r")
+        self.text = np.memmap(f"{prefix}-text", dtype=np.uint8, mode="r")
+        self.blocked = np.memmap(f"{prefix}-blocked", dtype=np.uint8, mode="r")
+        self.labels, self.prefixes = json.loads(Path(f"{prefix}-shape").read_text())
 
     def probes(self, host: str, path: str) -> list[bytes]:
         """Host suffixes and path prefixes of the lengths that the shard has."""
@@ -105,36 +108,29 @@ class Shard:
 
 def _probe(names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        with tempfile.TemporaryDirectory() as own:
-            shards = []
-            for name in names:
-                folder = Path(own) / name
-                folder.mkdir()
-                for part in ("keys", "ends", "text", "blocked", "shape"):
-                    (folder / part).symlink_to(SparkFiles.get(f"{name}-{part}"))
-                shards.append(Shard(folder))
-            for batch in batches:
-                split = [host_and_path(u) for u in batch.column(1).to_pylist()]
-                best: list[tuple[int, str, str]] = [(-1, "", DEFAULT)] * len(split)
-                for shard in shards:
-                    probes = [shard.probes(h, p) for h, p in split]
-                    owner = np.repeat(np.arange(len(split)), [len(p) for p in probes])
-                    found = shard.find([p for own_probes in probes for p in own_probes])
-                    hit = found >= 0
-                    for i, at in zip(owner[hit].tolist(), found[hit].tolist()):
-                        entry = shard.entry(at)
-                        if len(entry) > best[i][0]:
-                            best[i] = (len(entry), entry, "block" if shard.blocked[at] else "allow")
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0),
-                        pa.array([h for h, _ in split], pa.string()),
-                        pa.array([p for _, p in split], pa.string()),
-                        pa.array([rule if n >= 0 else None for n, rule, _ in best], pa.string()),
-                        pa.array([verdict for _, _, verdict in best], pa.string()),
-                    ],
-                    ["id", "host", "path", "rule", "verdict"],
-                )
+        shards = [Shard(SparkFiles.get(name)) for name in names]
+        for batch in batches:
+            split = [host_and_path(u) for u in batch.column(1).to_pylist()]
+            best: list[tuple[int, str, str]] = [(-1, "", DEFAULT)] * len(split)
+            for shard in shards:
+                probes = [shard.probes(h, p) for h, p in split]
+                owner = np.repeat(np.arange(len(split)), [len(p) for p in probes])
+                found = shard.find([p for own_probes in probes for p in own_probes])
+                hit = found >= 0
+                for i, at in zip(owner[hit].tolist(), found[hit].tolist()):
+                    entry = shard.entry(at)
+                    if len(entry) > best[i][0]:
+                        best[i] = (len(entry), entry, "block" if shard.blocked[at] else "allow")
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0),
+                    pa.array([h for h, _ in split], pa.string()),
+                    pa.array([p for _, p in split], pa.string()),
+                    pa.array([rule if n >= 0 else None for n, rule, _ in best], pa.string()),
+                    pa.array([verdict for _, _, verdict in best], pa.string()),
+                ],
+                ["id", "host", "path", "rule", "verdict"],
+            )
 
     return run
 
@@ -151,16 +147,15 @@ def judge(
     known = rules.where("entry is not null and verdict is not null")
     known = cut_lineage(known.groupBy("entry").agg(F.max("verdict").alias("verdict")))
     count = -(-known.count() // shard)
-    home, names = Path(tempfile.mkdtemp(prefix="urls-")), []
+    # Built beside the driver; Spark hands the files to every executor.
+    home, names = tempfile.mkdtemp(prefix="urls-"), []
     for i in range(count):
         rows = known.where(F.pmod(F.xxhash64("entry"), F.lit(count)) == i).collect()
         if not rows:
             continue
         names.append(f"urls-{uuid.uuid4().hex}")
-        write_shard(home / names[-1], [(r["entry"], r["verdict"]) for r in rows])
-        for part in (home / names[-1]).iterdir():
-            part.rename(home / f"{names[-1]}-{part.name}")
-            spark.sparkContext.addFile(str(home / f"{names[-1]}-{part.name}"))
+        for file in write_shard(f"{home}/{names[-1]}", [(r["entry"], r["verdict"]) for r in rows]):
+            spark.sparkContext.addFile(file)
     kind = dict(pages.dtypes)[id_col]
     schema = f"id {kind}, host string, path string, rule string, verdict string"
     return map_batches(pages.select(id_col, url_col), _probe(names), schema)

@@ -302,8 +302,8 @@ def test_url_verdicts(spark, nothing):
 
 def test_equal_keys_are_told_apart(tmp_path, monkeypatch):
     monkeypatch.setattr(urls.xxhash, "xxh64_intdigest", lambda data, seed: len(data))
-    urls.write_shard(tmp_path / "s", [("aa.com/", "block"), ("bb.com/", "allow"), ("c.com/", "block")])
-    shard = urls.Shard(tmp_path / "s")
+    urls.write_shard(str(tmp_path / "s"), [("aa.com/", "block"), ("bb.com/", "allow"), ("c.com/", "block")])
+    shard = urls.Shard(str(tmp_path / "s"))
     found = shard.find([b"bb.com/", b"aa.com/", b"xx.com/", b"c.com/", b"x"])
     assert [shard.entry(i) if i >= 0 else None for i in found] == ["bb.com/", "aa.com/", None, "c.com/", None]
 
