@@ -12,8 +12,8 @@ fixed size (``8 << BITS`` bytes). Training reads a sample of labelled rows bound
 ``sample`` (drawn by a hash of the id), in one task: the updates are sequential.
 
 Defined cases: a null or empty text has no features and is scored by the bias alone; a
-label that is null is left out; several label rows of a document count one by one; repeated
-documents get one result row each; without labelled rows every score is 0.5; an empty table
+label that is null is left out; different labels of a document count one by one, and of
+several texts with one id the smallest trains; repeated documents get one result row each; without labelled rows every score is 0.5; an empty table
 gives no rows.
 """
 
@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from caseloom.llm.arrow import as_bytes, chunks, map_batches
 from caseloom.llm.hashing import Run, find_words, pairs
+from caseloom.session import cut_lineage
 
 BITS = 18
 SCALE = 30.0
@@ -113,11 +114,14 @@ def sampled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, labe
         F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")
     )
     turn = F.shiftrightunsigned(F.xxhash64(F.lit(8), F.col("id")), 11)
-    known = known.withColumn("turn", turn)
+    known = cut_lineage(known.distinct().withColumn("turn", turn))
     share = min(1.0, sample / max(1, known.count()))
-    known = known.where(F.col("turn") < int(share * 2**53))
+    drawn = cut_lineage(known.where(F.col("turn") < int(share * 2**53)))
+    short = drawn.count() <= 2 * sample
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return texts.join(known, "id")
+    # Labels drawn in a number that was checked go to the texts, which then stay in place.
+    found = texts.join(F.broadcast(drawn) if short else drawn, "id")
+    return found.groupBy("id", "label", "turn").agg(F.min("text").alias("text"))
 
 
 def score(docs: DataFrame, weights: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -14,8 +14,8 @@ Scale: one pass over whole texts without a shuffle; the broadcast weights have a
 Training reads at most about ``sample`` labelled rows, drawn by a hash of the id.
 
 Defined cases: a null or empty text has no words, so it fails; a null label is left out;
-several label rows of a document count one by one; repeated documents get one result row
-each; without labelled rows of both kinds the classifier keeps everything; an empty table
+different labels of a document count one by one, and of several texts with one id the
+smallest trains; repeated documents get one result row each; without labelled rows of both kinds the classifier keeps everything; an empty table
 gives no rows.
 """
 
