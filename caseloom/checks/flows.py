@@ -275,7 +275,7 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     "fit_vocabularies",
     with_views(
-        ["observations", "labs", "drug_dictionary"],
+        ["observations", "labs", "drug_dictionary", "diagnoses"],
         """select 'observation_types' as list, obs_type as value,
              cast(row_number() over (order by n desc, obs_type) - 1 as int) as rank
            from (select obs_type, count(patientid) as n from (select distinct * from observations)
@@ -289,16 +289,20 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
            join (values ('panel_tests', 3), ('rate_tests', 4)) t(list, k) on rank < k
            union all
            select 'drug_categories', Category, cast(row_number() over (order by Category) - 1 as int)
-           from (select distinct Category from drug_dictionary where Category is not null)""",
+           from (select distinct Category from drug_dictionary where Category is not null)
+           union all
+           select 'chapters', chapter, cast(row_number() over (order by chapter) - 1 as int)
+           from (select distinct substr(coalesce(diagnosis_cd, 'None'), 1, 1) as chapter
+                 from diagnoses where diagnosis_cd_type = 'ICD10')""",
     ),
 )
 def _(spark: SparkSession, folder: str) -> DataFrame:
     fitted = ft.fit_vocabularies(
-        {n: view(spark, folder, n) for n in ("observations", "labs")},
+        {n: view(spark, folder, n) for n in ("observations", "labs", "diagnoses")},
         view(spark, folder, "drug_dictionary"),
         4, 3, 4,
     )
-    lists = ("observation_types", "panel_tests", "rate_tests", "drug_categories")
+    lists = ("observation_types", "panel_tests", "rate_tests", "drug_categories", "chapters")
     rows = [(n, v, i) for n in lists for i, v in enumerate(getattr(fitted, n))]
     return spark.createDataFrame(rows, "list string, value string, rank int")
 
