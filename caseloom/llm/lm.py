@@ -1,7 +1,7 @@
 """Language-model scores of texts: context-tree weighting over bytes, and a word baseline.
 
 Method: every byte (and a zero byte that ends the text) is eight binary decisions. Each
-decision has a context tree over the ``DEPTH`` bytes before it, one tree per prefix of the
+decision has a context tree over the ``depth`` bytes before it, one tree per prefix of the
 byte. A node holds how often 0 and 1 followed its context in the training texts; its
 Krichevsky-Trofimov estimate is mixed half and half with the product over its children, for
 all depths. The frozen trees give each next bit the probability that the whole mixture
@@ -10,7 +10,7 @@ byte follows. What has no count in training is still scored (its nodes predict o
 
 The baseline is an add-a-half unigram model over words.
 
-Scale: the trees are tables. Rows of byte strings of length ``DEPTH + 1`` with their counts
+Scale: the trees are tables. Rows of byte strings of length ``depth + 1`` with their counts
 are summed by Spark, the trees are built upwards by one grouped sum per depth and read
 downwards by one join per depth; nothing is collected or broadcast by hand. Texts are held
 in blocks of about ``BLOCK_BYTES`` (compressed, whole texts). A block asks for each
@@ -35,10 +35,10 @@ from pyspark.taskcontext import TaskContext
 from caseloom.llm.arrow import as_bytes, chunks, map_batches
 from caseloom.session import cut_lineage
 
-DEPTH = 3
+DEPTH = 4
+#: A byte string and the bits of a node's byte fit into a long.
+LARGEST_DEPTH = 6
 BLOCK_BYTES = 16 << 20
-#: The largest table by pairs of byte pairs; above it byte strings are sorted instead.
-LARGEST_TABLE = 1 << 24
 #: The token that ends a text; no word is empty.
 END = b""
 
@@ -143,69 +143,77 @@ def rows_of(batch: pa.RecordBatch) -> Iterator[dict]:
         yield {name: batch.column(name)[i] for name in batch.schema.names}
 
 
-def byte_strings(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Each byte of the texts with the ``DEPTH`` before it, as one number, and its text.
+def byte_strings(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Each byte of the texts with the ``depth`` before it, as one number, and its text.
 
     Before a text stand zero bytes, behind it the zero byte that ends it.
     """
-    gap = bytes(DEPTH)
+    gap = bytes(depth)
     raw = np.frombuffer(gap + gap.join([*texts, b""]), dtype=np.uint8)
     sizes = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
-    begins = np.cumsum(sizes + DEPTH) - sizes
-    strings = np.zeros(len(raw) - DEPTH, dtype=np.uint32)
-    for back in range(DEPTH, -1, -1):
-        strings |= raw[DEPTH - back : len(raw) - back].astype(np.uint32) << np.uint32(8 * back)
+    begins = np.cumsum(sizes + depth) - sizes
+    strings = np.zeros(len(raw) - depth, dtype=np.int64)
+    for back in range(depth, -1, -1):
+        strings |= raw[depth - back : len(raw) - back].astype(np.int64) << (8 * back)
     text = np.repeat(np.arange(len(texts)), sizes + 1)
-    place = np.arange(len(text)) + np.repeat(begins - DEPTH - np.cumsum(sizes + 1) + sizes + 1, sizes + 1)
+    place = np.arange(len(text)) + np.repeat(begins - depth - np.cumsum(sizes + 1) + sizes + 1, sizes + 1)
     return strings[place], text
 
 
 class Places:
-    """Finds byte strings in a sorted list of them, by table where it is small enough."""
+    """Finds byte strings in a list of distinct ones, by an open hash table."""
 
     def __init__(self, strings: np.ndarray) -> None:
-        self.strings = strings
-        self.high, self.low = np.unique(strings >> 16), np.unique(strings & 0xFFFF)
-        self.table = None
-        if len(self.high) * len(self.low) <= LARGEST_TABLE:
-            self.of_high, self.of_low = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
-            self.of_high[self.high] = np.arange(len(self.high)) * len(self.low)
-            self.of_low[self.low] = np.arange(len(self.low))
-            self.table = np.zeros(max(1, len(self.high) * len(self.low)), dtype=np.int32)
-            self.table[self.index(strings)] = np.arange(len(strings))
-
-    def index(self, strings: np.ndarray) -> np.ndarray:
-        return self.of_high[strings >> 16] + self.of_low[strings & 0xFFFF]
+        bits = max(4, (4 * len(strings)).bit_length())
+        self.strings, self.shift, self.last = strings, np.uint64(64 - bits), (1 << bits) - 1
+        self.table = np.full(1 << bits, -1, dtype=np.int32)
+        left = np.arange(len(strings), dtype=np.int32)
+        slots = self.slot(strings)
+        while len(left):
+            free = self.table[slots] < 0
+            self.table[slots[free]] = left[free]  # of several, the last one has it
+            lost = self.table[slots] != left
+            left, slots = left[lost], (slots[lost] + 1) & self.last
+
+    def slot(self, strings: np.ndarray) -> np.ndarray:
+        return (strings.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> self.shift).astype(np.int64)
 
     def find(self, strings: np.ndarray) -> np.ndarray:
         """Places of strings that are all in the list."""
-        if self.table is None:
-            return np.searchsorted(self.strings, strings)
-        return self.table[self.index(strings)]
-
-
-def distinct_strings(texts: list[bytes]) -> np.ndarray:
+        slots = self.slot(strings)
+        found = self.table[slots]
+        missed = np.flatnonzero(self.strings[found] != strings)
+        slots = slots[missed]
+        while len(missed):
+            slots = (slots + 1) & self.last
+            found[missed] = self.table[slots]
+            lost = self.strings[found[missed]] != strings[missed]
+            missed, slots = missed[lost], slots[lost]
+        return found
+
+
+def distinct_strings(texts: list[bytes], depth: int) -> np.ndarray:
     """The distinct byte strings of a block, sorted."""
-    found = [np.unique(byte_strings(some)[0]) for _, some in chunks(texts)]
-    return np.unique(np.concatenate(found)) if found else np.zeros(0, np.uint32)
+    found = [np.unique(byte_strings(some, depth)[0]) for _, some in chunks(texts)]
+    return np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
 
 
-def ask_strings(blocks: DataFrame) -> DataFrame:
+def ask_strings(blocks: DataFrame, depth: int) -> DataFrame:
     """``string``, ``block`` and ``n``, its training count there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in rows_of(batch):
                 texts, train = unpack(row)
-                distinct = distinct_strings(texts)
+                distinct = distinct_strings(texts, depth)
                 places, counts = Places(distinct), np.zeros(len(distinct), dtype=np.int64)
                 for start, some in chunks(texts):
-                    strings, text = byte_strings(some)
+                    strings, text = byte_strings(some, depth)
                     used = train[start : start + len(some)][text]
                     counts += np.bincount(places.find(strings[used]), minlength=len(distinct))
                 number = row["block"].as_py()
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(distinct.astype(np.int64)), pa.array(np.full(len(distinct), number)), pa.array(counts)],
+                    [pa.array(distinct), pa.array(np.full(len(distinct), number)), pa.array(counts)],
                     ["string", "block", "n"],
                 )
 
@@ -244,7 +252,7 @@ def decisions(strings: DataFrame, *keep: str) -> DataFrame:
     )
 
 
-def bit_predictions(strings: DataFrame, depth: int = DEPTH) -> DataFrame:
+def bit_predictions(strings: DataFrame, depth: int) -> DataFrame:
     """``node`` and ``p1``, the mixture's probability of a 1, for every node of full depth."""
     leaf = decisions(strings, "n").groupBy("node").agg(
         F.sum(F.when(F.col("bit") == 0, F.col("n")).otherwise(0)).cast("double").alias("zeros"),
@@ -255,7 +263,7 @@ def bit_predictions(strings: DataFrame, depth: int = DEPTH) -> DataFrame:
     levels = [level.select("node", one.alias("k1"))]
     for d in range(depth - 1, -1, -1):
         span = 1 << (8 * d)
-        shorter = (F.floor(F.col("node") / 256) % span * 256 + F.col("node") % 256).cast("long")
+        shorter = (F.shiftright("node", 8) % span * 256 + F.col("node") % 256).cast("long")
         merged = level.groupBy(shorter.alias("node")).agg(
             F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("log_w").alias("children")
         )
@@ -276,7 +284,7 @@ def bit_predictions(strings: DataFrame, depth: int = DEPTH) -> DataFrame:
     )
     for d in range(1, depth + 1):
         span = 1 << (8 * (d - 1))
-        shorter = (F.floor(F.col("node") / 256) % span * 256 + F.col("node") % 256).cast("long")
+        shorter = (F.shiftright("node", 8) % span * 256 + F.col("node") % 256).cast("long")
         joined = levels.pop().withColumn("up", shorter).join(top, "up")
         if d == depth:
             return joined.select("node", (F.col("done") + F.col("open") * F.col("k1")).alias("p1"))
@@ -288,9 +296,9 @@ def bit_predictions(strings: DataFrame, depth: int = DEPTH) -> DataFrame:
     raise ValueError("depth has to be 1 or more")
 
 
-def string_scores(strings: DataFrame) -> DataFrame:
+def string_scores(strings: DataFrame, depth: int) -> DataFrame:
     """``string`` and ``log_p``: log10 of the last byte's probability behind the others."""
-    p1 = bit_predictions(strings)
+    p1 = bit_predictions(strings, depth)
     return (
         decisions(strings)
         .join(p1, "node")
@@ -299,43 +307,57 @@ def string_scores(strings: DataFrame) -> DataFrame:
     )
 
 
-def _score_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for row in rows_of(batch):
-            texts, train = unpack(row)
-            counts = np.zeros(len(row["token_at"]), dtype=np.int64)
-            counts[row["token_at"].values.to_numpy()] = row["token_n"].values.to_numpy()
-            logs, seen = np.log10(counts + 0.5), counts > 0
-            n_tokens, n_known, words = [], [], []
-            for _, numbers in token_numbers(texts):
-                n_tokens.append(len(numbers))
-                n_known.append(int(seen[numbers].sum()))
-                words.append(float(logs[numbers].sum()))
-            strings = row["strings"].values.to_numpy()
-            order = np.argsort(strings)
-            places, log_p = Places(strings[order].astype(np.uint32)), row["log_ps"].values.to_numpy()[order]
-            scores = []
-            for _, some in chunks(texts):
-                found, text = byte_strings(some)
-                scores.append(np.bincount(text, weights=log_p[places.find(found)], minlength=len(some)))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    row["ids"].values,
-                    pa.array(train),
-                    pa.array([len(t) for t in texts], pa.int64()),
-                    pa.array(n_tokens, pa.int64()),
-                    pa.array(n_known, pa.int64()),
-                    pa.array(words, pa.float64()),
-                    pa.array(np.concatenate(scores)),
-                ],
-                ["id", "train", "n_bytes", "n_tokens", "n_known", "word_logs", "score"],
-            )
+def _scorer(depth: int):
+    """Scores the texts of blocks that carry their answers."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in rows_of(batch):
+                texts, train = unpack(row)
+                counts = np.zeros(len(row["token_at"]), dtype=np.int64)
+                counts[row["token_at"].values.to_numpy()] = row["token_n"].values.to_numpy()
+                logs, seen = np.log10(counts + 0.5), counts > 0
+                n_tokens, n_known, words = [], [], []
+                for _, numbers in token_numbers(texts):
+                    n_tokens.append(len(numbers))
+                    n_known.append(int(seen[numbers].sum()))
+                    words.append(float(logs[numbers].sum()))
+                strings = row["strings"].values.to_numpy()
+                places, log_p = Places(strings), row["log_ps"].values.to_numpy()
+                scores = []
+                for _, some in chunks(texts):
+                    found, text = byte_strings(some, depth)
+                    scores.append(np.bincount(text, weights=log_p[places.find(found)], minlength=len(some)))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        row["ids"].values,
+                        pa.array(train),
+                        pa.array([len(t) for t in texts], pa.int64()),
+                        pa.array(n_tokens, pa.int64()),
+                        pa.array(n_known, pa.int64()),
+                        pa.array(words, pa.float64()),
+                        pa.array(np.concatenate(scores)),
+                    ],
+                    ["id", "train", "n_bytes", "n_tokens", "n_known", "word_logs", "score"],
+                )
+
+    return run
 
 
 def score(
-    docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES
+    docs: DataFrame,
+    training: Column,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    block_bytes: int = BLOCK_BYTES,
+    depth: int = DEPTH,
 ) -> DataFrame:
-    """``id``, ``train``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``, ``bits_per_byte``."""
+    """``id``, ``train``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``, ``bits_per_byte``.
+
+    ``depth`` is the number of bytes of context, from 1 to ``LARGEST_DEPTH``.
+    """
+    if not 1 <= depth <= LARGEST_DEPTH:
+        raise ValueError(f"depth has to be from 1 to {LARGEST_DEPTH}")
     blocks = cut_lineage(blocks_of(docs, training, id_col, text_col, block_bytes))
 
     by_token = Window.partitionBy("token")
@@ -355,8 +377,8 @@ def score(
     facts = tokens.agg(F.sum("tokens"), F.sum("kinds")).first()
     total, kinds = facts[0] or 0, facts[1] or 0
 
-    wanted = cut_lineage(ask_strings(blocks))
-    scored = string_scores(cut_lineage(wanted.groupBy("string").agg(F.sum("n").alias("n"))))
+    wanted = cut_lineage(ask_strings(blocks, depth))
+    scored = string_scores(cut_lineage(wanted.groupBy("string").agg(F.sum("n").alias("n"))), depth)
     strings = (
         wanted.select("string", "block")
         .join(scored, "string")
@@ -366,7 +388,7 @@ def score(
     joined = blocks.join(tokens.select("block", "token_at", "token_n"), "block").join(strings, "block")
     kind = dict(docs.dtypes)[id_col]
     schema = f"id {kind}, train boolean, n_bytes long, n_tokens long, n_known long, word_logs double, score double"
-    found = map_batches(joined, _score_blocks, schema)
+    found = map_batches(joined, _scorer(depth), schema)
     per_token = math.log10(total + 0.5 * (kinds + 1))
     return found.select(
         "id",

@@ -553,6 +553,19 @@ def test_context_trees(docs, block_bytes):
     assert bag(ours) == bag(want)
 
 
+@pytest.mark.parametrize("depth", [1, lm.LARGEST_DEPTH])
+def test_context_trees_of_any_depth(docs, monkeypatch, depth):
+    rows = [(d, t) for d, t in ROWS if t is None or len(t) < 2000]
+    training = [d is not None and d % 3 != 1 for d, _ in rows]
+    some = docs.where("text is null or length(text) < 2000")
+    got = lm.score(some, F.pmod("doc_id", F.lit(3)) != 1, block_bytes=200, depth=depth).collect()
+    monkeypatch.setattr(lm, "DEPTH", depth)
+    want = [(d, round(s, 6)) for (d, _), s in zip(rows, reference_scores(rows, training))]
+    assert bag((r["id"], round(r["score"], 6)) for r in got) == bag(want)
+    with pytest.raises(ValueError):
+        lm.score(docs, F.lit(True), depth=lm.LARGEST_DEPTH + 1)
+
+
 def test_context_trees_edges(docs, nothing):
     assert lm.score(nothing, F.lit(True)).count() == 0
     for r in lm.score(docs, F.lit(False)).collect():
