@@ -5,7 +5,8 @@ to plain characters: look-alike letters and digits of other alphabets, letters t
 for digits within a number, characters without width, digits spelled as words, and ``at`` / ``dot`` disguises. Each transducer keeps, for
 every character it writes, the source characters it stands for, so a span found in the
 rewritten text is mapped back to the source. Spans of the plain search always stay; one of
-the second search is added unless it meets a plain one of its kind.
+the second search is added unless it is equal to or inside a plain one of its kind, so an
+address or number that is disguised in part has its plain part and the whole.
 
 Kinds, each leftmost and without overlaps: e-mail address, IP address (four parts of at
 most 255), payment card (12 to 19 digits that pass the Luhn check) and phone number (a
@@ -22,6 +23,7 @@ row each; an empty table gives no rows.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from itertools import accumulate
 
@@ -245,7 +247,7 @@ def _beyond_latin(text: str) -> bool:
 
 
 def all_spans(text: str) -> tuple[list[Span], list[Span]]:
-    """Plain spans, and those that only the rewritten text shows; each by start, then kind."""
+    """Plain spans, and those of the rewritten text that reach beyond them; each by start, then kind."""
     base = plain_spans(text)
     held = normalise(text)
     added = []
@@ -253,14 +255,12 @@ def all_spans(text: str) -> tuple[list[Span], list[Span]]:
         taken: dict[str, list[tuple[int, int]]] = {k: [] for k in KINDS}
         for kind, start, end in base:
             taken[kind].append((start, end))
-        places = {k: 0 for k in KINDS}
-        for kind, start, end in sorted(plain_spans(held.text), key=lambda s: s[1]):
+        starts = {k: [start for start, _ in own] for k, own in taken.items()}
+        for kind, start, end in plain_spans(held.text):
             start, end = held.source(start, end)
-            own, i = taken[kind], places[kind]
-            while i < len(own) and own[i][1] <= start:
-                i += 1
-            places[kind] = i
-            if i == len(own) or own[i][0] >= end:
+            # plain spans of a kind do not overlap: only the last to begin by then may hold it
+            i = bisect_right(starts[kind], start) - 1
+            if i < 0 or taken[kind][i][1] < end:
                 added.append((kind, start, end))
     order = {k: i for i, k in enumerate(KINDS)}
     by = lambda s: (s[1], order[s[0]])

@@ -183,6 +183,25 @@ def test_disguises(text, kind, span):
     assert span not in pii.masked(text) and f"[{kind.upper()}]" in pii.masked(text)
 
 
+PARTLY_DISGUISED = [
+    ("mail jоhn@example.com now", "email", "hn@example.com", "jоhn@example.com"),
+    ("mail john@example.cоm now", "email", "john@example.c", "john@example.cоm"),
+    ("mail john@mail.example dot com now", "email", "john@mail.example", "john@mail.example dot com"),
+    ("mail jane@example.org [dot] uk now", "email", "jane@example.org", "jane@example.org [dot] uk"),
+    ("call +49 151 234567 eight nine now", "phone", "+49 151 234567", "+49 151 234567 eight nine"),
+    ("call +49 151 23456７8 now", "phone", "+49 151 23456", "+49 151 23456７8"),
+]
+
+
+@pytest.mark.parametrize("text, kind, plain, whole", PARTLY_DISGUISED)
+def test_partial_disguises(text, kind, plain, whole):
+    base, added = pii.all_spans(text)
+    assert [(k, text[a:b]) for k, a, b in base] == [(kind, plain)]
+    assert [(k, text[a:b]) for k, a, b in added] == [(kind, whole)]
+    assert pii.masked(text) == text.replace(whole, f"[{kind.upper()}]")
+    assert pii.all_spans("jоe: jane@example.org")[1] == []
+
+
 def test_prose_stays():
     for text in (PROSE, "look at the dot com boom", "meet me at example.com", "one two three", "un deux, trois", "зима и лето"):
         assert pii.all_spans(text) == ([], []) and pii.masked(text) == text
