@@ -14,7 +14,7 @@ from caseloom.checks.fixtures import base, view, with_views
 from caseloom.checks.flows import HELD_OUT, build_master, held_out_facts, tables
 from caseloom.checks.registry import query, rounded
 from caseloom.checks.rows import scratch
-from caseloom.operators import metrics, models, neighbors, prep, resample, rows
+from caseloom.operators import metrics, models, neighbors, prep, resample
 from caseloom.operators.ranking import random_sample
 from caseloom.plans import features as ft
 from caseloom.plans import train as tr
@@ -539,36 +539,29 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 EVEN = f"""with {PAIR} select (select count(*) from common) as zeros,
   (select count(*) from common) as ones, (select count(*) from rare) as kept,
   cast(0 as bigint) as astray"""
-# The rare rows a check may hold beside a batch of made ones.
-MOST_RARE = 20_000
 
 
 def _on_lines(spark: SparkSession, folder: str, sampler) -> DataFrame:
-    """Class sizes, original rare rows, and made rows on no line between two rare rows."""
+    """Class sizes, original rare rows, and made rows not on the line between their two rare rows."""
     vectors = _vectors(spark, folder)
-    grown = cut_lineage(sampler(vectors, *COLUMNS))
-    rare = vectors.where("y = 1").select(F.col("vec_id").cast("string").alias("seed"), "embedding")
-    if not rows.is_short(rare, MOST_RARE):
-        raise ValueError("too many rare rows to hold")
-    held = spark.sparkContext.broadcast(rare.toPandas())
-
-    def astray(batches):
-        ends = np.stack(held.value["embedding"].to_numpy()).astype(float)
-        place = dict(zip(held.value["seed"], range(len(ends))))
-        for batch in batches:
-            bad = 0
-            for seed, point in zip(batch["seed"], batch["embedding"]):
-                start = ends[place[seed]]
-                lines, way = ends - start, np.asarray(point, dtype=float) - start
-                length = np.maximum((lines * lines).sum(axis=1), 1e-300)
-                t = lines @ way / length
-                off = np.abs(way - t[:, None] * lines).max(axis=1)
-                bad += not ((off < 1e-6) & (t > -1e-9) & (t < 1 + 1e-9)).any()
-            yield pd.DataFrame({"bad": [bad]})
-
-    made = grown.where(F.col("vec_id").contains("~"))
-    seeded = made.select(F.substring_index("vec_id", "~", 1).alias("seed"), "embedding")
-    wrong = seeded.mapInPandas(astray, "bad long").agg(F.sum("bad").alias("astray"))
+    grown = cut_lineage(sampler(vectors, *COLUMNS, end="end"))
+    rare = vectors.where("y = 1").select(
+        F.col("vec_id").cast("string").alias("id"), F.col("embedding").cast("array<double>").alias("p")
+    )
+    made = grown.where(F.col("vec_id").contains("~")).select(
+        F.substring_index("vec_id", "~", 1).alias("seed"), "end", F.col("embedding").alias("made")
+    )
+    # an end that is no rare row has no point, and what is computed from it is null
+    ends = made.join(rare.select(F.col("id").alias("seed"), F.col("p").alias("a")), "seed", "left").join(
+        rare.select(F.col("id").alias("end"), F.col("p").alias("b")), "end", "left"
+    )
+    minus = lambda x, y: F.zip_with(x, y, lambda u, v: u - v)
+    total = lambda x, y: F.aggregate(F.zip_with(x, y, lambda u, v: u * v), F.lit(0.0), lambda n, u: n + u)
+    lines = ends.withColumns({"line": minus("b", "a"), "way": minus("made", "a")})
+    share = total("way", "line") / F.greatest(total("line", "line"), F.lit(1e-300))
+    off = F.array_max(F.zip_with("way", "line", lambda w, v: F.abs(w - F.col("t") * v)))
+    near = (off < 1e-6) & (F.col("t") > -1e-9) & (F.col("t") < 1 + 1e-9) & (F.col("seed") != F.col("end"))
+    wrong = lines.withColumn("t", share).agg(F.count_if(~F.coalesce(near, F.lit(False))).alias("astray"))
     sizes = grown.agg(
         F.count_if(F.col("y") == 0).alias("zeros"),
         F.count_if(F.col("y") == 1).alias("ones"),

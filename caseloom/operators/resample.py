@@ -44,19 +44,24 @@ def _draw(key: str, copy: str, seed: int, what: str) -> Column:
 
 
 def interpolate(
-    seeds: DataFrame, pool: DataFrame, key: str, label: str, point: str, k: int, seed: int
+    seeds: DataFrame, pool: DataFrame, key: str, label: str, point: str, k: int, seed: int,
+    end: str | None = None,
 ) -> DataFrame:
     """New rare rows on the lines from each seed row to its neighbours in ``pool``.
 
     ``seeds`` carries ``_copies``, the number of new rows per seed row.
     """
-    return between(seeds, pool, knn(seeds, pool, k, key, point, label), key, label, point, seed)
+    return between(seeds, pool, knn(seeds, pool, k, key, point, label), key, label, point, seed, end)
 
 
 def between(
-    seeds: DataFrame, pool: DataFrame, hits: DataFrame, key: str, label: str, point: str, seed: int
+    seeds: DataFrame, pool: DataFrame, hits: DataFrame, key: str, label: str, point: str, seed: int,
+    end: str | None = None,
 ) -> DataFrame:
-    """New rare rows between each seed row and those of the neighbours listed in ``hits``."""
+    """New rare rows between each seed row and those of the neighbours listed in ``hits``.
+
+    ``end`` names a column for the neighbour's id, as text, if it is wanted.
+    """
     choice = hits.groupBy(key).agg(
         F.array_sort(F.collect_list(F.struct("rank", "neighbor"))).alias("hits")
     )
@@ -69,8 +74,9 @@ def between(
     step = _draw(key, "_copy", seed, "step")
     placed = aimed.join(ends, "_neighbor").withColumn("_step", step)
     fresh = F.zip_with(point, "_end", lambda a, b: a + F.col("_step") * (b - a))
+    named = [F.col("_neighbor").cast("string").alias(end)] if end else []
     return placed.select(
-        new_key(key, "_copy").alias(key), F.lit(1).alias(label), fresh.alias(point)
+        new_key(key, "_copy").alias(key), F.lit(1).alias(label), fresh.alias(point), *named
     )
 
 
@@ -93,7 +99,13 @@ def with_text_keys(rows: DataFrame, key: str) -> DataFrame:
 
 def _grown(rows: DataFrame, made: DataFrame, key: str) -> DataFrame:
     """The original rows and the made ones."""
-    return with_text_keys(rows, key).unionByName(made)
+    return with_text_keys(rows, key).unionByName(made, allowMissingColumns=True)
+
+
+def _as_they_are(rows: DataFrame, key: str, end: str | None) -> DataFrame:
+    """The original rows where none are made."""
+    kept = with_text_keys(rows, key)
+    return kept.withColumn(end, F.lit(None).cast("string")) if end else kept
 
 
 def _parts(df: DataFrame, key: str, label: str, point: str) -> tuple[DataFrame, int, int]:
@@ -139,15 +151,15 @@ def adasyn(
 
 def _from_seeds(
     rows: DataFrame, seeds: DataFrame, key: str, label: str, point: str, extra: int, k: int,
-    seed: int,
+    seed: int, end: str | None = None,
 ) -> DataFrame:
     """``extra`` new rows shared out over the seed rows."""
     seeds = cut_lineage(seeds)
     count = seeds.count()
     if not count:
-        return with_text_keys(rows, key)
+        return _as_they_are(rows, key, end)
     numbered = copy_numbers(seeds, key, extra, count, seed)
-    made = interpolate(numbered, _rare(rows, label), key, label, point, k, seed)
+    made = interpolate(numbered, _rare(rows, label), key, label, point, k, seed, end)
     return _grown(rows, made, key)
 
 
@@ -167,16 +179,18 @@ def borderline_smote(
 
 
 def svm_smote(
-    df: DataFrame, key: str, label: str, point: str, k: int = 5, m: int = 10, seed: int = SEED
+    df: DataFrame, key: str, label: str, point: str, k: int = 5, m: int = 10, seed: int = SEED,
+    end: str | None = None,
 ) -> DataFrame:
     """SMOTE from the rare rows a linear separator leaves inside its margin, without those
     whose ``m`` nearest rows are all common.
 
     An approximation: the separator is linear and new rows are only interpolated.
+    ``end`` names a further column for the id of the neighbour a new row was drawn towards.
     """
     rows, zeros, ones = _parts(df, key, label, point)
     if ones < 2 or zeros <= ones:
-        return with_text_keys(rows, key)
+        return _as_they_are(rows, key, end)
     vectors = rows.withColumn("_v", array_to_vector(point))
     model = LinearSVC(featuresCol="_v", labelCol=label, maxIter=50).fit(vectors)
     scored = model.transform(_rare(vectors, label))
@@ -184,12 +198,12 @@ def svm_smote(
     seeds = cut_lineage(scored.where(inside).select(key, label, point))
     noise = knn(seeds, rows, m, key, point, label).groupBy(key).agg(F.max("neighbor_label").alias("_near"))
     seeds = seeds.join(noise.where(F.col("_near") == 0), key, "left_anti")
-    return _from_seeds(rows, seeds, key, label, point, zeros - ones, k, seed)
+    return _from_seeds(rows, seeds, key, label, point, zeros - ones, k, seed, end)
 
 
 def kmeans_smote(
     df: DataFrame, key: str, label: str, point: str, clusters: int = 5, k: int = 5,
-    seed: int = SEED,
+    seed: int = SEED, end: str | None = None,
 ) -> DataFrame:
     """SMOTE inside the clusters whose rare share is at least the overall one.
 
@@ -197,10 +211,11 @@ def kmeans_smote(
     between two rare rows (the root of the mean square, from sums alone), raised to a power
     that grows with its size, over its number of rare rows. One search finds the neighbours
     of all clusters: a coordinate more than any distance sets clusters apart.
+    ``end`` names a further column for the id of the neighbour a new row was drawn towards.
     """
     rows, zeros, ones = _parts(df, key, label, point)
     if ones < 2 or zeros <= ones:
-        return with_text_keys(rows, key)
+        return _as_they_are(rows, key, end)
     vectors = rows.withColumn("_v", array_to_vector(point))
     model = KMeans(k=clusters, featuresCol="_v", predictionCol="_cluster", seed=seed).fit(vectors)
     placed = cut_lineage(model.transform(vectors).select(key, label, point, "_cluster"))
@@ -219,7 +234,7 @@ def kmeans_smote(
             power = math.log(r.rare, 1.6) ** 1.8 * 0.16
             weights[r["_cluster"]] = r.rare, apart**power / r.rare
     if not weights:
-        return with_text_keys(rows, key)
+        return _as_they_are(rows, key, end)
     pool = _rare(placed, label).where(F.col("_cluster").isin(list(weights)))
     total, left, numbered = sum(w for _, w in weights.values()), zeros - ones, []
     for i, (cluster, (size, weight)) in enumerate(weights.items()):
@@ -233,7 +248,7 @@ def kmeans_smote(
     apart = pool.withColumn(point, set_apart)
     hits = knn(apart, apart, k, key, point, "_cluster")
     own = hits.join(pool.select(key, "_cluster"), key).where(F.col("neighbor_label") == F.col("_cluster"))
-    made = between(seeds, pool, own.drop("_cluster"), key, label, point, seed)
+    made = between(seeds, pool, own.drop("_cluster"), key, label, point, seed, end)
     return _grown(rows, made, key)
 
 

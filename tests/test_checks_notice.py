@@ -37,6 +37,37 @@ def test_rows_made_beside_the_line(spark, con, monkeypatch, name):
     assert red(spark, con, name)
 
 
+@pytest.mark.parametrize("name", ["svm_smote", "kmeans_smote"])
+def test_rows_made_towards_another_row(spark, con, monkeypatch, name):
+    true = resample.between
+
+    def swapped(*a):
+        return true(*a).withColumn("end", F.substring_index("vec_id", "~", 1))
+
+    monkeypatch.setattr(resample, "between", swapped)
+    assert red(spark, con, name)
+
+
+def test_lines_of_many_rare_rows(spark, monkeypatch):
+    rare = spark.range(20_002).select(
+        F.col("id").alias("vec_id"), F.lit(1).alias("y"), F.array(F.col("id").cast("float"), F.lit(1.0).cast("float")).alias("embedding")
+    )
+    monkeypatch.setattr(learning, "_vectors", lambda *_: rare)
+
+    def sampler(df, key, label, point, end):
+        """A row between each row and the next; behind the last there is none."""
+        made = df.select(
+            F.concat(F.col(key).cast("string"), F.lit("~1")).alias(key),
+            label,
+            F.array(F.col(key) + 0.25, F.lit(1.0)).alias(point),
+            (F.col(key) + 1).cast("string").alias(end),
+        )
+        own = df.select(F.col(key).cast("string").alias(key), label, F.col(point).cast("array<double>").alias(point))
+        return own.unionByName(made, allowMissingColumns=True)
+
+    assert [tuple(r) for r in learning._on_lines(spark, SMALL, sampler).collect()] == [(0, 40_004, 20_002, 1)]
+
+
 def test_hard_rows_kept(spark, con, monkeypatch):
     whole = resample.instance_hardness
 
