@@ -842,9 +842,7 @@ def _selected(spark: SparkSession, folder: str) -> DataFrame:
 @query("grid_search")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     matrix, columns = _matrix(spark, folder)
-    search = models.grid_search(
-        matrix, columns, ft.LABEL, depths=(3,), steps=(0.1, 0.5), folds=2, maxIter=5
-    )
+    search = models.grid_search(matrix, columns, ft.LABEL)
     return rounded(models.grid_results(search, matrix))
 
 

@@ -68,6 +68,32 @@ def test_lines_of_many_rare_rows(spark, monkeypatch):
     assert [tuple(r) for r in learning._on_lines(spark, SMALL, sampler).collect()] == [(0, 40_004, 20_002, 1)]
 
 
+def test_whole_grid_is_searched(spark, monkeypatch):
+    class Fitted:
+        def __init__(self, trees, grid, folds):
+            self.grid, self.avgMetrics = grid, [0.5] * len(grid)
+            self.folds, self.rounds = folds, trees.getMaxIter()
+
+        def getEstimatorParamMaps(self):
+            return self.grid
+
+    searched = []
+
+    class Search:
+        def __init__(self, estimator, estimatorParamMaps, numFolds, **_):
+            searched.append(Fitted(estimator, estimatorParamMaps, numFolds))
+
+        def fit(self, _):
+            return searched[-1]
+
+    matrix = spark.createDataFrame([("a", 1, 0.5)], "key string, y int, x double")
+    monkeypatch.setattr(learning, "_matrix", lambda *_: (matrix, ["x"]))
+    monkeypatch.setattr(models, "CrossValidator", Search)
+    tried = {(r["maxDepth"], r["stepSize"]) for r in QUERIES["grid_search"](spark, SMALL).collect()}
+    assert tried == {(d, s) for d in (3, 6, 10) for s in (0.1, 0.5, 1.0)}
+    assert (searched[0].folds, searched[0].rounds) == (5, 50)
+
+
 def test_hard_rows_kept(spark, con, monkeypatch):
     whole = resample.instance_hardness
 
