@@ -5,7 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from caseloom.llm import bpe, classifier, contamination, lm, pii, quality, sharding, simhash, token_files, urls
+from caseloom.llm import (
+    alignment, bpe, classifier, contamination, lm, pii, quality, ranked, sharding, simhash, token_files, urls, vector_tree,
+)
 from caseloom.llm.registry import QUERIES as LLM_QUERIES, SQL as LLM_SQL, query, table  # noqa: F401
 
 
@@ -178,3 +180,47 @@ def op10_context_tree_scores(spark: SparkSession, folder: str) -> DataFrame:
         (~F.col("train")).alias("held_out"),
         "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte",
     )
+
+
+@query("op11_token_alignment")
+def op11_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.summarise(table(spark, folder, "documents"), *paths).select(
+        F.col("id").alias("doc_id"),
+        "n_a", "n_b", F.col("n_links").alias("n_groups"), "n_links", "n_best", "count_sum", "groups_sha256",
+    )
+
+
+@query("op12_nearest_neighbours")
+def op12_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    found = vector_tree.nearest(table(spark, folder, "embeddings"), F.col("id") % 50 == 0)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
+OP13_SQL = r"""with d as (
+  select doc_id, row_number() over () as doc, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as w from documents),
+facts as (select count(*) as big_n, sum(len(w)) as big_l from d where len(w) > 0),
+b as (
+  select item_id, row_number() over () as item, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as w
+  from (select distinct item_id, text from benchmark where text is not null)),
+wanted as (select item_id, item, term, count(*) as repeats from (select item_id, item, unnest(w) as term from b) group by all),
+places as (select doc_id, doc, len(w) as n, unnest(w) as term from d),
+postings as (select doc_id, doc, n, term, count(*) as tf from places where term in (select term from wanted) group by all),
+weights as (select term, cast(floor(1000 * ln((2 * big_n + 2) / (2 * count(*) + 1))) as bigint) as weight
+  from postings, facts group by term, big_n),
+impacts as (select doc_id, doc, term, weight * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * big_n) // big_l))) as impact
+  from postings join weights using (term), facts),
+scores as (select item_id, item, doc_id, doc, cast(sum(repeats * impact) as bigint) as score
+  from wanted join impacts using (term) group by item_id, item, doc_id, doc having sum(repeats * impact) > 0),
+ranked as (select item_id, doc_id, score,
+  row_number() over (partition by item order by score desc, doc_id asc nulls last, doc) as rank from scores)
+select item_id, cast(rank as int) as rank, doc_id, score from ranked where rank <= 20
+"""
+
+
+@query("op13_ranked_search", OP13_SQL)
+def op13_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    found = ranked.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select("item_id", "rank", F.col("id").alias("doc_id"), "score")
