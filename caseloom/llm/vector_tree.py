@@ -14,10 +14,11 @@ that is broadcast, with ``CALIBRATION`` queries for the scan. All rows are index
 
 Scale: equal vectors are folded first and keep their ``k + 1`` smallest ids, which hold the
 best ``k`` of every query among them; queries are searched once for each distinct vector, so a
-vector that a third of all rows have is one row. A leaf is cut into blocks of about
-``BLOCK_VALUES`` numbers, and so are the queries that visit it; each pair of blocks is a row of
-its own with a key of its own, so a busy leaf is spread over all tasks. A pair hands on
-``k + 1`` rows a query at most.
+vector that a third of all rows have is one row. Neighbouring leaves lie together in groups of
+about ``BLOCK_VALUES`` numbers, a larger leaf is dealt out to several groups. A query is sent
+once to each group with a leaf it visits, however many they are, and the queries of a group are
+cut into shares of that size, too; each group and share is a row of its own with a key of its
+own, so a busy leaf is spread over all tasks. It hands on ``k + 1`` rows a query at most.
 
 Defined cases: vectors that are null, zero, or hold a null or a number that is not finite,
 and rows without an id, take no part; of vectors of several lengths only those of the most
@@ -44,11 +45,11 @@ BRANCH = 16
 SAMPLE = 16_384
 SAMPLE_VALUES = 1 << 22
 #: A node of so many drawn vectors is not divided.
-LEAF = 16
+LEAF = 48
 ROUNDS = 8
 CALIBRATION = 256
-RECALL = 0.98
-BLOCK_VALUES = 1 << 18
+RECALL = 0.95
+BLOCK_VALUES = 1 << 17
 SEED = 42
 
 
@@ -90,14 +91,14 @@ def _divide(points: np.ndarray, random: np.random.Generator) -> tuple[np.ndarray
     return means[used], near
 
 
-def grow(points: np.ndarray) -> Tree:
-    """The tree over vectors of length one."""
+def grow(points: np.ndarray, leaf_size: int = LEAF) -> Tree:
+    """The tree over vectors of length one; nodes of at most ``leaf_size`` are leaves."""
     random = np.random.default_rng(SEED)
     means, first, count, leaf, leaves = [np.zeros(points.shape[1])], [0], [0], [-1], 0
     waiting = [(0, points)]
     while waiting:
         node, own = waiting.pop()
-        middles, near = _divide(own, random) if len(own) > LEAF else (own[:0], None)
+        middles, near = _divide(own, random) if len(own) > leaf_size else (own[:0], None)
         if len(middles) < 2:
             leaf[node], leaves = leaves, leaves + 1
             continue
@@ -174,11 +175,11 @@ def fold(rows: DataFrame, keep: int) -> DataFrame:
     """``key``, ``vec`` and ``ids``: each distinct vector with the ``keep`` smallest of its ids."""
     order = Window.partitionBy("vec").orderBy("id")
     first = rows.dropDuplicates(["id", "vec"]).withColumn("at", F.row_number().over(order)).where(F.col("at") <= keep)
-    folded = cut_lineage(first.groupBy("vec").agg(F.sort_array(F.collect_list("id")).alias("ids")))
+    folded = first.groupBy("vec").agg(F.sort_array(F.collect_list("id")).alias("ids"))
     return cut_lineage(folded.withColumn("key", F.monotonically_increasing_id()))
 
 
-def fit(folded: DataFrame, count: int, size: int) -> Tree:
+def fit(folded: DataFrame, count: int, size: int, leaf_size: int = LEAF) -> Tree:
     """The tree, fitted in one task on a draw of the distinct vectors."""
     wanted = max(1, min(SAMPLE, SAMPLE_VALUES // size))
     share = -(-count // wanted)
@@ -188,7 +189,7 @@ def fit(folded: DataFrame, count: int, size: int) -> Tree:
         found = [(_matrix(b.column(0)), b.column(1).to_numpy()) for b in batches if b.num_rows]
         if found:
             order = np.argsort(np.concatenate([f[1] for f in found]), kind="stable")
-            tree = grow(unit(np.concatenate([f[0] for f in found])[order]))
+            tree = grow(unit(np.concatenate([f[0] for f in found])[order]), leaf_size)
             parts = [pa.array([part.tobytes()], pa.binary()) for part in tree]
             yield pa.RecordBatch.from_arrays(parts, list(Tree._fields))
 
@@ -257,48 +258,79 @@ def calibrate(index: DataFrame, queries: DataFrame, tree: Tree, k: int, recall:
     return widen(tree, points, true_leaves(index, points, [r["key"] for r in rows], k), recall)
 
 
-def walked(queries: DataFrame, tree: Tree, leaves: int) -> DataFrame:
-    """``key``, ``vec`` and ``leaf``: each query once for every leaf it visits."""
-    shared = queries.sparkSession.sparkContext.broadcast(tree)
+def layout(index: DataFrame, leaves: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each leaf its first group, and over how many groups it is dealt out."""
+    most = max(1, BLOCK_VALUES // size)
+    counts = np.zeros(leaves, dtype=np.int64)
+    for row in index.groupBy("leaf").agg(F.count("*").alias("n")).collect():  # the tree bounds the leaves
+        counts[row["leaf"]] = row["n"]
+    first, parts, group, held = np.zeros(leaves, np.int64), np.ones(leaves, np.int64), 0, 0
+    for leaf, count in enumerate(counts.tolist()):
+        if held and held + count > most:
+            group, held = group + 1, 0
+        first[leaf], parts[leaf] = group, max(1, -(-count // most))
+        if parts[leaf] > 1:
+            group += int(parts[leaf])
+        else:
+            held += count
+    return first, parts
+
+
+def walked(queries: DataFrame, tree: Tree, leaves: int, first: np.ndarray, parts: np.ndarray) -> DataFrame:
+    """``key``, ``vec``, ``group`` and ``seen``: each query once for every group with leaves it visits."""
+    shared = queries.sparkSession.sparkContext.broadcast((tree, first, parts))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tree, first, parts = shared.value
         for batch in batches:
-            for start in range(0, batch.num_rows, 512):
-                some = batch.slice(start, 512)
-                found = [
-                    [leaf for leaf, _ in zip(visits(shared.value, p), range(leaves))]
-                    for p in unit(_matrix(some.column(1)))
-                ]
-                at = np.repeat(np.arange(len(found)), [len(f) for f in found])
-                leaf = np.concatenate(found).astype(np.int32)
+            for start in range(0, batch.num_rows, 256):
+                some = batch.slice(start, 256)
+                at, groups, seen = [], [], []
+                for i, point in enumerate(unit(_matrix(some.column(1)))):
+                    by_group: dict[int, list[int]] = {}
+                    for leaf, _ in zip(visits(tree, point), range(leaves)):
+                        for group in range(int(first[leaf]), int(first[leaf] + parts[leaf])):
+                            by_group.setdefault(group, []).append(leaf)
+                    at += [i] * len(by_group)
+                    groups += by_group
+                    seen += by_group.values()
                 yield pa.RecordBatch.from_arrays(
-                    [some.column(0).take(pa.array(at)), some.column(1).take(pa.array(at)), pa.array(leaf)],
-                    ["key", "vec", "leaf"],
-                )
+                    [
+                        some.column(0).take(pa.array(at)), some.column(1).take(pa.array(at)),
+                        pa.array(groups, pa.int64()), pa.array(seen, pa.list_(pa.int32())),
+                    ],
+                    ["key", "vec", "group", "seen"],
+                )
 
-    return map_batches(queries.select("key", "vec"), run, "key long, vec array<double>, leaf int")
+    return map_batches(queries.select("key", "vec"), run, "key long, vec array<double>, group long, seen array<int>")
 
 
 def _nearest(k: int, kind: str):
-    """Of every pair of blocks, the best ``k`` rows of each query."""
+    """Of every share of a group's queries, the best ``k`` rows of each query."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                keys, asked, base, ids = (batch.column(c)[i].values for c in range(4))
+                keys, asked, seen, base, ids, leaf = (batch.column(c)[i].values for c in range(6))
                 asked, base = _matrix(asked), _matrix(base)
+                leaves, local = np.unique(leaf.to_numpy(), return_inverse=True)
+                # which of the group's leaves each query visits; an empty leaf has no row here
+                wanted = seen.flatten().to_numpy()
+                place = np.minimum(np.searchsorted(leaves, wanted), len(leaves) - 1)
+                query = np.repeat(np.arange(len(asked)), np.diff(seen.offsets.to_numpy()))
+                visited = np.zeros((len(asked), len(leaves)), dtype=bool)
+                visited[query, place] = leaves[place] == wanted
                 rough = unit(asked) @ unit(base).T
+                rough[~visited[:, local]] = -np.inf
+                kth = np.full(len(asked), -np.inf)
                 if rough.shape[1] > k:
-                    kth = np.partition(rough, rough.shape[1] - k, axis=1)[:, -k]
-                    query, row = np.nonzero(rough >= kth[:, None] - 1e-9)
-                else:
-                    query, row = np.nonzero(np.ones(rough.shape, dtype=bool))
+                    kth = np.partition(rough, rough.shape[1] - k, axis=1)[:, -k] - 1e-9
+                query, row = np.nonzero((rough >= kth[:, None]) & (rough > -np.inf))
+                if not len(query):
+                    continue
                 score = cosine(asked[query], base[row])
                 sizes = np.diff(ids.offsets.to_numpy())
                 begin = np.cumsum(sizes) - sizes
-                # of the rows the best k vectors hold, no more than k a query can count
-                order = np.lexsort((-score, query))
-                query, row, score = query[order], row[order], score[order]
                 each = sizes[row]
                 at = np.repeat(begin[row] - np.cumsum(each) + each, each) + np.arange(each.sum())
                 yield pa.RecordBatch.from_arrays(
@@ -313,30 +345,32 @@ def _nearest(k: int, kind: str):
     return run, f"key long, id {kind}, score double"
 
 
-def search_leaves(index: DataFrame, asked: DataFrame, size: int, k: int) -> DataFrame:
+def search_groups(
+    index: DataFrame, asked: DataFrame, first: np.ndarray, parts: np.ndarray, size: int, k: int
+) -> DataFrame:
     """``key``, ``id`` and ``score``: the best ``k`` rows of every query in the leaves it visits."""
     most = max(1, BLOCK_VALUES // size)
-
-    def blocks(rows: DataFrame, name: str) -> DataFrame:
-        return rows.groupBy("leaf").agg(F.ceil(F.count("*") / most).cast("int").alias(name))
-
-    # one row per leaf, and the tree bounds the leaves
-    sizes = cut_lineage(blocks(index, "parts").join(blocks(asked, "shares"), "leaf"))
+    spark = index.sparkSession
+    # one row per leaf and one per group: the tree bounds the former, the blocks the latter
+    places = spark.createDataFrame(
+        list(zip(range(len(first)), first.tolist(), parts.tolist())), "leaf int, first long, parts long"
+    )
+    shares = asked.groupBy("group").agg(F.ceil(F.count("*") / most).cast("int").alias("shares"))
+    group = F.col("first") + F.pmod(F.xxhash64("key"), "parts")
     base = (
-        index.join(F.broadcast(sizes), "leaf")
-        .groupBy("leaf", "shares", F.pmod(F.xxhash64("key"), "parts").alias("part"))
-        .agg(F.collect_list("vec").alias("base"), F.collect_list("ids").alias("ids"))
+        index.join(F.broadcast(places), "leaf")
+        .groupBy(group.alias("group"))
+        .agg(*[F.collect_list(c).alias(n) for c, n in (("vec", "base"), ("ids", "ids"), ("leaf", "leaf"))])
+        .join(shares, "group")
         .withColumn("share", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)))
         .drop("shares")
     )
     wanted = (
-        asked.join(F.broadcast(sizes), "leaf")
-        .groupBy("leaf", "parts", F.pmod(F.xxhash64("key"), "shares").alias("share"))
-        .agg(F.collect_list("key").alias("keys"), F.collect_list("vec").alias("asked"))
-        .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        .drop("parts")
+        asked.join(shares, "group")
+        .groupBy("group", F.pmod(F.xxhash64("key"), "shares").alias("share"))
+        .agg(*[F.collect_list(c).alias(n) for c, n in (("key", "keys"), ("vec", "asked"), ("seen", "seen"))])
     )
-    pairs = wanted.join(base, ["leaf", "part", "share"]).select("keys", "asked", "base", "ids")
+    pairs = wanted.join(base, ["group", "share"]).select("keys", "asked", "seen", "base", "ids", "leaf")
     kind = dict(index.dtypes)["ids"].removeprefix("array<").removesuffix(">")
     found = map_batches(pairs, *_nearest(k, kind))
     order = Window.partitionBy("key").orderBy(F.desc("score"), "id")
@@ -345,7 +379,7 @@ def search_leaves(index: DataFrame, asked: DataFrame, size: int, k: int) -> Data
 
 def nearest(
     vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding",
-    recall: float = RECALL,
+    recall: float = RECALL, leaf_size: int = LEAF,
 ) -> DataFrame:
     """``query_id``, ``rank`` (from 1), ``id`` and ``score``: the ``k`` nearest found of each query.
 
@@ -358,14 +392,15 @@ def nearest(
         return vectors.sparkSession.createDataFrame([], f"query_id {kind}, rank int, id {kind}, score double")
     size = len(one["vec"])
     folded = fold(rows, k + 1)
-    tree = fit(folded, folded.count(), size)
+    tree = fit(folded, folded.count(), size, leaf_size)
     index = placed(folded, tree)
     queries = rows.where(is_query).select("id", "vec").distinct()
     named = cut_lineage(queries.join(index.select("vec", "key"), "vec").select("id", "key"))
     points = cut_lineage(index.join(named.select("key").distinct(), "key", "left_semi"))
     leaves = calibrate(index, points, tree, k, recall)
-    asked = cut_lineage(walked(points, tree, leaves))
-    best = search_leaves(index, asked, size, k + 1)
+    first, parts = layout(index, int(tree.leaf.max()) + 1, size)
+    asked = cut_lineage(walked(points, tree, leaves, first, parts))
+    best = search_groups(index, asked, first, parts, size, k + 1)
     lists = best.groupBy("key").agg(
         F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("away"), "id", "score"))).alias("found")
     )
