@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from caseloom.checks import sql
@@ -16,8 +18,10 @@ from caseloom.checks.fixtures import VIEWS, view, with_views
 from caseloom.checks.registry import query, rounded
 from caseloom.checks.rows import CATEGORIES, YEAR, scratch
 from caseloom.functions.scalars import slugs
+from caseloom.operators.aggregates import count_pivot, top_k_vocab, vocab_values
 from caseloom.plans import features as ft
 from caseloom.plans import train as tr
+from caseloom.sources import store as generations
 
 KEY = ft.KEY
 PANEL_TESTS = ("click", "purchase", "view")
@@ -385,6 +389,33 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+#: Test names that differ in blanks and line breaks alone (fixed values), by the plain name.
+ODD_NAMES = {"click": "click ", "view": "click", "error": "cli\nck", "purchase": " "}
+
+
+@query(
+    "pivot_by_saved_values",
+    with_views(
+        ["labs"],
+        """select patientid, case test_name when 'click' then 'click ' when 'view' then 'click'
+             when 'error' then 'cli' || chr(10) || 'ck' when 'purchase' then ' ' else test_name end as value,
+             count(*) as n from labs where test_name is not null group by all""",
+    ),
+)
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts by a list of values that was fitted, saved and read again."""
+    plain = F.col("test_name")
+    odd = reduce(lambda c, pair: c.when(plain == pair[0], pair[1]), ODD_NAMES.items(), F.when(plain.isNull(), None))
+    labs = view(spark, folder, "labs").withColumn("test_name", odd.otherwise(plain))
+    generation = generations.begin(scratch(spark, "lists"))
+    fitted = vocab_values(top_k_vocab(labs, "test_name", 100))
+    generations.save_lists(spark, generation, "vocabularies", {"tests": fitted})
+    values = generations.load_lists(spark, generation, "vocabularies")["tests"]
+    wide = count_pivot(labs, KEY, "test_name", values, "n_")
+    cells = [F.struct(F.lit(v).alias("value"), F.col(c).alias("n")) for v, c in zip(values, wide.columns[1:])]
+    return wide.select(KEY, F.inline(F.array(*cells))).where("n > 0")
+
+
 @query(
     "train_save_load_score",
     with_views(

@@ -15,6 +15,7 @@ from caseloom.checks.flows import HELD_OUT, build_master, held_out_facts, tables
 from caseloom.checks.registry import query, rounded
 from caseloom.checks.rows import scratch
 from caseloom.operators import metrics, models, neighbors, prep, resample
+from caseloom.operators.boosting import Booster
 from caseloom.operators.ranking import random_sample
 from caseloom.plans import features as ft
 from caseloom.plans import train as tr
@@ -762,8 +763,136 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("boosted_trees_scores", RETOLD)
 def _(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows, and rows whose score is not what the listed nodes of a saved model add up to."""
     matrix, columns = _matrix(spark, folder)
-    return _retold(spark, models.boosted_trees(matrix, columns, ft.LABEL), matrix, columns)
+    model = models.boosted_trees(matrix, columns, ft.LABEL)
+    path = scratch(spark, "booster")
+    model.save(spark, path)
+    nodes = Booster.load(spark, path).nodes(spark).toPandas()
+    trees = [g.set_index("node").to_dict("index") for _, g in nodes.groupby("tree")]
+
+    def tell(batches):
+        for batch in batches:
+            told = []
+            for row in batch.to_dict("records"):
+                total = 0.5
+                for tree in trees:
+                    node = tree[0]
+                    while node["feature"] is not None:
+                        node = tree[node["left" if row[node["feature"]] <= node["threshold"] else "right"]]
+                    total += node["weight"]
+                told.append(min(max(total, 0.0), 1.0))
+            yield pd.DataFrame({ft.KEY: batch[ft.KEY], "told": told})
+
+    told = matrix.select(ft.KEY, *columns).repartition(8).mapInPandas(tell, f"{ft.KEY} string, told double")
+    return _judged(model, matrix).join(told, ft.KEY).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.abs(F.col("told") - F.col("p_positive")) > 1e-9).alias("wrong"),
+    )
+
+
+def _split_sql(level: str, rows: str, columns: dict[str, int]) -> str:
+    """Common table expressions: the best split of every ``path`` of ``rows`` (path, y, g, columns),
+    with one row of the leaf weights of its sides."""
+    long = " union all ".join(f"select path, {i} as col, {c}::double as v, g from {rows}" for c, i in columns.items())
+    soft = "(sign({0}) * greatest(abs({0}) - 1, 0))"
+    worth = f"{soft} * {soft} / ({{1}} + 1.0)"
+    gain = f"{worth.format('lg', 'lh')} + {worth.format('rg', 'rh')} - {worth.format('tg', 'th')}"
+    return f"""{level}_long as ({long}),
+    {level}_top as (select col, max(v) as top from {rows.split('_')[0]}_all group by col),
+    {level}_total as (select path, sum(g) as tg, count(*) as th from {rows} group by path),
+    {level}_sums as (select path, col, v, sum(g) as g, count(*) as h from {level}_long group by path, col, v),
+    {level}_none as (select path, col, g as ng, h as nh from {level}_sums where v is null),
+    {level}_run as (select path, col, v, sum(g) over w as kg, sum(h) over w as kh from {level}_sums
+      where v is not null window w as (partition by path, col order by v)),
+    {level}_sides as (select path, col, v, side, tg, th, kg + side * coalesce(ng, 0) as lg, kh + side * coalesce(nh, 0) as lh
+      from {level}_run left join {level}_none using (path, col) join {level}_total using (path),
+      (values (0), (1)) s(side)),
+    {level}_gains as (select *, {gain} as gain from (select *, tg - lg as rg, th - lh as rh from {level}_sides)
+      where lh >= 1 and rh >= 1),
+    {level} as (select path, col, v, side, gain, {soft.format('lg')} / (lh + 1.0) as lw, {soft.format('rg')} / (rh + 1.0) as rw,
+        lh, rh, case when v >= top then 'Infinity'::double else v end as threshold
+      from (select *, row_number() over (partition by path order by gain desc, col, v, side) as place from {level}_gains)
+      join {level}_top using (col) where place = 1 and gain > 1e-6)"""
+
+
+#: Columns of few values with gaps, and a label that follows from them in part.
+GROWN = "l_quantity", "l_discount", "l_tax"
+
+
+def _grown_rows(spark: SparkSession, folder: str) -> DataFrame:
+    lines = base(spark, folder, "lineitem")
+    gap = {GROWN[0]: F.col("l_linenumber") == 3, GROWN[1]: F.col("l_partkey") % 7 == 0, GROWN[2]: F.lit(False)}
+    late = (F.col("l_quantity") > 30) & (F.col("l_linenumber") != 3) | (F.col("l_discount") < 0.03) & (F.col("l_suppkey") % 4 > 0)
+    return lines.select(
+        "l_orderkey", "l_linenumber", late.cast("int").alias("y"),
+        *[F.when(~gap[c], F.col(c).cast("double")).alias(c) for c in GROWN],
+    )
+
+
+GROWN_SQL = f"""r as (select l_orderkey, l_linenumber,
+    ((l_quantity > 30 and l_linenumber != 3) or (l_discount < 0.03 and l_suppkey % 4 > 0))::int as y,
+    case when l_linenumber != 3 then l_quantity::double end as l_quantity,
+    case when l_partkey % 7 != 0 then l_discount::double end as l_discount, l_tax::double as l_tax from lineitem),
+  r_all as ({' union all '.join(f'select {i} as col, {c} as v from r' for i, c in enumerate(GROWN))}),
+  r_0 as (select *, '' as path, 0.5 - y as g from r),
+  {_split_sql('first', 'r_0', {c: i for i, c in enumerate(GROWN)})},
+  r_1 as (select r_0.* exclude (path), case when case col when 0 then l_quantity when 1 then l_discount else l_tax end <= threshold
+      or (case col when 0 then l_quantity when 1 then l_discount else l_tax end is null and side = 1) then 'L' else 'R' end as path
+    from r_0, first),
+  {_split_sql('second', 'r_1', {c: i for i, c in enumerate(GROWN)})},
+  leaves as (select case when second.path is null then r_1.path when
+      case col when 0 then l_quantity when 1 then l_discount else l_tax end <= threshold
+      or (case col when 0 then l_quantity when 1 then l_discount else l_tax end is null and side = 1)
+      then r_1.path || 'L' else r_1.path || 'R' end as path, r_1.* exclude (path) from r_1 left join second using (path))"""
+
+GROWN_SETTINGS = {"depth": 2, "rate": 0.3, "rounds": 1, "column_share": 1.0}
+
+
+def _paths(model: Booster) -> dict[int, str]:
+    """How the nodes of the first tree are reached."""
+    tree, paths = model.trees[0], {0: ""}
+    for i in range(len(tree.column)):
+        if tree.column[i] >= 0:
+            paths |= {tree.left[i]: paths[i] + "L", tree.right[i]: paths[i] + "R"}
+    return paths
+
+
+@query(
+    "booster_first_levels",
+    f"""with {GROWN_SQL},
+      splits as (select path, col, side, gain, threshold from first union all select path, col, side, gain, threshold from second)
+    select path, ['{"','".join(GROWN)}'][col + 1] as feature, round(threshold, 6) as threshold, side = 1 as missing_left,
+      round(gain, 6) as gain, cast(null as double) as weight, cast(null as bigint) as rows from splits
+    union all
+    select path, null, null, null, null,
+      round(-0.3 * (sign(sum(g)) * greatest(abs(sum(g)) - 1, 0)) / (count(*) + 1.0), 9), count(*) from leaves group by path""",
+)
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """The splits and leaves of a tree over all lines."""
+    rows = _grown_rows(spark, folder)
+    model = models.boosted_trees(rows, GROWN, "y", **GROWN_SETTINGS)
+    paths = spark.createDataFrame(list(_paths(model).items()), "node int, path string")
+    inner = F.col("feature").isNotNull()
+    return model.nodes(spark).join(paths, "node").select(
+        "path", "feature", F.round("threshold", 6).alias("threshold"), F.when(inner, F.col("missing_left")).alias("missing_left"),
+        F.when(inner, F.round("gain", 6)).alias("gain"), F.when(~inner, F.round("weight", 9)).alias("weight"),
+        F.when(~inner, F.col("hessian").cast("long")).alias("rows"),
+    )
+
+
+@query(
+    "booster_scores_with_gaps",
+    f"""with {GROWN_SQL},
+      weights as (select path, -0.3 * (sign(sum(g)) * greatest(abs(sum(g)) - 1, 0)) / (count(*) + 1.0) as w from leaves group by path)
+    select l_orderkey, l_linenumber, round(least(greatest(0.5 + w, 0), 1), 9) as p_positive from leaves join weights using (path)""",
+)
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """Scores of rows as they are, missing values included."""
+    rows = _grown_rows(spark, folder)
+    model = models.boosted_trees(rows, GROWN, "y", **GROWN_SETTINGS)
+    scored = models.with_scores(model, rows)
+    return scored.select("l_orderkey", "l_linenumber", F.round("p_positive", 9).alias("p_positive"))
 
 
 @query(
@@ -842,8 +971,7 @@ def _selected(spark: SparkSession, folder: str) -> DataFrame:
 @query("grid_search")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     matrix, columns = _matrix(spark, folder)
-    search = models.grid_search(matrix, columns, ft.LABEL)
-    return rounded(models.grid_results(search, matrix))
+    return rounded(models.grid_search(matrix, ft.KEY, columns, ft.LABEL))
 
 
 @query(

@@ -49,15 +49,18 @@ def one_hot(
 ) -> DataFrame:
     """A 0/1 column ``<column>_<value>`` per fitted value.
 
-    Null and unseen values light no column, unless the vocabulary lists ``None``.
+    Null and unseen values light no column, unless the vocabulary lists ``None``. Two columns
+    of one name, capital or small, are an error.
     """
     hot = {}
+    taken = {c.lower() for c in df.columns}
     for col, values in vocab.items():
         for name, value in zip(slugs(["null" if v is None else v for v in values]), values):
-            hot[f"{col}_{name}"] = F.col(col).eqNullSafe(value).cast("int")
-    clash = {c.lower() for c in hot} & {c.lower() for c in df.columns}
-    if clash:
-        raise ValueError(f"one-hot columns already exist: {sorted(clash)}")
+            into = f"{col}_{name}"
+            if into.lower() in taken:
+                raise ValueError(f"one-hot column {into} of {col} already exists")
+            taken.add(into.lower())
+            hot[into] = F.col(col).eqNullSafe(value).cast("int")
     wide = df.withColumns(hot)
     return wide.drop(*vocab) if drop else wide
 

@@ -63,7 +63,7 @@ from caseloom.operators.rows import (
     inner_on,
     keep_in_vocab,
 )
-from caseloom.sources.tables import read_vocab, write_vocab
+from caseloom.sources.store import Generation, load_lists, save_lists
 
 KEY = "patientid"
 DAY = "days_to_covid_diag"
@@ -169,17 +169,13 @@ def drug_vocabulary(medication: DataFrame, k: int = 100) -> DataFrame:
     return top_k_vocab(dedup(medication), "drug_name", k, KEY)
 
 
-def save_vocabularies(spark: SparkSession, vocab: Vocabularies, folder: str) -> None:
-    for name, values in vars(vocab).items():
-        rows = spark.createDataFrame(list(enumerate(values)), "rank int, value string")
-        write_vocab(rows, f"{folder}/{name}")
+def save_vocabularies(spark: SparkSession, vocab: Vocabularies, generation: Generation) -> None:
+    save_lists(spark, generation, "vocabularies", vars(vocab))
 
 
-def load_vocabularies(spark: SparkSession, folder: str, most: int = 1000) -> Vocabularies:
-    names = Vocabularies.__dataclass_fields__
-    return Vocabularies(
-        **{n: tuple(vocab_values(read_vocab(spark, f"{folder}/{n}"), most)) for n in names}
-    )
+def load_vocabularies(spark: SparkSession, generation: Generation, most: int = 1000) -> Vocabularies:
+    lists = load_lists(spark, generation, "vocabularies", most)
+    return Vocabularies(**{name: tuple(values) for name, values in lists.items()})
 
 
 # --- One table at a time ----------------------------------------------------

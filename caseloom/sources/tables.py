@@ -87,12 +87,26 @@ def read_vocab(spark: SparkSession, path: str) -> DataFrame:
     return trimmed.where(F.length("value") > 0)
 
 
-def write_vocab(df: DataFrame, path: str, value: str = "value", rank: str = "rank") -> None:
-    """Values in rank order, one per line, in one file: a vocabulary is short by design."""
-    ordered = df.select(F.col(value).cast("string").alias("value"), F.col(rank).alias("rank"))
-    ordered.coalesce(1).sortWithinPartitions("rank").select("value").write.mode(
-        "overwrite"
-    ).text(path)
+def write_vocab(
+    df: DataFrame, path: str, value: str = "value", rank: str = "rank", most: int = 10_000
+) -> None:
+    """Values in rank order, one per line, in one file, for people and other programs to read.
+
+    More than ``most`` values, and values that would not come back as they are (null, empty,
+    with a line break or white space at the end), are an error.
+    """
+    rows = df.select(F.col(value).cast("string").alias("value"), F.col(rank).alias("rank"))
+    # at most this many rows, worked out where they are, go into the one file
+    rows = df.sparkSession.createDataFrame(rows.orderBy("rank").limit(most + 1).collect(), rows.schema)
+    facts = rows.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("value").isNull() | (F.col("value") == "") | F.col("value").rlike(r"[\r\n]|\s$")).alias("odd"),
+    ).first()
+    if facts["n"] > most:
+        raise ValueError(f"a line list has at most {most} values")
+    if facts["odd"]:
+        raise ValueError(f"{facts['odd']} values cannot be lines of a list")
+    rows.coalesce(1).sortWithinPartitions("rank").select("value").write.mode("overwrite").text(path)
 
 
 def write_predictions(df: DataFrame, path: str, entity: str = "patientid") -> None:

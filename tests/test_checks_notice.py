@@ -69,29 +69,33 @@ def test_lines_of_many_rare_rows(spark, monkeypatch):
 
 
 def test_whole_grid_is_searched(spark, monkeypatch):
-    class Fitted:
-        def __init__(self, trees, grid, folds):
-            self.grid, self.avgMetrics = grid, [0.5] * len(grid)
-            self.folds, self.rounds = folds, trees.getMaxIter()
-
-        def getEstimatorParamMaps(self):
-            return self.grid
-
     searched = []
 
-    class Search:
-        def __init__(self, estimator, estimatorParamMaps, numFolds, **_):
-            searched.append(Fitted(estimator, estimatorParamMaps, numFolds))
-
-        def fit(self, _):
-            return searched[-1]
+    def search(df, key, cols, label, grid, folds, seed):
+        searched.append((grid, folds))
+        return spark.createDataFrame(
+            [(i, f, 0.5, 0.5) for i in range(len(grid)) for f in range(folds)],
+            "setting long, fold long, auc double, accuracy double",
+        )
 
     matrix = spark.createDataFrame([("a", 1, 0.5)], "key string, y int, x double")
     monkeypatch.setattr(learning, "_matrix", lambda *_: (matrix, ["x"]))
-    monkeypatch.setattr(models, "CrossValidator", Search)
-    tried = {(r["maxDepth"], r["stepSize"]) for r in QUERIES["grid_search"](spark, SMALL).collect()}
-    assert tried == {(d, s) for d in (3, 6, 10) for s in (0.1, 0.5, 1.0)}
-    assert (searched[0].folds, searched[0].rounds) == (5, 50)
+    monkeypatch.setattr(models.boosting, "grid_search", search)
+    tried = {(r["objective"], r["depth"], r["rate"]) for r in QUERIES["grid_search"](spark, SMALL).collect()}
+    assert tried == {(o, d, s) for o in ("squared", "logistic") for d in (3, 6, 10) for s in (0.1, 0.5, 1.0)}
+    (grid, folds), = searched
+    assert folds == 5 and {s.rounds for s in grid} == {50}
+
+
+def test_splits_off(spark, con, monkeypatch):
+    monkeypatch.setattr(models.boosting, "soft", lambda total, l1: total)
+    assert red(spark, con, "booster_first_levels")
+
+
+def test_gaps_on_the_wrong_side(spark, con, monkeypatch):
+    true = models.with_scores
+    monkeypatch.setattr(models, "with_scores", lambda m, df: true(m, df.na.fill(0.0)))
+    assert red(spark, con, "booster_scores_with_gaps")
 
 
 def test_hard_rows_kept(spark, con, monkeypatch):

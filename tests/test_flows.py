@@ -86,14 +86,6 @@ def test_changed_files_change_the_fingerprint(spark, tmp_path):
     assert before != io.fingerprint(spark, {"t": spark.read.parquet(path)}, 1)
 
 
-def test_vocabularies_survive_a_round_trip(spark, tmp_path):
-    vocab = ft.Vocabularies(("BMI", "SBP "), ("a b",), ("x", "y"), ("Diabetes", "diabetes"))
-    ft.save_vocabularies(spark, vocab, str(tmp_path))
-    loaded = ft.load_vocabularies(spark, str(tmp_path))
-    assert loaded.observation_types == ("BMI", "SBP")  # right-trimmed
-    assert loaded.drug_categories == vocab.drug_categories and loaded.chapters == vocab.chapters
-
-
 def test_line_list_is_trimmed_and_ordered(spark, tmp_path):
     path = tmp_path / "list.txt"
     path.write_text("zebra  \nant\t\nmoth\r\n")
