@@ -9,7 +9,8 @@ proximity matches: a start at which every word of the phrase has an occurrence w
 ``slop`` words of its place.
 
 Scale: building moves no text; a segment is made by one task and holds about
-``SEGMENT_TOKENS`` tokens, so no task holds more whatever the partition. The test set is
+``SEGMENT_TOKENS`` tokens, so no task holds more whatever the partition. A search looks into
+``CANDIDATES`` places at a time, however frequent the words of a phrase are. The test set is
 broadcast in blocks of at most about ``BLOCK_BYTES`` of text (measured, copies removed),
 one pass over the stored index for each, so a larger test set means more passes and never
 a larger broadcast. Nothing is grouped by passage, so a passage that a third of all
@@ -35,6 +36,8 @@ from caseloom.session import cut_lineage
 
 SEGMENT_TOKENS = 2_000_000
 BLOCK_BYTES = 2 << 20
+#: Places of rarest terms that are looked into at a time.
+CANDIDATES = 500_000
 #: Positions left free between documents; no proximity match of up to 3 words crosses them.
 GAP = 8
 LARGEST_SLOP = 3
@@ -167,29 +170,32 @@ class Phrases:
         self.owners = [sorted(o) for o in owners]
 
 
-def intersect(
+def candidates(
+    keys: np.ndarray, span: int, lead: np.ndarray, first: np.ndarray, size: np.ndarray
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Window and start by the postings of each window's rarest term, about ``CANDIDATES`` at a time.
+
+    ``lead`` is that term's place in the window, ``first`` and ``size`` say where its list
+    lies. A list of more is handed out in pieces, so memory does not depend on the words.
+    """
+    ends = np.cumsum(size)
+    total = int(ends[-1]) if len(ends) else 0
+    for begin in range(0, total, CANDIDATES):
+        at = np.arange(begin, min(begin + CANDIDATES, total))
+        window = np.searchsorted(ends, at, side="right")
+        posting = first[window] + at - (ends[window] - size[window])
+        yield window, keys[posting] % span - lead[window]
+
+
+def confirmed(
     keys: np.ndarray, span: int, term: np.ndarray, order: np.ndarray, lengths: np.ndarray,
-    first: np.ndarray, count: np.ndarray, slop: int,
+    window: np.ndarray, start: np.ndarray, slop: int, since: int,
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Window and start of every match.
+    """The windows and starts that the lists of all terms confirm, from rank ``since`` on.
 
-    ``keys`` are the postings as term * span + position, in order. ``term`` has a window's
-    terms, ``order`` their places from the rarest on; the rarest list gives the candidates
-    and each further list, moved by its term's place, keeps those it confirms.
+    Each list, moved by its term's place, keeps the starts with a posting within ``slop``.
     """
-    rows = np.arange(len(term))
-    lead = order[:, 0]
-    size = count[rows, lead]
-    window = np.repeat(rows, size)
-    within = np.arange(len(window)) - np.repeat(np.cumsum(size) - size, size)
-    posting = np.repeat(first[rows, lead], size) + within
-    start = keys[posting] % span - lead[window]
-    if slop:
-        moves = np.arange(-slop, slop + 1)
-        window, start = np.repeat(window, len(moves)), (start[:, None] + moves).ravel()
-    keep = start >= 0
-    window, start = window[keep], start[keep]
-    for rank in range(1, term.shape[1]):
+    for rank in range(since, term.shape[1]):
         here = lengths[window] > rank
         if not here.any():
             break
@@ -206,6 +212,34 @@ def intersect(
     return window, start
 
 
+def intersect(
+    keys: np.ndarray, span: int, term: np.ndarray, order: np.ndarray, lengths: np.ndarray,
+    first: np.ndarray, count: np.ndarray, slop: int,
+) -> tuple[np.ndarray, np.ndarray]:
+    """Window and start of every match.
+
+    ``keys`` are the postings as term * span + position, in order. ``term`` has a window's
+    terms, ``order`` their places from the rarest on; the rarest list gives the candidates
+    and each further list, moved by its term's place, keeps those it confirms. Starts that
+    lie within ``slop`` of a candidate are tried for candidates that the lists confirm twice
+    as loosely, as any such start asks for.
+    """
+    rows = np.arange(len(term))
+    lead = order[:, 0]
+    moves = np.arange(-slop, slop + 1)
+    windows, starts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for window, start in candidates(keys, span, lead, first[rows, lead], count[rows, lead]):
+        if slop:
+            window, start = confirmed(keys, span, term, order, lengths, window, start, 2 * slop, 1)
+            window, start = np.repeat(window, len(moves)), (start[:, None] + moves).ravel()
+        keep = start >= 0
+        window, start = window[keep], start[keep]
+        window, start = confirmed(keys, span, term, order, lengths, window, start, slop, 1)
+        windows.append(window)
+        starts.append(start)
+    return np.concatenate(windows), np.concatenate(starts)
+
+
 def _search_segment(
     ids: int, lengths: np.ndarray, terms: bytes, counts: bytes, postings: bytes, phrases: Phrases, slop: int
 ) -> dict[int, tuple[list[int], set[str], set[str]]]:
@@ -214,7 +248,8 @@ def _search_segment(
     local = np.array([number.get(t, -1) for t in phrases.terms], dtype=np.int64)
     del number
     starts = document_starts(lengths)
-    span = int(lengths.sum()) + GAP * (ids + 2)
+    # room behind the last word for a window that would reach beyond it
+    span = int(lengths.sum()) + GAP * (ids + 2) + phrases.rows.shape[1]
     freq = np.frombuffer(counts, dtype=np.int32).astype(np.int64)
     ends = np.cumsum(freq)
     firsts = ends - freq

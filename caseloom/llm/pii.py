@@ -135,15 +135,13 @@ _open, _close = r"\s?[(\[{<]\s?", r"\s?[)\]}>]\s?"
 _at = re.compile(rf"(?:{_open}(?:at|@|arroba){_close}|&#0*64;|&commat;)", re.I)
 _dot = re.compile(rf"(?:{_open}(?:dot|\.|punkt|point|punto){_close}|&#0*46;|&period;)", re.I)
 #: Words without brackets count only in a whole address: name at host dot ending.
-_address = re.compile(
-    r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9%+-]+(?:(?:\.| dot )[A-Za-z0-9%+-]+){0,4}"
-    r"(?P<at> at |@)[A-Za-z0-9-]+(?:(?:\.| dot )[A-Za-z0-9-]+){1,5}(?![A-Za-z0-9])",
-    re.I,
-)
+_name = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9_%+-]++(?:(?:\.| dot )[A-Za-z0-9_%+-]++)*+", re.I)
+_at_word = re.compile(r" at |@", re.I)
+_host = re.compile(r"[A-Za-z0-9-]++(?:(?:\.| dot )[A-Za-z0-9-]++)++", re.I)
 _bracketed = re.compile(r"[(\[{<]\s?(?:at|@|arroba|dot|\.|punkt|point|punto)\s?[)\]}>]|&(?:#0*(?:46|64)|commat|period);", re.I)
 #: No host is called so; what looks like an address around them is prose.
 _articles = re.compile(r"(?: at |@)(?:the|a|an|this|that) dot ", re.I)
-_number_dots = re.compile(r"(?<![0-9.])[0-9]{1,3}(?: ?dot ?[0-9]{1,3}){3}(?![0-9])", re.I)
+_number_dots = re.compile(r"(?<![0-9.])[0-9]++(?: ?dot ?[0-9]++){3}", re.I)
 _plain_words = re.compile(r" at | ?dot ?", re.I)
 
 
@@ -204,13 +202,29 @@ def _spelled_edits(text: str) -> list[tuple[int, int, str]]:
     return edits
 
 
+def _addresses(text: str) -> Iterator[tuple[int, int]]:
+    """Names of any number of parts, an at word, and hosts of two parts or more.
+
+    A name is taken whole before what follows is looked at, so no place is read twice.
+    """
+    at = 0
+    while name := _name.search(text, at):
+        at = name.end()
+        word = _at_word.match(text, at)
+        host = _host.match(text, word.end()) if word else None
+        if host:
+            at = host.end()
+            yield name.start(), at
+
+
 def _address_edits(text: str) -> list[tuple[int, int, str]]:
     edits = []
-    for pattern in (_address, _number_dots):
-        for m in pattern.finditer(text):
-            inner = [(w.start() + m.start(), w.end() + m.start()) for w in _plain_words.finditer(m[0])]
+    numbers = [m.span() for m in _number_dots.finditer(text)]
+    for found, named in ((_addresses(text), True), (numbers, False)):
+        for start, end in found:
+            inner = [w.span() for w in _plain_words.finditer(text, start, end)]
             words = [text[a:b].strip().lower() for a, b in inner]
-            if pattern is _address and ("dot" not in words or _articles.search(m[0])):
+            if named and ("dot" not in words or _articles.search(text, start, end)):
                 continue
             edits += [(a, b, "@" if w == "at" else ".") for (a, b), w in zip(inner, words)]
     edits.sort()
@@ -232,7 +246,7 @@ def normalise(text: str) -> Rewriting:
     if _bracketed.search(held.text):
         held.replace([(*m.span(), "@") for m in _at.finditer(held.text)])
         held.replace([(*m.span(), ".") for m in _dot.finditer(held.text)])
-    if any(word in held.text for word in ("dot", "DOT", "Dot")):
+    if "dot" in held.text.lower():
         held.replace(_address_edits(held.text))
     return held
 

@@ -1,6 +1,7 @@
 """A uniform shuffle of documents into shards of exact size, in DataFrame operations alone.
 
-Method: rows lie in blocks (by a hash of the row). How many rows of each block go to each
+Method: rows lie in blocks (by a hash of the row and its place in the written table, so equal
+rows lie apart). How many rows of each block go to each
 shard is drawn first, exactly as a uniform shuffle would have it: the matrix of counts with
 the block sizes and the shard sizes as its sums is multivariate hypergeometric. Each block
 is then permuted and cut by its row of the matrix, the rows are exchanged, and each shard is
@@ -19,8 +20,7 @@ about ``BLOCK`` rows and a shard is permuted in buckets of about as many, so no
 whole shard. The matrix has one row per block and is made in one narrow pass per level.
 
 Defined cases: a null text has no bytes (its checksum is that of the empty text); a null id
-is a row like any other; repeated rows are all kept, and equal ones may take each other's
-places; an empty table gives no rows; with fewer rows than shards some shards are empty.
+is a row like any other; repeated rows are all kept and spread like others; an empty table gives no rows; with fewer rows than shards some shards are empty.
 """
 
 from __future__ import annotations
@@ -30,6 +30,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from caseloom.session import cut_lineage
 
 BLOCK = 4096
+#: Blocks whose sizes are added up together.
+RUN = 4096
 SEED = 20_240_607
 MIXED = "array<bigint>"
 
@@ -143,8 +145,13 @@ def matrix(sizes: DataFrame, shards: int, seed: int = SEED) -> DataFrame:
     facts = sizes.agg(F.sum("size"), F.count("*")).first()
     rows, blocks = facts[0] or 0, facts[1]
     levels = max(0, blocks - 1).bit_length()
-    prefix = sizes.select(
-        "block", (F.sum("size").over(Window.orderBy("block")) - F.col("size")).alias("before")
+    # runs of blocks are added up first, so that one task sees the runs and never the blocks
+    run = F.floor(F.col("block") / RUN).alias("run")
+    runs = sizes.groupBy(run).agg(F.sum("size").alias("n"))
+    runs = runs.select("run", (F.sum("n").over(Window.orderBy("run")) - F.col("n")).alias("earlier"))
+    within = Window.partitionBy("run").orderBy("block")
+    prefix = sizes.select("block", "size", run).join(runs, "run").select(
+        "block", (F.col("earlier") + F.sum("size").over(within) - F.col("size")).alias("before")
     )
     edges = cut_lineage(
         prefix.unionByName(prefix.sparkSession.range(1).select(F.lit(blocks).cast("long").alias("block"), F.lit(rows).cast("long").alias("before")))
@@ -189,12 +196,14 @@ def shuffle(
         F.col(id_col).alias("id"),
         (F.octet_length(content) + F.lit(16)).cast("long").alias("size"),
         F.crc32(content).alias("crc"),
-        F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col)).alias("key"),
+        F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col)).alias("content_key"),
     )
-    rows = cut_lineage(rows)
+    # a number for each row of the written table keeps equal rows apart in all three draws
+    rows = cut_lineage(rows).withColumn("row", F.monotonically_increasing_id())
+    rows = rows.select("id", "size", "crc", F.xxhash64("content_key", "row").alias("key"), "row")
     total = rows.count()
     blocks = max(1, -(-total // block))
-    tie = [F.col("key"), F.col("id"), F.col("crc")]
+    tie = [F.col("key"), F.col("row")]
     mixed = F.xxhash64(F.lit(seed + 1), "key")
     order = Window.partitionBy("block").orderBy("mixed", *tie)
     placed = rows.select("*", F.pmod(F.xxhash64("key"), F.lit(blocks)).alias("block"), mixed.alias("mixed"))
@@ -212,7 +221,7 @@ def shuffle(
     numbered = placed.withColumn("rank", F.row_number().over(order)).join(ends, "block")
     # the first shard whose rows of this block end at or behind the rank
     sent = numbered.select(
-        "id", "size", "crc", "key",
+        "id", "size", "crc", "key", "row",
         F.size(F.filter(F.slice("ends", 2, shards), lambda e: e < F.col("rank"))).alias("shard"),
         F.xxhash64(F.lit(seed + 2), "key", "block").alias("again"),
     )

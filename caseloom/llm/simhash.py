@@ -9,7 +9,8 @@ all, so a pair of tiles whose counts are further apart than the radius is never
 
 Scale: the texts never move; the comparison works on distinct fingerprints, so a group of
 copies is one row whatever its size. A tile holds at most ``TILE`` fingerprints (a busier
-cell has more tiles). A tile pair hands on a spanning forest of its links, not all of them,
+cell has more tiles). A pair of tiles has a key of its own, so the pairs of one cell go to all
+tasks. A tile pair hands on a spanning forest of its links, not all of them,
 which leaves every component as it is. Components come from repeated minimum joins on the
 links, with lineage cut each round.
 
@@ -146,18 +147,26 @@ def links_within(fps: DataFrame, radius: int = 2, parts: int = PARTS, tile: int
     def moved(offset: tuple[int, ...]) -> Column:
         return F.array(*[F.col("cell")[i] + F.lit(v) for i, v in enumerate(offset)])
 
-    outgoing = tiles.select(
-        F.col("fps").alias("left"),
+    # names of pairs first; tiles are brought to a pair by its whole name, so those of one
+    # cell are dealt out to all tasks
+    here = tiles.select("cell", "block")
+    outgoing = here.select(
         F.col("cell").alias("home"),
         F.col("block").alias("from_block"),
         F.explode(F.array(*[moved(o) for o in cell_offsets(radius, parts)])).alias("cell"),
     )
     same_cell = F.col("home") == F.col("cell")
-    pairs = (
-        outgoing.join(tiles, "cell")
-        .where(~same_cell | (F.col("from_block") <= F.col("block")))
-        .select("left", F.col("fps").alias("right"), (same_cell & (F.col("from_block") == F.col("block"))).alias("same"))
+    name = ["home", "from_block", "cell", "block"]
+    names = cut_lineage(
+        outgoing.join(here, "cell").where(~same_cell | (F.col("from_block") <= F.col("block"))).select(*name)
     )
+    left = names.join(tiles.select(F.col("cell").alias("home"), F.col("block").alias("from_block"), F.col("fps").alias("left")), name[:2])
+    right = names.join(tiles.select("cell", "block", F.col("fps").alias("right")), name[2:])
+    same = same_cell & (F.col("from_block") == F.col("block"))
+    # a pair is little to move but much to do: as many tasks as there may be, not as bytes ask for
+    tasks = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pairs = left.repartition(tasks, *name).join(right.repartition(tasks, *name), name)
+    pairs = pairs.select("left", "right", same.alias("same"))
     return map_batches(pairs, _tile_links(radius), "a long, b long")
 
 

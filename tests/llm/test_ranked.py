@@ -11,8 +11,6 @@ import pytest
 
 import brute
 from caseloom.llm import ranked
-from caseloom.llm.queries import LLM_QUERIES, LLM_SQL
-from harness import connect, differences
 from test_llm import PROSE, ROWS, SCHEMA, bag, docs, nothing  # noqa: F401
 
 ITEMS = [
@@ -65,11 +63,6 @@ def test_random_texts_with_ties(spark):
     assert bag(tuple(r) for r in got.collect()) == bag(best(rows, items))
 
 
-def test_same_as_sql(spark, small):
-    name = "op13_ranked_search"
-    assert differences(LLM_QUERIES[name](spark, small), connect(small), LLM_SQL[name]) == []
-
-
 def test_empty_tables(spark, docs, nothing):  # noqa: F811
     items = spark.createDataFrame(ITEMS, ITEM_SCHEMA)
     none = spark.createDataFrame([], ITEM_SCHEMA)
