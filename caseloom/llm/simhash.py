@@ -230,11 +230,13 @@ def deduplicate(
     """
     named = docs.select(row_name(docs, id_col, text_col).alias("row"), text_col)
     leaders = near_duplicates(named, "row", text_col, words, radius).select("component.*").distinct()
-    leaders = leaders.select(F.col("id").alias("lead_id"), "text_key")
+    # one name without nulls on both sides, so that the rows move once for both steps
     key = free_name(docs, "key")
-    keyed = docs.withColumn(key, F.xxhash64(text_col))
-    same = keyed[id_col].eqNullSafe(leaders["lead_id"]) & (keyed[key] == leaders["text_key"])
-    return keyed.join(leaders, same, "left_semi").dropDuplicates([id_col, key]).drop(key)
+    named = F.concat_ws("|", F.col("text_key").cast("string"), F.col("id").cast("string"), F.col("id").isNull().cast("string"))
+    leaders = leaders.select(named.alias(key))
+    text_key, own_id = F.xxhash64(text_col).cast("string"), F.col(id_col).cast("string")
+    keyed = docs.withColumn(key, F.concat_ws("|", text_key, own_id, F.col(id_col).isNull().cast("string")))
+    return keyed.join(leaders, key, "left_semi").dropDuplicates([key]).drop(key)
 
 
 def fingerprint_hex() -> Column:
