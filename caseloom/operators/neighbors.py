@@ -5,17 +5,17 @@ By the counted sizes of the two sides:
 * small base: the base is broadcast and the query rows are mapped, without a shuffle;
 * few queries: the queries are broadcast and the base is scanned once; each task keeps the
   best for every query, so the base is not moved, whatever its size;
-* otherwise: equal points are folded into one, so that a point a third of the rows
-  share costs one search, and the points are divided into cells around pivots. The
-  triangle inequality says which base points can matter to a cell, those are sent
-  there, and oversized cells are split into blocks of bounded size whose best
-  candidates are merged.
+* otherwise equal points are folded into one, so that a point a third of the rows
+  share costs one search, and then, in spaces of at most ``NARROW`` coordinates, the
+  points are divided into cells around pivots. The triangle inequality says which base
+  points can matter to a cell, those are sent there, and oversized cells are split into
+  blocks of bounded size whose best candidates are merged;
+* in wider spaces, where that inequality rules out little, the base is written with a byte
+  for each coordinate. The distance to such a row and how far it lies from the true one
+  bound the true distance from below and above. Blocks of bytes are scanned first, and only
+  rows that the bounds leave among the best ``k`` are read whole.
 
 All give the same rows. Ties in distance go to the smaller id.
-
-In wide spaces the triangle inequality rules out little, and the third way comes close to
-comparing all pairs. ``knn_approximate`` is the way out for whole tables against
-themselves; a caller asks for it, it is never taken by itself.
 """
 
 from __future__ import annotations
@@ -39,6 +39,8 @@ BROADCAST_VALUES = 4_000_000
 BLOCK_ROWS = 20_000
 CELL_ROWS = 5_000
 MOST_CELLS = 512
+# Coordinates up to which cells are searched.
+NARROW = 12
 
 
 def row_schema(kind: str) -> str:
@@ -61,7 +63,9 @@ class Prepared:
         self.labels = base["label"].to_numpy()
         self.points = matrix(base["point"])
         self.norms = np.einsum("ij,ij->i", self.points, self.points)
-        self.ties = self.ids.astype(str) if self.ids.dtype == object else self.ids
+        # places in the order of ids of any type
+        self.ties = np.empty(len(self.ids), dtype=np.int64)
+        self.ties[np.argsort(self.ids, kind="stable")] = np.arange(len(self.ids))
 
 
 def best_of(
@@ -132,12 +136,21 @@ def hits_frame(
 
 
 def _rows(df: DataFrame, key: str, point: str, label: str | None) -> DataFrame:
-    kind = df.schema[key].dataType.simpleString()
-    return df.select(
-        F.col(key).cast("string" if kind == "string" else "bigint").alias("id"),
+    """Ids of their own type, labels and points of the rows that take part."""
+    rows = df.select(
+        F.col(key).alias("id"),
         (F.col(label) if label else F.lit(0)).cast("int").alias("label"),
         F.col(point).cast("array<double>").alias("point"),
     )
+    infinite = F.lit(float("inf"))
+    whole = F.forall("point", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < infinite))
+    return rows.where(F.col("id").isNotNull() & F.col("point").isNotNull() & whole)
+
+
+def _of_width(rows: DataFrame, width: int) -> DataFrame:
+    """The rows; a point of another length is an error where it is met."""
+    said = F.concat(F.lit(f"a point has not {width} coordinates but "), F.size("point").cast("string"))
+    return rows.withColumn("point", F.when(F.size("point") == width, F.col("point")).otherwise(F.raise_error(said)))
 
 
 def _first_copies(rows: DataFrame, k: int) -> DataFrame:
@@ -320,6 +333,117 @@ def _cell_search(queries: DataFrame, base: DataFrame, k: int, farthest: bool, n:
     )
 
 
+def _ranges(base: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Smallest and largest value of each coordinate; a row per task reaches the driver."""
+
+    def edges(batches):
+        low, high = np.full(width, np.inf), np.full(width, -np.inf)
+        for batch in batches:
+            if len(batch):
+                points = matrix(batch["point"])
+                low, high = np.minimum(low, points.min(axis=0)), np.maximum(high, points.max(axis=0))
+        yield pd.DataFrame({"low": [low.tolist()], "high": [high.tolist()]})
+
+    found = base.mapInPandas(edges, "low array<double>, high array<double>").collect()
+    return np.min([r.low for r in found], axis=0), np.max([r.high for r in found], axis=0)
+
+
+def _coded(base: DataFrame, low: np.ndarray, step: np.ndarray) -> DataFrame:
+    """``id``, ``code`` (a byte per coordinate) and ``off``, how far the code's point lies from the true one."""
+
+    def code(batches):
+        for batch in batches:
+            if len(batch):
+                points = matrix(batch["point"])
+                codes = np.clip(np.floor((points - low) / step), 0, 255).astype(np.uint8)
+                off = points - (low + (codes + 0.5) * step)
+                yield pd.DataFrame(
+                    {
+                        "id": batch["id"].to_numpy(),
+                        "code": [row.tobytes() for row in codes],
+                        "off": np.sqrt(np.einsum("ij,ij->i", off, off)) * (1 + 1e-9),
+                    }
+                )
+
+    return base.mapInPandas(code, f"id {id_type(base)}, code binary, off double")
+
+
+def bounded_candidates(
+    queries: DataFrame, base: DataFrame, k: int, farthest: bool, asked: int, size: int, width: int
+) -> DataFrame:
+    """``(point_id, neighbor)``: all pairs that may be among the ``k`` best of a query, found from bytes."""
+    low, high = _ranges(base, width)
+    step = np.maximum((high - low) / 256, 1e-300)
+    query_blocks = max(1, ceil(asked / CELL_ROWS))
+    base_blocks = max(1, ceil(size * width / BROADCAST_VALUES))
+    kind = id_type(queries)
+
+    def spread(df: DataFrame, own: int, other: int, into: str, onto: str) -> DataFrame:
+        every = F.array(*[F.lit(i) for i in range(other)])
+        return df.withColumns({into: F.pmod(F.xxhash64("id"), F.lit(own)).cast("int"), onto: F.explode(every)})
+
+    left = spread(queries.select("id", "point"), query_blocks, base_blocks, "query_block", "base_block")
+    right = spread(_coded(base, low, step), base_blocks, query_blocks, "base_block", "query_block")
+
+    def search(ours, theirs):
+        parts = []
+        if len(ours) and len(theirs):
+            codes = np.frombuffer(b"".join(theirs["code"]), dtype=np.uint8).reshape(len(theirs), -1)
+            points, off = low + (codes + 0.5) * step, theirs["off"].to_numpy()
+            norms = np.einsum("ij,ij->i", points, points)
+            rows = max(1, 4_000_000 // len(theirs))
+            for start in range(0, len(ours), rows):
+                some = ours.iloc[start : start + rows]
+                part = matrix(some["point"])
+                own = np.einsum("ij,ij->i", part, part)
+                square = own[:, None] + norms[None, :] - 2.0 * part @ points.T
+                slack = (1e-9 * (own + norms.max()) + 1e-300)[:, None]
+                least = np.maximum(np.sqrt(np.maximum(square - slack, 0.0)) - off, 0.0)
+                most = np.sqrt(np.maximum(square + slack, 0.0)) + off
+                near, far = (-most, -least) if farthest else (least, most)
+                kth = np.full(len(part), np.inf)
+                if k < len(points):
+                    kth = np.partition(far, k - 1, axis=1)[:, k - 1]
+                row, place = np.nonzero(near <= kth[:, None])
+                parts.append(
+                    pd.DataFrame(
+                        {
+                            "point_id": some["id"].to_numpy()[row], "neighbor": theirs["id"].to_numpy()[place],
+                            "near": near[row, place], "far": far[row, place],
+                        }
+                    )
+                )
+        return pd.concat(parts) if parts else pd.DataFrame()
+
+    by = ["query_block", "base_block"]
+    found = left.groupBy(*by).cogroup(right.groupBy(*by)).applyInPandas(
+        search, f"point_id {kind}, neighbor {kind}, near double, far double"
+    )
+    each = Window.partitionBy("point_id")
+    placed = found.withColumn("_r", F.row_number().over(each.orderBy("far")))
+    limited = placed.withColumn("_kth", F.max(F.when(F.col("_r") == k, F.col("far"))).over(each))
+    fits = F.col("_kth").isNull() | (F.col("near") <= F.col("_kth"))
+    return limited.where(fits).select("point_id", "neighbor")
+
+
+def _wide_search(
+    queries: DataFrame, base: DataFrame, k: int, farthest: bool, asked: int, size: int, width: int
+) -> DataFrame:
+    """Search by bounds: exact, and few rows are read whole."""
+    pairs = bounded_candidates(queries, base, k, farthest, asked, size, width)
+    ends = base.select(F.col("id").alias("neighbor"), F.col("label").alias("neighbor_label"), F.col("point").alias("b"))
+    starts = queries.select(F.col("id").alias("point_id"), F.col("point").alias("a"))
+
+    def measure(batches):
+        for batch in batches:
+            if len(batch):
+                gap = matrix(batch["a"]) - matrix(batch["b"])
+                distance = np.sqrt(np.einsum("ij,ij->i", gap, gap))
+                yield batch[["point_id", "neighbor", "neighbor_label"]].assign(distance=distance)
+
+    return pairs.join(ends, "neighbor").join(starts, "point_id").mapInPandas(measure, hit_schema(id_type(queries)))
+
+
 def knn(
     queries: DataFrame,
     base: DataFrame,
@@ -332,13 +456,21 @@ def knn(
 ) -> DataFrame:
     """``(key, neighbor, neighbor_label, distance, rank)``, ``k`` rows per query row.
 
-    A row is never its own neighbour. ``broadcast_values`` bounds the coordinates that a
-    broadcast side may hold; where both sides are larger, the search goes by cells.
+    A row is never its own neighbour. Ids keep their type. Rows without an id or a point, and
+    points with a null, NaN or infinity, take no part; points of different lengths are an error.
+    ``broadcast_values`` bounds the coordinates that a broadcast side may hold; where both
+    sides are larger, the search goes by cells or, in wide spaces, by bounds.
     """
     asked = _rows(queries, key, point, label)
     known = _rows(base, key, point, label)
-    stats = known.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("point")).alias("d")).first()
+    stats = known.agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.size("point")).alias("low"), F.max(F.size("point")).alias("d")
+    ).first()
     size, width = stats.n, stats.d or 0
+    if stats.low != stats.d:
+        raise ValueError(f"points have from {stats.low} to {stats.d} coordinates")
+    if size:
+        asked = _of_width(asked, width)
     if size * width > broadcast_values:
         few = broadcast_values // max(1, width)
         if few and asked.limit(few + 1).count() <= few:
@@ -354,7 +486,11 @@ def knn(
 
     points = asked.groupBy("point").agg(F.min("id").alias("id"))
     points = cut_lineage(points.select("id", F.lit(0).alias("label"), "point"))
-    found = _cell_search(points, known, k + 1, farthest, points.count())
+    count = points.count()
+    if width > NARROW:
+        found = _wide_search(points, known, k + 1, farthest, count, size, width)
+    else:
+        found = _cell_search(points, known, k + 1, farthest, count)
     # Back from distinct points to rows, one row per point on the right-hand side.
     lists = (
         _merge(found, k + 1, farthest)
@@ -374,73 +510,10 @@ def knn(
     of_point = points.select(F.col("id").alias("point_id"), "point").join(lists, "point_id")
     own = asked.select("id", "point").join(of_point, "point")
     others = F.slice(F.filter("hits", lambda h: h["neighbor"] != F.col("id")), 1, k)
-    return own.select(
-        F.col("id").alias(key), F.posexplode(others).alias("place", "hit")
-    ).select(
-        key,
+    return own.select("id", F.posexplode(others).alias("place", "hit")).select(
+        F.col("id").alias(key),
         F.col("hit.neighbor").alias("neighbor"),
         F.col("hit.neighbor_label").alias("neighbor_label"),
         F.abs("hit.order").alias("distance"),
         (F.col("place") + 1).alias("rank"),
     )
-
-
-def knn_approximate(
-    queries: DataFrame,
-    base: DataFrame,
-    k: int,
-    key: str,
-    point: str,
-    label: str | None = None,
-    tables: int = 8,
-    bits: int = 8,
-    block: int = CELL_ROWS,
-    seed: int = 29,
-) -> DataFrame:
-    """As ``knn``, but a row meets only rows on its side of ``bits`` random planes, in any
-    of ``tables`` draws; neighbours may be missed, and a row may have fewer than ``k``.
-
-    The planes go through the mean point. A bucket of more than ``block`` base rows is
-    dealt out by a hash of the id, so no task holds more: a row then meets the rows of its
-    own share. Work is rows x tables x block at most, whatever the points.
-    """
-    asked, known = _rows(queries, key, point, label), _rows(base, key, point, label)
-    width = known.agg(F.max(F.size("point"))).first()[0] or 0
-    means = [F.avg(F.get("point", F.lit(i))) for i in range(width)]
-    centre = np.array([m or 0.0 for m in known.agg(*means).first()]) if width else np.zeros(0)
-    planes = np.random.default_rng(seed).normal(size=(width, tables * bits))
-    weights = 1 << np.arange(bits)
-
-    def place(batches):
-        for batch in batches:
-            if len(batch):
-                side = ((matrix(batch["point"]) - centre) @ planes > 0).reshape(len(batch), tables, bits)
-                code = (side @ weights).astype("int64")
-                for t in range(tables):
-                    yield batch.assign(bucket=code[:, t] * tables + t)
-
-    def placed(df: DataFrame) -> DataFrame:
-        return df.mapInPandas(place, row_schema(id_type(df)) + ", bucket long")
-
-    # At most tables * 2**bits rows of bucket sizes.
-    sizes = placed(known).groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("shares"))
-    sizes = F.broadcast(cut_lineage(sizes))
-
-    def dealt(df: DataFrame) -> DataFrame:
-        share = F.pmod(F.xxhash64("id", "bucket"), F.col("shares")).cast("int")
-        return placed(df).join(sizes, "bucket").withColumn("share", share).drop("shares")
-
-    def search(ours, theirs):
-        found = [
-            hits_frame(ours.iloc[i : i + block], theirs, k + 1, False) for i in range(0, len(ours), block)
-        ]
-        return pd.concat(found) if found else hits_frame(ours, theirs, k + 1, False)
-
-    by = ["bucket", "share"]
-    hits = (
-        dealt(asked).groupBy(*by).cogroup(dealt(known).groupBy(*by))
-        .applyInPandas(search, hit_schema(id_type(asked)))
-        .where(~F.col("point_id").eqNullSafe(F.col("neighbor")))
-        .distinct()
-    )
-    return _merge(hits, k, False).withColumnRenamed("point_id", key)

@@ -24,7 +24,6 @@ from caseloom.operators.ranking import key_fraction, random_sample, top_rows
 from caseloom.session import cut_lineage
 
 SEED = 37
-Search = Callable[..., DataFrame]
 
 
 def _rare(df: DataFrame, label: str) -> DataFrame:
@@ -298,42 +297,53 @@ def near_miss(
 
 
 def disagreeing(
-    df: DataFrame, key: str, label: str, point: str, k: int = 3, search: Search = knn
+    df: DataFrame, key: str, label: str, point: str, k: int = 3
 ) -> DataFrame:
-    """Keys of common rows with a rare row among their ``k`` nearest.
-
-    ``search`` may be ``knn_approximate`` where the table is large and its points wide.
-    """
-    hits = search(_common(df, label), df, k, key, point, label)
+    """Keys of common rows with a rare row among their ``k`` nearest."""
+    hits = knn(_common(df, label), df, k, key, point, label)
     return hits.where(F.col("neighbor_label") != 0).select(key).distinct()
 
 
 def edited_nn(
-    df: DataFrame, key: str, label: str, point: str, k: int = 3, search: Search = knn
+    df: DataFrame, key: str, label: str, point: str, k: int = 3
 ) -> DataFrame:
     rows, _, _ = _parts(df, key, label, point)
-    return rows.join(disagreeing(rows, key, label, point, k, search), key, "left_anti")
+    return rows.join(disagreeing(rows, key, label, point, k), key, "left_anti")
 
 
 def repeated_edited_nn(
     df: DataFrame, key: str, label: str, point: str, k: int = 3, rounds: int | None = None,
-    search: Search = knn,
+    searched: list[int] | None = None,
 ) -> DataFrame:
     """Edited neighbours until a round removes nothing; each round before removes a row.
 
-    ``rounds`` ends it earlier.
+    The neighbours of every common row are looked up once and kept. A removed row can change
+    only the judgement of rows that have it among their neighbours: those alone are searched
+    again, a number that falls from round to round. ``searched``, if given, is told how many
+    rows each round looked up. ``rounds`` ends it earlier.
     """
     rows, zeros, ones = _parts(df, key, label, point)
+    wanted = _common(rows, label)
+    lists = None
     done = 0
     while rounds is None or done < rounds:
-        edited = cut_lineage(edited_nn(rows, key, label, point, k, search))
-        left, _ = class_counts(edited, label)
-        if left == zeros:
+        if searched is not None:
+            searched.append(wanted.count())
+        found = cut_lineage(knn(wanted, rows, k, key, point, label).select(key, "neighbor", "neighbor_label"))
+        kept = found if lists is None else cut_lineage(lists.join(wanted.select(key), key, "left_anti").unionByName(found))
+        gone = cut_lineage(kept.where(F.col("neighbor_label") != 0).select(key).distinct())
+        removed = gone.count()
+        if not removed:
             break
-        if left < ones:
+        if zeros - removed < ones:
             # Another round would make the common class the smaller one.
             return rows
-        rows, zeros, done = edited, left, done + 1
+        rows = cut_lineage(rows.join(gone, key, "left_anti"))
+        zeros, done = zeros - removed, done + 1
+        # lists of rows that are left; those that name a removed row are out of date
+        lists = kept.join(gone, key, "left_anti")
+        stale = lists.join(gone.withColumnRenamed(key, "neighbor"), "neighbor", "left_semi").select(key).distinct()
+        wanted = cut_lineage(rows.join(stale, key, "left_semi"))
     return rows
 
 

@@ -305,20 +305,79 @@ def test_cell_search_sends_few_rows_in_low_widths(spark, monkeypatch):
     assert sent["cells"] == 160 and 1600 <= sent["base_rows"] < 30_000
 
 
-def test_approximate_neighbours(spark):
-    rng = np.random.default_rng(3)
-    centres = rng.normal(size=(30, 16)) * 6
-    points = [(i, int(i % 7 == 0), (centres[i % 30] + rng.normal(size=16)).tolist()) for i in range(900)]
-    points += [(900 + i, 0, [0.25] * 16) for i in range(450)]  # a third is one point
-    df = spark.createDataFrame(points, "k bigint, y int, p array<double>")
-    exact = {(r.k, r.neighbor) for r in neighbors.knn(df.where("k < 900"), df, 5, "k", "p", "y").collect()}
-    found = neighbors.knn_approximate(df, df, 5, "k", "p", "y", tables=10, bits=5, block=200).collect()
-    ours = {(r.k, r.neighbor) for r in found if r.k < 900}
-    assert len(ours & exact) >= 0.9 * len(exact)
-    assert all(r.k != r.neighbor for r in found) and max(r["rank"] for r in found) == 5
-    edited = {r.k for r in resample.edited_nn(df, "k", "y", "p", search=neighbors.knn_approximate).collect()}
-    whole = {r.k for r in resample.edited_nn(df, "k", "y", "p").collect()}
-    assert len(whole) < df.count() and len(edited ^ whole) <= 0.1 * len(whole)
+@pytest.mark.parametrize("text", [False, True])
+@pytest.mark.parametrize("farthest", [False, True])
+def test_search_by_bounds_against_brute_force(spark, monkeypatch, text, farthest):
+    monkeypatch.setattr(neighbors, "NARROW", 0)
+    monkeypatch.setattr(neighbors, "CELL_ROWS", 40)
+    rows, df = cloud(spark, text=text)
+    hits = neighbors.knn(df, df, 4, "k", "p", "y", farthest, broadcast_values=0)
+    assert pairs(hits, "k", "neighbor", "rank") == brute_knn(rows, 4, farthest)
+
+
+def test_bounds_leave_few_rows_to_read(spark):
+    wide = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    rows = neighbors._rows(wide, "vec_id", "embedding", "label").cache()
+    count = rows.count()
+    read = neighbors.bounded_candidates(rows, rows, 6, False, count, count, 64).count()
+    assert 6 * count <= read <= 0.05 * count * count
+    by_bounds = neighbors.knn(wide, wide, 5, "vec_id", "embedding", "label", broadcast_values=1000)
+    whole = neighbors.knn(wide, wide, 5, "vec_id", "embedding", "label")
+    assert pairs(by_bounds, "vec_id", "neighbor", "rank", "distance") == pairs(whole, "vec_id", "neighbor", "rank", "distance")
+
+
+@pytest.mark.parametrize("kind", ["double", "decimal(6,2)", "date", "string", "binary"])
+@pytest.mark.parametrize("limit", [neighbors.BROADCAST_VALUES, 0, 5])
+def test_ids_keep_their_type(spark, kind, limit):
+    id_of = F.date_add(F.lit("2020-01-01").cast("date"), F.col("k") * 10) if kind == "date" else F.col("k") + 0.25
+    id_of = id_of.cast("string").cast(kind) if kind == "binary" else id_of.cast(kind)
+    places = [(0, 0.0), (1, 0.1), (2, 1.0), (3, 1.05), (4, 5.0)]
+    df = spark.createDataFrame([(k, 0, [x, 0.0]) for k, x in places], "k int, y int, p array<double>")
+    named = df.withColumn("id", id_of)
+    names = {r.k: r.id for r in named.collect()}
+    found = {r.id: r.neighbor for r in neighbors.knn(named, named, 1, "id", "p", "y", broadcast_values=limit).collect()}
+    assert found == {names[a]: names[b] for a, b in {0: 1, 1: 0, 2: 3, 3: 2, 4: 3}.items()}
+
+
+@pytest.mark.parametrize("limit", [neighbors.BROADCAST_VALUES, 0])
+def test_rows_without_a_point_take_no_part(spark, limit):
+    rows = [(1, 0, [0.0, 1.0]), (2, 1, [0.0, 2.0]), (3, 0, None), (4, 1, [1.0, None]), (5, 1, [float("nan"), 1.0]),
+            (6, 0, [float("inf"), 1.0]), (None, 1, [0.0, 1.1])]
+    df = spark.createDataFrame(rows, "k int, y int, p array<double>")
+    hits = neighbors.knn(df, df, 3, "k", "p", "y", broadcast_values=limit)
+    assert sorted((r.k, r.neighbor) for r in hits.collect()) == [(1, 2), (2, 1)]
+    ragged = df.unionByName(spark.createDataFrame([(9, 1, [1.0])], df.schema))
+    with pytest.raises(ValueError, match="from 1 to 2"):
+        neighbors.knn(df, ragged, 1, "k", "p", "y", broadcast_values=limit)
+
+
+def test_samplers_with_ids_of_other_types(spark):
+    rows, df = cloud(spark, n=60, copies=5)
+    for kind in ("decimal(9,1)", "string"):
+        own = df.withColumn("k", (F.col("k") + (0.5 if kind != "string" else 0)).cast(kind))
+        names = dict(zip([r.k for r in df.orderBy("k").collect()], [r.k for r in own.withColumn("_o", F.col("k").cast("double")).orderBy("_o").collect()]))
+        for sampler in (resample.edited_nn, resample.drop_tomek_links):
+            wanted = sorted(str(names[r.k]) for r in sampler(df, "k", "y", "p").collect())
+            assert sorted(str(r.k) for r in sampler(own, "k", "y", "p").collect()) == wanted
+        grown = resample.smote(own, "k", "y", "p")
+        assert grown.count() == resample.smote(df, "k", "y", "p").count()
+
+
+def test_repeated_editing_searches_fewer_rows_each_round(spark):
+    _, df = cloud(spark, n=240, copies=10)
+    df = df.withColumn("y", (F.col("k") % 11 == 0).cast("int")).cache()
+    searched = []
+    kept = pairs(resample.repeated_edited_nn(df, "k", "y", "p", searched=searched), "k")
+    now, labels = df, None
+    while True:  # every round from the start
+        edited = resample.edited_nn(now, "k", "y", "p").cache()
+        left = edited.where("y = 0").count()
+        if left == now.where("y = 0").count() or left < now.where("y = 1").count():
+            break
+        now = edited
+    assert kept == pairs(now, "k")
+    assert len(searched) >= 2 and searched[0] == df.where("y = 0").count()
+    assert all(b < a for a, b in zip(searched, searched[1:]))
 
 
 def test_tomek_links_by_all_pairs(spark):
