@@ -101,6 +101,23 @@ def copy_numbers(df: DataFrame, key: str, extra: int, rows: int, seed: int) -> D
     ).drop("_rank")
 
 
+# Copies of one row that a task writes.
+COPY_RUN = 1000
+
+
+def with_copies(df: DataFrame, key: str, into: str) -> DataFrame:
+    """Each row ``_copies`` times, numbered from 1 in ``into``.
+
+    A row with many copies is first cut into runs of them, which are dealt out to all tasks,
+    so that few rows that stand for many do not end up in one task.
+    """
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    starts = F.explode(F.sequence(F.lit(1), F.col("_copies"), F.lit(COPY_RUN)))
+    runs = df.where(F.col("_copies") > 0).withColumn("_from", starts).repartition(tasks, key, "_from")
+    last = F.least(F.col("_from") + F.lit(COPY_RUN - 1), F.col("_copies"))
+    return runs.withColumn(into, F.explode(F.sequence(F.col("_from"), last))).drop("_from")
+
+
 def oversample_random(df: DataFrame, key: str, label: str, seed: int) -> DataFrame:
     """Repeat rows labelled 1 until they number as many as the rows labelled 0.
 
@@ -111,9 +128,7 @@ def oversample_random(df: DataFrame, key: str, label: str, seed: int) -> DataFra
     if not ones or zeros <= ones:
         return originals
     numbered = copy_numbers(df.where(F.col(label) == 1), key, zeros - ones, ones, seed)
-    repeats = numbered.where(F.col("_copies") > 0).withColumn(
-        "copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))
-    )
+    repeats = with_copies(numbered, key, "copy")
     return originals.unionByName(repeats.drop("_copies").select(*originals.columns))
 
 

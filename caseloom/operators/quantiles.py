@@ -1,23 +1,30 @@
 """Exact quantiles with linear interpolation, and column summaries.
 
-In a long table a sketch brackets each wanted rank in one pass; a second pass counts
-what lies below the bracket and looks only at the values inside it, so no task ever
-holds a whole column. A table short enough for the sketch to be no help is aggregated
-directly.
+Doubles are put in order by their 64 bits, 16 at a time. A pass counts, for every wanted
+rank, the values that share the digits known so far, by their next digit; the digit at
+which the counts reach the rank is the next one known, and after four passes the value is.
+So a task sees at most 65,536 counts per column and rank, whatever the table holds, and
+values shared by many rows are one count. A short table is aggregated directly.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from functools import reduce
+import sys
+from collections.abc import Iterator, Sequence
 from math import floor
-from operator import or_
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, Window, functions as F
 
-SKETCH_ERROR = 1e-4
-# Rows the sketch error has to span before a bracket is worth its passes.
-SHORT = 10
+# Tasks get these functions by value, so executors need no installed package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+# Rows up to which a table is aggregated directly.
+SHORT = 100_000
+DIGIT = 16
+SIGN = np.uint64(1 << 63)
 
 
 def _doubles(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -26,97 +33,100 @@ def _doubles(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.select(*[F.when(~F.isnan(v), v).alias(c) for c, v in values.items()])
 
 
+def sortable(values: np.ndarray) -> np.ndarray:
+    """Unsigned numbers in the order of the doubles; both zeros are one."""
+    bits = (values + 0.0).view(np.uint64)
+    return np.where(bits & SIGN, ~bits, bits | SIGN)
+
+
+def from_sortable(number: int) -> float:
+    bits = number ^ int(SIGN) if number & int(SIGN) else ~number & (1 << 64) - 1
+    return float(np.array([bits], dtype=np.uint64).view(np.float64)[0])
+
+
+def digit_counts(numbers: DataFrame, known: dict[int, set[int]], level: int) -> DataFrame:
+    """``column``, ``known``, ``digit`` and ``n``: values by their next digit, of those whose first
+    ``level`` digits are listed for their column (by its place)."""
+    names = ["column", "known", "digit", "n"]
+    shift = np.uint64(64 - DIGIT * (level + 1))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for c, wanted in known.items():
+                values = batch.column(c).drop_null().to_numpy(zero_copy_only=False)
+                # the digits up to this one, in one number
+                upto = sortable(values) >> shift
+                if level:
+                    upto = upto[np.isin(upto >> np.uint64(DIGIT), np.array(sorted(wanted), dtype=np.uint64))]
+                found, n = np.unique(upto, return_counts=True)
+                before, digit = found >> np.uint64(DIGIT), found & np.uint64((1 << DIGIT) - 1)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(v.astype(np.int64)) for v in (np.full(len(found), c), before, digit, n)], names
+                )
+
+    schema = ", ".join(f"{n} long" for n in names)
+    return numbers.mapInArrow(count, schema).groupBy(*names[:3]).agg(F.sum("n").alias("n"))
+
+
+def order_statistics(numbers: DataFrame, wanted: dict[int, set[int]]) -> dict[tuple[int, int], float]:
+    """The values at ranks (from 0) of columns, by the place of the column and the rank.
+
+    Every rank has to be below the number of values in its column.
+    """
+    spark = numbers.sparkSession
+    # of each rank: the digits known so far, and its rank among the values that share them
+    at = {(c, rank): (0, rank) for c, ranks in wanted.items() for rank in ranks}
+    for level in range(64 // DIGIT):
+        known: dict[int, set[int]] = {}
+        for (c, _), (digits, _) in at.items():
+            known.setdefault(c, set()).add(digits)
+        targets = spark.createDataFrame(
+            [(c, digits, rank, left) for (c, rank), (digits, left) in at.items()],
+            "column long, known long, rank long, left long",
+        )
+        window = Window.partitionBy("column", "known").orderBy("digit")
+        through = F.sum("n").over(window)
+        placed = digit_counts(numbers, known, level).withColumn("through", through)
+        hit = (F.col("through") - F.col("n") <= F.col("left")) & (F.col("left") < F.col("through"))
+        # one row per wanted rank
+        found = placed.join(F.broadcast(targets), ["column", "known"]).where(hit).collect()
+        for r in found:
+            at[r["column"], r["rank"]] = (r["known"] << DIGIT | r["digit"], r["left"] - (r["through"] - r["n"]))
+    return {key: from_sortable(digits) for key, (digits, _) in at.items()}
+
+
 def exact_quantiles(
     df: DataFrame,
     cols: Sequence[str],
     probabilities: Sequence[float],
-    error: float = SKETCH_ERROR,
+    short: int = SHORT,
 ) -> dict[str, list[float | None]]:
-    """Quantiles of each column, equal to a full sort with linear interpolation."""
+    """Quantiles of each column, equal to a full sort with linear interpolation.
+
+    Up to ``short`` rows are aggregated directly.
+    """
     numbers = _doubles(df, cols)
-    grid = []
-    for p in probabilities:
-        grid += [max(0.0, p - 2 * error), min(1.0, p + 2 * error)]
-    names = [f"s_{k}" for k in range(len(cols))]
-    sketches = [F.percentile_approx(c, grid, round(1 / error)).alias(s) for c, s in zip(cols, names)]
-    row = numbers.agg(F.count(F.lit(1)).alias("rows"), *sketches).first()
-    if row["rows"] * error < SHORT:
+    sizes = numbers.agg(F.count(F.lit(1)).alias("rows"), *[F.count(c).alias(f"n{i}") for i, c in enumerate(cols)]).first()
+    if sizes["rows"] <= short:
         levels = F.array(*[F.lit(float(p)) for p in probabilities])
         row = numbers.agg(*[F.percentile(c, levels).alias(c) for c in cols]).first()
         return {c: row[c] or [None] * len(probabilities) for c in cols}
-    sketched = {c: row[s] for c, s in zip(cols, names)}
-    brackets = {
-        (c, i): (sketched[c][2 * i], sketched[c][2 * i + 1])
-        for c in cols
-        if sketched[c]
-        for i in range(len(probabilities))
+    places = {
+        (i, p): p * (sizes[f"n{i}"] - 1) for i in range(len(cols)) for p in probabilities if sizes[f"n{i}"]
     }
-    if not brackets:
-        return {c: [None] * len(probabilities) for c in cols}
-
-    tally = [F.count(c).alias(f"n_{k}") for k, c in enumerate(cols)]
-    for k, ((c, _), (low, high)) in enumerate(brackets.items()):
-        tally.append(F.count_if(F.col(c) < low).alias(f"below_{k}"))
-        tally.append(F.count_if(F.col(c).between(low, high)).alias(f"within_{k}"))
-    counts = numbers.agg(*tally).first()
-    size = {c: counts[f"n_{k}"] for k, c in enumerate(cols)}
-
-    result: dict[str, list[float | None]] = {c: [None] * len(probabilities) for c in cols}
-    wanted, tests = [], {}
-    for k, ((c, i), (low, high)) in enumerate(brackets.items()):
-        place = probabilities[i] * (size[c] - 1)
-        first = floor(place)
-        last = min(first + 1, size[c] - 1)
-        below, within = counts[f"below_{k}"], counts[f"within_{k}"]
-        if low == high and below <= first and last < below + within:
-            # A value shared by so many rows that it fills the bracket.
-            result[c][i] = low
-            continue
-        if size[c] * error < SHORT:
-            # So few values that the sketch error spans less than a row or two: look at all.
-            low, high, below = float("-inf"), float("inf"), 0
-        wanted.append((c, i, first - below, last - below, place - first))
-        tests[c, i] = F.col(c).between(low, high)
-    if not wanted:
-        return result
-    ranks = df.sparkSession.createDataFrame(
-        wanted, "column string, i int, lower long, upper long, part double"
-    )
-    inside = [
-        F.when(
-            test,
-            F.struct(F.lit(c).alias("column"), F.lit(i).alias("i"), F.col(c).alias("value")),
-        )
-        for (c, i), test in tests.items()
-    ]
-    values = (
-        numbers.where(reduce(or_, tests.values()))
-        .select(F.explode(F.array_compact(F.array(*inside))).alias("v"))
-        .groupBy("v.column", "v.i", "v.value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    window = Window.partitionBy("column", "i").orderBy("value")
-    through = F.sum("n").over(window.rowsBetween(Window.unboundedPreceding, 0))
-    placed = values.withColumn("through", through).withColumn(
-        "before", F.col("through") - F.col("n")
-    )
-
-    def at(rank: str) -> Column:
-        hit = (F.col("before") <= F.col(rank)) & (F.col(rank) < F.col("through"))
-        return F.max(F.when(hit, F.col("value")))
-
-    # One row per wanted rank.
-    found = (
-        placed.join(F.broadcast(ranks), ["column", "i"])
-        .groupBy("column", "i", "part")
-        .agg(at("lower").alias("low"), at("upper").alias("high"))
-        .collect()
-    )
-    for row in found:
-        if row.low is None or row.high is None:
-            raise RuntimeError(f"rank bracket missed for {row.column}; use a larger error")
-        result[row.column][row.i] = row.low + row.part * (row.high - row.low)
-    return result
+    wanted: dict[int, set[int]] = {}
+    for (i, _), place in places.items():
+        wanted.setdefault(i, set()).update((floor(place), min(floor(place) + 1, sizes[f"n{i}"] - 1)))
+    values = order_statistics(numbers, wanted) if wanted else {}
+
+    def quantile(i: int, p: float) -> float | None:
+        if (i, p) not in places:
+            return None
+        first = floor(places[i, p])
+        low, high = values[i, first], values[i, min(first + 1, sizes[f"n{i}"] - 1)]
+        return low if low == high else low + (places[i, p] - first) * (high - low)
+
+    return {c: [quantile(i, p) for p in probabilities] for i, c in enumerate(cols)}
 
 
 def medians(df: DataFrame, cols: Sequence[str]) -> dict[str, float | None]:

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from caseloom.operators.metrics import average_precision, confusion, rates, roc_auc
 from caseloom.operators.neighbors import knn
 from caseloom.operators.prep import class_counts, copy_numbers, downsample, oversample_random
-from caseloom.operators.prep import stratified_folds
+from caseloom.operators.prep import stratified_folds, with_copies
 from caseloom.operators.quantiles import exact_quantiles
 from caseloom.operators.ranking import key_fraction, random_sample, top_rows
 from caseloom.session import cut_lineage
@@ -64,9 +64,7 @@ def between(
     choice = hits.groupBy(key).agg(
         F.array_sort(F.collect_list(F.struct("rank", "neighbor"))).alias("hits")
     )
-    copies = seeds.where(F.col("_copies") > 0).select(
-        key, point, F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy")
-    )
+    copies = with_copies(seeds.select(key, point, "_copies"), key, "_copy").drop("_copies")
     at = F.floor(_draw(key, "_copy", seed, "neighbor") * F.size("hits")).cast("int")
     aimed = copies.join(choice, key).withColumn("_neighbor", F.get("hits", at)["neighbor"])
     ends = pool.select(F.col(key).alias("_neighbor"), F.col(point).alias("_end"))

@@ -85,22 +85,55 @@ def test_dedup_ratio_with_a_crowd_of_copies(spark):
 # --- Quantiles --------------------------------------------------------------
 
 
-@pytest.mark.parametrize("error", [1e-4, 0.01, 0.02])
-def test_quantiles_on_both_paths(spark, error):
-    """The two larger errors make 3000 rows long enough for the bracket path."""
+@pytest.mark.parametrize("short", [quantiles.SHORT, 0])
+def test_quantiles_on_both_paths(spark, short):
     rng = np.random.default_rng(3)
     spread = rng.normal(size=3000)
     crowd = np.where(rng.random(3000) < 0.4, 7.0, rng.integers(0, 50, 3000))
     rare = [float(v) if i % 300 == 0 else None for i, v in enumerate(spread)]
+    wild = np.where(rng.random(3000) < 0.5, 1, -1) * 10.0 ** rng.integers(-300, 300, 3000)
     rows = [
-        (float(a), float(b), c, None, math.nan) for a, b, c in zip(spread, crowd, rare)
+        (float(a), float(b), c, None, math.nan, float(w))
+        for a, b, c, w in zip(spread, crowd, rare, wild)
     ]
-    df = spark.createDataFrame(rows, "a double, b double, c double, d double, e double")
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double, e double, f double").repartition(5)
     levels = [0.0, 0.25, 0.5, 0.9, 1.0]
-    got = quantiles.exact_quantiles(df, ["a", "b", "c", "d", "e"], levels, error)
+    got = quantiles.exact_quantiles(df, ["a", "b", "c", "d", "e", "f"], levels, short)
     for name, values in (("a", spread), ("b", crowd), ("c", [v for v in rare if v is not None])):
         assert got[name] == pytest.approx(list(np.quantile(values, levels)), abs=1e-12)
     assert got["d"] == got["e"] == [None] * 5
+    assert got["f"] == pytest.approx(list(np.quantile(wild, levels)), rel=1e-12)
+
+
+def test_doubles_in_the_order_of_their_bits():
+    values = np.array([-np.inf, -1e300, -1.5, -1.0, -5e-324, 0.0, 5e-324, 1.0, 1.0 + 2**-52, 1e300, np.inf])
+    coded = quantiles.sortable(values)
+    assert (np.diff(coded.astype(object)) > 0).all()
+    assert [quantiles.from_sortable(int(c)) for c in coded] == values.tolist()
+    assert quantiles.sortable(np.array([-0.0])) == quantiles.sortable(np.array([0.0]))
+
+
+def test_counts_of_a_pass_are_bounded(spark):
+    """Whatever the rows: no column and rank has more than 65,536 counts, shared digits fewer."""
+    df = spark.range(200_000).select((F.col("id") * 0.37 + 1000).alias("x"), (F.col("id") % 3).cast("double").alias("z"))
+    first = quantiles.digit_counts(df, {0: {0}, 1: {0}}, 0)
+    sizes = {r["column"]: (r["rows"], r["n"]) for r in first.groupBy("column").agg(F.count("*").alias("rows"), F.sum("n").alias("n")).collect()}
+    assert sizes[1] == (3, 200_000) and sizes[0][1] == 200_000 and sizes[0][0] <= 1 << 16
+    whole = df.toPandas()
+    got = quantiles.exact_quantiles(df, ["x", "z"], [0.1, 0.5, 0.99])
+    assert got["x"] == pytest.approx(list(whole["x"].quantile([0.1, 0.5, 0.99])), rel=1e-12)
+    assert got["z"] == [0.0, 1.0, 2.0]
+
+
+def test_copies_of_a_hot_row_are_spread(spark, monkeypatch):
+    monkeypatch.setattr(prep, "COPY_RUN", 50)
+    df = spark.createDataFrame([(1, 4003), (2, 0), (3, 1), (4, 50), (5, 51)], "k bigint, _copies int")
+    made = prep.with_copies(df, "k", "n").withColumn("task", F.spark_partition_id()).cache()
+    for k, n in ((1, 4003), (3, 1), (4, 50), (5, 51)):
+        assert sorted(r["n"] for r in made.where(F.col("k") == k).collect()) == list(range(1, n + 1))
+    assert made.where("k = 2").count() == 0
+    tasks = [r["count"] for r in made.where("k = 1").groupBy("task").count().collect()]
+    assert len(tasks) >= 6 and max(tasks) < 0.4 * 4003
 
 
 # --- Order, sampling, splits ------------------------------------------------
