@@ -145,23 +145,50 @@ def average_ranks(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 FEW_VALUES = 20_000
 
 
-def spearman(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Rank correlation of every column pair, long form ``(a, b, rho)``.
-
-    Columns may hold no nulls. A constant column correlates to NaN.
+def rank_rows(df: DataFrame, cols: Sequence[str], few_values: int = FEW_VALUES) -> DataFrame:
+    """``r0``, ``r1``, ...: the rank of every column's value, a row per row.
 
-    Rows stay as they are: each column's ranks are looked up by its value. A column with
-    few distinct values, however uneven, has its ranks broadcast and moves nothing; one with
-    many is joined by shuffle, where a crowded value is split.
+    A column with few distinct values, however uneven, has its ranks broadcast and moves
+    nothing. The others are looked up together: rows are numbered, a (row, column, value) meets
+    its rank, a crowded value being split, and one grouped pass packs the ranks of a row. So
+    however many columns there are, their values move twice and no row is moved as a whole.
     """
     ranks = cut_lineage(average_ranks(df, cols))
     sizes = {r["column"]: r["n"] for r in ranks.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
+    many = [k for k, c in enumerate(cols) if sizes.get(c, 0) > few_values]
+    few = [k for k in range(len(cols)) if k not in many]
     wide = df.select(*[F.col(c).cast("double").alias(f"v{k}") for k, c in enumerate(cols)])
-    for k, c in enumerate(cols):
-        own = ranks.where(F.col("column") == c).select(F.col("value").alias(f"v{k}"), F.col("rank").alias(f"r{k}"))
-        wide = wide.join(F.broadcast(own) if sizes.get(c, 0) <= FEW_VALUES else own, f"v{k}")
+    if many:
+        # written, so that the numbers of the rows hold
+        wide = cut_lineage(wide.withColumn("row", F.monotonically_increasing_id()))
+    for k in few:
+        own = ranks.where(F.col("column") == cols[k]).select(F.col("value").alias(f"v{k}"), F.col("rank").alias(f"r{k}"))
+        wide = wide.join(F.broadcast(own), f"v{k}")
     names = [f"r{k}" for k in range(len(cols))]
-    vectors = VectorAssembler(inputCols=names, outputCol="ranks").transform(wide)
+    if not many:
+        return wide.select(*names)
+    values = [F.struct(F.lit(cols[k]).alias("column"), F.col(f"v{k}").alias("value")) for k in many]
+    long = wide.select("row", F.explode(F.array(*values)).alias("p")).select("row", "p.*")
+    found = long.join(ranks, ["column", "value"]).select(
+        "row", "column", "rank", F.lit(None).cast("array<double>").alias("rest")
+    )
+    rest = wide.select(
+        "row", F.lit(None).cast("string").alias("column"), F.lit(None).cast("double").alias("rank"),
+        F.array(*[F.col(f"r{k}") for k in few]).cast("array<double>").alias("rest"),
+    )
+    packed = found.unionByName(rest).groupBy("row").agg(
+        F.max("rest").alias("rest"), *[F.max(F.when(F.col("column") == cols[k], F.col("rank"))).alias(f"r{k}") for k in many]
+    )
+    return packed.select(*[F.get("rest", F.lit(few.index(k))).alias(f"r{k}") if k in few else f"r{k}" for k in range(len(cols))])
+
+
+def spearman(df: DataFrame, cols: Sequence[str], few_values: int = FEW_VALUES) -> DataFrame:
+    """Rank correlation of every column pair, long form ``(a, b, rho)``.
+
+    Columns may hold no nulls. A constant column correlates to NaN. See ``rank_rows``.
+    """
+    wide = rank_rows(df, cols, few_values)
+    vectors = VectorAssembler(inputCols=wide.columns, outputCol="ranks").transform(wide)
     matrix = Correlation.corr(vectors.select("ranks"), "ranks", "pearson").first()[0].toArray()
     pairs = [
         (a, b, float(matrix[i][j])) for i, a in enumerate(cols) for j, b in enumerate(cols)

@@ -6,6 +6,7 @@ import math
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -269,6 +270,25 @@ def test_spearman_of_constant_is_nan(spark):
     assert math.isnan(rho["a", "b"])
 
 
+@pytest.mark.parametrize("few_values", [0, 40, 10_000])
+def test_spearman_whichever_way_ranks_are_found(spark, few_values):
+    rng = np.random.default_rng(6)
+    a = rng.normal(size=600)
+    table = {"a": a, "b": a + rng.normal(size=600), "c": rng.integers(0, 9, 600), "d": np.where(a > 0, 1.0, -a)}
+    frame = pd.DataFrame(table)
+    df = spark.createDataFrame(frame).repartition(5)
+    rho = {(r.a, r.b): r.rho for r in metrics.spearman(df, list(table), few_values).collect()}
+    wanted = frame.rank().corr()
+    assert all(rho[x, y] == pytest.approx(wanted.loc[x, y], abs=1e-12) for x in table for y in table)
+
+
+def test_ranks_of_many_columns_move_together(spark):
+    df = spark.range(500).select(*[(F.hash("id", F.lit(i)) * 1.0).alias(f"c{i}") for i in range(7)])
+    plan = metrics.rank_rows(df, df.columns, 10)._jdf.queryExecution().optimizedPlan().toString()
+    # one join of values with ranks and one grouping by row, not one of either for each column
+    assert plan.count("Join ") == 1 and plan.count("Aggregate [row") == 1
+
+
 # --- Neighbours -------------------------------------------------------------
 
 
