@@ -770,6 +770,7 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     model.save(spark, path)
     nodes = Booster.load(spark, path).nodes(spark).toPandas()
     trees = [g.set_index("node").to_dict("index") for _, g in nodes.groupby("tree")]
+    key = ft.KEY
 
     def tell(batches):
         for batch in batches:
@@ -782,7 +783,7 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
                         node = tree[node["left" if row[node["feature"]] <= node["threshold"] else "right"]]
                     total += node["weight"]
                 told.append(min(max(total, 0.0), 1.0))
-            yield pd.DataFrame({ft.KEY: batch[ft.KEY], "told": told})
+            yield pd.DataFrame({key: batch[key], "told": told})
 
     told = matrix.select(ft.KEY, *columns).repartition(8).mapInPandas(tell, f"{ft.KEY} string, told double")
     return _judged(model, matrix).join(told, ft.KEY).agg(
