@@ -313,10 +313,31 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 @query("nearest_neighbours_by_cells", _knn_sql("asc"))
 def _(spark: SparkSession, folder: str) -> DataFrame:
     vectors = _vectors(spark, folder)
-    hits = neighbors.knn(vectors, vectors, 5, "vec_id", "embedding", "y", broadcast_values=0)
+    hits = neighbors.knn(vectors, vectors, 5, *COLUMNS[::2], "y", broadcast_values=0, narrow=1000)
     return rounded(hits, 9)
 
 
+@query("nearest_neighbours_by_bounds", _knn_sql("asc"))
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = _vectors(spark, folder)
+    hits = neighbors.knn(vectors, vectors, 5, *COLUMNS[::2], "y", broadcast_values=0)
+    return rounded(hits, 9)
+
+
+@query(
+    "nearest_neighbours_of_decimal_ids",
+    f"""with {VECTORS.replace('select vec_id,', 'select cast(vec_id / 4.0 as decimal(12, 2)) as vec_id,')}, {_near('h', 'e', 'e', 2)}
+        select vec_id::varchar as vec_id, nb::varchar as neighbor, round(d, 9) as distance from h""",
+)
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids that differ behind the point alone."""
+    quarter = (F.col("vec_id") / 4).cast("decimal(12, 2)")
+    vectors = _vectors(spark, folder).withColumn("vec_id", quarter)
+    hits = neighbors.knn(vectors, vectors, 2, *COLUMNS[::2], "y")
+    found = hits.select(F.col("vec_id").cast("string"), F.col("neighbor").cast("string").alias("neighbor"), "distance")
+    return rounded(found, 9)
+
+
 @query("farthest_neighbours", _knn_sql("desc"))
 def _(spark: SparkSession, folder: str) -> DataFrame:
     vectors = _vectors(spark, folder)

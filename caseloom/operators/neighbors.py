@@ -453,13 +453,14 @@ def knn(
     label: str | None = None,
     farthest: bool = False,
     broadcast_values: int = BROADCAST_VALUES,
+    narrow: int | None = None,
 ) -> DataFrame:
     """``(key, neighbor, neighbor_label, distance, rank)``, ``k`` rows per query row.
 
     A row is never its own neighbour. Ids keep their type. Rows without an id or a point, and
     points with a null, NaN or infinity, take no part; points of different lengths are an error.
     ``broadcast_values`` bounds the coordinates that a broadcast side may hold; where both
-    sides are larger, the search goes by cells or, in wide spaces, by bounds.
+    sides are larger, the search goes by cells or, beyond ``narrow`` coordinates, by bounds.
     """
     asked = _rows(queries, key, point, label)
     known = _rows(base, key, point, label)
@@ -487,7 +488,7 @@ def knn(
     points = asked.groupBy("point").agg(F.min("id").alias("id"))
     points = cut_lineage(points.select("id", F.lit(0).alias("label"), "point"))
     count = points.count()
-    if width > NARROW:
+    if width > (NARROW if narrow is None else narrow):
         found = _wide_search(points, known, k + 1, farthest, count, size, width)
     else:
         found = _cell_search(points, known, k + 1, farthest, count)
