@@ -188,12 +188,3 @@ def test_blocks_stay_small_with_equal_rows(spark, monkeypatch):
     monkeypatch.setattr(sharding, "matrix", watched)
     assert sharding.shuffle(docs, 7, block=1000).groupBy("shard").count().count() == 7
     assert len(seen) == 20 and sum(seen) == 20_000 and max(seen) < 2 * 1000 and min(seen) > 500
-
-
-def test_runs_of_blocks(spark, monkeypatch):
-    monkeypatch.setattr(sharding, "RUN", 3)
-    sizes = spark.createDataFrame([(i, 5 + i % 4) for i in range(17)], "block long, size long")
-    total = sum(5 + i % 4 for i in range(17))
-    counts = {r["block"]: r["counts"] for r in sharding.matrix(sizes, 4).collect()}
-    assert {b: sum(c) for b, c in counts.items()} == {i: 5 + i % 4 for i in range(17)}
-    assert [sum(c[s] for c in counts.values()) for s in range(4)] == [total // 4 + (s < total % 4) for s in range(4)]
