@@ -492,6 +492,32 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     return _labelled(resample.condensed_nn(_vectors(spark, folder), *COLUMNS, rounds=2))
 
 
+@query(
+    "condensed_nearest_neighbours_in_order",
+    f"""with recursive {PAIR},
+        opening as (select * from rare union all (
+          select * from common order by {sql.digest('vec_id', 37)}, vec_id limit 1)),
+        others as (select * from common where vec_id not in (select vec_id from opening)),
+        {_near('one', 'others', 'opening', 1)},
+        wrong as (select o.vec_id, o.p, one.d, one.nb, row_number() over (order by o.vec_id) as turn
+          from others o join one using (vec_id) where one.nby = 1),
+        helpers as (select a.turn, list(b.turn) filter (b.turn is not null) as turns
+          from wrong a left join wrong b on b.turn < a.turn and (list_distance(a.p, b.p) < a.d
+            or list_distance(a.p, b.p) = a.d and b.vec_id < a.nb) group by a.turn),
+        walk(turn, joined) as (
+          select cast(0 as bigint), cast([] as bigint[])
+          union all
+          select h.turn, case when len(list_intersect(w.joined, coalesce(h.turns, cast([] as bigint[])))) = 0
+              then list_append(w.joined, h.turn) else w.joined end
+          from walk w join helpers h on h.turn = w.turn + 1),
+        last as (select unnest(joined) as turn from walk where turn = (select max(turn) from walk))
+        select vec_id, y from opening
+        union all select vec_id, cast(0 as int) from wrong where turn in (select turn from last)""",
+)
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    return _labelled(resample.condensed_nn_in_order(_vectors(spark, folder), *COLUMNS))
+
+
 def _drawn(key: str, copy: str, what: str) -> str:
     return sql.fraction(f"concat(cast({key} as string), '|', cast({copy} as string), '|{what}')", 37)
 
@@ -563,8 +589,9 @@ EVEN = f"""with {PAIR} select (select count(*) from common) as zeros,
   cast(0 as bigint) as astray"""
 
 
-def _on_lines(spark: SparkSession, folder: str, sampler) -> DataFrame:
-    """Class sizes, original rare rows, and made rows not on the line between their two rare rows."""
+def _on_lines(spark: SparkSession, folder: str, sampler, outward: float = 0.0) -> DataFrame:
+    """Class sizes, original rare rows, and made rows not on the line between their two rare
+    rows or on what is added to it, ``outward`` of its length."""
     vectors = _vectors(spark, folder)
     grown = cut_lineage(sampler(vectors, *COLUMNS, end="end"))
     rare = vectors.where("y = 1").select(
@@ -582,7 +609,7 @@ def _on_lines(spark: SparkSession, folder: str, sampler) -> DataFrame:
     lines = ends.withColumns({"line": minus("b", "a"), "way": minus("made", "a")})
     share = total("way", "line") / F.greatest(total("line", "line"), F.lit(1e-300))
     off = F.array_max(F.zip_with("way", "line", lambda w, v: F.abs(w - F.col("t") * v)))
-    near = (off < 1e-6) & (F.col("t") > -1e-9) & (F.col("t") < 1 + 1e-9) & (F.col("seed") != F.col("end"))
+    near = (off < 1e-6) & (F.col("t") > -outward - 1e-9) & (F.col("t") < 1 + 1e-9) & (F.col("seed") != F.col("end"))
     wrong = lines.withColumn("t", share).agg(F.count_if(~F.coalesce(near, F.lit(False))).alias("astray"))
     sizes = grown.agg(
         F.count_if(F.col("y") == 0).alias("zeros"),
@@ -595,7 +622,7 @@ def _on_lines(spark: SparkSession, folder: str, sampler) -> DataFrame:
 
 @query("svm_smote", EVEN)
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    return _on_lines(spark, folder, resample.svm_smote)
+    return _on_lines(spark, folder, resample.svm_smote, outward=0.5)
 
 
 @query("kmeans_smote", EVEN)

@@ -7,23 +7,34 @@ returns rows of the same three columns.
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
+import numpy as np
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.ml.classification import LinearSVC, LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from caseloom.operators.metrics import average_precision, confusion, rates, roc_auc
-from caseloom.operators.neighbors import knn
+from caseloom.operators.neighbors import distances_to, knn, matrix
 from caseloom.operators.prep import class_counts, copy_numbers, downsample, oversample_random
 from caseloom.operators.prep import stratified_folds, with_copies
 from caseloom.operators.quantiles import exact_quantiles
 from caseloom.operators.ranking import key_fraction, random_sample, top_rows
 from caseloom.session import cut_lineage
 
+# Tasks get these functions by value, so executors need no installed package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 SEED = 37
+RADIAL, LINEAR = "radial", "linear"
+# Fixed bounds: rows a radial kernel is measured against, and rows replayed in one task.
+LANDMARKS = 200
+REPLAYED = 5_000
 
 
 def _rare(df: DataFrame, label: str) -> DataFrame:
@@ -59,17 +70,20 @@ def between(
 ) -> DataFrame:
     """New rare rows between each seed row and those of the neighbours listed in ``hits``.
 
-    ``end`` names a column for the neighbour's id, as text, if it is wanted.
+    A seed with a ``_reach`` takes steps up to that share of the way; a negative one leads away
+    from the neighbour. ``end`` names a column for the neighbour's id, as text, if it is wanted.
     """
+    reach = F.col("_reach") if "_reach" in seeds.columns else F.lit(1.0)
     choice = hits.groupBy(key).agg(
         F.array_sort(F.collect_list(F.struct("rank", "neighbor"))).alias("hits")
     )
-    copies = with_copies(seeds.select(key, point, "_copies"), key, "_copy").drop("_copies")
+    needed = seeds.select(key, point, "_copies", reach.alias("_reach"))
+    copies = with_copies(needed, key, "_copy").drop("_copies")
     at = F.floor(_draw(key, "_copy", seed, "neighbor") * F.size("hits")).cast("int")
     aimed = copies.join(choice, key).withColumn("_neighbor", F.get("hits", at)["neighbor"])
     ends = pool.select(F.col(key).alias("_neighbor"), F.col(point).alias("_end"))
     step = _draw(key, "_copy", seed, "step")
-    placed = aimed.join(ends, "_neighbor").withColumn("_step", step)
+    placed = aimed.join(ends, "_neighbor").withColumn("_step", F.col("_reach") * step)
     fresh = F.zip_with(point, "_end", lambda a, b: a + F.col("_step") * (b - a))
     named = [F.col("_neighbor").cast("string").alias(end)] if end else []
     return placed.select(
@@ -175,27 +189,85 @@ def borderline_smote(
     return _from_seeds(rows, seeds, key, label, point, zeros - ones, k, seed)
 
 
+def radial_features(
+    rows: DataFrame, key: str, point: str, into: str, landmarks: int = LANDMARKS, seed: int = SEED
+) -> DataFrame:
+    """The rows with a vector ``into`` whose inner products stand for a radial kernel.
+
+    The kernel is ``exp(-g * distance^2)`` with ``g`` one over the number of coordinates times
+    the variance of all of them. It is measured against at most ``landmarks`` rows, drawn by a
+    hash of the id, and divided by the root of the kernel among those (the method of Nystroem),
+    so it is exact where all rows are landmarks. Every row is mapped where it lies.
+    """
+    square = F.aggregate(point, F.lit(0.0), lambda acc, x: acc + x * x)
+    total = F.aggregate(point, F.lit(0.0), lambda acc, x: acc + x)
+    facts = rows.agg(
+        F.sum(total).alias("total"), F.sum(square).alias("square"), F.sum(F.size(point)).alias("n"),
+        F.max(F.size(point)).alias("width"),
+    ).first()
+    spread = facts.square / facts.n - (facts.total / facts.n) ** 2
+    g = 1.0 / (facts.width * spread) if spread > 0 else 1.0
+    drawn = random_sample(rows, key, landmarks, seed).orderBy(key).select(point).toPandas()
+    marks = matrix(drawn[point])
+    values, vectors = np.linalg.eigh(np.exp(-g * distances_to(marks, marks) ** 2))
+    held = values > 1e-10 * values.max()
+    root = vectors[:, held] / np.sqrt(values[held])
+    shared = rows.sparkSession.sparkContext.broadcast((marks, root))
+
+    def place(batches):
+        for batch in batches:
+            if len(batch):
+                marks, root = shared.value
+                near = np.exp(-g * distances_to(matrix(batch[point]), marks) ** 2) @ root
+                yield batch.assign(**{into: list(near)})
+
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
+    placed = rows.mapInPandas(place, f"{kinds}, `{into}` array<double>")
+    return placed.withColumn(into, array_to_vector(into))
+
+
+def support_rows(
+    rows: DataFrame, key: str, label: str, point: str, kernel: str = RADIAL, seed: int = SEED
+) -> DataFrame:
+    """The rare rows on or inside the margin of a separator, radial or linear."""
+    if kernel not in (RADIAL, LINEAR):
+        raise ValueError(f"kernel is {RADIAL} or {LINEAR}, not {kernel}")
+    if kernel == LINEAR:
+        vectors = rows.withColumn("_v", array_to_vector(point))
+        separator = LinearSVC(featuresCol="_v", labelCol=label, maxIter=50)
+    else:
+        vectors = cut_lineage(radial_features(rows, key, point, "_v", seed=seed))
+        # A penalty of 1 on each row outside its margin, as a mean over the rows.
+        separator = LinearSVC(
+            featuresCol="_v", labelCol=label, maxIter=100, regParam=1.0 / vectors.count(), standardization=False
+        )
+    scored = separator.fit(vectors).transform(_rare(vectors, label))
+    return scored.where(vector_to_array("rawPrediction")[1] <= 1 + 1e-3).select(key, label, point)
+
+
 def svm_smote(
     df: DataFrame, key: str, label: str, point: str, k: int = 5, m: int = 10, seed: int = SEED,
-    end: str | None = None,
+    end: str | None = None, kernel: str = RADIAL, outward: float = 0.5,
 ) -> DataFrame:
-    """SMOTE from the rare rows a linear separator leaves inside its margin, without those
-    whose ``m`` nearest rows are all common.
+    """SMOTE from the rare rows a separator leaves on or inside its margin.
 
-    An approximation: the separator is linear and new rows are only interpolated.
-    ``end`` names a further column for the id of the neighbour a new row was drawn towards.
+    The ``m`` nearest rows of a seed tell what becomes of it: where all are common it is noise
+    and left out; where at least half are, new rows lie between it and its rare neighbours;
+    else it is safe and they lie beyond it, by up to ``outward`` of the way to the neighbour.
+    ``end`` names a further column for the id of the neighbour a new row was drawn along.
     """
     rows, zeros, ones = _parts(df, key, label, point)
     if ones < 2 or zeros <= ones:
         return _as_they_are(rows, key, end)
-    vectors = rows.withColumn("_v", array_to_vector(point))
-    model = LinearSVC(featuresCol="_v", labelCol=label, maxIter=50).fit(vectors)
-    scored = model.transform(_rare(vectors, label))
-    inside = vector_to_array("rawPrediction")[1] <= 1
-    seeds = cut_lineage(scored.where(inside).select(key, label, point))
-    noise = knn(seeds, rows, m, key, point, label).groupBy(key).agg(F.max("neighbor_label").alias("_near"))
-    seeds = seeds.join(noise.where(F.col("_near") == 0), key, "left_anti")
-    return _from_seeds(rows, seeds, key, label, point, zeros - ones, k, seed, end)
+    seeds = cut_lineage(support_rows(rows, key, label, point, kernel, seed))
+    around = knn(seeds, rows, m, key, point, label).groupBy(key).agg(
+        F.count_if(F.col("neighbor_label") == 0).alias("_common"), F.count(F.lit(1)).alias("_all")
+    )
+    danger = F.col("_common") * 2 >= F.col("_all")
+    placed = seeds.join(around.where(F.col("_common") < F.col("_all")), key).withColumn(
+        "_reach", F.when(danger, F.lit(1.0)).otherwise(F.lit(-outward))
+    )
+    return _from_seeds(rows, placed.drop("_common", "_all"), key, label, point, zeros - ones, k, seed, end)
 
 
 def kmeans_smote(
@@ -394,8 +466,8 @@ def condensed_nn(
 
     Every round but the last adds a row, so it ends; ``rounds`` ends it earlier.
 
-    All rows misjudged in a round join together, where the row-by-row method would add
-    them one at a time; the store may come out larger.
+    All rows misjudged in a round join together, where ``condensed_nn_in_order`` adds them
+    one at a time; the store may come out larger.
     """
     rows, _, _ = _parts(df, key, label, point)
     first = random_sample(_common(rows, label), key, 1, seed)
@@ -412,6 +484,63 @@ def condensed_nn(
     return store
 
 
+def _replayed(head: DataFrame, key: str, point: str) -> DataFrame:
+    """The rows of ``head``, a bounded number, that the row-by-row rule admits."""
+
+    def replay(some: pd.DataFrame) -> pd.DataFrame:
+        some = some.sort_values(key, kind="stable").reset_index(drop=True)
+        ids, against = some[key].to_numpy(), some["_against"].to_numpy()
+        points, limit = matrix(some[point]), some["_distance"].to_numpy()
+        judged = np.zeros(len(some), dtype=bool)
+        admitted = []
+        for i in range(len(some)):
+            if not judged[i]:
+                admitted.append(i)
+                gap = points - points[i]
+                distance = np.sqrt(np.einsum("ij,ij->i", gap, gap))
+                judged |= (distance < limit) | (distance == limit) & (ids[i] < against)
+        return some.iloc[admitted]
+
+    return head.groupBy(F.lit("all")).applyInPandas(replay, head.schema)
+
+
+def condensed_nn_in_order(
+    df: DataFrame, key: str, label: str, point: str, seed: int = SEED, block: int = REPLAYED
+) -> DataFrame:
+    """Rare rows plus the common rows that join when rows are judged one at a time, by id.
+
+    The store begins with the rare rows and one common row. A common row joins if its nearest
+    row of the store, as it is at its turn, is rare. Common rows that join can only put others
+    right, so a row judged rightly once is done with, and a misjudged one needs no more than
+    the distance and id of its nearest rare row. A round replays the next ``block`` misjudged
+    rows in one task, then judges all rows behind them against those that joined. It ends with
+    the misjudged rows: after one round for each ``block`` rows that join or less are put right.
+
+    Rows without an id or a point join nothing, as in every search.
+    """
+    rows, _, _ = _parts(df, key, label, point)
+    first = random_sample(_common(rows, label), key, 1, seed)
+    store = cut_lineage(_rare(rows, label).unionByName(first.select(*rows.columns)))
+    rest = _common(rows, label).join(store.select(key), key, "left_anti")
+    near = knn(rest, store, 1, key, point, label).where(F.col("neighbor_label") == 1)
+    limits = near.select(key, F.col("distance").alias("_distance"), F.col("neighbor").alias("_against"))
+    misjudged = cut_lineage(rest.join(limits, key))
+    while True:
+        head = cut_lineage(misjudged.orderBy(key).limit(block))
+        last = head.agg(F.max(key)).first()[0]
+        if last is None:
+            return store
+        joined = cut_lineage(_replayed(head, key, point).select(*rows.columns))
+        store = store.unionByName(joined)
+        behind = misjudged.where(F.col(key) > F.lit(last))
+        nearest = knn(behind, joined, 1, key, point).select(key, "distance", "neighbor")
+        closer = (F.col("distance") < F.col("_distance")) | (
+            (F.col("distance") == F.col("_distance")) & (F.col("neighbor") < F.col("_against"))
+        )
+        right = behind.join(nearest, key).where(closer).select(key)
+        misjudged = cut_lineage(behind.join(right, key, "left_anti"))
+
+
 def neighbourhood_cleaning(
     df: DataFrame, key: str, label: str, point: str, k: int = 3
 ) -> DataFrame:
@@ -491,6 +620,7 @@ SAMPLERS: dict[str, Sampler] = {
     "edited_nn": edited_nn,
     "repeated_edited_nn": repeated_edited_nn,
     "condensed_nn": condensed_nn,
+    "condensed_nn_in_order": condensed_nn_in_order,
     "one_sided_selection": one_sided_selection,
     "neighbourhood_cleaning": neighbourhood_cleaning,
     "instance_hardness": instance_hardness,

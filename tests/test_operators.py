@@ -481,7 +481,7 @@ def test_smote_points_lie_between_rare_rows(spark, text):
     assert fresh and all(r.y == 1 and on_a_segment(r.p, base) for r in fresh)
 
 
-@pytest.mark.parametrize("name", ["adasyn", "borderline_smote", "svm_smote", "kmeans_smote"])
+@pytest.mark.parametrize("name", ["adasyn", "borderline_smote", "kmeans_smote"])
 def test_oversamplers_only_add_rare_rows(spark, rare, name):
     rows, df = rare
     grown = resample.SAMPLERS[name](df, "k", "y", "p").collect()
@@ -512,7 +512,7 @@ def test_made_ids_are_unique_for_any_key(spark, name):
 @pytest.mark.parametrize(
     "name",
     ["random_under", "near_miss_1", "near_miss_2", "near_miss_3", "edited_nn",
-     "repeated_edited_nn", "condensed_nn", "one_sided_selection", "neighbourhood_cleaning",
+     "repeated_edited_nn", "condensed_nn", "condensed_nn_in_order", "one_sided_selection", "neighbourhood_cleaning",
      "instance_hardness"],
 )
 def test_undersamplers_keep_every_rare_row(spark, rare, name):
@@ -532,6 +532,95 @@ def test_condensed_store_judges_every_common_row(spark, rare):
     assert wrong.count() == 0
 
 
+def one_at_a_time(rows, first):
+    """Ids of the store when common rows are judged by id, one after the other."""
+    store = [(k, y, p) for k, y, p in rows if y or k == first]
+    for k, y, p in sorted(rows):
+        if not y and k != first:
+            if min(store, key=lambda s: (math.dist(p, s[2]), s[0]))[1]:
+                store.append((k, y, p))
+    return {k for k, _, _ in store}
+
+
+@pytest.mark.parametrize("kind", ["long", "string"])
+@pytest.mark.parametrize("block", [1, 7, 5000])
+def test_condensed_in_order_as_one_at_a_time(spark, kind, block):
+    rng = random.Random(block)
+    rows = [(i, int(rng.random() < 0.3), [float(rng.randint(0, 6)), float(rng.randint(0, 6))]) for i in range(90)]
+    if kind == "string":
+        rows = [(f"r{k}", y, p) for k, y, p in rows]
+    df = spark.createDataFrame(rows, f"k {kind}, y int, p array<double>")
+    # copies, ties of distance, and common rows at the places of rare ones
+    found = {r.k for r in resample.condensed_nn_in_order(df, "k", "y", "p", block=block).collect()}
+    first = ranking.random_sample(df.where("y = 0"), "k", 1, resample.SEED).first().k
+    assert found == one_at_a_time(rows, first)
+
+
+def test_condensed_in_order_without_a_class(spark):
+    kinds = "k long, y int, p array<double>"
+    for rows in ([], [(1, 1, [0.0])], [(1, 0, [0.0]), (2, 0, [1.0])]):
+        kept = resample.condensed_nn_in_order(spark.createDataFrame(rows, kinds), "k", "y", "p").count()
+        assert kept == min(len(rows), 1)
+
+
+def ring(n=240):
+    """Rare rows in the middle, common ones all around: no line parts them."""
+    rng = random.Random(4)
+    rows = []
+    for i in range(n):
+        rare, turn = i % 4 == 0, rng.uniform(0, 2 * math.pi)
+        radius = rng.uniform(0, 1.1) if rare else rng.uniform(0.9, 3)
+        rows.append((i, int(rare), [radius * math.cos(turn), radius * math.sin(turn)]))
+    return rows
+
+
+def test_svm_smote_steps(spark):
+    rows = ring()
+    df = spark.createDataFrame(rows, "k long, y int, p array<double>")
+    grown = resample.svm_smote(df, "k", "y", "p", end="end").collect()
+    points, labels = {str(k): p for k, _, p in rows}, {str(k): y for k, y, _ in rows}
+    fresh = [r for r in grown if "~" in r.k]
+    assert len(fresh) == 120 and len(grown) == 360
+    signs = set()
+    for r in fresh:
+        seed = r.k.split("~")[0]
+        a, b = points[seed], points[r.end]
+        others = sorted((math.dist(a, p), int(k)) for k, p in points.items() if k != seed)[:10]
+        common = sum(1 - labels[str(k)] for _, k in others)
+        t = ((r.p[0] - a[0]) * (b[0] - a[0]) + (r.p[1] - a[1]) * (b[1] - a[1])) / math.dist(a, b) ** 2
+        assert math.dist(r.p, [x + t * (y - x) for x, y in zip(a, b)]) < 1e-9
+        assert labels[seed] == labels[r.end] == 1 and common < 10
+        assert -1e-9 <= t <= 1 if common >= 5 else -0.5 <= t <= 1e-9
+        signs.add(common >= 5)
+    assert signs == {True, False}
+
+
+def test_a_radial_separator_sees_what_a_line_cannot(spark):
+    rows = ring()
+    df = spark.createDataFrame(rows, "k long, y int, p array<double>")
+    curved, straight = (
+        {r.k for r in resample.support_rows(df, "k", "y", "p", kernel).collect()}
+        for kernel in (resample.RADIAL, resample.LINEAR)
+    )
+    # a line leaves every rare row inside its margin, the circle only the outer ones
+    assert len(straight) == 60 and curved < straight
+    out = lambda ks: np.mean([math.hypot(*p) for k, _, p in rows if k in ks])
+    assert out(curved) > out(straight - curved)
+    with pytest.raises(ValueError, match="radial or linear"):
+        resample.support_rows(df, "k", "y", "p", "cubic")
+
+
+def test_radial_features_give_the_kernel(spark):
+    rows = ring(40)
+    df = spark.createDataFrame(rows, "k long, y int, p array<double>")
+    points = np.array([p for _, _, p in rows])
+    g = 1 / (2 * points.var())
+    exact = np.exp(-g * ((points[:, None] - points[None]) ** 2).sum(axis=2))
+    found = resample.radial_features(df, "k", "p", "_v", landmarks=40).orderBy("k").collect()
+    placed = np.array([r["_v"].toArray() for r in found])
+    assert np.abs(placed @ placed.T - exact).max() < 1e-6
+
+
 def test_repeated_editing_stops_when_stable(spark, rare):
     _, df = rare
     done = resample.repeated_edited_nn(df, "k", "y", "p")
