@@ -499,9 +499,9 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
           select * from common order by {sql.digest('vec_id', 37)}, vec_id limit 1)),
         others as (select * from common where vec_id not in (select vec_id from opening)),
         {_near('one', 'others', 'opening', 1)},
-        wrong as (select o.vec_id, o.p, one.d, one.nb, row_number() over (order by o.vec_id) as turn
+        wrong as materialized (select o.vec_id, o.p, one.d, one.nb, row_number() over (order by o.vec_id) as turn
           from others o join one using (vec_id) where one.nby = 1),
-        helpers as (select a.turn, list(b.turn) filter (b.turn is not null) as turns
+        helpers as materialized (select a.turn, list(b.turn) filter (b.turn is not null) as turns
           from wrong a left join wrong b on b.turn < a.turn and (list_distance(a.p, b.p) < a.d
             or list_distance(a.p, b.p) = a.d and b.vec_id < a.nb) group by a.turn),
         walk(turn, joined) as (
@@ -510,7 +510,7 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
           select h.turn, case when len(list_intersect(w.joined, coalesce(h.turns, cast([] as bigint[])))) = 0
               then list_append(w.joined, h.turn) else w.joined end
           from walk w join helpers h on h.turn = w.turn + 1),
-        last as (select unnest(joined) as turn from walk where turn = (select max(turn) from walk))
+        last as (select unnest(arg_max(joined, turn)) as turn from walk)
         select vec_id, y from opening
         union all select vec_id, cast(0 as int) from wrong where turn in (select turn from last)""",
 )
@@ -974,10 +974,10 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 SHARED_OUT = "select true as ordered, true as shared_out, cast(0 as bigint) as below_zero"
 
 
-def _ranked(ranking: DataFrame, forest) -> DataFrame:
+def _ranked(ranking: DataFrame, splits: int) -> DataFrame:
     """Whether ranks follow importance without gaps and importances share out 1, or nothing
     where no tree has a split."""
-    whole = 1 if forest.totalNumNodes > forest.getNumTrees else 0
+    whole = 1 if splits else 0
     after = Window.orderBy("rank")
     falls = F.col("importance") <= F.lag("importance", 1, float("inf")).over(after)
     placed = F.col("rank") == F.row_number().over(after)
@@ -992,7 +992,56 @@ def _ranked(ranking: DataFrame, forest) -> DataFrame:
 def _(spark: SparkSession, folder: str) -> DataFrame:
     matrix, columns = _matrix(spark, folder)
     model = models.extra_trees(matrix, columns, ft.LABEL)
-    return _ranked(models.rank_importance(model, columns, matrix), model.stages[-1])
+    return _ranked(models.rank_importance(model, columns, matrix), model.splits)
+
+
+#: Columns, trees, levels and columns a node draws of the checked trees.
+DRAWN_COLUMNS = "l_quantity", "l_discount", "l_tax", "l_extendedprice"
+DRAWN_TREES, DRAWN_NUMBER, DRAWN_SEED = 8, 2, 42
+
+
+def _drawn_number(what: str) -> str:
+    return sql.fraction(f"concat(tree, '|', node, '|', col, '|{what}')", DRAWN_SEED)
+
+
+def _drawn_level(level: int, rows: str) -> str:
+    """Common table expressions: the split of every node of ``rows`` (tree, node, id, y), and
+    where its rows come to."""
+    bad = "(2.0 * {1} * ({0} - {1}) / {0})"
+    gain = f"{bad.format('n', 'ones')} - {bad.format('ln', 'lones')} - {bad.format('(n - ln)', '(ones - lones)')}"
+    return f"""long{level} as materialized (select tree, node, y, col, v from {rows} join cells using (id)),
+    range{level} as (select tree, node, col, min(v) as low, max(v) as high, count(*) as n, sum(y)::bigint as ones
+      from long{level} group by tree, node, col having min(v) < max(v) and sum(y) > 0 and sum(y) < count(*)),
+    tried{level} as (select *, low + {_drawn_number('threshold')} * (high - low) as threshold from range{level}
+      qualify row_number() over (partition by tree, node order by {_drawn_number('column')}, col) <= {DRAWN_NUMBER}),
+    split{level} as materialized (select tree, node, col, threshold, n, ones, {gain} as gain from (
+        select tree, node, col, any_value(threshold) as threshold, any_value(n) as n, any_value(ones) as ones,
+          count(*) filter (v <= threshold) as ln, coalesce(sum(y) filter (v <= threshold), 0)::bigint as lones
+        from tried{level} join long{level} using (tree, node, col) group by tree, node, col)
+      qualify row_number() over (partition by tree, node order by gain desc, col) = 1),
+    rows{level + 1} as (select tree, 2 * s.node + (c.v > s.threshold)::bigint as node, r.id, r.y
+      from {rows} r join split{level} s using (tree, node) join cells c on c.id = r.id and c.col = s.col)"""
+
+
+@query(
+    "extra_trees_first_levels",
+    f"""with r as (select row_number() over () as id, *, ((l_quantity > 30) or (l_discount < 0.03 and l_suppkey % 4 > 0))::int as y
+        from lineitem),
+      cells as materialized ({' union all '.join(f'select id, {i} as col, {c}::double as v from r' for i, c in enumerate(DRAWN_COLUMNS))}),
+      rows0 as (select tree, cast(1 as bigint) as node, id, y from r, range({DRAWN_TREES}) t(tree)),
+      {_drawn_level(0, 'rows0')}, {_drawn_level(1, 'rows1')}, splits as (select * from split0 union all select * from split1)
+    select tree::int as tree, node, ['{"','".join(DRAWN_COLUMNS)}'][col + 1] as feature, round(threshold, 6) as threshold,
+      round(gain, 4) as gain, n as rows, ones from splits""",
+)
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """The splits of the first two levels, over all lines."""
+    lines = base(spark, folder, "lineitem")
+    late = (F.col("l_quantity") > 30) | (F.col("l_discount") < 0.03) & (F.col("l_suppkey") % 4 > 0)
+    rows = lines.select(late.cast("int").alias("y"), *DRAWN_COLUMNS)
+    model = models.extra_trees(rows, DRAWN_COLUMNS, "y", seed=DRAWN_SEED, trees=DRAWN_TREES, depth=2, columns=DRAWN_NUMBER)
+    return model.nodes(spark).where("feature is not null").select(
+        "tree", "node", "feature", F.round("threshold", 6).alias("threshold"), F.round("gain", 4).alias("gain"), "rows", "ones"
+    )
 
 
 @query(

@@ -542,9 +542,9 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     return columns.drop_columns_matching(lines, "(?i)un|line|price|date|flag|quant")
 
 
-@query("non_numeric_columns", "select o_orderstatus, o_orderpriority from orders")
+@query("non_numeric_columns", "select o_orderstatus, o_orderdate, o_orderpriority from orders")
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    orders = base(spark, folder, "orders").drop("o_orderdate")
+    orders = base(spark, folder, "orders")
     return orders.select(*columns.non_numeric_columns(orders))
 
 
@@ -744,7 +744,7 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
        where feature not in (select feature from t)""",
 )
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    top = ag.top_k_vocab(base(spark, folder, "part"), "p_name", 1000).select(
+    top = ag.top_k_vocab(base(spark, folder, "part"), "p_name", 20).select(
         F.col("value").alias("feature"), (F.col("rank") + 1).alias("rank")
     )
     return top_with_forced(top, 20, ["red widget", "a feature of no part"])
