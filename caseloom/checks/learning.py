@@ -14,7 +14,7 @@ from caseloom.checks.fixtures import base, view, with_views
 from caseloom.checks.flows import HELD_OUT, build_master, held_out_facts, tables
 from caseloom.checks.registry import query, rounded
 from caseloom.checks.rows import scratch
-from caseloom.operators import metrics, models, neighbors, prep, resample
+from caseloom.operators import logistic, metrics, models, neighbors, prep, resample
 from caseloom.operators.boosting import Booster
 from caseloom.operators.ranking import random_sample
 from caseloom.plans import features as ft
@@ -727,15 +727,12 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "resampling_study_summary",
-    f"""select sampler, model, cast({STUDY_FOLDS} as bigint) as folds, true as spread
-        from (values ('none'), ('smote')) s(sampler) join (values ('logistic')) m(model) on true""",
+    f"""select sampler, 'logistic' as model, cast(10 as bigint) as folds, true as spread
+        from (values {', '.join(f"('{name}')" for name in resample.SAMPLERS)}) s(sampler)""",
 )
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    study = cut_lineage(
-        resample.resampling_study(
-            _vectors(spark, folder), *COLUMNS, ("none", "smote"), folds=STUDY_FOLDS, models=("logistic",)
-        )
-    )
+    """All samplers over ten folds; their logistic models are fitted together."""
+    study = cut_lineage(resample.resampling_study(_vectors(spark, folder), *COLUMNS, models=("logistic",)))
     means = resample.study_summary(study)
     edges = study.groupBy("sampler", "model").agg(F.min("auc").alias("low"), F.max("auc").alias("high"))
     spread = F.col("auc_mean").between(F.col("low"), F.col("high")) & (
@@ -744,6 +741,42 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     return means.join(edges, ["sampler", "model"]).select("sampler", "model", "folds", spread.alias("spread"))
 
 
+@query(
+    "logistic_models_at_rest",
+    f"""with {VECTORS},
+        dealt as (select y, cast((row_number() over (partition by y order by {sql.digest('vec_id', 37)}, vec_id) - 1)
+                    % 10 as int) as fold from e)
+        select f.fold, count(*) as rows, sum(y)::bigint as ones, true as at_rest
+        from (select cast(i as int) as fold from range(10) t(i)) f join dealt d on d.fold <> f.fold group by f.fold""",
+)
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of ten training sets, and whether the penalised loss of each has a slope of 0 where
+    its model ended, all fitted together."""
+    dealt = prep.stratified_folds(_vectors(spark, folder), "vec_id", "y", 10, resample.SEED)
+    rows = cut_lineage(
+        dealt.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(9)))).where("part <> fold").drop("fold")
+    )
+    fitted = logistic.fit_many(rows, "part", "y", "embedding", resample.STRENGTH)
+    ends = spark.createDataFrame([(m, f.weights.tolist()) for m, f in fitted.items()], "part int, w array<double>")
+    width = len(next(iter(fitted.values())).weights) - 1 if fitted else 0
+    points = F.col("embedding").cast("array<double>")
+    margin = F.aggregate(
+        F.zip_with(points, F.slice("w", 1, width), lambda x, w: x * w), F.get("w", F.lit(width)), lambda a, x: a + x
+    )
+    judged = rows.join(F.broadcast(ends), "part").withColumn("off", 1 / (1 + F.exp(-margin)) - F.col("y"))
+    slopes = [F.avg(F.col("off") * F.get("embedding", F.lit(i))) for i in range(width)]
+    spreads = [F.var_samp(F.get("embedding", F.lit(i)).cast("double")) for i in range(width)]
+    facts = judged.groupBy("part").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("y").alias("ones"), F.avg("off").alias("free"),
+        F.array(*slopes).alias("slopes"), F.array(*spreads).alias("spreads"), F.first("w").alias("w"),
+    )
+    penalty = F.zip_with("spreads", F.slice("w", 1, width), lambda v, w: v * w * resample.STRENGTH)
+    most = F.array_max(F.zip_with("slopes", penalty, lambda a, b: F.abs(a + b)))
+    return facts.select(
+        F.col("part").alias("fold"), "rows", "ones", ((most < 1e-6) & (F.abs("free") < 1e-6)).alias("at_rest")
+    )
+
+
 # --- Models -----------------------------------------------------------------
 
 

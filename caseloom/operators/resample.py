@@ -10,15 +10,17 @@ import math
 import sys
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
-from pyspark import cloudpickle
+from pyspark import cloudpickle, inheritable_thread_target
 from pyspark.ml.classification import LinearSVC, LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
+from caseloom.operators.logistic import fit_many, scores_of
 from caseloom.operators.metrics import average_precision, confusion, rates, roc_auc
 from caseloom.operators.neighbors import distances_to, knn, matrix
 from caseloom.operators.prep import class_counts, copy_numbers, downsample, oversample_random
@@ -646,11 +648,12 @@ def _forest(label: str) -> RandomForestClassifier:
     )
 
 
-#: Model kinds of the study: an estimator for a label column.
-STUDY_MODELS: dict[str, Callable] = {
-    "logistic": lambda label: LogisticRegression(featuresCol="_v", labelCol=label, regParam=1e-3),
-    "forest": _forest,
-}
+#: Penalty of the study's logistic models.
+STRENGTH = 1e-3
+
+#: Model kinds of the study: an estimator for a label column, or none for the kind whose models
+#: are fitted together.
+STUDY_MODELS: dict[str, Callable | None] = {"logistic": None, "forest": _forest}
 
 
 def resampling_study(
@@ -663,43 +666,65 @@ def resampling_study(
     seed: int = SEED,
     threshold: float = 0.5,
     models: Sequence[str] = tuple(STUDY_MODELS),
+    parallelism: int = 4,
 ) -> DataFrame:
     """Held-out metrics per sampler, model and fold, with the class sizes that training saw
-    before and after; only training folds are resampled, once for all models."""
+    before and after; only training folds are resampled, once for all models.
+
+    Up to ``parallelism`` parts are sampled at a time, as in Spark's own cross validation. The
+    logistic models of all parts are fitted together, a job a step for all of them."""
     chosen = samplers if isinstance(samplers, Mapping) else {s: SAMPLERS[s] for s in samplers}
+    spark = df.sparkSession
     rows, _, _ = _parts(df, key, label, point)
     dealt = cut_lineage(stratified_folds(rows, key, label, folds, seed))
-    parts, sizes = [], []
-    for fold in range(folds):
+    parts = [(name, fold) for fold in range(folds) for name in chosen]
+
+    def sample(part: tuple[str, int]) -> DataFrame:
+        name, fold = part
         train = dealt.where(F.col("fold") != fold).drop("fold")
-        test = dealt.where(F.col("fold") == fold).withColumn("_v", array_to_vector(point))
-        before = class_counts(train, label)
-        for name, sampler in chosen.items():
-            grown = cut_lineage(sampler(train, key, label, point).withColumn("_v", array_to_vector(point)))
-            sizes.append((name, fold, *before, *class_counts(grown, label)))
-            for kind in models:
-                model = STUDY_MODELS[kind](label).fit(grown)
-                parts.append(
-                    model.transform(test).select(
-                        F.lit(name).alias("sampler"),
-                        F.lit(kind).alias("model"),
-                        "fold",
-                        label,
-                        vector_to_array("probability")[1].alias("score"),
-                    )
-                )
-    scored = cut_lineage(reduce(DataFrame.unionByName, parts))
+        return cut_lineage(chosen[name](train, key, label, point).select(label, point))
+
+    with ThreadPool(parallelism) as pool:
+        grown = pool.map(inheritable_thread_target(spark)(sample), parts)
+        numbered = [g.withColumn("_part", F.lit(i)) for i, g in enumerate(grown)]
+        together = cut_lineage(reduce(DataFrame.unionByName, numbered).hint("rebalance"))
+        scored = []
+        if "logistic" in models:
+            fitted = fit_many(together, "_part", label, point, STRENGTH)
+            by_fold: dict[int, dict[str, np.ndarray]] = {}
+            for i, (name, fold) in enumerate(parts):
+                if i in fitted:
+                    by_fold.setdefault(fold, {})[name] = fitted[i].weights
+            judged = scores_of(dealt.select("fold", label, point), "fold", point, by_fold, "sampler", "score")
+            scored.append(judged.withColumn("model", F.lit("logistic")))
+
+        def grow(task: tuple[str, int]) -> DataFrame:
+            kind, i = task
+            name, fold = parts[i]
+            model = STUDY_MODELS[kind](label).fit(grown[i].withColumn("_v", array_to_vector(point)))
+            test = dealt.where(F.col("fold") == fold).withColumn("_v", array_to_vector(point))
+            chance = vector_to_array("probability")[1].alias("score")
+            judged = model.transform(test).select("fold", label, F.lit(name).alias("sampler"), chance)
+            return judged.withColumn("model", F.lit(kind))
+
+        others = [(kind, i) for kind in models if STUDY_MODELS[kind] for i in range(len(parts))]
+        scored += pool.map(inheritable_thread_target(spark)(grow), others)
+    scored = cut_lineage(reduce(DataFrame.unionByName, scored))
     by = ["sampler", "model", "fold"]
-    # One row per sampler and fold.
-    seen = df.sparkSession.createDataFrame(
-        sizes,
-        "sampler string, fold int, zeros_before long, ones_before long, zeros_after long, ones_after long",
+    sizes = lambda stage: (
+        F.count_if(F.col(label) == 0).alias(f"zeros_{stage}"), F.count_if(F.col(label) == 1).alias(f"ones_{stage}")
     )
+    names = spark.createDataFrame([(i, *p) for i, p in enumerate(parts)], "_part int, sampler string, fold int")
+    after = together.groupBy("_part").agg(*sizes("after")).join(names, "_part").drop("_part")
+    held = dealt.groupBy("fold").agg(*sizes("held"))
+    whole = dict(zip(("zeros", "ones"), class_counts(dealt, label)))
+    before = held.select("fold", *[(F.lit(n) - F.col(f"{c}_held")).alias(f"{c}_before") for c, n in whole.items()])
     counted = rates(confusion(scored, label, "score", threshold, by))
     return (
         counted.join(roc_auc(scored, label, "score", by), by)
         .join(average_precision(scored, label, "score", by), by)
-        .join(seen, ["sampler", "fold"])
+        .join(before, "fold")
+        .join(after, ["sampler", "fold"])
     )
 
 
