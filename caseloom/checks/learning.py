@@ -406,9 +406,11 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _links(source: str) -> str:
-    return f"""{_near('nn', source, source, 1)},
-      l as (select a.vec_id, a.nb from nn a join nn b on a.nb = b.vec_id and b.nb = a.vec_id
-            join {source} x on x.vec_id = a.vec_id where x.y = 0 and a.nby = 1)"""
+    near = _near("nn as materialized", source, source, 1).replace("materialized as", "materialized", 1)
+    # a row that is the nearest of its own nearest has its label beside the latter
+    return f"""{near},
+      l as materialized (select a.vec_id, a.nb from nn a join nn b on a.nb = b.vec_id and b.nb = a.vec_id
+        where b.nby = 0 and a.nby = 1)"""
 
 
 @query("tomek_links", f"with {VECTORS}, {_links('e')} select vec_id as common, nb as rare from l")
@@ -727,12 +729,14 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "resampling_study_summary",
-    f"""select sampler, 'logistic' as model, cast(10 as bigint) as folds, true as spread
+    f"""select sampler, 'logistic' as model, cast({STUDY_FOLDS} as bigint) as folds, true as spread
         from (values {', '.join(f"('{name}')" for name in resample.SAMPLERS)}) s(sampler)""",
 )
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    """All samplers over ten folds; their logistic models are fitted together."""
-    study = cut_lineage(resample.resampling_study(_vectors(spark, folder), *COLUMNS, models=("logistic",)))
+    """All samplers; their logistic models are fitted together."""
+    study = cut_lineage(
+        resample.resampling_study(_vectors(spark, folder), *COLUMNS, folds=STUDY_FOLDS, models=("logistic",))
+    )
     means = resample.study_summary(study)
     edges = study.groupBy("sampler", "model").agg(F.min("auc").alias("low"), F.max("auc").alias("high"))
     spread = F.col("auc_mean").between(F.col("low"), F.col("high")) & (
