@@ -95,13 +95,22 @@ def count_pivot(
     values: Sequence[str],
     prefix: str,
     binary: bool = False,
+    times: str | None = None,
 ) -> DataFrame:
-    """Rows per entity and category, 0 where none; ``binary`` turns them into 0/1."""
+    """Rows per entity and category, 0 where none; ``binary`` turns them into 0/1.
+
+    A row stands for as many as its column ``times`` says, if one is named.
+    """
     named = _named(prefix, values)
+
+    def count(value: str) -> Column:
+        hit = F.col(category) == value
+        return F.sum(F.when(hit, F.col(times)).otherwise(0)) if times else F.count_if(hit)
+
     wide = (
         df.where(present(key) & F.col(category).isNotNull())
         .groupBy(key)
-        .agg(*[F.count_if(F.col(category) == value).alias(name) for name, value in named])
+        .agg(*[count(value).alias(name) for name, value in named])
     )
     if not binary:
         return wide

@@ -200,17 +200,27 @@ def medication_features(
     """Distinct drug rows per category of the dictionary; a doubled line counts twice.
 
     Rows of drugs without a category are dropped before the dedup, so they are never
-    shuffled. A row carries all categories of its drug through it, as one list.
+    shuffled. A row carries the categories of its drug through it, each once with its
+    number of lines.
     """
-    listed = dictionary_join(medication, "drug_name", drug_lines(dictionary), "Drug", "inner")
-    rows = dedup(listed).select(KEY, F.explode("_categories").alias("Category"))
-    return count_pivot(rows, KEY, "Category", categories, "Drug_count_", binary)
+    listed = dictionary_join(medication, "drug_name", drug_lines(dictionary, categories), "Drug", "inner")
+    rows = dedup(listed).select(KEY, F.inline("_categories"))
+    return count_pivot(rows, KEY, "Category", categories, "Drug_count_", binary, "_lines")
 
 
-def drug_lines(dictionary: DataFrame) -> DataFrame:
-    """One row per drug that has a category, with all its categories, repeats included."""
+def drug_lines(dictionary: DataFrame, categories: Sequence[str]) -> DataFrame:
+    """One row per drug that has a category: those of its categories that are asked for, each
+    once with its number of lines, or an entry of no lines where none is."""
     valued = dictionary.where(F.col("Category").isNotNull() & F.col("Drug").isNotNull())
-    return valued.groupBy("Drug").agg(F.array_sort(F.collect_list("Category")).alias("_categories"))
+    none = F.struct(F.lit("").alias("Category"), F.lit(0).cast("bigint").alias("_lines"))
+    counted = [
+        F.struct(F.lit(value).alias("Category"), F.count_if(F.col("Category") == value).alias("_lines"))
+        for value in categories
+    ]
+    lined = F.filter(F.array(none, *counted), lambda c: c["_lines"] > 0)
+    return valued.groupBy("Drug").agg(
+        F.when(F.size(lined) > 0, lined).otherwise(F.array(none)).alias("_categories")
+    )
 
 
 def lab_rates(labs: DataFrame, tests: Sequence[str]) -> DataFrame:
@@ -403,13 +413,13 @@ def diagnosis_part(diagnoses: DataFrame, chapters: Sequence[str]) -> DataFrame:
 def medication_part(
     medication: DataFrame, dictionary: DataFrame, categories: Sequence[str]
 ) -> DataFrame:
-    listed = dictionary_join(medication, "drug_name", drug_lines(dictionary), "Drug", "left")
+    listed = dictionary_join(medication, "drug_name", drug_lines(dictionary, categories), "Drug", "left")
     known = F.col("_categories").isNotNull()
     rows = dedup(_only(listed.where(present(KEY)), known))
-    each = rows.select(KEY, DAY, F.explode_outer("_categories").alias("Category"))
+    each = rows.select(KEY, DAY, F.inline_outer("_categories"))
     known = F.col("Category").isNotNull()
     counts = [
-        F.sum(F.when(known, (F.col("Category") == value).cast("bigint"))).alias(f"Drug_count_{name}")
+        F.sum(F.when(known, (F.col("Category") == value).cast("bigint") * F.col("_lines"))).alias(f"Drug_count_{name}")
         for value, name in zip(categories, slugs(categories))
     ]
     return each.groupBy(KEY).agg(*_span(F.col(DAY), "med"), _seen(known, "med"), *counts)

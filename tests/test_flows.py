@@ -189,6 +189,21 @@ def test_a_doubled_dictionary_line_counts_twice(spark, monkeypatch, short):
     assert wide["q"].Drug_count_x is None and wide["q"]._in_med == 0
 
 
+def test_many_lines_of_a_drug_ride_as_one_count(spark):
+    events = spark.createDataFrame([("p", 1, "d", "n"), ("p", 2, "d", "n")], io.SCHEMAS["medication"])
+    events = events.unionByName(spark.createDataFrame([("q", 1, "e", "n")], events.schema))
+    lines = [("d", "x")] * 500 + [("d", "y")] * 3 + [("d", None), ("e", "w")]
+    words = spark.createDataFrame(lines, io.DICTIONARY_SCHEMA)
+    # what a row carries through the dedup
+    listed = ft.drug_lines(words, ("x", "y", "z")).collect()
+    assert {r["Drug"]: len(r["_categories"]) for r in listed} == {"d": 2, "e": 1}
+    counts = [("p", 1000, 6, 0), ("q", 0, 0, 0)]
+    assert sorted(map(tuple, ft.medication_features(events, words, ("x", "y", "z")).collect())) == counts
+    part = ft.medication_part(events, words, ("x", "y", "z"))
+    assert sorted(map(tuple, part.select("patientid", *[f"Drug_count_{c}" for c in "xyz"]).collect())) == counts
+    assert {r._in_med for r in part.collect()} == {1}
+
+
 def test_chapters_are_fitted(spark, small):
     tables = fl.tables(spark, small)
     odd = spark.createDataFrame(
