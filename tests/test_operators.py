@@ -379,6 +379,58 @@ def test_bounds_leave_few_rows_to_read(spark):
     assert pairs(by_bounds, "vec_id", "neighbor", "rank", "distance") == pairs(whole, "vec_id", "neighbor", "rank", "distance")
 
 
+SHAPES = {
+    "cloud": lambda rng, n, d: rng.standard_normal((n, d)),
+    "grid": lambda rng, n, d: rng.integers(0, 3, (n, d)).astype(float),
+    "far off": lambda rng, n, d: 1e9 + rng.standard_normal((n, d)),
+    "tight clusters": lambda rng, n, d: rng.integers(0, 4, (n, 1)) * 1e6 + 1e-3 * rng.standard_normal((n, d)),
+    "tiny": lambda rng, n, d: 1e-25 * rng.standard_normal((n, d)),
+    "huge": lambda rng, n, d: 1e30 * rng.standard_normal((n, d)),
+    "all equal": lambda rng, n, d: np.ones((n, d)),
+}
+
+
+@pytest.mark.parametrize("shape", SHAPES)
+@pytest.mark.parametrize("farthest", [False, True])
+def test_best_over_blocks_against_all_pairs(shape, farthest):
+    rng = np.random.default_rng(3)
+    for d in (1, 64):
+        base = SHAPES[shape](rng, 500, d)
+        asked = np.vstack([SHAPES[shape](rng, 300, d), base[:40]])
+        best = neighbors.Best(asked, 4, farthest)
+        for start in range(0, 500, 90):
+            best.add(base[start : start + 90])
+        wanted = []
+        for i, x in enumerate(asked):
+            gap = base - x
+            distance = np.sqrt(np.einsum("ij,ij->i", gap, gap))
+            order = np.lexsort((np.arange(500), -distance if farthest else distance))[:4]
+            wanted += [(i, int(j), distance[j]) for j in order]
+        assert list(zip(*(a.tolist() for a in best.found()))) == wanted
+
+
+def test_a_search_by_bounds_hands_on_no_more_than_the_best(spark):
+    wide = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    rows = neighbors._rows(wide, "vec_id", "embedding", "label").cache()
+    count = rows.count()
+    assert neighbors.bounded_candidates(rows, rows, 6, False, count, count, 64).count() == 6 * count
+
+
+def test_cells_that_need_the_whole_base_are_sent_no_copies(spark, monkeypatch):
+    monkeypatch.setattr(neighbors, "CELL_ROWS", 10)
+    monkeypatch.setattr(neighbors, "BLOCK_VALUES", 300)
+    rng = random.Random(1)
+    rows = [(i, i % 2, [rng.gauss(0, 1) for _ in range(20)]) for i in range(200)]
+    df = spark.createDataFrame(rows, "k bigint, y int, p array<double>")
+    for farthest in (False, True):
+        hits = neighbors.knn(df, df, 4, "k", "p", "y", farthest, broadcast_values=0, narrow=20)
+        assert pairs(hits, "k", "neighbor", "rank") == brute_knn(rows, 4, farthest)
+    taken = neighbors._rows(df, "k", "p", "y")
+    assert neighbors.cell_traffic(taken, taken, 5, False, 200)["base_rows"] > neighbors.MOST_COPIES * 200
+    plan = neighbors._cell_search(taken, taken, 5, False, 200, 200, 20)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and "Exchange" not in plan
+
+
 @pytest.mark.parametrize("kind", ["double", "decimal(6,2)", "date", "string", "binary"])
 @pytest.mark.parametrize("limit", [neighbors.BROADCAST_VALUES, 0, 5])
 def test_ids_keep_their_type(spark, kind, limit):
