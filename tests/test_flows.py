@@ -189,6 +189,21 @@ def test_a_doubled_dictionary_line_counts_twice(spark, monkeypatch, short):
     assert wide["q"].Drug_count_x is None and wide["q"]._in_med == 0
 
 
+def test_joins_of_large_tables_are_dealt_into_more_parts(spark, small, monkeypatch):
+    from caseloom.checks import fixtures
+
+    names = ("diagnoses", "medication")
+    assert fixtures.join_parts(spark, small) == 0
+    few = {n: sorted(map(str, view(spark, small, n).collect())) for n in names}
+    monkeypatch.setattr(fixtures, "JOINED_BYTES", 4_000)
+    parts = fixtures.join_parts(spark, small)
+    assert parts > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for n in names:
+        dealt = view(spark, small, n)
+        assert f", {parts}), REPARTITION_BY_NUM" in dealt._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(str, dealt.collect())) == few[n]
+
+
 def test_many_lines_of_a_drug_ride_as_one_count(spark):
     events = spark.createDataFrame([("p", 1, "d", "n"), ("p", 2, "d", "n")], io.SCHEMAS["medication"])
     events = events.unionByName(spark.createDataFrame([("q", 1, "e", "n")], events.schema))
