@@ -416,6 +416,15 @@ def test_a_search_by_bounds_hands_on_no_more_than_the_best(spark):
     assert neighbors.bounded_candidates(rows, rows, 6, False, count, count, 64).count() == 6 * count
 
 
+def test_search_by_bounds_keeps_labels_that_are_missing(spark):
+    rng = random.Random(5)
+    rows = [(i, None if i % 3 else 1, [rng.gauss(0, 1) for _ in range(20)]) for i in range(60)]
+    df = spark.createDataFrame(rows, "k bigint, y int, p array<double>")
+    hits = neighbors.knn(df, df, 4, "k", "p", "y", broadcast_values=0)
+    assert pairs(hits, "k", "neighbor", "rank") == brute_knn(rows, 4)
+    assert all(r.neighbor_label == (None if r.neighbor % 3 else 1) for r in hits.collect())
+
+
 def test_cells_that_need_the_whole_base_are_sent_no_copies(spark, monkeypatch):
     monkeypatch.setattr(neighbors, "CELL_ROWS", 10)
     monkeypatch.setattr(neighbors, "BLOCK_VALUES", 300)
