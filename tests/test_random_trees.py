@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 import random
 
 import numpy as np
@@ -105,3 +106,37 @@ def test_other_thresholds_or_gains_are_noticed(spark, monkeypatch, name):
     monkeypatch.setattr(random_trees, name, other[name])
     query = "extra_trees_first_levels"
     assert differences(QUERIES[query](spark, SMALL), connect(SMALL), SQL[query])
+
+
+def test_nodes_measure_the_columns_they_draw(spark, monkeypatch):
+    """A node measures few of many columns; all of them only where those do not vary enough."""
+    rng = random.Random(4)
+    names = [f"c{i}" for i in range(16)]
+    rows = []
+    for _ in range(400):
+        kind = rng.randrange(8)
+        flags = [float(kind == i % 8) for i in range(15)]
+        rows.append((int(kind in (1, 2) or rng.random() < 0.2), *flags, rng.random()))
+    df = spark.createDataFrame(rows, "y int, " + ", ".join(f"{c} double" for c in names)).repartition(3)
+    asked, measure = [], random_trees._ranges
+
+    def spied(rows, cols, trees, wanted):
+        asked.append(sum(len(places) for nodes in wanted for places in nodes.values()))
+        return measure(rows, cols, trees, wanted)
+
+    monkeypatch.setattr(random_trees, "_ranges", spied)
+    grow = lambda: models.extra_trees(df, names, "y", trees=4, depth=4, columns=3)
+    monkeypatch.setattr(random_trees, "SPARE", 16)
+    whole, all_asked = grow(), asked.copy()
+    asked.clear()
+    monkeypatch.setattr(random_trees, "SPARE", 1)
+    assert grow() == whole and len(asked) > len(all_asked)
+    asked.clear()
+    monkeypatch.setattr(random_trees, "SPARE", 2)
+    assert grow() == whole and sum(asked) < sum(all_asked)
+    assert all_asked[0] == 16
+
+
+def test_tasks_get_splits_without_types_of_the_package(spark):
+    model = models.extra_trees(frame(spark, some_rows()), COLS, "y", trees=2)
+    assert model.splits and b"caseloom" not in pickle.dumps(random_trees.plain(model.trees))
