@@ -2,7 +2,10 @@
 
 Doubles are put in order by their 64 bits, 16 at a time. A pass counts, for every wanted
 rank, the values that share the digits known so far, by their next digit; the digit at
-which the counts reach the rank is the next one known, and after four passes the value is.
+which the counts reach the rank is the next one known, and after at most four passes the value
+is. A rank is found as soon as the values that share its digits are all the same; values that are
+no more than 65,536 are told apart in full by the next pass, which is usually the second or the
+last one, and a pass reads only the columns whose ranks are open.
 So a task sees at most 65,536 counts per column and rank, whatever the table holds, and
 values shared by many rows are one count. A short table is aggregated directly.
 """
@@ -18,6 +21,8 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window, functions as F
 
+from caseloom.session import cut_lineage
+
 # Tasks get these functions by value, so executors need no installed package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -44,55 +49,96 @@ def from_sortable(number: int) -> float:
     return float(np.array([bits], dtype=np.uint64).view(np.float64)[0])
 
 
-def digit_counts(numbers: DataFrame, known: dict[int, set[int]], level: int) -> DataFrame:
+def digit_counts(
+    numbers: DataFrame, known: dict[int, set[int]], level: int, whole: dict[int, set[int]] | None = None
+) -> DataFrame:
     """``column``, ``known``, ``digit`` and ``n``: values by their next digit, of those whose first
-    ``level`` digits are listed for their column (by its place)."""
-    names = ["column", "known", "digit", "n"]
-    shift = np.uint64(64 - DIGIT * (level + 1))
+    ``level`` digits are listed for their column (by its place); where they are also listed in
+    ``whole``, by all the digits left. ``low`` and ``high`` are the extremes of these values, as
+    signed numbers in their order."""
+    names = ["column", "known", "digit", "n", "low", "high"]
+    left = 64 - DIGIT * level
+    wanted = {c: np.array(sorted(digits), dtype=np.uint64) for c, digits in known.items()}
+    full = {c: np.array(sorted(digits), dtype=np.uint64) for c, digits in (whole or {}).items()}
+    read = sorted(known)
+
+    def groups(values: np.ndarray, c: int, bits: int) -> list[np.ndarray]:
+        """Of sorted values, those that agree down to ``bits`` from the end."""
+        upto = values >> np.uint64(bits)
+        starts = np.flatnonzero(np.r_[True, upto[1:] != upto[:-1]])
+        ends = np.r_[starts[1:], len(values)]
+        digits = np.uint64(left - bits)
+        before = upto[starts] >> digits if level else np.zeros(len(starts), dtype=np.uint64)
+        digit = upto[starts] & np.uint64((1 << (left - bits)) - 1)
+        low, high = ((v ^ SIGN).view(np.int64) for v in (values[starts], values[ends - 1]))
+        return [np.full(len(starts), c), before, digit, ends - starts, low, high]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for c, wanted in known.items():
-                values = batch.column(c).drop_null().to_numpy(zero_copy_only=False)
-                # the digits up to this one, in one number
-                upto = sortable(values) >> shift
+            found = []
+            for place, c in enumerate(read):
+                values = sortable(batch.column(place).drop_null().to_numpy(zero_copy_only=False))
+                in_full = np.zeros(len(values), dtype=bool)
                 if level:
-                    upto = upto[np.isin(upto >> np.uint64(DIGIT), np.array(sorted(wanted), dtype=np.uint64))]
-                found, n = np.unique(upto, return_counts=True)
-                before, digit = found >> np.uint64(DIGIT), found & np.uint64((1 << DIGIT) - 1)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(v.astype(np.int64)) for v in (np.full(len(found), c), before, digit, n)], names
-                )
+                    # the digits before this one, in one number
+                    before = values >> np.uint64(left)
+                    mine = np.isin(before, wanted[c])
+                    values, before = values[mine], before[mine]
+                    in_full = np.isin(before, full.get(c, wanted[c][:0]))
+                for part, bits in ((values[~in_full], left - DIGIT), (values[in_full], 0)):
+                    if len(part):
+                        found.append(groups(np.sort(part), c, bits))
+            if found:
+                joined = [np.concatenate(parts).astype(np.int64) for parts in zip(*found)]
+                yield pa.RecordBatch.from_arrays([pa.array(v) for v in joined], names)
 
     schema = ", ".join(f"{n} long" for n in names)
-    return numbers.mapInArrow(count, schema).groupBy(*names[:3]).agg(F.sum("n").alias("n"))
+    narrow = numbers.toDF(*[f"v{i}" for i in range(len(numbers.columns))]).select(*[f"v{c}" for c in read])
+    return narrow.mapInArrow(count, schema).groupBy(*names[:3]).agg(
+        F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high")
+    )
 
 
-def order_statistics(numbers: DataFrame, wanted: dict[int, set[int]]) -> dict[tuple[int, int], float]:
+def order_statistics(
+    numbers: DataFrame, wanted: dict[int, set[int]], first: DataFrame | None = None
+) -> dict[tuple[int, int], float]:
     """The values at ranks (from 0) of columns, by the place of the column and the rank.
 
-    Every rank has to be below the number of values in its column.
+    Every rank has to be below the number of values in its column. ``first`` are the counts of
+    the first digits, if they are there already.
     """
     spark = numbers.sparkSession
-    # of each rank: the digits known so far, and its rank among the values that share them
-    at = {(c, rank): (0, rank) for c, ranks in wanted.items() for rank in ranks}
-    for level in range(64 // DIGIT):
+    # of each open rank: the digits known so far, its rank among the values that share them, and their number
+    at = {(c, rank): (0, rank, 0) for c, ranks in wanted.items() for rank in ranks}
+    values: dict[tuple[int, int], float] = {}
+    level = 0
+    while at:
         known: dict[int, set[int]] = {}
-        for (c, _), (digits, _) in at.items():
+        whole: dict[int, set[int]] = {}
+        for (c, _), (digits, _, n) in at.items():
             known.setdefault(c, set()).add(digits)
+            if level and n <= 1 << DIGIT:
+                whole.setdefault(c, set()).add(digits)
+        counts = first if first is not None and not level else digit_counts(numbers, known, level, whole)
         targets = spark.createDataFrame(
-            [(c, digits, rank, left) for (c, rank), (digits, left) in at.items()],
+            [(c, digits, rank, left) for (c, rank), (digits, left, _) in at.items()],
             "column long, known long, rank long, left long",
         )
         window = Window.partitionBy("column", "known").orderBy("digit")
         through = F.sum("n").over(window)
-        placed = digit_counts(numbers, known, level).withColumn("through", through)
+        placed = counts.withColumn("through", through)
         hit = (F.col("through") - F.col("n") <= F.col("left")) & (F.col("left") < F.col("through"))
-        # one row per wanted rank
+        # one row per open rank
         found = placed.join(F.broadcast(targets), ["column", "known"]).where(hit).collect()
+        at = {}
         for r in found:
-            at[r["column"], r["rank"]] = (r["known"] << DIGIT | r["digit"], r["left"] - (r["through"] - r["n"]))
-    return {key: from_sortable(digits) for key, (digits, _) in at.items()}
+            key = r["column"], r["rank"]
+            if r["low"] == r["high"]:
+                values[key] = from_sortable(r["low"] + int(SIGN))
+            else:
+                at[key] = r["known"] << DIGIT | r["digit"], r["left"] - (r["through"] - r["n"]), r["n"]
+        level += 1
+    return values
 
 
 def exact_quantiles(
@@ -106,25 +152,24 @@ def exact_quantiles(
     Up to ``short`` rows are aggregated directly.
     """
     numbers = _doubles(df, cols)
-    sizes = numbers.agg(F.count(F.lit(1)).alias("rows"), *[F.count(c).alias(f"n{i}") for i, c in enumerate(cols)]).first()
-    if sizes["rows"] <= short:
+    if numbers.count() <= short:
         levels = F.array(*[F.lit(float(p)) for p in probabilities])
         row = numbers.agg(*[F.percentile(c, levels).alias(c) for c in cols]).first()
         return {c: row[c] or [None] * len(probabilities) for c in cols}
-    places = {
-        (i, p): p * (sizes[f"n{i}"] - 1) for i in range(len(cols)) for p in probabilities if sizes[f"n{i}"]
-    }
+    first = cut_lineage(digit_counts(numbers, {i: {0} for i in range(len(cols))}, 0))
+    sizes = {r["column"]: r["n"] for r in first.groupBy("column").agg(F.sum("n").alias("n")).collect()}
+    places = {(i, p): p * (n - 1) for i, n in sizes.items() for p in probabilities}
     wanted: dict[int, set[int]] = {}
     for (i, _), place in places.items():
-        wanted.setdefault(i, set()).update((floor(place), min(floor(place) + 1, sizes[f"n{i}"] - 1)))
-    values = order_statistics(numbers, wanted) if wanted else {}
+        wanted.setdefault(i, set()).update((floor(place), min(floor(place) + 1, sizes[i] - 1)))
+    values = order_statistics(numbers, wanted, first)
 
     def quantile(i: int, p: float) -> float | None:
         if (i, p) not in places:
             return None
-        first = floor(places[i, p])
-        low, high = values[i, first], values[i, min(first + 1, sizes[f"n{i}"] - 1)]
-        return low if low == high else low + (places[i, p] - first) * (high - low)
+        below = floor(places[i, p])
+        low, high = values[i, below], values[i, min(below + 1, sizes[i] - 1)]
+        return low if low == high else low + (places[i, p] - below) * (high - low)
 
     return {c: [quantile(i, p) for p in probabilities] for i, c in enumerate(cols)}
 

@@ -126,6 +126,30 @@ def test_counts_of_a_pass_are_bounded(spark):
     assert got["z"] == [0.0, 1.0, 2.0]
 
 
+def test_ranks_are_found_in_few_passes(spark, monkeypatch):
+    """The first pass finds crowded values, the second, over the other columns alone, the rest."""
+    n = 120_000
+    df = spark.range(n).select(
+        (F.col("id") % 3).cast("double").alias("few"), (F.col("id") * 0.37 - 1000).alias("spread"),
+        (F.col("id") % 90).cast("double").alias("whole"), F.when(F.col("id") < 5, -F.col("id") / 3).alias("rare"),
+        F.lit(None).cast("double").alias("none"),
+    )
+    passes, count = [], quantiles.digit_counts
+
+    def spied(numbers, known, *rest):
+        passes.append(sorted(known))
+        return count(numbers, known, *rest)
+
+    monkeypatch.setattr(quantiles, "digit_counts", spied)
+    levels = [0.0, 0.1, 0.5, 0.77, 1.0]
+    got = quantiles.exact_quantiles(df, df.columns, levels)
+    assert passes == [[0, 1, 2, 3, 4], [1, 2]]
+    whole = df.toPandas()
+    for name in ("few", "spread", "whole", "rare"):
+        assert got[name] == pytest.approx(list(whole[name].quantile(levels)), rel=1e-12)
+    assert got["none"] == [None] * 5
+
+
 def test_copies_of_a_hot_row_are_spread(spark, monkeypatch):
     monkeypatch.setattr(prep, "COPY_RUN", 50)
     df = spark.createDataFrame([(1, 4003), (2, 0), (3, 1), (4, 50), (5, 51)], "k bigint, _copies int")
