@@ -399,27 +399,61 @@ def _only(df: DataFrame, condition: Column, also: Sequence[str] = (KEY, DAY)) ->
     )
 
 
+#: Flags that one number tells, and the bits of a number that tell a category's place.
+MASK, PLACE = 63, 20
+
+
 def diagnosis_part(diagnoses: DataFrame, chapters: Sequence[str]) -> DataFrame:
+    """A row sets one bit, so grouping costs the same for few and for many chapters."""
     coded = F.when(F.col("diagnosis_cd_type") == "ICD10", code_chapter("diagnosis_cd"))
     rows = diagnoses.where(present(KEY)).select(KEY, DAY, coded.alias("_chapter"))
     known = F.col("_chapter").isNotNull()
-    flags = [
-        F.max(F.when(known, (F.col("_chapter") == value).cast("int"))).alias(f"ICD10_status_{name}")
-        for value, name in zip(chapters, slugs(chapters))
-    ]
-    return rows.groupBy(KEY).agg(*_span(F.col(DAY), "dia"), _seen(known, "dia"), *flags)
+    values = list(dict.fromkeys(chapters))
+    runs = [values[i : i + MASK] for i in range(0, len(values), MASK)]
+    masks = [F.bit_or(F.when(known, _bit("_chapter", run))).alias(f"_bits{i}") for i, run in enumerate(runs)]
+
+    def flag(value: str) -> Column:
+        run, place = divmod(values.index(value), MASK)
+        return F.getbit(f"_bits{run}", F.lit(place)).cast("int")
+
+    flags = [flag(value).alias(f"ICD10_status_{name}") for value, name in zip(chapters, slugs(chapters))]
+    found = rows.groupBy(KEY).agg(*_span(F.col(DAY), "dia"), _seen(known, "dia"), *masks)
+    return found.select(KEY, "_from_dia", "_to_dia", "_in_dia", *flags)
+
+
+def _place(value: Column | str, values: Sequence[str]) -> Column:
+    """The place of a value in a list, from 1; 0 where it is not in it."""
+    if not values:
+        return F.lit(0).cast("bigint")
+    return F.array_position(F.array(*[F.lit(v) for v in values]), value)
+
+
+def _bit(col: str, run: Sequence[str]) -> Column:
+    """A number whose one bit is the place of the value in the run; 0 for other values."""
+    place = _place(F.col(col), run)
+    one = F.call_function("shiftleft", F.lit(1).cast("bigint"), (place - 1).cast("int"))
+    return F.when(place > 0, one).otherwise(F.lit(0).cast("bigint"))
 
 
 def medication_part(
     medication: DataFrame, dictionary: DataFrame, categories: Sequence[str]
 ) -> DataFrame:
-    listed = dictionary_join(medication, "drug_name", drug_lines(dictionary, categories), "Drug", "left")
+    """A drug's categories ride through the dedup as numbers: place in the list and lines."""
+    lines = drug_lines(dictionary, categories)
+    packed = F.transform(
+        "_categories", lambda c: F.shiftleft(c["_lines"], PLACE) + _place(c["Category"], categories)
+    )
+    lines = lines.withColumn("_categories", packed)
+    listed = dictionary_join(medication, "drug_name", lines, "Drug", "left")
     known = F.col("_categories").isNotNull()
     rows = dedup(_only(listed.where(present(KEY)), known))
-    each = rows.select(KEY, DAY, F.inline_outer("_categories"))
-    known = F.col("Category").isNotNull()
+    each = rows.select(KEY, DAY, F.explode_outer("_categories").alias("_packed"))
+    each = each.select(
+        KEY, DAY, F.col("_packed").bitwiseAND((1 << PLACE) - 1).alias("_place"), F.shiftright("_packed", PLACE).alias("_lines")
+    )
+    known = F.col("_place").isNotNull()
     counts = [
-        F.sum(F.when(known, (F.col("Category") == value).cast("bigint") * F.col("_lines"))).alias(f"Drug_count_{name}")
+        F.sum(F.when(F.col("_place") == categories.index(value) + 1, F.col("_lines")).when(known, 0)).alias(f"Drug_count_{name}")
         for value, name in zip(categories, slugs(categories))
     ]
     return each.groupBy(KEY).agg(*_span(F.col(DAY), "med"), _seen(known, "med"), *counts)

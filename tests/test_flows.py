@@ -219,6 +219,30 @@ def test_many_lines_of_a_drug_ride_as_one_count(spark):
     assert {r._in_med for r in part.collect()} == {1}
 
 
+def test_flags_and_categories_travel_as_numbers(spark):
+    """A row sets one bit and a drug's categories are whole numbers, however many there are."""
+    chapters = [chr(0x100 + i) for i in range(130)]
+    rows = [(f"P{i % 7}", i % 5, chapters[i * 11 % 130] + "1" if i % 4 else "?", "ICD10" if i % 3 else "ICD9") for i in range(60)]
+    rows += [("none", 1, "x", "ICD9"), ("unknown", None, None, "ICD10")]
+    schema = "patientid string, days_to_covid_diag int, diagnosis_cd string, diagnosis_cd_type string"
+    part = ft.diagnosis_part(spark.createDataFrame(rows, schema), chapters)
+    assert part._jdf.queryExecution().executedPlan().toString().count("partial_") == 6
+    found = {r.patientid: r.asDict() for r in part.collect()}
+    for key in {r[0] for r in rows}:
+        seen = {(code or "None")[0] for k, _, code, kind in rows if k == key and kind == "ICD10"}
+        flags = [found[key][f"ICD10_status_{c}"] for c in ft.slugs(chapters)]
+        assert flags == ([int(c in seen) for c in chapters] if seen else [None] * 130)
+    assert [found[k]["_in_dia"] for k in ("none", "unknown")] == [0, 1]
+
+    drugs = spark.createDataFrame([("a", "x"), ("a", "x"), ("a", "y"), ("b", "z"), ("c", None)], "Drug string, Category string")
+    taken = [("P1", 1, "a", "1"), ("P1", 1, "a", "1"), ("P1", 2, "a", "1"), ("P2", 3, "b", "2"), ("P3", 4, "c", "3")]
+    medication = spark.createDataFrame(taken, "patientid string, days_to_covid_diag int, drug_name string, ndc string")
+    for values, counts in ((("x", "y"), [("P1", 4, 2), ("P2", 0, 0), ("P3", None, None)]), ((), [("P1",), ("P2",), ("P3",)])):
+        part = ft.medication_part(medication, drugs, values)
+        told = part.select("patientid", *[f"Drug_count_{v}" for v in values]).collect()
+        assert sorted(tuple(r) for r in told) == counts
+
+
 def test_chapters_are_fitted(spark, small):
     tables = fl.tables(spark, small)
     odd = spark.createDataFrame(
