@@ -12,6 +12,8 @@ from caseloom.functions.scalars import has_digit, to_number, within
 MAX_LITERALS = 1000
 # A lookup table this short fits into every executor many times over.
 SHORT_TABLE = 100_000
+# Into how many parts the rows of one entity are dealt where they are told apart.
+SPREAD = 4
 
 
 def is_short(df: DataFrame, most: int = SHORT_TABLE) -> bool:
@@ -27,6 +29,17 @@ def dedup(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     return (df.select(*cols) if cols else df).distinct()
 
 
+def dedup_by(df: DataFrame, key: str, spread: int = SPREAD) -> DataFrame:
+    """Distinct rows, for totals per entity to be taken of them.
+
+    The rows of an entity lie in at most ``spread`` parts, so they leave so many partial
+    totals, into however many parts the table is dealt. The part is picked by the row itself:
+    copies meet in it, and an entity of very many rows is not left to one task.
+    """
+    part = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns if c != key]), F.lit(spread))
+    return df.withColumn("_part", part).repartition(key, "_part").distinct().drop("_part")
+
+
 def keep_in_vocab(df: DataFrame, col: str, vocab: DataFrame | Iterable[str]) -> DataFrame:
     """Rows whose ``col`` is in the vocabulary.
 

@@ -58,6 +58,7 @@ from caseloom.operators.columns import (
 from caseloom.operators.merge import merge_inner, merge_outer
 from caseloom.operators.rows import (
     dedup,
+    dedup_by,
     dictionary_join,
     drop_value,
     inner_on,
@@ -204,7 +205,7 @@ def medication_features(
     number of lines.
     """
     listed = dictionary_join(medication, "drug_name", drug_lines(dictionary, categories), "Drug", "inner")
-    rows = dedup(listed).select(KEY, F.inline("_categories"))
+    rows = dedup_by(listed, KEY).select(KEY, F.inline("_categories"))
     return count_pivot(rows, KEY, "Category", categories, "Drug_count_", binary, "_lines")
 
 
@@ -225,7 +226,7 @@ def drug_lines(dictionary: DataFrame, categories: Sequence[str]) -> DataFrame:
 
 def lab_rates(labs: DataFrame, tests: Sequence[str]) -> DataFrame:
     """Share of results outside the normal range, per test."""
-    rows = dedup(keep_in_vocab(labs, "test_name", tests))
+    rows = dedup_by(keep_in_vocab(labs, "test_name", tests), KEY)
     flagged = with_range_flag(rows, "test_result", "normal_range", "value_normal")
     return rate_pivot(flagged, KEY, "test_name", "value_normal", tests, "value_normal_")
 
@@ -234,7 +235,7 @@ def lab_panel(
     labs: DataFrame, tests: Sequence[str], measures: Sequence[Measure] = LAB_MEASURES
 ) -> DataFrame:
     """Panel of known results; a row with any gap adds its entity but no value."""
-    rows = dedup(keep_in_vocab(drop_value(labs, "test_result", "unknown"), "test_name", tests))
+    rows = dedup_by(keep_in_vocab(drop_value(labs, "test_result", "unknown"), "test_name", tests), KEY)
     whole = reduce(and_, [F.col(c).isNotNull() for c in labs.columns])
     valued = rows.select(
         KEY, "test_name", F.when(whole, to_number("test_result")).alias("value")
@@ -253,7 +254,7 @@ def lab_features(
     ``_in_panel`` and ``_in_rates`` say which of the two tables the entity is in.
     """
     both = sorted({*panel_tests, *rate_tests})
-    rows = dedup(keep_in_vocab(labs, "test_name", both))
+    rows = dedup_by(keep_in_vocab(labs, "test_name", both), KEY)
     known = ~F.col("test_result").eqNullSafe("unknown") & F.col("test_name").isin(*panel_tests)
     whole = reduce(and_, [F.col(c).isNotNull() for c in labs.columns])
     rated = F.when(F.col("test_name").isin(*rate_tests), F.col("_flag"))
@@ -379,8 +380,7 @@ def total_span(tables: Tables) -> DataFrame:
 
 
 # Each of the next four reads its event log once, for its features and its span together.
-# Rows that count for the span alone keep nothing but entity and day, so the dedup
-# collapses them within each task.
+# Rows that count for the span alone keep nothing but entity and day.
 
 
 def _span(day: Column, name: str) -> list[Column]:
@@ -446,7 +446,7 @@ def medication_part(
     lines = lines.withColumn("_categories", packed)
     listed = dictionary_join(medication, "drug_name", lines, "Drug", "left")
     known = F.col("_categories").isNotNull()
-    rows = dedup(_only(listed.where(present(KEY)), known))
+    rows = dedup_by(_only(listed.where(present(KEY)), known), KEY)
     each = rows.select(KEY, DAY, F.explode_outer("_categories").alias("_packed"))
     each = each.select(
         KEY, DAY, F.col("_packed").bitwiseAND((1 << PLACE) - 1).alias("_place"), F.shiftright("_packed", PLACE).alias("_lines")
@@ -467,7 +467,7 @@ def lab_part(
 ) -> DataFrame:
     wanted = F.coalesce(F.col("test_name").isin(*{*panel_tests, *rate_tests}), F.lit(False))
     dated = ~F.col("test_result").eqNullSafe("unknown")
-    rows = dedup(_only(labs.where(present(KEY) & (wanted | dated)), wanted))
+    rows = dedup_by(_only(labs.where(present(KEY) & (wanted | dated)), wanted), KEY)
     wanted, panelled = F.col("test_name").isNotNull(), F.col("test_name").isin(*panel_tests)
     flagged = with_range_flag(rows, "test_result", "normal_range", "_flag")
     known = wanted & dated & panelled
@@ -504,7 +504,7 @@ def observation_part(
 ) -> DataFrame:
     """The numeric panel, and the smoking and drinking status where all known values agree."""
     wanted = F.coalesce(F.col("obs_type").isin(*types), F.lit(False))
-    rows = dedup(_only(observations.where(present(KEY)), wanted))
+    rows = dedup_by(_only(observations.where(present(KEY)), wanted), KEY)
     dated = F.col(DAY).isNotNull()
     valued = rows.select(
         KEY,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from pathlib import Path
 
 import pytest
@@ -173,6 +174,41 @@ def test_label_join_leaves_the_master_in_place(spark, raw, no_broadcast):
     assert text.count("Exchange hashpartitioning") == 11
 
 
+def test_an_entity_leaves_few_partial_totals(spark):
+    """However many parts a table is dealt into; copies and nulls still meet."""
+    from caseloom.operators.rows import SPREAD, dedup_by
+
+    settings = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in settings}
+    rows = [(f"P{i % 3}" if i % 3 else None, i // 6, str(i % 5) if i % 5 else None) for i in range(900)]
+    events = spark.createDataFrame(rows + rows[::2], "patientid string, day int, code string").repartition(8)
+    words = spark.createDataFrame([("d", "x")], io.DICTIONARY_SCHEMA)
+    tables = {n: spark.createDataFrame([], io.SCHEMAS[n]) for n in ("medication", "labs", "observations")}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        once = dedup_by(events, "patientid")
+        assert once.columns == events.columns
+        assert sorted(map(str, once.collect())) == sorted(map(str, events.distinct().collect()))
+        places = once.select("patientid", F.spark_partition_id().alias("at")).distinct().groupBy("patientid").count()
+        assert {r["count"] for r in places.collect()} <= set(range(1, SPREAD + 1)) and places.count() == 3
+        for part in (
+            ft.medication_part(tables["medication"], words, ("x",)),
+            ft.medication_features(tables["medication"], words, ("x",)),
+            ft.lab_part(tables["labs"], ("t",), ("t",)),
+            ft.lab_features(tables["labs"], ("t",), ("t",)),
+            ft.lab_panel(tables["labs"], ("t",)),
+            ft.lab_rates(tables["labs"], ("t",)),
+            ft.observation_part(tables["observations"], ("t",)),
+        ):
+            # told from the plan before it is optimised, since the tables are empty
+            text = part._jdf.queryExecution().analyzed().toString()
+            assert len(re.findall(r"RepartitionByExpression \[patientid#\d+, _part#\d+", text)) == 1
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 @pytest.mark.parametrize("short", [True, False])
 def test_a_doubled_dictionary_line_counts_twice(spark, monkeypatch, short):
     from caseloom.operators import rows as rw
